@@ -137,3 +137,179 @@ def q_content_type(spark: SparkSession, sf_dir: str) -> DataFrame:
         prefix = F.when(cond, val) if prefix is None else prefix.when(cond, val)
     content = F.concat(prefix, F.encode(F.col("text"), "UTF-8"))
     return d.select("doc_id", detect_mimetype(content).alias("content_type"))
+
+
+# ------------------------------------------------------------ keys and paths
+
+BLOB_PATH_CASES = [("", "", ""), ("images", "", ""), ("images", "xml", ""), ("images", "xml", "dev-")]
+
+
+@query("blob_path", sql="""
+WITH """ + EXTRACT_CTE + """,
+c(case_id, folder, ext, prefix) AS (VALUES (0, '', '', ''), (1, 'images', '', ''),
+                                          (2, 'images', '.xml', ''), (3, 'images', '.xml', 'dev-'))
+SELECT f.doc_id, c.case_id,
+       c.prefix || c.folder || '/' || substr(sha1hex, 1, 2) || '/' || substr(sha1hex, 3, 2) || '/' || sha1hex || c.ext
+         AS object_path
+FROM f, c
+""")
+def q_blob_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from capstan.functions.paths import blob_path
+
+    b = inputs.blobs(spark, sf_dir).select("doc_id", F.sha1("content").alias("h"))
+    cases = F.array(*[
+        F.struct(F.lit(i).alias("case_id"), F.lit(fo).alias("folder"), F.lit(e).alias("ext"), F.lit(p).alias("prefix"))
+        for i, (fo, e, p) in enumerate(BLOB_PATH_CASES)
+    ])
+    x = b.select("doc_id", "h", F.explode(cases).alias("c"))
+    return x.select("doc_id", F.col("c.case_id").alias("case_id"),
+                    blob_path(F.col("c.folder"), F.col("h"), F.col("c.ext"), F.col("c.prefix")).alias("object_path"))
+
+
+@query("sharded_path", sql="""
+WITH """ + EXTRACT_CTE + """,
+n AS (SELECT doc_id, CASE WHEN doc_id % 7 = 3 THEN substr(sha1hex, 1, CAST(doc_id % 8 AS INTEGER)) ELSE sha1hex END AS name FROM f),
+p AS (SELECT doc_id, name,
+        CASE WHEN strlen(name) >= 8 THEN '/spool/' || substr(name, 1, 2) || '/' || substr(name, 3, 2) || '/' || substr(name, 5) END AS path
+      FROM n)
+SELECT doc_id, name, path,
+       CASE WHEN path IS NULL THEN '' ELSE substr(name, 1, 2) || substr(name, 3, 2) || substr(name, 5) END AS identifier
+FROM p
+""")
+def q_sharded_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from capstan.functions.paths import sharded_path, sharded_path_to_id
+
+    b = inputs.blobs(spark, sf_dir).select("doc_id", F.sha1("content").alias("h"))
+    name = F.when(F.pmod("doc_id", F.lit(7)) == 3,
+                  F.substring(F.col("h"), F.lit(1), F.pmod("doc_id", F.lit(8)).cast("int"))).otherwise(F.col("h"))
+    x = b.select("doc_id", name.alias("name")).withColumn("path", sharded_path(F.lit("/spool"), F.col("name")))
+    return x.withColumn("identifier", sharded_path_to_id(F.col("path")))
+
+
+@query("hash_dir_layout", sql="""
+WITH """ + EXTRACT_CTE + """,
+u AS (SELECT sha1hex, any_value(size) AS size FROM f GROUP BY sha1hex)
+SELECT substr(sha1hex, 1, 2) AS shard, count(*) AS files, CAST(sum(size) AS BIGINT) AS bytes FROM u GROUP BY 1
+""")
+def q_hash_dir_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from capstan.sinks.hashdir import layout
+
+    return layout(inputs.blobs(spark, sf_dir), hash_name="sha1")
+
+
+@query("content_dedupe", sql="""
+WITH """ + EXTRACT_CTE + """
+SELECT sha1hex, min(doc_id) AS first_doc, count(*) AS copies FROM f GROUP BY sha1hex
+""")
+def q_content_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from capstan.operators.dedupe import distinct_content
+
+    return distinct_content(inputs.blobs(spark, sf_dir), order="doc_id")
+
+
+THUMB_FORMATS = ["jpg", "JPEG", "png", "tiff", "bmp"]
+
+
+@query("thumbnail_keys", sql="""
+WITH """ + EXTRACT_CTE + """,
+t AS (SELECT doc_id, sha1hex,
+        CASE doc_id % 5 WHEN 0 THEN 'jpg' WHEN 1 THEN 'JPEG' WHEN 2 THEN 'png' WHEN 3 THEN 'tiff' ELSE 'bmp' END AS format
+      FROM s WHERE status = 'success' AND doc_id % 120 > 50),
+e AS (SELECT *, CASE WHEN lower(format) IN ('jpg', 'jpeg') THEN '.jpg' WHEN lower(format) = 'png' THEN '.png'
+                     WHEN lower(format) = 'tiff' THEN '.tiff' ELSE '.jpg' END AS ext FROM t)
+SELECT doc_id, format, ext,
+       'pdf/' || substr(sha1hex, 1, 2) || '/' || substr(sha1hex, 3, 2) || '/' || sha1hex || '.180px' || ext AS object_path
+FROM e
+""")
+def q_thumbnail_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from capstan.functions.paths import blob_path, thumb_format
+
+    r = extract_result(spark, sf_dir)
+    stored = r.where(derive.has_thumbnail_to_store(r))
+    fmt = F.element_at(F.array(*[F.lit(x) for x in THUMB_FORMATS]), (F.pmod("doc_id", F.lit(5)) + 1).cast("int"))
+    x = stored.select("doc_id", "sha1hex", fmt.alias("format"))
+    x = x.withColumn("ext", thumb_format(F.col("format"))["ext"])
+    return x.select("doc_id", "format", "ext",
+                    blob_path(F.lit("pdf"), F.col("sha1hex"), F.concat(F.lit("180px"), F.col("ext")), F.lit("")).alias("object_path"))
+
+
+@query("redact", sql="""
+SELECT c_custkey,
+       CASE WHEN strlen(c_name) <= 4 THEN '****' ELSE substr(c_name, 1, 2) || '****' || substr(c_name, -2, 2) END AS masked
+FROM customer
+""")
+def q_redact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from capstan.functions.paths import mask_sensitive
+
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    return c.select("c_custkey", mask_sensitive(F.col("c_name")).alias("masked"))
+
+
+@query("origins_union", sql="""
+SELECT source, count(*) AS n, CAST(sum(size) AS BIGINT) AS bytes FROM (
+  SELECT 'manual' AS source, strlen(text) AS size FROM documents
+  UNION ALL SELECT 'crawl', strlen(html) FROM pages
+  UNION ALL SELECT 'archive', strlen(text) FROM benchmark
+) GROUP BY source
+""")
+def q_origins_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from capstan.sources.origins import union_origins
+
+    d = table(spark, sf_dir, "documents").select(F.encode("text", "UTF-8").alias("content"))
+    p = table(spark, sf_dir, "pages").select(F.encode("html", "UTF-8").alias("content"))
+    k = table(spark, sf_dir, "benchmark").select(F.encode("text", "UTF-8").alias("content"))
+    u = union_origins({"manual": d, "crawl": p, "archive": k})
+    return u.groupBy("source").agg(F.count(F.lit(1)).alias("n"),
+                                   F.sum(F.octet_length("content")).cast("bigint").alias("bytes"))
+
+
+@query("pending_work", sql="""
+SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE doc_id % 4 = 0)
+""")
+def q_pending_work(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from capstan.operators.backfill import pending
+
+    work = table(spark, sf_dir, "documents").select("doc_id")
+    finished = table(spark, sf_dir, "documents").where(F.pmod("doc_id", F.lit(4)) == 0).select("doc_id")
+    return pending(work, finished, ["doc_id"])
+
+
+STRUCTURED_LIMIT = 20_000  # bytes; stands in for the 256 MiB default at fixture scale
+
+
+@query("structured_gate", sql=f"""
+WITH """ + EXTRACT_CTE + f"""
+SELECT doc_id, status = 'success' AND size <= {STRUCTURED_LIMIT} AS eligible,
+       CAST(CASE WHEN status = 'success' THEN 0 ELSE 1 END AS BIGINT) AS errors
+FROM s
+""")
+def q_structured_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gated = derive.gate(inputs.outcomes(spark, sf_dir), inputs.blocklist(spark, sf_dir))
+    sized = gated.withColumn("blob_size", F.octet_length("content").cast("bigint")).drop("content")
+    r = derive.extract(sized)
+    eligible = (F.col("status") == "success") & (F.col("blob_size") <= F.lit(STRUCTURED_LIMIT))
+    return r.select("doc_id", eligible.alias("eligible"), stats.error_count(F.col("err")).alias("errors"))
+
+
+@query("result_json", sql="""
+WITH """ + EXTRACT_CTE + """
+SELECT doc_id, sha1hex, status, size, mimetype,
+       CAST(strlen(text) AS BIGINT) AS text_bytes,
+       CAST(CASE WHEN doc_id % 120 >= 50 THEN doc_id % 120 END AS BIGINT) AS thumb_bytes,
+       CAST(len(list_distinct(regexp_extract_all(text, '(?i)\\b(?:https?|ftp)://(?:[^\\s<>"''()]|\\([^\\s<>"''()]*\\))*(?:[^\\s<>"''().,;:!?\\[\\]{}]|\\([^\\s<>"''()]*\\))'))) AS BIGINT) AS n_links,
+       CAST(CASE WHEN doc_id % 5 = 0 THEN n_chars % 40 + 2 ELSE n_chars % 40 + 1 END AS BIGINT) AS page_count
+FROM s WHERE status = 'success'
+""")
+def q_result_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from capstan.sinks.results import read_results, result_schema, to_result_json
+
+    r = extract_result(spark, sf_dir)
+    back = read_results(to_result_json(r), result_schema(r))
+    return back.select(
+        "doc_id", "sha1hex", "status",
+        F.col("fileinfo.size").alias("size"), F.col("fileinfo.mimetype").alias("mimetype"),
+        F.octet_length("text").cast("bigint").alias("text_bytes"),
+        F.octet_length("page0thumbnail").cast("bigint").alias("thumb_bytes"),
+        F.coalesce(F.size("weblinks"), F.lit(0)).cast("bigint").alias("n_links"),
+        F.col("pdfextra.page_count").alias("page_count"),
+    )

@@ -23,6 +23,7 @@ DEFAULT_CONF = {
     # Blobs are large cells: keep Arrow batches to the Python hook small.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.ansi.enabled": "true",
 }
 
