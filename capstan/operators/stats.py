@@ -27,3 +27,18 @@ def status_counts(result: DataFrame) -> DataFrame:
 def error_count(*errs: Column) -> Column:
     """Number of failed steps of a document."""
     return F.size(F.array_compact(F.array(*errs))).cast("bigint")
+
+
+def batch_totals(listing: DataFrame, path: str = "path", length: str = "length") -> DataFrame:
+    """A2 over a spool listing (one row per file): files, directories implied
+    by the two-level shard layout (+ the root), ok (non-empty, processed) and
+    skipped (empty, P12)."""
+    parts = F.split(F.col(path), "/")
+    d1 = F.element_at(parts, -3)
+    d2 = F.concat(d1, F.element_at(parts, -2))
+    return listing.agg(
+        F.count(F.lit(1)).cast("bigint").alias("files"),
+        (F.count_distinct(d1) + F.count_distinct(d2) + 1).cast("bigint").alias("dirs"),
+        F.count_if(F.col(length) > 0).cast("bigint").alias("ok"),
+        F.count_if(F.col(length) == 0).cast("bigint").alias("skipped"),
+    )
