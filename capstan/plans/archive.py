@@ -216,3 +216,241 @@ SELECT warc_file, url AS uri, CASE WHEN k = 1 THEN wanted ELSE printf('pdf_%04d.
 """)
 def q_export_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.export_names(records(spark, sf_dir)).select("warc_file", "uri", "filename")
+
+
+# ------------------------------------------------------------------- CDX
+
+CDX_HEADER = " CDX N b a m s k r M S V g"
+
+
+def cdx_line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Index lines by rule: 11 fields; code '-' when page_id % 9 = 4; one
+    field missing when page_id % 9 = 8; one header line."""
+    p = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    ct = capture_content_type()
+    mime = F.when(ct == "", F.lit("-")).otherwise(F.lower(F.split_part(ct, F.lit(";"), F.lit(1))))
+    code = F.when(_m(9) == 4, F.lit("-")).otherwise(F.when(_m(7) == 6, F.lit("404")).otherwise(F.lit("200")))
+    fields = [
+        F.concat(F.lit("key"), F.col("page_id").cast("string")),
+        F.concat(F.lit("20240101"), F.lpad(_m(1000000).cast("string"), 6, "0")),
+        F.col("url"), mime, code,
+        F.upper(F.substring(F.sha1(F.encode("html", "UTF-8")), 1, 32)),
+        F.lit("-"), F.lit("-"),
+        (F.octet_length(F.encode("html", "UTF-8")) + 200).cast("string"),
+        (F.col("page_id") * 4096).cast("string"),
+        F.concat(F.lit("cap-"), _m(4).cast("string"), F.lit(".warc.gz")),
+    ]
+    short = fields[:6] + fields[7:]
+    line = F.when(_m(9) == 8, F.concat_ws(" ", *short)).otherwise(F.concat_ws(" ", *fields))
+    header = spark.range(1).select(F.lit(CDX_HEADER).alias("value"))
+    return p.select(line.alias("value")).unionByName(header)
+
+
+def cdx_files(spark: SparkSession, sf_dir: str) -> str:
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir) + "#cdx")
+    path = _WRITTEN.get(key)
+    if path is None or not os.path.isdir(path.removeprefix("file:")):
+        path = scratch_path(spark, "cdx")
+        cdx_line_rows(spark, sf_dir).write.mode("overwrite").text(path)
+        _WRITTEN[key] = path
+    return path
+
+
+CDX_SQL = """
+cdx AS (
+  SELECT page_id, url,
+    CASE page_id % 5 WHEN 0 THEN 'application/pdf' WHEN 1 THEN 'application/pdf'
+                     WHEN 2 THEN 'text/html' WHEN 3 THEN 'application/pdf' ELSE '-' END AS mime_type,
+    CASE WHEN page_id % 7 = 6 THEN 404 ELSE 200 END AS response_code,
+    CAST(strlen(html) + 200 AS INTEGER) AS compressed_record_size,
+    CAST(page_id * 4096 AS INTEGER) AS compressed_offset,
+    'cap-' || CAST(page_id % 4 AS VARCHAR) || '.warc.gz' AS filename
+  FROM pages WHERE page_id % 9 NOT IN (4, 8)
+)"""
+
+
+@query("cdx_parse", sql="WITH " + CDX_SQL + """
+SELECT url, mime_type, CAST(response_code AS INTEGER) AS response_code, compressed_record_size,
+       compressed_offset, filename FROM cdx
+""")
+def q_cdx_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from capstan.sources import cdx
+
+    p = cdx.read_cdx(spark, cdx_files(spark, sf_dir))
+    return p.where(F.col("reason").isNull()).drop("_corrupt_record", "reason")
+
+
+@query("cdx_rejects", sql="""
+SELECT reason, count(*) AS n FROM (
+  SELECT CASE WHEN page_id % 9 = 8 THEN 'short' ELSE 'bad-int' END AS reason FROM pages WHERE page_id % 9 IN (4, 8)
+  UNION ALL SELECT 'header'
+) GROUP BY reason
+""")
+def q_cdx_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from capstan.sources import cdx
+
+    p = cdx.read_cdx(spark, cdx_files(spark, sf_dir))
+    return p.where(F.col("reason").isNotNull()).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("cdx_fetch", sql="WITH " + CAPTURES_SQL + """
+SELECT url, sha1(html) AS body_sha1 FROM msg WHERE is_response
+""")
+def q_cdx_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from capstan.sources import cdx
+
+    base = capture_files(spark, sf_dir)
+    index = cdx.index_records(records(spark, sf_dir, payload=False))
+    got = cdx.fetch(index, base)
+    parsed = got.withColumn("_h", http.split_http(F.col("payload")))
+    return parsed.select(F.col("target_uri").alias("url"),
+                         F.sha1(http.body(F.col("payload"), F.col("_h"))).alias("body_sha1"))
+
+
+@query("backfill_plan", sql="WITH " + CDX_SQL + """,
+""" + """arr AS (SELECT page_id, url, html FROM pages
+        UNION ALL SELECT page_id, url, html FROM pages WHERE page_id % 8 = 1),
+um AS (SELECT coalesce(nullif(CASE WHEN page_id % 3 = 0 THEN '' ELSE url END, ''),
+                       nullif(CASE WHEN page_id % 6 = 0 THEN '' ELSE url || '#via-crawler' END, '')) AS url
+       FROM arr)
+SELECT filename, count(*) AS records, CAST(sum(compressed_record_size) AS BIGINT) AS bytes
+FROM cdx WHERE url NOT IN (SELECT url FROM um WHERE url IS NOT NULL) GROUP BY filename
+""")
+def q_backfill_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from capstan.operators.backfill import backfill_plan
+    from capstan.plans.spool import url_map_table
+    from capstan.sources import cdx
+
+    p = cdx.read_cdx(spark, cdx_files(spark, sf_dir))
+    index = p.where(F.col("reason").isNull())
+    return backfill_plan(index, url_map_table(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ items
+
+def item_json_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item metadata documents: item ``item-{page_id div 10}`` holds the files
+    of its ten pages, named ``.warc.gz`` for even and ``.cdx.gz`` for odd
+    page ids."""
+    p = table(spark, sf_dir, "pages").select("page_id", "html")
+    ident = F.concat(F.lit("item-"), F.floor(F.col("page_id") / 10).cast("string"))
+    name = F.concat(F.lit("crawl-"), F.lpad(F.col("page_id").cast("string"), 6, "0"),
+                    F.when(_m(2) == 0, F.lit(".warc.gz")).otherwise(F.lit(".cdx.gz")))
+    f = p.select(ident.alias("identifier"), F.col("page_id"), F.struct(
+        F.lit("0").alias("crc32"), F.lit("Web ARChive GZ").alias("format"),
+        F.md5(F.encode("html", "UTF-8")).alias("md5"), F.lit("1704067200").alias("mtime"),
+        name.alias("name"), F.lit("original").alias("source"),
+        F.octet_length(F.encode("html", "UTF-8")).cast("string").alias("size"),
+    ).alias("file"))
+    items = f.groupBy("identifier").agg(
+        F.sort_array(F.collect_list(F.struct("page_id", "file"))).alias("fs"))
+    doc = items.select(F.struct(
+        F.lit(1704067200).alias("created"), F.lit("ia800000.example.org").alias("d1"),
+        F.concat(F.lit("/items/"), F.col("identifier")).alias("dir"),
+        F.transform("fs", lambda x: x["file"]).alias("files"),
+        F.size("fs").alias("files_count"),
+        F.struct(F.col("identifier").alias("identifier"), F.array(F.lit("test-collection")).alias("collection"),
+                 F.lit("web").alias("mediatype")).alias("metadata"),
+        F.lit("ia800000.example.org").alias("server"),
+    ).alias("d"))
+    return doc.select(F.to_json("d").alias("value"))
+
+
+def item_files_path(spark: SparkSession, sf_dir: str) -> str:
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir) + "#items")
+    path = _WRITTEN.get(key)
+    if path is None or not os.path.isdir(path.removeprefix("file:")):
+        path = scratch_path(spark, "items")
+        item_json_rows(spark, sf_dir).write.mode("overwrite").text(path)
+        _WRITTEN[key] = path
+    return path
+
+
+@query("item_files", sql="""
+SELECT 'item-' || CAST(page_id // 10 AS VARCHAR) AS identifier,
+       'https://archive.org/download/item-' || CAST(page_id // 10 AS VARCHAR) || '/crawl-' || lpad(CAST(page_id AS VARCHAR), 6, '0') || '.warc.gz' AS file_url
+FROM pages WHERE page_id % 2 = 0
+""")
+def q_item_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from capstan.sources import items
+
+    return items.item_files(items.read_items(spark, item_files_path(spark, sf_dir))).select("identifier", "file_url")
+
+
+@query("item_counts", sql="""
+WITH f AS (SELECT page_id // 10 AS item, page_id,
+                  row_number() OVER (PARTITION BY page_id // 10 ORDER BY page_id) AS position,
+                  count(*) OVER (PARTITION BY page_id // 10) AS total
+           FROM pages)
+SELECT 'item-' || CAST(item AS VARCHAR) AS identifier, position, total FROM f WHERE page_id % 2 = 0
+""")
+def q_item_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from capstan.sources import items
+
+    return items.item_files(items.read_items(spark, item_files_path(spark, sf_dir))).select(
+        "identifier", "position", "total")
+
+
+ITEMS_PER_PAGE = 7
+
+
+def search_page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Search result pages over the item identifiers, seven per page in item
+    order; the last page has an empty cursor, and one more page after it
+    (which must not be read) names a ghost item."""
+    p = table(spark, sf_dir, "pages").select(F.floor(F.col("page_id") / 10).alias("item")).distinct()
+    p = p.withColumn("page_no", F.floor(F.col("item") / ITEMS_PER_PAGE))
+    per = p.groupBy("page_no").agg(
+        F.sort_array(F.collect_list("item")).alias("its"))
+    last = per.agg(F.max("page_no").alias("m")).scalar()
+    pages = per.select(
+        "page_no",
+        F.transform("its", lambda i: F.struct(F.concat(F.lit("item-"), i.cast("string")).alias("identifier"))).alias("items"),
+        F.size("its").alias("count"),
+        F.when(F.col("page_no") == last, F.lit("")).otherwise(
+            F.concat(F.lit("c"), (F.col("page_no") + 1).cast("string"))).alias("cursor"),
+    )
+    ghost = spark.range(1).select(
+        (last + 1).alias("page_no"), F.array(F.struct(F.lit("item-ghost").alias("identifier"))).alias("items"),
+        F.lit(1).alias("count"), F.lit("cX").alias("cursor"))
+    both = pages.unionByName(ghost)
+    return both.select(F.to_json(F.struct("page_no", "items", "count", "cursor")).alias("value"))
+
+
+@query("collection_items", sql="""
+SELECT DISTINCT 'item-' || CAST(page_id // 10 AS VARCHAR) AS identifier FROM pages
+""")
+def q_collection_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from capstan.sources import items
+
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir) + "#search")
+    path = _WRITTEN.get(key)
+    if path is None or not os.path.isdir(path.removeprefix("file:")):
+        path = scratch_path(spark, "search")
+        search_page_rows(spark, sf_dir).write.mode("overwrite").text(path)
+        _WRITTEN[key] = path
+    return items.collection_items(items.read_search_pages(spark, path)).select("identifier")
+
+
+@query("item_ids", sql="""
+WITH x AS (SELECT page_id, 'item-' || CAST(page_id % 10 AS VARCHAR) AS ident FROM pages)
+SELECT page_id,
+  CASE page_id % 4 WHEN 0 THEN 'https://archive.org/details/' || ident WHEN 1 THEN ident
+                   WHEN 2 THEN 'http://archive.org/download/' || ident || '/file.warc.gz'
+                   ELSE 'https://archive.org/details/' || ident || '/' END AS input,
+  CASE page_id % 4 WHEN 2 THEN 'file.warc.gz' ELSE ident END AS item_id
+FROM x
+""")
+def q_item_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from capstan.functions.ids import item_id
+
+    p = table(spark, sf_dir, "pages").select("page_id")
+    ident = F.concat(F.lit("item-"), _m(10).cast("string"))
+    inp = (
+        F.when(_m(4) == 0, F.concat(F.lit("https://archive.org/details/"), ident))
+        .when(_m(4) == 1, ident)
+        .when(_m(4) == 2, F.concat(F.lit("http://archive.org/download/"), ident, F.lit("/file.warc.gz")))
+        .otherwise(F.concat(F.lit("https://archive.org/details/"), ident, F.lit("/")))
+    )
+    x = p.select("page_id", inp.alias("input"))
+    return x.select("page_id", "input", item_id(F.col("input")).alias("item_id"))

@@ -3,12 +3,12 @@
 BLOBS = "content binary, size bigint, url string, source string, arrived timestamp"
 FILE_INFO = "size bigint, md5hex string, sha1hex string, sha256hex string, mimetype string"
 WARC_RECORDS = (
-    "warc_file string, record_idx bigint, record_offset bigint, record_length bigint, "
+    "warc_file string, file_name string, record_idx bigint, record_offset bigint, record_length bigint, "
     "warc_type string, target_uri string, record_date string, content_type string, "
     "content_length_raw string, content_length bigint, headers map<string,string>, payload binary"
 )
 RESPONSES = (
-    "warc_file string, record_idx bigint, uri string, status_line string, status_code int, "
+    "warc_file string, file_name string, record_idx bigint, uri string, status_line string, status_code int, "
     "http_headers map<string,string>, http_content_type string, http_content_length bigint, "
     "body binary, size bigint"
 )

@@ -146,10 +146,10 @@ def read_member(path: str, offset: int, length: int):
     return [(heads, block) for heads, _, block, _, _ in _parse_records(raw)]
 
 
-def _row(name, idx, off, length, heads, block, with_payload):
+def _row(name, file_name, idx, off, length, heads, block, with_payload):
     raw = heads.get("content-length")
     return (
-        name, idx, off, length, heads.get("warc-type"), heads.get("warc-target-uri"),
+        name, file_name, idx, off, length, heads.get("warc-type"), heads.get("warc-target-uri"),
         heads.get("warc-date"), heads.get("content-type"), raw,
         int(raw) if raw is not None and raw.isdigit() else None,
         heads, block if with_payload else None,
@@ -168,14 +168,14 @@ class WarcReader(DataSourceReader):
 
     def read(self, partition):
         path = partition.path
-        name = os.path.basename(path)
+        name = file_name = os.path.basename(path)
         for suffix in (".gz", ".warc"):
             name = name.removesuffix(suffix)
         try:
             for idx, off, length, heads, block in iter_file_records(path):
                 if self.max_record and len(block) > self.max_record:
                     continue
-                yield _row(name, idx, off, length, heads, block, self.payload)
+                yield _row(name, file_name, idx, off, length, heads, block, self.payload)
         except (ValueError, zlib.error, EOFError, OSError):
             if self.on_error == "fail":
                 raise
