@@ -85,8 +85,21 @@ def parse_any_int(v: Column) -> Column:
 
 def parse_info(text: Column) -> Column:
     """27-field struct from report text (S7, F8): duplicate key -> last wins,
-    unknown keys ignored, missing keys take zero values."""
-    entries = report_entries(text)
+    unknown keys ignored, missing keys take zero values.
+
+    Prefer ``with_info`` on a DataFrame: it materialises the line split once
+    instead of once per field."""
+    return info_from_entries(report_entries(text))
+
+
+def with_info(df, text: Column, out: str = "info"):
+    """Add the parsed report as ``out``; the entries are computed in their
+    own projection (not inlined 27 times by the optimizer)."""
+    tmp = f"_{out}_entries"
+    return df.withColumn(tmp, report_entries(text)).withColumn(out, info_from_entries(F.col(tmp))).drop(tmp)
+
+
+def info_from_entries(entries: Column) -> Column:
     fields = []
     for key, name, kind in INFO_FIELDS:
         v = _last_value(entries, key)

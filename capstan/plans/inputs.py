@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capstan.functions.report import parse_info
+from capstan.functions.report import with_info
 from capstan.tables import table
 
 PDF_MAGIC_HEX = "255044462D312E340A"  # "%PDF-1.4\\n"
@@ -81,10 +81,11 @@ def outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     thumbnail is doc_id % 120 bytes; metadata is the parsed report."""
     b = blobs(spark, sf_dir)
     text = F.when(_m("doc_id", 17) == 5, F.lit(None)).when(_m("doc_id", 19) == 7, F.lit("")).otherwise(F.col("text"))
-    return b.select(
-        "doc_id", "content",
+    o = b.select(
+        "doc_id", "content", "n_chars", "source",
         text.alias("text"),
         F.when(_m("doc_id", 17) == 5, F.lit("exit status 1")).alias("text_err"),
         thumbnail_bytes(F.col("doc_id")).alias("thumbnail"),
-        parse_info(report_text(F.col("doc_id"), F.col("n_chars"), F.col("source"))).alias("metadata"),
     )
+    o = with_info(o, report_text(F.col("doc_id"), F.col("n_chars"), F.col("source")), "metadata")
+    return o.drop("n_chars", "source")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from capstan.functions.links import LINK_PATTERN, outlink_status, weblinks
-from capstan.functions.report import legacy_extra, page_dim, parse_info, parse_pdfcpu
+from capstan.functions.report import legacy_extra, page_dim, parse_pdfcpu, with_info
 from capstan.plans.inputs import report_text
 from capstan.plans.registry import query
 from capstan.tables import table
@@ -15,7 +15,7 @@ from capstan.tables import table
 
 def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select("doc_id", "n_chars", "source")
-    return d.select("doc_id", parse_info(report_text(F.col("doc_id"), F.col("n_chars"), F.col("source"))).alias("info"))
+    return with_info(d, report_text(F.col("doc_id"), F.col("n_chars"), F.col("source")), "info").select("doc_id", "info")
 
 
 REPORT_SQL = """

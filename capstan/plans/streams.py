@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from capstan.functions.html import ENTITIES, STRIP_PATTERNS, html_text
-from capstan.functions.paths import sharded_path
+from capstan.functions.paths import shard_prefix2
 from capstan.operators import filters as P
 from capstan.operators import responses as R
 from capstan.plans.archive import CAPTURES_SQL, records
@@ -26,7 +26,7 @@ from capstan.streaming import drain, intake
 from capstan.tables import table
 
 MAX_SIZE = 20_000
-BATCH_FILES = 256
+BATCH_FILES = 20_000  # admission bound per micro-batch (T5)
 
 
 def _page_text_sql() -> str:
@@ -59,12 +59,15 @@ def q_dir_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _land(spark: SparkSession, sf_dir: str, content_addressed: bool) -> str:
-    """Documents as files in a new spool folder: sharded by SHA-1 (copies
-    collapse into one file) or one file per document (copies kept)."""
+    """Documents as files in a new spool folder: named by SHA-1 under a
+    two-character shard folder (copies collapse into one file, K1 layout),
+    or one file per document (copies kept).  A one-level layout keeps the
+    stream source's listing to a few hundred folders."""
     root = scratch_path(spark, "spool")
     d = table(spark, sf_dir, "documents").select("doc_id", F.encode("text", "UTF-8").alias("content"))
     if content_addressed:
-        d = d.select(sharded_path(F.lit(""), F.sha1("content")).alias("path"), "content")
+        h = F.sha1("content")
+        d = d.select(F.concat(shard_prefix2(h), F.lit("/"), h).alias("path"), "content")
         d = d.groupBy("path").agg(F.first("content").alias("content"))
     else:
         d = d.select(F.format_string("%02d/doc-%d.bin", F.pmod("doc_id", F.lit(100)), F.col("doc_id")).alias("path"),

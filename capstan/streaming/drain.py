@@ -22,6 +22,16 @@ BINARY_SCHEMA = "path string, modificationTime timestamp, length bigint, content
 
 def spool_stream(spark: SparkSession, spool_dir: str, max_files: int = 1000,
                  clean_source: str = "off", archive_dir: str | None = None) -> DataFrame:
+    """A file stream over the spool folder.
+
+    Each micro-batch names its files explicitly; Spark lists more than 32
+    explicit paths with a parallel job of up to 10,000 tasks.  On a local
+    master there is nothing to parallelise, so the listing job is kept to
+    the number of cores; on a cluster the setting is left as configured.
+    """
+    sc = spark.sparkContext
+    if sc.master.startswith("local"):
+        spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(sc.defaultParallelism))
     r = (spark.readStream.format("binaryFile").schema(BINARY_SCHEMA)
          .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", str(max_files))
          .option("cleanSource", clean_source))
