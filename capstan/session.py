@@ -38,6 +38,7 @@ def get_spark(master: str | None = None, app: str = "capstan", **conf) -> SparkS
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -64,3 +65,38 @@ def scratch_path(spark: SparkSession, kind: str) -> str:
     # The checkpoint dir registered with the SparkContext gets a random
     # sub-folder; write our tables next to it, never inside a local tmp.
     return os.path.join(base, "capstan", f"{kind}-{uuid.uuid4().hex[:12]}")
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``capstan`` importable in Python workers, whatever the driver's
+    working directory: zip the package into the shared checkpoint folder and
+    add it with ``addPyFile`` (once per application)."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import hashlib
+    import zipfile
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    files = []
+    for root, dirs, names in os.walk(pkg):
+        dirs[:] = [d for d in dirs if d != "__pycache__"]
+        files.extend(os.path.join(root, n) for n in names if n.endswith(".py"))
+    digest = hashlib.sha1()
+    for f in sorted(files):
+        with open(f, "rb") as fh:
+            digest.update(f.encode() + fh.read())
+    base = ensure_checkpoint_dir(spark)
+    target = os.path.join(base, f"capstan-{digest.hexdigest()[:12]}.zip")
+    if not os.path.exists(target):
+        tmp = target + f".{uuid.uuid4().hex[:6]}.tmp"
+        with zipfile.ZipFile(tmp, "w") as z:
+            for f in sorted(files):
+                z.write(f, os.path.relpath(f, os.path.dirname(pkg)))
+        os.replace(tmp, target)
+    sc.addPyFile(target)
+    _SHIPPED.add(app)
