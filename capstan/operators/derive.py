@@ -183,3 +183,32 @@ def run_extractor(gated: DataFrame, fn: Callable[[bytes], dict],
             yield out
 
     return gated.mapInPandas(apply, out_schema)
+
+
+def run_xml_extractor(result: DataFrame, fn: Callable[[bytes], bytes], blobs: DataFrame,
+                      key: str, max_size: int = 256 * 1024 * 1024, content: str = "content") -> DataFrame:
+    """Structured XML for successful documents not larger than
+    ``max_size`` (P14); failures leave ``xml`` null with ``xml_err`` set.
+
+    The size gate and the status filter run before the Python step; only
+    (key, content) of eligible rows go to Python, and the output joins back
+    on ``key``.
+    """
+    eligible = result.where(F.col("status") == "success").select(key).join(
+        blobs.select(key, content).where(F.octet_length(content) <= max_size), key)
+    schema = T.StructType([result.schema[key], T.StructField("xml", T.BinaryType()),
+                           T.StructField("xml_err", T.StringType())])
+
+    def apply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            xs, errs = [], []
+            for blob in pdf[content]:
+                try:
+                    xs.append(fn(bytes(blob)))
+                    errs.append(None)
+                except Exception as exc:  # a failure is a row (D7)
+                    xs.append(None)
+                    errs.append(f"{type(exc).__name__}: {exc}")
+            yield pd.DataFrame({key: pdf[key], "xml": xs, "xml_err": errs})
+
+    return result.join(eligible.mapInPandas(apply, schema), key, "left")
