@@ -20,6 +20,10 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
 def flag_membership(df: DataFrame, keys: DataFrame, on: str, flag: str,
                     max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Add boolean ``flag``: is ``df[on]`` among ``keys[on]``."""
-    marks = keys.select(on).where(F.col(on).isNotNull()).distinct().withColumn(flag, F.lit(True))
-    marks = bounded_broadcast(marks, max_rows)
+    raw = keys.select(on).where(F.col(on).isNotNull())
+    # the bound is checked on the raw keys (the scan stops early); the
+    # distinct set is then no larger than that.
+    small = raw.limit(max_rows + 1).count() <= max_rows
+    marks = raw.distinct().withColumn(flag, F.lit(True))
+    marks = F.broadcast(marks) if small else marks
     return df.join(marks, on, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))

@@ -9,6 +9,7 @@ renamed when complete, so a retried task rewrites the same names.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
@@ -29,7 +30,8 @@ class BlobDirWriter(DataSourceWriter):
             rel = r["path"].lstrip("/")
             dst = os.path.join(self.root, rel)
             os.makedirs(os.path.dirname(dst), exist_ok=True)
-            tmp = os.path.join(os.path.dirname(dst), "." + os.path.basename(dst) + ".inprogress")
+            # unique per writer: two tasks may write the same content address
+            tmp = os.path.join(os.path.dirname(dst), f".{os.path.basename(dst)}.{uuid.uuid4().hex}.inprogress")
             with open(tmp, "wb") as fh:
                 fh.write(bytes(r["content"] or b""))
             os.replace(tmp, dst)

@@ -38,22 +38,32 @@ def layout(df: DataFrame, content: str = "content", hash_name: str = "sha1",
 
 
 def write_hashdir(df: DataFrame, path: str, content: str = "content", hash_name: str = "sha1",
-                  shard: Callable[[Column], Column] = shard_prefix2, ext: str = "",
-                  extra: list[str] | None = None) -> DataFrame:
-    """Write one row per distinct digest under ``path/shard=xx/`` as parquet.
+                  shard: Callable[[Column], Column] = shard_prefix2, ext: str = "") -> DataFrame:
+    """K1: one file per distinct content at ``path/{shard}/{digest}{ext}``.
 
-    Same content written twice is the same object (idempotent overwrite by
-    key): rows are reduced to one per digest with a partial aggregate.
+    No shuffle: every task writes the rows it read.  Equal content has an
+    equal name and equal bytes, so a second write of it (another copy, or a
+    retried task) replaces the file with itself, as in the reference.
+    Returns the (shard, digest, file_name) rows that were written.
     """
-    extra = extra or []
-    d = with_digest(df, content, hash_name, shard, ext)
-    one = d.groupBy("shard", "digest").agg(
-        F.first("file_name").alias("file_name"),
-        F.first(F.col(content)).alias(content),
-        *[F.first(c).alias(c) for c in extra],
-    )
-    one.write.mode("overwrite").partitionBy("shard").parquet(path)
-    return one.drop(content)
+    from capstan.sinks.blobdir import write_blobs
+
+    d = with_digest(df.select(content), content, hash_name, shard, ext)
+    rel = F.when(F.col("shard") == "", F.col("file_name")).otherwise(
+        F.concat(F.col("shard"), F.lit("/"), F.col("file_name")))
+    write_blobs(d.select(rel.alias("path"), F.col(content).alias("content")), path)
+    return d.drop(content)
+
+
+def write_hashdir_table(df: DataFrame, path: str, order: str, content: str = "content",
+                        hash_name: str = "sha1", shard: Callable[[Column], Column] = shard_prefix2) -> None:
+    """K1 as a table: one row per digest (the first by ``order``), partitioned
+    by shard.  Only (digest, order) pairs are aggregated; the chosen rows
+    are selected with a semi join, so the bytes never pass through the
+    de-duplicating aggregate."""
+    d = with_digest(df, content, hash_name, shard)
+    first = d.groupBy("digest").agg(F.min(order).alias(order))
+    d.join(first, ["digest", order], "left_semi").write.mode("overwrite").partitionBy("shard").parquet(path)
 
 
 def dir_export(df: DataFrame, content: str = "body", size: str = "size",

@@ -10,18 +10,22 @@ from capstan.operators import artifacts, derive, urlmap
 from capstan.operators.stats import batch_totals
 from capstan.session import scratch_path
 from capstan.sinks.blobdir import write_blobs
-from capstan.sinks.hashdir import write_hashdir
+from capstan.sinks.hashdir import write_hashdir, write_hashdir_table
 from capstan.sinks.listing import write_listing
 from capstan.sources.spool import list_spool, read_blocklist, read_spool
 
 
 def test_hashdir_dedupes(spark):
-    df = spark.createDataFrame([(bytearray(b"a"),), (bytearray(b"a"),), (bytearray(b"b"),)], "content binary")
+    df = spark.createDataFrame([(1, bytearray(b"a")), (2, bytearray(b"a")), (3, bytearray(b"b"))],
+                               "id long, content binary")
     path = scratch_path(spark, "t-hd")
-    out = write_hashdir(df, path, ext=".bin")
-    assert out.count() == 2
-    back = spark.read.parquet(path)
-    assert back.count() == 2 and "shard" in back.columns
+    write_hashdir(df, path, ext=".bin")
+    files = sorted(os.path.relpath(os.path.join(r, f), path) for r, _, fs in os.walk(path) for f in fs)
+    assert files == ["86/86f7e437faa5a7fce15d1ddcb9eaeaea377667b8.bin", "e9/e9d71f5ee7c92d6dc9e92ffdad17b8bd49418f98.bin"]
+    tpath = scratch_path(spark, "t-hdt")
+    write_hashdir_table(df, tpath, order="id")
+    back = spark.read.parquet(tpath)
+    assert sorted(r.id for r in back.collect()) == [1, 3] and "shard" in back.columns
 
 
 def test_spool_scan_listing_and_totals(spark):
