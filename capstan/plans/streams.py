@@ -14,14 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from capstan.functions.html import ENTITIES, STRIP_PATTERNS, html_text
-from capstan.functions.paths import shard_prefix2
 from capstan.operators import filters as P
 from capstan.operators import responses as R
 from capstan.plans.archive import CAPTURES_SQL, records
 from capstan.plans.registry import query
 from capstan.session import scratch_path
 from capstan.sinks.blobdir import write_blobs
-from capstan.sinks.hashdir import dir_export
+from capstan.sinks.hashdir import dir_export, write_hashdir
 from capstan.streaming import drain, intake
 from capstan.tables import table
 
@@ -66,9 +65,10 @@ def _land(spark: SparkSession, sf_dir: str, content_addressed: bool) -> str:
     root = scratch_path(spark, "spool")
     d = table(spark, sf_dir, "documents").select("doc_id", F.encode("text", "UTF-8").alias("content"))
     if content_addressed:
-        h = F.sha1("content")
-        d = d.select(F.concat(shard_prefix2(h), F.lit("/"), h).alias("path"), "content")
-        d = d.groupBy("path").agg(F.first("content").alias("content"))
+        # K1 layout; copies rewrite the same file with the same bytes, so no
+        # shuffle is needed to de-duplicate them.
+        write_hashdir(d, root)
+        return root
     else:
         d = d.select(F.format_string("%02d/doc-%d.bin", F.pmod("doc_id", F.lit(100)), F.col("doc_id")).alias("path"),
                      "content")

@@ -52,7 +52,10 @@ def per_batch_writer(out: str, transform: Callable[[DataFrame], DataFrame] | Non
 
     def write(batch: DataFrame, batch_id: int) -> None:
         b = transform(batch) if transform else batch
-        b.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        # a micro-batch of many small files has many input splits; its few
+        # output rows need no more files than the cluster has cores.
+        n = batch.sparkSession.sparkContext.defaultParallelism
+        b.coalesce(max(1, n)).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     return write
 
