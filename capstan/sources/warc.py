@@ -146,39 +146,138 @@ def read_member(path: str, offset: int, length: int):
     return [(heads, block) for heads, _, block, _, _ in _parse_records(raw)]
 
 
-def _row(name, file_name, idx, off, length, heads, block, with_payload):
-    raw = heads.get("content-length")
-    return (
-        name, file_name, idx, off, length, heads.get("warc-type"), heads.get("warc-target-uri"),
-        heads.get("warc-date"), heads.get("content-type"), raw,
-        int(raw) if raw is not None and raw.isdigit() else None,
-        heads, block if with_payload else None,
-    )
+def dechunk_http(payload: bytes) -> bytes:
+    """Undo chunked transfer coding in an HTTP message, keeping the header
+    block; other messages are returned unchanged."""
+    end = payload.find(b"\r\n\r\n")
+    if end < 0:
+        return payload
+    head = payload[:end].lower()
+    if b"transfer-encoding:" not in head or b"chunked" not in head.split(b"transfer-encoding:", 1)[1].split(b"\r\n", 1)[0]:
+        return payload
+    body, pos, out = payload[end + 4:], 0, []
+    while pos < len(body):
+        eol = body.find(b"\r\n", pos)
+        if eol < 0:
+            break
+        size_txt = body[pos:eol].split(b";", 1)[0].strip()
+        try:
+            size = int(size_txt, 16)
+        except ValueError:
+            break
+        if size == 0:
+            break
+        out.append(body[eol + 2:eol + 2 + size])
+        pos = eol + 2 + size + 2
+    return payload[:end + 4] + b"".join(out)
+
+
+COLUMNS = ["warc_file", "file_name", "record_idx", "record_offset", "record_length", "warc_type",
+           "target_uri", "record_date", "content_type", "content_length_raw", "content_length",
+           "headers", "payload"]
+BATCH_ROWS = 512
+BATCH_BYTES = 64 << 20
+
+
+def _arrow_schema():
+    import pyarrow as pa
+
+    s, i = pa.string(), pa.int64()
+    return pa.schema([("warc_file", s), ("file_name", s), ("record_idx", i), ("record_offset", i),
+                      ("record_length", i), ("warc_type", s), ("target_uri", s), ("record_date", s),
+                      ("content_type", s), ("content_length_raw", s), ("content_length", i),
+                      ("headers", pa.map_(s, s)), ("payload", pa.binary())])
 
 
 class WarcReader(DataSourceReader):
+    """Options: path, payload, maxRecordBytes, onError, warcTypes (comma
+    list kept at the source), dechunk (undo chunked HTTP bodies)."""
+
     def __init__(self, options: dict):
         self.path = options.get("path", "")
         self.payload = options.get("payload", "true").lower() != "false"
         self.max_record = int(options.get("maxRecordBytes", "0"))
         self.on_error = options.get("onError", "stop")
+        types = options.get("warcTypes", "")
+        self.types = {t.strip() for t in types.split(",") if t.strip()} or None
+        self.dechunk = options.get("dechunk", "false").lower() == "true"
+        self.equal: dict[str, set] = {}
 
     def partitions(self):
         return [FilePartition(p) for p in list_files(self.path)]
 
+    def _keep(self, heads: dict) -> bool:
+        wt = heads.get("warc-type")
+        if self.types is not None and wt not in self.types:
+            return False
+        if "warc_type" in self.equal and wt not in self.equal["warc_type"]:
+            return False
+        if "content_type" in self.equal and heads.get("content-type") not in self.equal["content_type"]:
+            return False
+        return True
+
     def read(self, partition):
+        import pyarrow as pa
+
         path = partition.path
         name = file_name = os.path.basename(path)
         for suffix in (".gz", ".warc"):
             name = name.removesuffix(suffix)
+        schema = _arrow_schema()
+        cols = {c: [] for c in COLUMNS}
+        size = 0
+
+        def flush():
+            batch = pa.RecordBatch.from_pydict(cols, schema=schema)
+            for c in COLUMNS:
+                cols[c] = []
+            return batch
+
         try:
             for idx, off, length, heads, block in iter_file_records(path):
                 if self.max_record and len(block) > self.max_record:
                     continue
-                yield _row(name, file_name, idx, off, length, heads, block, self.payload)
+                if not self._keep(heads):
+                    continue
+                raw = heads.get("content-length")
+                if self.dechunk and block and heads.get("content-type", "").startswith("application/http"):
+                    block = dechunk_http(block)
+                row = (name, file_name, idx, off, length, heads.get("warc-type"), heads.get("warc-target-uri"),
+                       heads.get("warc-date"), heads.get("content-type"), raw,
+                       int(raw) if raw is not None and raw.isdigit() else None,
+                       list(heads.items()), block if self.payload else None)
+                for c, v in zip(COLUMNS, row):
+                    cols[c].append(v)
+                size += len(block) if self.payload else 0
+                if len(cols["record_idx"]) >= BATCH_ROWS or size >= BATCH_BYTES:
+                    yield flush()
+                    size = 0
         except (ValueError, zlib.error, EOFError, OSError):
             if self.on_error == "fail":
                 raise
+        if cols["record_idx"]:
+            yield flush()
+
+
+class WarcPushdownReader(WarcReader):
+    """The reader with filter pushdown (used when the session enables
+    ``spark.sql.python.filterPushdown.enabled``; Spark rejects a reader that
+    defines ``pushFilters`` otherwise)."""
+
+    def pushFilters(self, filters):
+        """Accept equality / IN filters on warc_type and content_type; they
+        are applied before a record's payload is copied.  (Called only when
+        spark.sql.python.filterPushdown.enabled is true.)"""
+        from pyspark.sql.datasource import EqualTo, In
+
+        for f in filters:
+            col = f.attribute[0] if isinstance(f, (EqualTo, In)) and len(f.attribute) == 1 else None
+            if col in ("warc_type", "content_type"):
+                vals = {f.value} if isinstance(f, EqualTo) else set(f.value)
+                self.equal[col] = self.equal.get(col, vals) & vals
+            else:
+                yield f
+
 
 
 class WarcCommit(WriterCommitMessage):
@@ -243,6 +342,8 @@ class WarcDataSource(DataSource):
         return WARC_RECORDS
 
     def reader(self, schema):
+        if self.options.get("pushdown", "false").lower() == "true":
+            return WarcPushdownReader(self.options)
         return WarcReader(self.options)
 
     def writer(self, schema, overwrite):
@@ -255,7 +356,8 @@ def register(spark: SparkSession) -> None:
 
 def read_warc(spark: SparkSession, path: str, payload: bool = True, **options) -> DataFrame:
     register(spark)
-    opts = {"payload": str(payload).lower(), **{k: str(v) for k, v in options.items()}}
+    pushdown = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")
+    opts = {"payload": str(payload).lower(), "pushdown": pushdown, **{k: str(v) for k, v in options.items()}}
     return spark.read.format("warc").options(**opts).load(path)
 
 

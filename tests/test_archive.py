@@ -87,3 +87,28 @@ def test_cdx_lines(spark):
         ("http://x/1", 404, 543915129), ("http://x/4", 200, 20)]
     bad = {r.reason: r.n for r in p.where("reason is not null").groupBy("reason").agg(F.count("*").alias("n")).collect()}
     assert bad == {"header": 1, "bad-int": 1, "short": 1}
+
+
+def test_type_selection_and_dechunk(spark):
+    path = scratch_path(spark, "t-warc4")
+    chunked = (b"HTTP/1.1 200 OK\r\nContent-Type: application/pdf\r\nTransfer-Encoding: chunked\r\n\r\n"
+               b"4\r\n%PDF\r\n5;x=1\r\n-1.4!\r\n0\r\n\r\n")
+    rows = [("c", 0, "response", None, None, "http://c/1", "application/http; msgtype=response", bytearray(chunked)),
+            ("c", 1, "request", None, None, "http://c/1", "application/http; msgtype=request", bytearray(b"GET /"))]
+    df = spark.createDataFrame(rows, "warc_file string, record_idx long, warc_type string, record_id string, "
+                                     "record_date string, target_uri string, content_type string, payload binary")
+    warc.write_warc(df, path)
+    assert warc.read_warc(spark, path, warcTypes="response").count() == 1
+    resp = R.responses(warc.read_warc(spark, path, dechunk="true")).collect()
+    assert len(resp) == 1 and bytes(resp[0].body) == b"%PDF-1.4!"
+
+
+def test_filter_pushdown_when_enabled(spark):
+    path = scratch_path(spark, "t-warc5")
+    _write_records(spark, path)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        df = warc.read_warc(spark, path).where(F.col("warc_type") == "request")
+        assert [r.warc_type for r in df.collect()] == ["request"]
+    finally:
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", "false")
