@@ -93,3 +93,22 @@ def export_names(records: DataFrame) -> DataFrame:
     return named.withColumn(
         "filename", F.when(F.col("record_idx") == F.col("_first"), F.col("wanted")).otherwise(numbered)
     ).drop("_first")
+
+
+def write_exports(records: DataFrame, root: str) -> DataFrame:
+    """Write the documents found by P9 as ``root/{warc_file}/{filename}``.
+
+    Names are computed on key columns only; the bodies are joined to them on
+    (warc_file, record_idx), one shuffle of the bodies.  The body is the
+    payload after the header block (CRLFCRLF, else LFLF).
+    """
+    from capstan.sinks.blobdir import write_blobs
+
+    names = export_names(records)
+    bodies = records.where(P.head_pdf(records)).select(
+        "warc_file", "record_idx", F.col("payload"), http.split_http(F.col("payload")).alias("_h"))
+    bodies = bodies.select("warc_file", "record_idx",
+                           F.substring(F.col("payload"), F.col("_h.body_start"), 1 << 30).alias("content"))
+    out = names.join(bodies, ["warc_file", "record_idx"])
+    write_blobs(out.select(F.concat_ws("/", "warc_file", "filename").alias("path"), "content"), root)
+    return names

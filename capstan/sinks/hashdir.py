@@ -67,9 +67,23 @@ def write_hashdir_table(df: DataFrame, path: str, order: str, content: str = "co
 
 
 def dir_export(df: DataFrame, content: str = "body", size: str = "size",
-               prefix: str = "", extension: str = "") -> DataFrame:
-    """K2: generated unique name; body cut at the declared size when > 0 (O3)."""
+               prefix: str = "", extension: str = "", name_cols: tuple[str, ...] = ("warc_file", "record_idx")) -> DataFrame:
+    """K2: a generated name per row and the body cut at the declared size
+    when that is > 0 (O3).
+
+    The name is derived from the row's identity (prefix, file, record,
+    extension) rather than drawn at random, so a retried task writes the
+    same names instead of leaving duplicates.
+    """
     cut = F.when(F.col(size) > 0, F.substring(F.col(content), 1, F.col(size).cast("int"))).otherwise(F.col(content))
-    return df.withColumn("file_name", F.concat(F.lit(prefix), F.expr("uuid()"), F.lit(extension))).withColumn(
-        "written", cut
-    )
+    name = F.concat(F.lit(prefix), F.concat_ws("-", *[F.col(c).cast("string") for c in name_cols]), F.lit(extension))
+    return df.withColumn("file_name", name).withColumn("written", cut)
+
+
+def write_dir_export(df: DataFrame, root: str, **kw) -> DataFrame:
+    """K2: write the exported bodies as files under ``root``."""
+    from capstan.sinks.blobdir import write_blobs
+
+    out = dir_export(df, **kw)
+    write_blobs(out.select(F.col("file_name").alias("path"), F.col("written").alias("content")), root)
+    return out.drop("written")

@@ -112,3 +112,20 @@ def test_filter_pushdown_when_enabled(spark):
         assert [r.warc_type for r in df.collect()] == ["request"]
     finally:
         spark.conf.set("spark.sql.python.filterPushdown.enabled", "false")
+
+
+def test_write_exports_and_dir_export(spark):
+    from capstan.sinks.hashdir import write_dir_export
+
+    path = scratch_path(spark, "t-warc6")
+    _write_records(spark, path)
+    recs = warc.read_warc(spark, path)
+    root = scratch_path(spark, "t-export")
+    names = R.write_exports(recs, root).collect()
+    assert [(r.warc_file, r.filename) for r in names] == [("t", "x.pdf")]
+    with open(os.path.join(root, "t", "x.pdf"), "rb") as fh:
+        assert fh.read() == b"%PDF-1.4 data"
+    root2 = scratch_path(spark, "t-dirx")
+    pdfs = P.apply(R.responses(recs), [P.pdf_response])
+    write_dir_export(pdfs, root2, content="body", size="size", prefix="pdf-", extension=".pdf")
+    assert os.listdir(root2) == ["pdf-t-0.pdf"]
