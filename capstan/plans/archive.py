@@ -18,7 +18,7 @@ from capstan.operators import filters as P
 from capstan.operators import responses as R
 from capstan.plans.registry import query
 from capstan.session import scratch_path
-from capstan.sources import warc
+from capstan.sources import fsio, warc
 from capstan.tables import table
 
 CRLF = "\r\n"
@@ -86,7 +86,7 @@ def capture_files(spark: SparkSession, sf_dir: str) -> str:
     """Folder holding the capture WARC files (written once per session)."""
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     path = _WRITTEN.get(key)
-    if path is None or not os.path.isdir(path.removeprefix("file:")):
+    if path is None or not fsio.exists(path):
         path = scratch_path(spark, "captures")
         warc.write_warc(capture_rows(spark, sf_dir), path)
         _WRITTEN[key] = path
@@ -249,7 +249,7 @@ def cdx_line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cdx_files(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir) + "#cdx")
     path = _WRITTEN.get(key)
-    if path is None or not os.path.isdir(path.removeprefix("file:")):
+    if path is None or not fsio.exists(path):
         path = scratch_path(spark, "cdx")
         cdx_line_rows(spark, sf_dir).write.mode("overwrite").text(path)
         _WRITTEN[key] = path
@@ -359,7 +359,7 @@ def item_json_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def item_files_path(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir) + "#items")
     path = _WRITTEN.get(key)
-    if path is None or not os.path.isdir(path.removeprefix("file:")):
+    if path is None or not fsio.exists(path):
         path = scratch_path(spark, "items")
         item_json_rows(spark, sf_dir).write.mode("overwrite").text(path)
         _WRITTEN[key] = path
@@ -425,7 +425,7 @@ def q_collection_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir) + "#search")
     path = _WRITTEN.get(key)
-    if path is None or not os.path.isdir(path.removeprefix("file:")):
+    if path is None or not fsio.exists(path):
         path = scratch_path(spark, "search")
         search_page_rows(spark, sf_dir).write.mode("overwrite").text(path)
         _WRITTEN[key] = path

@@ -3,14 +3,12 @@
 ``df.write.format("blobdir").mode("append").save(root)`` writes each row's
 ``content`` to ``root/{path}``.  Names are given by the rows (content
 addressed or generated), each file is written under a temporary name and
-renamed when complete, so a retried task rewrites the same names.
+moved into place when complete, so a retried task rewrites the same names.
+``root`` may be a local path or a file-system URI.
 """
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
@@ -22,19 +20,16 @@ class BlobDirCommit(WriterCommitMessage):
 
 class BlobDirWriter(DataSourceWriter):
     def __init__(self, options: dict):
-        self.root = options.get("path", "").removeprefix("file:")
+        self.root = options.get("path", "")
 
     def write(self, rows):
+        from capstan.sources import fsio
+
         n = 0
         for r in rows:
-            rel = r["path"].lstrip("/")
-            dst = os.path.join(self.root, rel)
-            os.makedirs(os.path.dirname(dst), exist_ok=True)
-            # unique per writer: two tasks may write the same content address
-            tmp = os.path.join(os.path.dirname(dst), f".{os.path.basename(dst)}.{uuid.uuid4().hex}.inprogress")
-            with open(tmp, "wb") as fh:
-                fh.write(bytes(r["content"] or b""))
-            os.replace(tmp, dst)
+            # unique temporary name per writer: two tasks may write the same
+            # content address at once; both move identical bytes into place
+            fsio.write_atomic(fsio.join(self.root, r["path"]), [bytes(r["content"] or b"")])
             n += 1
         return BlobDirCommit(n)
 

@@ -89,18 +89,17 @@ def fetch(index: DataFrame, base_path: str, num_partitions: int | None = None) -
                        F.col("compressed_record_size").cast("bigint"))
     idx = idx.repartitionByRange(n, "filename", "compressed_offset").sortWithinPartitions(
         "filename", "compressed_offset")
-    base = base_path.removeprefix("file:")
+    base = base_path
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import os
-
+        from capstan.sources.fsio import join
         from capstan.sources.warc import read_member
 
         for pdf in batches:
             out = []
             for name, off, length in zip(pdf["filename"], pdf["compressed_offset"], pdf["compressed_record_size"]):
                 try:
-                    recs = read_member(os.path.join(base, name), int(off), int(length))
+                    recs = read_member(join(base, name), int(off), int(length))
                 except (OSError, ValueError, EOFError):
                     recs = []
                 for heads, block in recs[:1]:

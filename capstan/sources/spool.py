@@ -10,8 +10,6 @@ top-level shard folders, so the listing itself is spread over tasks.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -31,36 +29,35 @@ class _Dir(InputPartition):
 
 class ListingReader(DataSourceReader):
     def __init__(self, options):
-        self.root = options.get("path", "").removeprefix("file:")
+        self.root = options.get("path", "")
 
     def partitions(self):
         # the root's own files, then one partition per top-level folder
+        from capstan.sources import fsio
+
         parts = [_Dir(self.root, False)]
-        with os.scandir(self.root) as it:
-            for e in sorted(it, key=lambda e: e.name):
-                if e.is_dir() and not e.name.startswith((".", "_")):
-                    parts.append(_Dir(e.path, True))
+        for path, is_dir, _, _ in fsio.list_dir(self.root):
+            name = path.rstrip("/").rsplit("/", 1)[-1]
+            if is_dir and not name.startswith((".", "_")):
+                parts.append(_Dir(path, True))
         return parts
 
     def read(self, partition):
         import datetime
 
-        def emit(path):
-            st = os.stat(path)
-            ts = datetime.datetime.fromtimestamp(st.st_mtime, tz=datetime.timezone.utc)
-            return (path, st.st_size, ts)
+        from capstan.sources import fsio
+
+        def ts(sec):
+            return datetime.datetime.fromtimestamp(sec, tz=datetime.timezone.utc)
 
         if not partition.recursive:
-            with os.scandir(partition.path) as it:
-                for e in sorted(it, key=lambda e: e.name):
-                    if e.is_file() and not e.name.startswith("."):
-                        yield emit(e.path)
+            for path, is_dir, size, mt in fsio.list_dir(partition.path):
+                if not is_dir and not path.rsplit("/", 1)[-1].startswith("."):
+                    yield (path, size, ts(mt))
             return
-        for root, dirs, files in os.walk(partition.path):
-            dirs.sort()
-            for name in sorted(files):
-                if not name.startswith("."):
-                    yield emit(os.path.join(root, name))
+        for path, size, mt in fsio.walk_files(partition.path):
+            if not path.rsplit("/", 1)[-1].startswith("."):
+                yield (path, size, ts(mt))
 
 
 class ListingDataSource(DataSource):

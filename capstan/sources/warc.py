@@ -13,7 +13,8 @@ Writing: ``df.write.format("warc").mode("overwrite").save(path)`` writes one
 file ``{warc_file}.warc.gz`` per value of ``warc_file`` in a partition, one
 gzip member per record, rows in partition order.  Use ``write_warc`` to
 co-locate and order the rows first.  Files are written under a temporary
-name and renamed when complete, so a retried task replaces its output.
+name and moved into place when complete, so a retried task replaces its
+output.  Paths may be local or file-system URIs (``capstan.sources.fsio``).
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ from pyspark.sql.datasource import (
 )
 
 from capstan.schemas import WARC_RECORDS
+from capstan.sources import fsio
 
 CHUNK = 1 << 20
 
@@ -45,16 +47,7 @@ class FilePartition(InputPartition):
 
 
 def list_files(path: str) -> list[str]:
-    """Files under ``path`` (a file or a folder, recursively), sorted;
-    hidden and underscore-prefixed names are skipped, as Spark does."""
-    path = path.removeprefix("file:")
-    if os.path.isfile(path):
-        return [path]
-    out = []
-    for root, dirs, files in os.walk(path):
-        dirs[:] = sorted(d for d in dirs if not d.startswith((".", "_")))
-        out.extend(os.path.join(root, f) for f in sorted(files) if not f.startswith((".", "_")))
-    return out
+    return fsio.list_files(path)
 
 
 def _parse_records(buf: bytes) -> Iterator[tuple[dict, list, bytes, int, int]]:
@@ -121,7 +114,7 @@ def _members(f) -> Iterator[tuple[int, int, bytes]]:
 def iter_file_records(path: str, max_record: int = 0):
     """(record_idx, offset, length, headers, block) for every record of a
     file; gzip-compressed or plain."""
-    with open(path, "rb") as f:
+    with fsio.open_read(path) as f:
         head = f.read(2)
         f.seek(0)
         idx = 0
@@ -139,7 +132,7 @@ def iter_file_records(path: str, max_record: int = 0):
 
 def read_member(path: str, offset: int, length: int):
     """Records of the gzip member at ``offset`` (random access, J7)."""
-    with open(path.removeprefix("file:"), "rb") as f:
+    with fsio.open_read(path) as f:
         f.seek(offset)
         data = f.read(length)
     raw = zlib.decompressobj(31).decompress(data)
@@ -301,35 +294,29 @@ def _record_bytes(warc_type, record_id, date, uri, content_type, payload) -> byt
 
 class WarcWriter(DataSourceWriter):
     def __init__(self, options: dict, overwrite: bool):
-        self.path = options.get("path", "").removeprefix("file:")
+        self.path = options.get("path", "")
         self.compress = options.get("compression", "gzip") != "none"
 
     def write(self, rows):
-        os.makedirs(self.path, exist_ok=True)
+        import contextlib
+
         written: list[str] = []
-        current, fh, tmp, final = None, None, None, None
-
-        def close():
-            if fh is not None:
-                fh.close()
-                os.replace(tmp, final)
-                written.append(final)
-
-        for r in rows:
-            wf = r["warc_file"]
-            if wf != current:
-                close()
-                current = wf
-                ext = ".warc.gz" if self.compress else ".warc"
-                final = os.path.join(self.path, wf + ext)
-                tmp = os.path.join(self.path, f".{wf}{ext}.inprogress")
-                if os.path.exists(final):
-                    raise ValueError(f"{wf} spread over partitions; use write_warc()")
-                fh = open(tmp, "wb")
-            rec = _record_bytes(r["warc_type"], r["record_id"], r["record_date"], r["target_uri"],
-                                r["content_type"], bytes(r["payload"] or b""))
-            fh.write(gzip.compress(rec, mtime=0) if self.compress else rec)
-        close()
+        ext = ".warc.gz" if self.compress else ".warc"
+        current = None
+        with contextlib.ExitStack() as stack:
+            out = None
+            for r in rows:
+                wf = r["warc_file"]
+                if wf != current:
+                    if out is not None:
+                        stack.close()  # completes the previous file
+                    current = wf
+                    final = fsio.join(self.path, wf + ext)
+                    out = stack.enter_context(fsio.atomic_writer(final))
+                    written.append(final)
+                rec = _record_bytes(r["warc_type"], r["record_id"], r["record_date"], r["target_uri"],
+                                    r["content_type"], bytes(r["payload"] or b""))
+                out.write(gzip.compress(rec, mtime=0) if self.compress else rec)
         return WarcCommit(written)
 
 
