@@ -13,13 +13,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from capstan.session import range_partitions
+
 
 def running_number(df: DataFrame, group: list[str], order: str, out: str = "rn",
                    num_partitions: int | None = None) -> DataFrame:
     """1-based position of each row within its group by ``order``
     (``order`` must be unique within a group)."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = range_partitions(df.sparkSession, num_partitions)
     ranged = df.repartitionByRange(n, *[F.col(g) for g in group], F.col(order)).withColumn(
         "_part", F.spark_partition_id()
     )

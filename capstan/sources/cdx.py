@@ -83,8 +83,9 @@ def fetch(index: DataFrame, base_path: str, num_partitions: int | None = None) -
     Rows are range-partitioned on (filename, offset), so one large file is
     read by several tasks, each seeking to its own offsets in order.
     """
-    spark = index.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    from capstan.session import range_partitions
+
+    n = range_partitions(index.sparkSession, num_partitions)
     idx = index.select("filename", F.col("compressed_offset").cast("bigint"),
                        F.col("compressed_record_size").cast("bigint"))
     idx = idx.repartitionByRange(n, "filename", "compressed_offset").sortWithinPartitions(
