@@ -11,6 +11,7 @@ def test_file_info_known_digests(spark):
     e = got[0].f
     assert (e.size, e.md5hex, e.sha1hex, e.mimetype) == (
         0, "d41d8cd98f00b204e9800998ecf8427e", "da39a3ee5e6b4b0d3255bfef95601890afd80709", "text/plain")
+    assert e.sha256hex == "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
     assert got[1].f.sha1hex == "40bd001563085fc35165329ea1ff5c5ecbdbbeef"
     assert got[2].f.sha1hex == "1f09d30c707d53f3d16c530dd73d70a6ce7596a9"
 
@@ -38,3 +39,15 @@ def test_weblinks_shapes(spark):
     assert "ftp://ftp.example.org/pub/a.pdf" in got
     assert "https://example.com/ab" in got
     assert len(got) == 5
+
+
+SOURCE_TEXT = b"import random\n\nwords = [\"water\", \"audio\"]\nprint(random.choice(words))\n"
+
+
+def test_source_code_is_not_pdf(spark):
+    from capstan.operators import derive
+
+    blobs = spark.createDataFrame([(1, bytearray(SOURCE_TEXT))], "doc_id long, content binary")
+    r = derive.extract(derive.gate(blobs, None).drop("content")).first()
+    assert r.status == "not-pdf" and r.fileinfo.size == len(SOURCE_TEXT)
+    assert r.err == "mimetype is text/plain; charset=utf-8"
