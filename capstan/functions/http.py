@@ -78,13 +78,14 @@ def declared_length(headers: Column) -> Column:
     """Content-Length as bigint; -1 when missing or not a number."""
     raw = header(headers, "content-length")
     ok = raw.rlike(r"^[0-9]+$")
-    return F.when(ok, (raw).try_cast("bigint")).otherwise(F.lit(-1).cast("bigint"))
+    return F.coalesce(F.when(ok, raw.try_cast("bigint")), F.lit(-1).cast("bigint"))
 
 
 def body(payload: Column, parsed: Column) -> Column:
     """Body bytes: after the header block, cut to a declared length if any."""
     rest = F.substring(payload, parsed["body_start"], 1 << 30)
     n = declared_length(parsed["headers"])
+    cut = F.least(n, F.lit(2**31 - 1)).cast("int")  # a binary value is < 2 GiB
     return F.when(parsed["body_start"] <= 0, F.lit(None).cast("binary")).when(
-        n >= 0, F.substring(rest, 1, n.cast("int"))
+        n >= 0, F.substring(rest, F.lit(1), cut)
     ).otherwise(rest)

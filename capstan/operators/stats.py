@@ -34,8 +34,8 @@ def batch_totals(listing: DataFrame, path: str = "path", length: str = "length")
     by the two-level shard layout (+ the root), ok (non-empty, processed) and
     skipped (empty, P12)."""
     parts = F.split(F.col(path), "/")
-    d1 = F.element_at(parts, -3)
-    d2 = F.concat(d1, F.element_at(parts, -2))
+    d1 = F.try_element_at(parts, F.lit(-3))
+    d2 = F.concat(d1, F.try_element_at(parts, F.lit(-2)))
     return listing.agg(
         F.count(F.lit(1)).cast("bigint").alias("files"),
         (F.count_distinct(d1) + F.count_distinct(d2) + 1).cast("bigint").alias("dirs"),

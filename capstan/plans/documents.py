@@ -310,6 +310,6 @@ def q_result_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("fileinfo.size").alias("size"), F.col("fileinfo.mimetype").alias("mimetype"),
         F.octet_length("text").cast("bigint").alias("text_bytes"),
         F.octet_length("page0thumbnail").cast("bigint").alias("thumb_bytes"),
-        F.coalesce(F.size("weblinks"), F.lit(0)).cast("bigint").alias("n_links"),
+        F.when(F.col("weblinks").isNull(), F.lit(0)).otherwise(F.size("weblinks")).cast("bigint").alias("n_links"),
         F.col("pdfextra.page_count").alias("page_count"),
     )

@@ -75,7 +75,8 @@ def dir_export(df: DataFrame, content: str = "body", size: str = "size",
     extension) rather than drawn at random, so a retried task writes the
     same names instead of leaving duplicates.
     """
-    cut = F.when(F.col(size) > 0, F.substring(F.col(content), 1, F.col(size).cast("int"))).otherwise(F.col(content))
+    n = F.least(F.col(size), F.lit(2**31 - 1)).cast("int")
+    cut = F.when(F.col(size) > 0, F.substring(F.col(content), F.lit(1), n)).otherwise(F.col(content))
     name = F.concat(F.lit(prefix), F.concat_ws("-", *[F.col(c).cast("string") for c in name_cols]), F.lit(extension))
     return df.withColumn("file_name", name).withColumn("written", cut)
 

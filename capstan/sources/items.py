@@ -73,8 +73,8 @@ def read_search_pages(spark: SparkSession, path: str) -> DataFrame:
 def collection_items(pages: DataFrame) -> DataFrame:
     """Identifiers of pages up to and including the first page whose
     cursor is empty or which has no items (pages after it are not read)."""
-    stop = F.when((F.coalesce(F.col("cursor"), F.lit("")) == "") | (F.coalesce(F.size("items"), F.lit(0)) == 0),
-                  F.col("page_no"))
+    empty = F.col("items").isNull() | (F.size("items") == 0)
+    stop = F.when((F.coalesce(F.col("cursor"), F.lit("")) == "") | empty, F.col("page_no"))
     # a scalar subquery: one value, no join
     last = pages.agg(F.coalesce(F.min(stop), F.lit(2**62)).alias("_last")).scalar()
     kept = pages.where(F.col("page_no") <= last)
