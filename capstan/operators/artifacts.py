@@ -121,3 +121,10 @@ def get(store: DataFrame, requests: DataFrame) -> DataFrame:
         "shard", shard_prefix2(F.substring_index(F.col("object_path"), "/", -1))
     )
     return req.join(store, ["bucket", "object_path", "shard"], "left")
+
+
+def write_store(store: DataFrame, path: str) -> None:
+    """Persist the store partitioned by (bucket, shard): a lookup that joins
+    on the shard reads only the requested shards (dynamic partition
+    pruning)."""
+    store.write.mode("overwrite").partitionBy("bucket", "shard").parquet(path)

@@ -75,3 +75,19 @@ def test_xml_slot_and_artifacts(spark):
     with_xml = derive.run_xml_extractor(res, xml, blobs, "doc_id", max_size=100)
     kinds = sorted((r.doc_id, r.kind) for r in artifacts.fan_out(with_xml).collect())
     assert kinds == [(1, "text"), (1, "xml"), (2, "text")]
+
+
+def test_get_prunes_store_partitions(spark):
+    reqs = spark.createDataFrame(
+        [(i, "", "", "blobs", "", bytearray(f"doc {i}".encode())) for i in range(40)],
+        "doc_id long, sha1hex string, ext string, folder string, prefix string, content binary")
+    puts = artifacts.put_requests(reqs.withColumn("bucket", F.lit("")))
+    store_path = scratch_path(spark, "t-store")
+    artifacts.write_store(artifacts.stored(puts, "doc_id"), store_path)
+    store = spark.read.parquet(store_path)
+    want = puts.where("doc_id < 3").select(F.col("bucket_resolved").alias("bucket"), "object_path")
+    got = artifacts.get(store, want)
+    rows = got.collect()
+    assert len(rows) == 3 and all(r.content_sha1 is not None for r in rows)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower()
