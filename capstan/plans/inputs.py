@@ -31,10 +31,27 @@ def blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "source", "n_chars", "text", content.alias("content"))
 
 
+_TABLES: dict[tuple[str, str], str] = {}
+
+
 def blocklist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hashes of the blobs whose doc_id is a multiple of 29 (S10 stand-in)."""
-    b = blobs(spark, sf_dir)
-    return b.where(_m("doc_id", 29) == 0).select(F.sha1("content").alias("sha1hex"))
+    """Hashes of the blobs whose doc_id is a multiple of 29 (S10 stand-in).
+
+    Like a user-supplied list, it is an input table: derived by a Spark job
+    and written once per session to the shared scratch folder."""
+    import os
+
+    from capstan.session import scratch_path
+    from capstan.sources import fsio
+
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    path = _TABLES.get(key)
+    if path is None or not fsio.exists(path):
+        path = scratch_path(spark, "blocklist")
+        b = blobs(spark, sf_dir)
+        b.where(_m("doc_id", 29) == 0).select(F.sha1("content").alias("sha1hex")).write.parquet(path)
+        _TABLES[key] = path
+    return spark.read.parquet(path)
 
 
 def thumbnail_bytes(doc_id: Column) -> Column:
