@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from capstan.functions.paths import EXPECTED_SHA1_LENGTH
-from capstan.operators.dedupe import first_arrival_flag
 
 # Response codes.
 ACCEPTED, EMPTY, TOO_LARGE, MISMATCH = 202, 400, 413, 500
@@ -37,10 +36,11 @@ def actions(arrivals: DataFrame, spool: DataFrame, max_size: int = 0, order: str
     arrivals are skipped.
     """
     v = validate(arrivals, max_size)
-    valid = v.where(F.col("reject").isNull())
-    flagged = first_arrival_flag(valid.select("sha1hex", order), "sha1hex", order, "is_first")
-    v = v.join(flagged, ["sha1hex", order], "left")
-    v = v.join(spool.select("sha1hex", "stored_size"), "sha1hex", "left")
+    # first valid arrival per hash: a partial aggregate over key columns,
+    # joined back once together with the spool entry of the hash
+    firsts = v.where(F.col("reject").isNull()).groupBy("sha1hex").agg(F.min(order).alias("_first"))
+    v = v.join(firsts, "sha1hex", "left").join(spool.select("sha1hex", "stored_size"), "sha1hex", "left")
+    v = v.withColumn("is_first", F.coalesce(F.col(order) == F.col("_first"), F.lit(False))).drop("_first")
     action = (
         F.when(F.col("reject").isNotNull(), F.col("reject"))
         .when(F.col("stored_size").isNotNull() & (F.col("stored_size") == F.col("size")), F.lit("skip"))
