@@ -85,6 +85,10 @@ def export_names(records: DataFrame) -> DataFrame:
     named after the URL when it ends in .pdf (F19); a repeated name within
     a file keeps the first and numbers the rest (W3)."""
     docs = records.where(P.head_pdf(records)).select("warc_file", "record_idx", F.col("target_uri").alias("uri"))
+    # The numbering reads its input several times; materialise the small key
+    # table once (reliable checkpoint in the shared checkpoint folder) so the
+    # archive files are scanned once.
+    docs = docs.checkpoint(eager=True)
     docs = running_number(docs, ["warc_file"], "record_idx", "pdf_num")
     named = docs.withColumn("wanted", export_filename(F.col("uri"), F.col("pdf_num")))
     firsts = named.groupBy("warc_file", "wanted").agg(F.min("record_idx").alias("_first"))
