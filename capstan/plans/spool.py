@@ -71,6 +71,8 @@ def q_intake_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.col("doc_id").alias("seq"), "sha1hex", "size",
         (F.col("size") + F.when(F.pmod("doc_id", F.lit(23)) == 4, 1).otherwise(0)).alias("declared"),
     )
+    # the decision reads the arrivals twice; keep only their keys, once
+    arrivals = arrivals.checkpoint(eager=True)
     out = intake.actions(arrivals, spool_table(spark, sf_dir), MAX_SIZE, order="seq")
     return out.select("doc_id", "action", "code")
 
