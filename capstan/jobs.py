@@ -35,9 +35,20 @@ from capstan.sources.spool import read_blocklist, read_spool
 from capstan.streaming import drain
 
 
+def _spread(df: DataFrame, tasks_per_slot: int) -> DataFrame:
+    """Extraction costs seconds per document, so a split holding many small
+    files would keep one core busy for long; with fewer splits than
+    ``tasks_per_slot`` x task slots the rows are spread round-robin (a
+    shuffle of the bytes, cheap next to the extraction)."""
+    if tasks_per_slot <= 0:
+        return df
+    want = tasks_per_slot * df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= want else df.repartition(want)
+
+
 def _extract(blobs: DataFrame, extractor: Callable[[bytes], dict], blocklist: DataFrame | None,
-             timeout_s: float) -> DataFrame:
-    gated = derive.gate(blobs, blocklist)
+             timeout_s: float, tasks_per_slot: int = 4) -> DataFrame:
+    gated = _spread(derive.gate(blobs, blocklist), tasks_per_slot)
     out = derive.run_extractor(gated, extractor, timeout_s=timeout_s)
     out = with_info(out, F.col("meta_report"), "metadata").drop("meta_report")
     return derive.extract(out)
