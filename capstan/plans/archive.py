@@ -380,15 +380,16 @@ def q_item_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("item_counts", sql="""
 WITH f AS (SELECT page_id // 10 AS item, page_id,
                   row_number() OVER (PARTITION BY page_id // 10 ORDER BY page_id) AS position,
-                  count(*) OVER (PARTITION BY page_id // 10) AS total
+                  count(*) OVER (PARTITION BY page_id // 10) AS total,
+                  count(*) FILTER (WHERE page_id % 2 = 0) OVER (PARTITION BY page_id // 10) AS files
            FROM pages)
-SELECT 'item-' || CAST(item AS VARCHAR) AS identifier, position, total FROM f WHERE page_id % 2 = 0
+SELECT 'item-' || CAST(item AS VARCHAR) AS identifier, position, total, files FROM f WHERE page_id % 2 = 0
 """)
 def q_item_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from capstan.sources import items
 
     return items.item_files(items.read_items(spark, item_files_path(spark, sf_dir))).select(
-        "identifier", "position", "total")
+        "identifier", "position", "total", "files")
 
 
 ITEMS_PER_PAGE = 7

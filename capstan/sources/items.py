@@ -52,17 +52,26 @@ def read_items(spark: SparkSession, path: str) -> DataFrame:
 def item_files(items: DataFrame, suffix: str = ".warc.gz") -> DataFrame:
     """Capture files of each item with their download URL,
     position in the item's file list (W4) and the list length."""
+    captures = F.size(F.filter("files", lambda f: F.endswith(f["name"], F.lit(suffix))))
     x = items.select(F.col("metadata.identifier").alias("identifier"), "files_count",
-                     F.posexplode("files").alias("pos", "f"), F.size("files").alias("total"))
+                     F.posexplode("files").alias("pos", "f"), F.size("files").alias("total"),
+                     captures.alias("files"))
     x = x.where(F.endswith(F.col("f.name"), F.lit(suffix)))
     return x.select(
         "identifier", F.col("f.name").alias("name"),
         (F.col("pos") + 1).cast("bigint").alias("position"), F.col("total").cast("bigint").alias("total"),
+        F.col("files").cast("bigint").alias("files"),
         F.col("f.size").try_cast("bigint").alias("size"),
         download_url(F.col("identifier"), F.col("f.name")).alias("file_url"),
     )
 
 
+def items_per_collection(items: DataFrame) -> DataFrame:
+    """A4: number of items in each collection an item names."""
+    x = items.select(F.explode("metadata.collection").alias("collection"))
+    return x.groupBy("collection").agg(F.count(F.lit(1)).cast("bigint").alias("items"))
+
+
 def read_search_pages(spark: SparkSession, path: str) -> DataFrame:
     """Landed search result pages, one JSON object per line with its
     ``page_no`` (fetch order)."""

@@ -91,3 +91,16 @@ def test_get_prunes_store_partitions(spark):
     assert len(rows) == 3 and all(r.content_sha1 is not None for r in rows)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan.lower()
+
+
+def test_items_per_collection(spark):
+    from capstan.sources.items import ITEM_SCHEMA, item_files, items_per_collection
+
+    docs = [
+        '{"metadata": {"identifier": "a", "collection": ["c1", "c2"]}, "files": [{"name": "x.warc.gz"}, {"name": "x.cdx.gz"}]}',
+        '{"metadata": {"identifier": "b", "collection": ["c1"]}, "files": []}',
+    ]
+    items = spark.read.schema(ITEM_SCHEMA).json(spark.sparkContext.parallelize(docs))
+    assert {r.collection: r.items for r in items_per_collection(items).collect()} == {"c1": 2, "c2": 1}
+    f = item_files(items).collect()
+    assert [(r.identifier, r.position, r.total, r.files) for r in f] == [("a", 1, 2, 1)]
