@@ -5,6 +5,8 @@
   store artifacts, write result rows and run statistics.
 * ``extract_captures`` -- archive files -> HTTP responses -> filters ->
   sinks (content-addressed folder, plain folder, capture log, staged intake).
+* ``intake_arrivals`` -- the ``serve`` flow as a stream: validate arrivals,
+  skip / overwrite / insert against the spool, store accepted blobs.
 * ``plan_backfill`` -- capture index minus URL map -> what to fetch.
 
 Run as ``python -m capstan.jobs <job> ...`` (see ``--help``); the extractor is
@@ -139,6 +141,23 @@ def extract_captures(spark: SparkSession, warc_path: str, out: str, sinks: tuple
     return counts
 
 
+def intake_arrivals(spark: SparkSession, arrivals_dir: str, spool_dir: str, tables: str,
+                    max_size: int = 0, max_files: int = 1000, remove_arrived: bool = False) -> DataFrame:
+    """The ``serve`` flow as a stream over an arrivals folder: validate,
+    de-duplicate against the spool, store accepted blobs content-addressed,
+    record spool rows, URL map and rejects.  Returns the actions so far."""
+    from capstan.streaming.intake import spool_intake_writer
+
+    s = drain.spool_stream(spark, arrivals_dir, max_files=max_files,
+                           clean_source="delete" if remove_arrived else "off")
+    s = s.select("path", "length", "content", F.sha1("content").alias("sha1hex"),
+                 F.octet_length("content").cast("bigint").alias("size"))
+    q = (s.writeStream.foreachBatch(spool_intake_writer(spool_dir, tables, max_size))
+         .option("checkpointLocation", os.path.join(tables, "_checkpoint")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(os.path.join(tables, "actions"))
+
+
 def plan_backfill(spark: SparkSession, cdx_path: str, url_map_path: str) -> DataFrame:
     """Index records whose URL has no entry in the URL map."""
     from capstan.operators.backfill import backfill_plan
@@ -171,6 +190,12 @@ def main(argv: list[str] | None = None) -> None:
     f.add_argument("--out", required=True)
     f.add_argument("--sink", action="append", choices=SINK_NAMES)
     f.add_argument("--all-types", action="store_true")
+    i = sub.add_parser("intake", help="take arrivals into the spool (stream, availableNow)")
+    i.add_argument("--arrivals", required=True)
+    i.add_argument("--spool", required=True)
+    i.add_argument("--tables", required=True)
+    i.add_argument("--max-size", type=int, default=0)
+    i.add_argument("--remove", action="store_true")
     b = sub.add_parser("backfill", help="plan fetches for index records without an artifact")
     b.add_argument("--cdx", required=True)
     b.add_argument("--url-map", required=True)
@@ -180,6 +205,10 @@ def main(argv: list[str] | None = None) -> None:
         res = process_spool(spark, a.spool, a.out, _load(a.extractor), a.blocklist, a.timeout, a.stream,
                             a.max_files, a.remove)
         print(json.dumps(res.first().asDict()))
+    elif a.job == "intake":
+        acts = intake_arrivals(spark, a.arrivals, a.spool, a.tables, a.max_size, remove_arrived=a.remove)
+        for row in acts.groupBy("action", "code").count().collect():  # a handful of rows
+            print(json.dumps(row.asDict()))
     elif a.job == "fetch":
         print(json.dumps(extract_captures(spark, a.warc, a.out, tuple(a.sink or ["hashdir"]),
                                           pdf_only=not a.all_types)))

@@ -43,3 +43,51 @@ def intake_batch_writer(out: str):
 def running_counts(stream: DataFrame) -> DataFrame:
     """Running count per code (complete mode)."""
     return stream.groupBy("code").agg(F.count(F.lit(1)).alias("n"))
+
+
+def spool_intake_writer(spool_dir: str, tables: str, max_size: int = 0):
+    """T4 with J1: the ``serve`` flow for one micro-batch of arrivals.
+
+    ``batch`` rows carry path, length, content, sha1hex, size (and an
+    optional ``url``).  Valid arrivals are compared with the spool table
+    written by earlier batches (``tables/spool``): equal size -> skip,
+    other size -> overwrite, absent -> insert; within a batch the first
+    arrival of a hash (by path) writes.  Accepted content is written to
+    ``spool_dir/{shard}/{sha1}`` (content-addressed, idempotent); the spool
+    table, URL map and rejects get a ``batch=<id>`` folder each, replaced if
+    the batch is retried.
+    """
+    from capstan.operators import intake as J
+    from capstan.sinks.hashdir import write_hashdir
+    from capstan.sources import fsio
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        b = batch.withColumn("declared", F.col("length")).persist()
+        try:
+            spool_path = f"{tables}/spool"
+            if fsio.exists(spool_path):
+                prior = spark.read.parquet(spool_path).where(F.col("batch") != batch_id)
+                stored = prior.groupBy("sha1hex").agg(F.max_by("size", "batch").alias("stored_size"))
+            else:
+                stored = spark.createDataFrame([], "sha1hex string, stored_size bigint")
+            acts = J.actions(b.select("path", "sha1hex", "size", "declared"), stored, max_size, order="path")
+            acts = acts.persist()
+            ok = acts.where(F.col("action").isin("insert", "overwrite")).select("path")
+            content = b.join(ok, "path", "left_semi")
+            write_hashdir(content.select("content"), spool_dir)
+            content.select("sha1hex", "size", "path").write.mode("overwrite").parquet(
+                f"{spool_path}/batch={batch_id}")
+            if "url" in b.columns:
+                content.where(F.col("url").isNotNull()).select(
+                    "url", F.col("sha1hex").alias("sha1"), F.current_timestamp().alias("timestamp")
+                ).write.mode("overwrite").parquet(f"{tables}/url_map/batch={batch_id}")
+            acts.select("path", "sha1hex", "action", "code").write.mode("overwrite").parquet(
+                f"{tables}/actions/batch={batch_id}")
+            acts.where(F.col("code") != ACCEPTED).select("path", "code", "action").write.mode(
+                "overwrite").parquet(f"{tables}/rejects/batch={batch_id}")
+            acts.unpersist()
+        finally:
+            b.unpersist()
+
+    return write

@@ -49,3 +49,22 @@ def test_extract_captures_sinks(spark):
     assert counts == {"hashdir": 2, "dir": 2, "log": 2, "intake": 2}
     files = [f for _, _, fs in os.walk(os.path.join(out, "hashdir")) for f in fs]
     assert len(files) == 1  # same content, one object
+
+
+def test_intake_arrivals_two_runs(spark):
+    arrivals = scratch_path(spark, "t-arr")
+    spool, tables = scratch_path(spark, "t-spool2"), scratch_path(spark, "t-tables")
+    first = [("a/1", bytearray(b"alpha")), ("a/2", bytearray(b"beta")), ("a/3", bytearray(b"alpha")),
+             ("a/4", bytearray(b"x" * 50))]
+    write_blobs(spark.createDataFrame(first, "path string, content binary"), arrivals)
+    acts = jobs.intake_arrivals(spark, arrivals, spool, tables, max_size=20)
+    got = {r.path.rsplit("/", 1)[-1]: r.action for r in acts.collect()}
+    assert got == {"1": "insert", "2": "insert", "3": "skip", "4": "too-large"}
+    # a second run sees only new files; known content is skipped
+    write_blobs(spark.createDataFrame([("b/5", bytearray(b"beta")), ("b/6", bytearray(b"gamma"))],
+                                      "path string, content binary"), arrivals)
+    acts = jobs.intake_arrivals(spark, arrivals, spool, tables, max_size=20)
+    got = {r.path.rsplit("/", 1)[-1]: r.action for r in acts.collect()}
+    assert got["5"] == "skip" and got["6"] == "insert" and len(got) == 6
+    files = sorted(f for _, _, fs in os.walk(spool) for f in fs)
+    assert len(files) == 3  # alpha, beta, gamma stored once each
