@@ -20,7 +20,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Blobs are large cells: keep Arrow batches to the Python hook small.
+    # Blobs are large cells: keep Arrow batches to the Python hook small
+    # (Spark also caps a batch at spark.sql.execution.arrow.maxBytesPerBatch,
+    # 64 MiB by default, whatever the session).
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
