@@ -50,82 +50,141 @@ def list_files(path: str) -> list[str]:
     return fsio.list_files(path)
 
 
-def _parse_records(buf: bytes) -> Iterator[tuple[dict, list, bytes, int, int]]:
-    """Records in an uncompressed buffer: (headers, header pairs, block,
-    start, end).  Raises ValueError on a malformed record."""
-    pos, n = 0, len(buf)
-    while pos < n:
+def _parse_head(raw: bytes) -> tuple[dict, list]:
+    lines = raw.decode("utf-8", "replace").replace("\r\n", "\n").split("\n")
+    if not lines[0].startswith("WARC/"):
+        raise ValueError("not a WARC record")
+    pairs = []
+    for line in lines[1:]:
+        if ":" in line:
+            k, v = line.split(":", 1)
+            pairs.append((k.strip(), v.strip()))
+    heads: dict[str, str] = {}
+    for k, v in pairs:
+        heads.setdefault(k.lower(), v)
+    if not heads.get("content-length", "").isdigit():
+        raise ValueError("bad record length")
+    return heads, pairs
+
+
+def _stream_records(chunks: Iterator[bytes]) -> Iterator[tuple[dict, bytes, int, int]]:
+    """Records from a stream of byte chunks: (headers, block, start, end),
+    offsets relative to the stream.  Only one record (plus one chunk) is
+    held in memory.  Raises ValueError on a malformed or cut record."""
+    it = iter(chunks)
+    buf, base = b"", 0  # base = stream offset of buf[0]
+
+    def more() -> bool:
+        nonlocal buf
+        for c in it:
+            if c:
+                buf += c
+                return True
+        return False
+
+    while True:
         # skip blank lines between records
-        while buf.startswith(b"\r\n", pos) or buf.startswith(b"\n", pos):
-            pos += 2 if buf.startswith(b"\r\n", pos) else 1
-        if pos >= n:
+        while True:
+            stripped = buf.lstrip(b"\r\n")
+            base += len(buf) - len(stripped)
+            buf = stripped
+            if buf or not more():
+                break
+        if not buf:
             return
-        end = buf.find(b"\r\n\r\n", pos)
-        sep = 4
-        if end < 0:
-            end, sep = buf.find(b"\n\n", pos), 2
-            if end < 0:
+        end, sep = buf.find(b"\r\n\r\n"), 4
+        while end < 0:
+            if not more():
                 raise ValueError("unterminated record header")
-        lines = buf[pos:end].decode("utf-8", "replace").replace("\r\n", "\n").split("\n")
-        if not lines[0].startswith("WARC/"):
-            raise ValueError("not a WARC record")
-        pairs = []
-        for line in lines[1:]:
-            if ":" in line:
-                k, v = line.split(":", 1)
-                pairs.append((k.strip(), v.strip()))
-        heads: dict[str, str] = {}
-        for k, v in pairs:
-            heads.setdefault(k.lower(), v)
-        raw = heads.get("content-length", "")
-        if not raw.isdigit():
-            raise ValueError("bad record length")
+            end, sep = buf.find(b"\r\n\r\n"), 4
+        heads, _ = _parse_head(buf[:end])
         start = end + sep
-        stop = start + int(raw)
-        if stop > n:
-            raise ValueError("truncated record")
-        yield heads, pairs, buf[start:stop], pos, stop
-        pos = stop
+        stop = start + int(heads["content-length"])
+        while len(buf) < stop:
+            if not more():
+                raise ValueError("truncated record")
+        yield heads, buf[start:stop], base, base + stop
+        buf = buf[stop:]
+        base += stop
+
 
+def _parse_records(buf: bytes) -> Iterator[tuple[dict, list, bytes, int, int]]:
+    for heads, block, start, stop in _stream_records([buf]):
+        yield heads, None, block, start, stop
 
-def _members(f) -> Iterator[tuple[int, int, bytes]]:
-    """(offset, compressed length, data) of each gzip member of a file."""
+
+def _member_chunks(f) -> Iterator[tuple[int, Iterator[bytes], list]]:
+    """For each gzip member: (offset, iterator of decompressed chunks, a
+    one-element list filled with the compressed length when the member has
+    been read).  Members are decompressed chunk by chunk."""
     offset = 0
     buf = f.read(CHUNK)
     while buf:
         d = zlib.decompressobj(31)
-        out, used = [], 0
-        while True:
-            out.append(d.decompress(buf))
-            if d.eof:
-                used += len(buf) - len(d.unused_data)
-                buf = d.unused_data
-                break
-            used += len(buf)
-            buf = f.read(CHUNK)
-            if not buf:
-                raise ValueError("truncated gzip member")
-        yield offset, used, b"".join(out)
-        offset += used
-        if not buf:
-            buf = f.read(CHUNK)
+        size = [None]
+        state = {"buf": buf, "used": 0}
+
+        def chunks(d=d, state=state, size=size):
+            while True:
+                data = state["buf"]
+                if not data:
+                    data = f.read(CHUNK)
+                    if not data:
+                        raise ValueError("truncated gzip member")
+                out = d.decompress(data)
+                if d.eof:
+                    state["used"] += len(data) - len(d.unused_data)
+                    state["buf"] = d.unused_data
+                    size[0] = state["used"]
+                    if out:
+                        yield out
+                    return
+                state["used"] += len(data)
+                state["buf"] = b""
+                if out:
+                    yield out
+
+        yield offset, chunks(), size, state
+        if size[0] is None:  # caller did not drain: finish the member
+            for _ in chunks():
+                pass
+        offset += size[0]
+        buf = state["buf"] or f.read(CHUNK)
+
+
+def _file_chunks(f) -> Iterator[bytes]:
+    while True:
+        c = f.read(CHUNK)
+        if not c:
+            return
+        yield c
 
 
 def iter_file_records(path: str, max_record: int = 0):
     """(record_idx, offset, length, headers, block) for every record of a
-    file; gzip-compressed or plain."""
+    file, gzip-compressed (offset/length of the member) or plain
+    (offset/length of the record).  Streams: one record in memory."""
     with fsio.open_read(path) as f:
         head = f.read(2)
         f.seek(0)
         idx = 0
         if head == b"\x1f\x8b":
-            for off, clen, data in _members(f):
-                for heads, _, block, _, _ in _parse_records(data):
-                    yield idx, off, clen, heads, block
+            for off, chunks, size, _ in _member_chunks(f):
+                # hold back one record: a member's compressed length is known
+                # only once it has been read to its end
+                pending = []
+                for heads, block, _, _ in _stream_records(chunks):
+                    pending.append((heads, block))
+                    if len(pending) > 1:
+                        h, b = pending.pop(0)
+                        yield idx, off, None, h, b
+                        idx += 1
+                # the member length is known once the member is drained
+                for h, b in pending:
+                    yield idx, off, size[0], h, b
                     idx += 1
         else:
-            data = f.read()
-            for heads, _, block, start, stop in _parse_records(data):
+            for heads, block, start, stop in _stream_records(_file_chunks(f)):
                 yield idx, start, stop - start, heads, block
                 idx += 1
 

@@ -129,3 +129,24 @@ def test_write_exports_and_dir_export(spark):
     pdfs = P.apply(R.responses(recs), [P.pdf_response])
     write_dir_export(pdfs, root2, content="body", size="size", prefix="pdf-", extension=".pdf")
     assert os.listdir(root2) == ["pdf-t-0.pdf"]
+
+
+def test_plain_and_single_member_files(spark):
+    path = scratch_path(spark, "t-warc7")
+    os.makedirs(path)
+    recs = b"".join(
+        b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: http://p/%d\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n"
+        % (i, len(body), body) for i, body in enumerate([b"one", b"", b"three" * 1000]))
+    with open(os.path.join(path, "plain.warc"), "wb") as fh:
+        fh.write(recs)
+    with open(os.path.join(path, "whole.warc.gz"), "wb") as fh:
+        fh.write(gzip.compress(recs))
+    rows = warc.read_warc(spark, path).orderBy("file_name", "record_idx").collect()
+    plain = [r for r in rows if r.file_name == "plain.warc"]
+    whole = [r for r in rows if r.file_name == "whole.warc.gz"]
+    assert [bytes(r.payload) for r in plain] == [b"one", b"", b"three" * 1000]
+    assert [bytes(r.payload) for r in whole] == [b"one", b"", b"three" * 1000]
+    # plain files: exact byte offsets of each record
+    assert recs[plain[1].record_offset:].startswith(b"WARC/1.0")
+    # one member: the records share its offset; its length is known at its end
+    assert {r.record_offset for r in whole} == {0} and whole[-1].record_length is not None
