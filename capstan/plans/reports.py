@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capstan.functions.links import LINK_PATTERN, outlink_status, weblinks
+from capstan.functions.links import LINK_PATTERN, weblinks
 from capstan.functions.report import legacy_extra, page_dim, parse_pdfcpu, with_info
 from capstan.plans.inputs import report_text
 from capstan.plans.registry import query

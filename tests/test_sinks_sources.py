@@ -1,7 +1,6 @@
 """Sinks and small sources: content-addressed folder, spool scan and listing,
 URL map append, JSON listing, blocklist, XML slot."""
 
-import json
 import os
 
 from pyspark.sql import functions as F
