@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from capstan.functions.hashing import file_info
+from capstan.functions.mime import detect_mimetype
 from capstan.functions.links import weblinks
 from capstan.functions.report import legacy_extra
 from capstan.operators.joins import flag_membership
@@ -31,10 +31,17 @@ PDF = "application/pdf"
 
 
 def with_fileinfo(blobs: DataFrame, content: str = "content") -> DataFrame:
-    """Add ``fileinfo`` (F1) and ``sha1hex``."""
-    return blobs.withColumn("fileinfo", file_info(F.col(content))).withColumn(
-        "sha1hex", F.col("fileinfo.sha1hex")
-    )
+    """Add ``sha1hex``, ``mimetype`` and the ``fileinfo`` struct (F1).
+
+    SHA-1 and type are columns of their own and the struct is built from
+    them, so a plan that never outputs ``fileinfo`` does not compute MD5 and
+    SHA-256 (column pruning removes them)."""
+    c = F.col(content)
+    d = blobs.withColumn("sha1hex", F.sha1(c)).withColumn("mimetype", detect_mimetype(c))
+    return d.withColumn("fileinfo", F.struct(
+        F.octet_length(c).cast("bigint").alias("size"), F.md5(c).alias("md5hex"),
+        F.col("sha1hex"), F.sha2(c, 256).alias("sha256hex"), F.col("mimetype"),
+    ))
 
 
 def gate(blobs: DataFrame, blocklist: DataFrame | None) -> DataFrame:
@@ -45,7 +52,7 @@ def gate(blobs: DataFrame, blocklist: DataFrame | None) -> DataFrame:
     else:
         df = flag_membership(df, blocklist.select(F.col(blocklist.columns[0]).alias("sha1hex")),
                              "sha1hex", "blocked")
-    return df.withColumn("is_pdf", F.col("fileinfo.mimetype") == F.lit(PDF))
+    return df.withColumn("is_pdf", F.col("mimetype") == F.lit(PDF))
 
 
 def status_of(df: DataFrame) -> Column:
@@ -65,7 +72,7 @@ def status_of(df: DataFrame) -> Column:
 def error_of() -> Column:
     return (
         F.when(F.col("read_err").isNotNull(), F.col("read_err"))
-        .when(~F.col("is_pdf"), F.concat(F.lit("mimetype is "), F.col("fileinfo.mimetype")))
+        .when(~F.col("is_pdf"), F.concat(F.lit("mimetype is "), F.col("mimetype")))
         .when(F.col("blocked"), F.lit("PDF known to cause processing issues"))
         .when(F.col("text_err").isNotNull(), F.concat(F.lit("text extraction failed: "), F.col("text_err")))
         .when(F.octet_length(F.coalesce(F.col("text"), F.lit(""))) == 0, F.lit("zero length text"))
@@ -111,7 +118,7 @@ def extract(outcomes: DataFrame) -> DataFrame:
         .withColumn("metadata", F.when(ok, F.col("metadata")))
         .withColumn("pdfextra", F.when(ok, extra))
         .withColumn("weblinks", F.when(ok, weblinks(F.col("text"))))
-        .drop("thumbnail", "read_err", "text_err", "thumb_err", "meta_err", "is_pdf", "blocked")
+        .drop("thumbnail", "read_err", "text_err", "thumb_err", "meta_err", "is_pdf", "blocked", "mimetype")
     )
 
 
