@@ -68,3 +68,18 @@ def test_intake_arrivals_two_runs(spark):
     assert got["5"] == "skip" and got["6"] == "insert" and len(got) == 6
     files = sorted(f for _, _, fs in os.walk(spool) for f in fs)
     assert len(files) == 3  # alpha, beta, gamma stored once each
+
+
+def test_cli_fetch(spark, capsys):
+    import json
+
+    path = scratch_path(spark, "t-cli-warc")
+    resp = b"HTTP/1.1 200 OK\r\nContent-Type: application/pdf\r\nContent-Length: 3\r\n\r\nPDF"
+    rows = [("w", 0, "response", None, None, "http://a/x.pdf", "application/http; msgtype=response", bytearray(resp))]
+    df = spark.createDataFrame(rows, "warc_file string, record_idx long, warc_type string, record_id string, "
+                                     "record_date string, target_uri string, content_type string, payload binary")
+    warc.write_warc(df, path)
+    out = scratch_path(spark, "t-cli-out")
+    jobs.main(["fetch", "--warc", path, "--out", out, "--sink", "log", "--sink", "hashdir"])
+    printed = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert printed == {"log": 1, "hashdir": 1}
