@@ -49,9 +49,9 @@ def _spread(df: DataFrame, tasks_per_slot: int) -> DataFrame:
 
 
 def _extract(blobs: DataFrame, extractor: Callable[[bytes], dict], blocklist: DataFrame | None,
-             timeout_s: float, tasks_per_slot: int = 4) -> DataFrame:
+             timeout_s: float, tasks_per_slot: int = 4, isolation: str = "thread") -> DataFrame:
     gated = _spread(derive.gate(blobs, blocklist), tasks_per_slot)
-    out = derive.run_extractor(gated, extractor, timeout_s=timeout_s)
+    out = derive.run_extractor(gated, extractor, timeout_s=timeout_s, isolation=isolation)
     out = with_info(out, F.col("meta_report"), "metadata").drop("meta_report")
     return derive.extract(out)
 
@@ -67,8 +67,9 @@ def store_artifacts(result: DataFrame, root: str) -> DataFrame:
     return rows.drop("content")
 
 
-def _process_batch(blobs: DataFrame, out: str, extractor, blocklist, timeout_s: float, tag: str) -> DataFrame:
-    result = _extract(blobs, extractor, blocklist, timeout_s).persist()
+def _process_batch(blobs: DataFrame, out: str, extractor, blocklist, timeout_s: float, tag: str,
+                   isolation: str = "thread") -> DataFrame:
+    result = _extract(blobs, extractor, blocklist, timeout_s, isolation=isolation).persist()
     try:
         store_artifacts(result, os.path.join(out, "artifacts"))
         to_result_json(result, key="path").select("json").write.mode("overwrite").text(
@@ -82,20 +83,21 @@ def _process_batch(blobs: DataFrame, out: str, extractor, blocklist, timeout_s:
 
 def process_spool(spark: SparkSession, spool_dir: str, out: str, extractor: Callable[[bytes], dict],
                   blocklist_path: str | None = None, timeout_s: float = 300.0, stream: bool = False,
-                  max_files: int = 1000, remove_processed: bool = False) -> DataFrame:
+                  max_files: int = 1000, remove_processed: bool = False,
+                  isolation: str = "thread") -> DataFrame:
     """The ``run`` flow.  Returns run statistics (A1) over everything written
     to ``out/status``."""
     blocklist = read_blocklist(spark, blocklist_path) if blocklist_path else None
     if not stream:
         blobs = read_spool(spark, spool_dir).select("path", "content")
-        _process_batch(blobs, out, extractor, blocklist, timeout_s, "batch=0")
+        _process_batch(blobs, out, extractor, blocklist, timeout_s, "batch=0", isolation)
     else:
         s = drain.spool_stream(spark, spool_dir, max_files=max_files,
                                clean_source="delete" if remove_processed else "off")
 
         def each(batch: DataFrame, batch_id: int) -> None:
             _process_batch(batch.select("path", "content"), out, extractor, blocklist, timeout_s,
-                           f"batch={batch_id}")
+                           f"batch={batch_id}", isolation)
 
         q = (s.writeStream.foreachBatch(each).option("checkpointLocation", os.path.join(out, "_checkpoint"))
              .trigger(availableNow=True).start())
@@ -185,6 +187,7 @@ def main(argv: list[str] | None = None) -> None:
     r.add_argument("--stream", action="store_true")
     r.add_argument("--max-files", type=int, default=1000)
     r.add_argument("--remove", action="store_true")
+    r.add_argument("--isolate", action="store_true", help="one process per document, killed at the time limit")
     f = sub.add_parser("fetch", help="extract captures from archive files")
     f.add_argument("--warc", required=True)
     f.add_argument("--out", required=True)
@@ -203,7 +206,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = get_spark()
     if a.job == "run":
         res = process_spool(spark, a.spool, a.out, _load(a.extractor), a.blocklist, a.timeout, a.stream,
-                            a.max_files, a.remove)
+                            a.max_files, a.remove, "process" if a.isolate else "thread")
         print(json.dumps(res.first().asDict()))
     elif a.job == "intake":
         acts = intake_arrivals(spark, a.arrivals, a.spool, a.tables, a.max_size, remove_arrived=a.remove)

@@ -147,8 +147,51 @@ HOOK_SCHEMA = T.StructType(
 )
 
 
+class ExtractorError(Exception):
+    """An exception raised by the extractor in a child process."""
+
+
+def _call_in_process(fn: Callable[[bytes], dict], blob: bytes, timeout_s: float | None) -> dict:
+    """Run ``fn(blob)`` in a forked child; terminate it when the time limit
+    passes (a hung external program does not outlive its document)."""
+    import multiprocessing as mp
+
+    ctx = mp.get_context("fork")
+    recv, send = ctx.Pipe(duplex=False)
+
+    def child():
+        try:
+            send.send(("ok", fn(blob)))
+        except BaseException as exc:  # reported to the parent as a value
+            send.send(("err", f"{type(exc).__name__}: {exc}"))
+        finally:
+            send.close()
+
+    proc = ctx.Process(target=child, daemon=True)
+    proc.start()
+    send.close()
+    try:
+        if not recv.poll(timeout_s):
+            raise TimeoutError
+        kind, value = recv.recv()
+    except (TimeoutError, EOFError):
+        proc.terminate()
+        proc.join(5)
+        if proc.is_alive():
+            proc.kill()
+        proc.join()
+        raise TimeoutError from None
+    finally:
+        recv.close()
+    proc.join()
+    if kind == "err":
+        raise ExtractorError(value)
+    return value
+
+
 def run_extractor(gated: DataFrame, fn: Callable[[bytes], dict],
-                  timeout_s: float | None = 300.0, content: str = "content") -> DataFrame:
+                  timeout_s: float | None = 300.0, content: str = "content",
+                  isolation: str = "thread") -> DataFrame:
     """Apply ``fn(bytes) -> dict`` (keys of ``HOOK_SCHEMA``) to rows that
     passed the cheap gates; other rows get null outcomes.
 
@@ -157,7 +200,9 @@ def run_extractor(gated: DataFrame, fn: Callable[[bytes], dict],
     through ``mapInPandas``), the function is called only for PDF rows that
     are not blocklisted, and the content is dropped from the output.  A
     per-document time limit (D6) turns an overrun into ``text_err``; any
-    exception becomes an error value (D7).
+    exception becomes an error value (D7).  ``isolation="process"`` runs
+    each document in a forked child that is terminated at the time limit;
+    ``"thread"`` (default, cheaper) abandons an overrunning call.
     """
     keep = [f for f in gated.schema.fields if f.name != content]
     out_schema = T.StructType([*keep, *HOOK_SCHEMA.fields])
@@ -172,14 +217,19 @@ def run_extractor(gated: DataFrame, fn: Callable[[bytes], dict],
             for blob, is_pdf, blocked in zip(pdf[content], pdf["is_pdf"], pdf["blocked"]):
                 res = dict.fromkeys(names)
                 if is_pdf and not blocked:
+                    data = bytes(blob) if blob is not None else b""
                     try:
-                        fut = pool.submit(fn, bytes(blob) if blob is not None else b"")
-                        got = fut.result(timeout=timeout_s) or {}
+                        if isolation == "process":
+                            got = _call_in_process(fn, data, timeout_s) or {}
+                        else:
+                            got = pool.submit(fn, data).result(timeout=timeout_s) or {}
                         res.update({k: v for k, v in got.items() if k in res})
-                    except cf.TimeoutError:
+                    except (cf.TimeoutError, TimeoutError):
                         res["text_err"] = "timeout"
                         pool.shutdown(wait=False, cancel_futures=True)
                         pool = cf.ThreadPoolExecutor(max_workers=1)
+                    except ExtractorError as exc:  # already "Type: message"
+                        res["text_err"] = str(exc)
                     except Exception as exc:  # a failure is a row (D7)
                         res["text_err"] = f"{type(exc).__name__}: {exc}"
                 for n in names:

@@ -58,3 +58,43 @@ def test_run_stats_empty_and_full(spark):
     full = spark.createDataFrame([("success",), ("not-pdf",)], "status string")
     r = stats.run_stats(full).first()
     assert (r.processed, r.ok, r.success_ratio) == (2, 1, 0.5)
+
+
+def test_extractor_process_isolation_kills_overruns(spark):
+    import os
+
+    from capstan.session import scratch_path
+
+    marks = scratch_path(spark, "t-pids")
+    os.makedirs(marks)
+
+    def extractor(blob):
+        import os as _os
+        import time as _time
+
+        if b"hang" in blob:
+            with open(_os.path.join(marks, str(_os.getpid())), "w"):
+                pass
+            _time.sleep(60)
+        if b"boom" in blob:
+            raise ValueError("bad input")
+        return {"text": "ok"}
+
+    rows = [(1, bytearray(b"%PDF-1.4\nhang")), (2, bytearray(b"%PDF-1.4\nfine")), (3, bytearray(b"%PDF-1.4\nboom"))]
+    blobs = spark.createDataFrame(rows, "doc_id long, content binary")
+    t0 = time.time()
+    out = derive.run_extractor(derive.gate(blobs, None), extractor, timeout_s=1.0, isolation="process")
+    res = {r.doc_id: r for r in derive.extract(out).collect()}
+    assert time.time() - t0 < 45
+    assert res[1].status == "parse-error" and "timeout" in res[1].err
+    assert res[2].status == "success"
+    assert res[3].status == "parse-error" and res[3].err.endswith("ValueError: bad input")
+    pids = [int(p) for p in os.listdir(marks)]
+    assert pids
+    for pid in pids:  # the hung child was terminated
+        try:
+            os.kill(pid, 0)
+            alive = open(f"/proc/{pid}/status").read().find("zombie") < 0
+        except (ProcessLookupError, FileNotFoundError):
+            alive = False
+        assert not alive
