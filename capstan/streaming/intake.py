@@ -58,6 +58,7 @@ def spool_intake_writer(spool_dir: str, tables: str, max_size: int = 0):
     the batch is retried.
     """
     from capstan.operators import intake as J
+    from capstan.operators.joins import bounded_broadcast
     from capstan.sinks.hashdir import write_hashdir
     from capstan.sources import fsio
 
@@ -68,6 +69,10 @@ def spool_intake_writer(spool_dir: str, tables: str, max_size: int = 0):
             spool_path = f"{tables}/spool"
             if fsio.exists(spool_path):
                 prior = spark.read.parquet(spool_path).where(F.col("batch") != batch_id)
+                # only the hashes of this batch matter: a semi join with the
+                # batch's keys (bounded by maxFilesPerTrigger, size checked)
+                keys = bounded_broadcast(b.select("sha1hex").distinct())
+                prior = prior.join(keys, "sha1hex", "left_semi")
                 stored = prior.groupBy("sha1hex").agg(F.max_by("size", "batch").alias("stored_size"))
             else:
                 stored = spark.createDataFrame([], "sha1hex string, stored_size bigint")
