@@ -144,7 +144,8 @@ def extract_captures(spark: SparkSession, warc_path: str, out: str, sinks: tuple
 
 
 def intake_arrivals(spark: SparkSession, arrivals_dir: str, spool_dir: str, tables: str,
-                    max_size: int = 0, max_files: int = 1000, remove_arrived: bool = False) -> DataFrame:
+                    max_size: int = 0, max_files: int = 1000, remove_arrived: bool = False,
+                    has_space=None) -> DataFrame:
     """The ``serve`` flow as a stream over an arrivals folder: validate,
     de-duplicate against the spool, store accepted blobs content-addressed,
     record spool rows, URL map and rejects.  Returns the actions so far."""
@@ -154,7 +155,7 @@ def intake_arrivals(spark: SparkSession, arrivals_dir: str, spool_dir: str, tabl
                            clean_source="delete" if remove_arrived else "off")
     s = s.select("path", "length", "content", F.sha1("content").alias("sha1hex"),
                  F.octet_length("content").cast("bigint").alias("size"))
-    q = (s.writeStream.foreachBatch(spool_intake_writer(spool_dir, tables, max_size))
+    q = (s.writeStream.foreachBatch(spool_intake_writer(spool_dir, tables, max_size, has_space))
          .option("checkpointLocation", os.path.join(tables, "_checkpoint")).trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(os.path.join(tables, "actions"))
@@ -199,6 +200,8 @@ def main(argv: list[str] | None = None) -> None:
     i.add_argument("--tables", required=True)
     i.add_argument("--max-size", type=int, default=0)
     i.add_argument("--remove", action="store_true")
+    i.add_argument("--min-free-percent", type=int, default=0,
+                   help="answer 429 while the spool's file system has less free space (local mounts)")
     b = sub.add_parser("backfill", help="plan fetches for index records without an artifact")
     b.add_argument("--cdx", required=True)
     b.add_argument("--url-map", required=True)
@@ -209,7 +212,11 @@ def main(argv: list[str] | None = None) -> None:
                             a.max_files, a.remove, "process" if a.isolate else "thread")
         print(json.dumps(res.first().asDict()))
     elif a.job == "intake":
-        acts = intake_arrivals(spark, a.arrivals, a.spool, a.tables, a.max_size, remove_arrived=a.remove)
+        from capstan.streaming.intake import free_space_probe
+
+        probe = free_space_probe(a.spool, a.min_free_percent) if a.min_free_percent > 0 else None
+        acts = intake_arrivals(spark, a.arrivals, a.spool, a.tables, a.max_size, remove_arrived=a.remove,
+                               has_space=probe)
         for row in acts.groupBy("action", "code").count().collect():  # a handful of rows
             print(json.dumps(row.asDict()))
     elif a.job == "fetch":

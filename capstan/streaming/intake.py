@@ -9,6 +9,21 @@ from pyspark.sql import functions as F
 
 from capstan.operators.intake import ACCEPTED, EMPTY, TOO_LARGE
 
+SLOW_DOWN = 429
+MIN_FREE_PERCENT = 10  # fixed value: default free-space floor
+
+
+def free_space_probe(path: str, min_percent: int = MIN_FREE_PERCENT):
+    """T5: a probe for a locally mounted spool: true while at least
+    ``min_percent`` of its file system is free."""
+    import shutil
+
+    def ok() -> bool:
+        u = shutil.disk_usage(path)
+        return u.free * 100 // u.total >= min_percent
+
+    return ok
+
 
 def codes(stream: DataFrame, max_size: int = 0) -> DataFrame:
     """Response code per arrival (stateless)."""
@@ -45,7 +60,7 @@ def running_counts(stream: DataFrame) -> DataFrame:
     return stream.groupBy("code").agg(F.count(F.lit(1)).alias("n"))
 
 
-def spool_intake_writer(spool_dir: str, tables: str, max_size: int = 0):
+def spool_intake_writer(spool_dir: str, tables: str, max_size: int = 0, has_space=None):
     """T4 with J1: the ``serve`` flow for one micro-batch of arrivals.
 
     ``batch`` rows carry path, length, content, sha1hex, size (and an
@@ -55,7 +70,10 @@ def spool_intake_writer(spool_dir: str, tables: str, max_size: int = 0):
     arrival of a hash (by path) writes.  Accepted content is written to
     ``spool_dir/{shard}/{sha1}`` (content-addressed, idempotent); the spool
     table, URL map and rejects get a ``batch=<id>`` folder each, replaced if
-    the batch is retried.
+    the batch is retried.  ``has_space`` (T5), when given, is called once
+    per micro-batch on the driver; if it returns false, every arrival of the
+    batch is answered 429 (``slow-down``), recorded with the rejects for a
+    later retry, and nothing is stored.
     """
     from capstan.operators import intake as J
     from capstan.operators.joins import bounded_broadcast
@@ -64,6 +82,13 @@ def spool_intake_writer(spool_dir: str, tables: str, max_size: int = 0):
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        if has_space is not None and not has_space():
+            slow = batch.select("path", "sha1hex", F.lit("slow-down").alias("action"),
+                                F.lit(SLOW_DOWN).alias("code"))
+            slow.write.mode("overwrite").parquet(f"{tables}/actions/batch={batch_id}")
+            slow.select("path", "code", "action").write.mode("overwrite").parquet(
+                f"{tables}/rejects/batch={batch_id}")
+            return
         b = batch.withColumn("declared", F.col("length")).persist()
         try:
             spool_path = f"{tables}/spool"

@@ -83,3 +83,16 @@ def test_cli_fetch(spark, capsys):
     jobs.main(["fetch", "--warc", path, "--out", out, "--sink", "log", "--sink", "hashdir"])
     printed = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert printed == {"log": 1, "hashdir": 1}
+
+
+def test_intake_slow_down_when_storage_short(spark):
+    from capstan.streaming.intake import free_space_probe
+
+    arrivals = scratch_path(spark, "t-arr2")
+    spool, tables = scratch_path(spark, "t-spool3"), scratch_path(spark, "t-tables2")
+    write_blobs(spark.createDataFrame([("a/1", bytearray(b"one")), ("a/2", bytearray(b"two"))],
+                                      "path string, content binary"), arrivals)
+    acts = jobs.intake_arrivals(spark, arrivals, spool, tables, has_space=lambda: False)
+    assert {(r.action, r.code) for r in acts.collect()} == {("slow-down", 429)}
+    assert not os.path.exists(spool) or not any(fs for _, _, fs in os.walk(spool))
+    assert free_space_probe(arrivals, 0)() is True
