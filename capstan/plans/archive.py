@@ -455,3 +455,12 @@ def q_item_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     x = p.select("page_id", inp.alias("input"))
     return x.select("page_id", "input", item_id(F.col("input")).alias("item_id"))
+
+
+@query("collection_counts", sql="""
+SELECT 'test-collection' AS collection, count(DISTINCT page_id // 10) AS items FROM pages
+""")
+def q_collection_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from capstan.sources import items
+
+    return items.items_per_collection(items.read_items(spark, item_files_path(spark, sf_dir)))

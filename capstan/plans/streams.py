@@ -108,3 +108,24 @@ def q_stream_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(os.path.join(out, "codes")).groupBy("code").agg(F.sum("n").cast("bigint").alias("n"))
+
+
+@query("stream_running_counts", sql=f"""
+SELECT CASE WHEN strlen(text) > {MAX_SIZE} THEN 413 WHEN strlen(text) = 0 THEN 400 ELSE 202 END AS code,
+       count(*) AS n
+FROM documents GROUP BY 1
+""")
+def q_stream_running_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running count per code in complete mode; each micro-batch
+    replaces the table with the current totals (small: one row per code)."""
+    spool = _land(spark, sf_dir, content_addressed=False)
+    out, ckpt = scratch_path(spark, "counts-out"), scratch_path(spark, "counts-ckpt")
+    s = intake.codes(drain.fingerprint(drain.spool_stream(spark, spool, max_files=BATCH_FILES)), MAX_SIZE)
+
+    def replace(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(out)
+
+    q = (intake.running_counts(s).writeStream.outputMode("complete").foreachBatch(replace)
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out).select("code", F.col("n").cast("bigint").alias("n"))
