@@ -93,8 +93,11 @@ def capture_files(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def records(spark: SparkSession, sf_dir: str, payload: bool = True) -> DataFrame:
-    return warc.read_warc(spark, capture_files(spark, sf_dir), payload=payload)
+def records(spark: SparkSession, sf_dir: str, payload: bool = True, types: str | None = None) -> DataFrame:
+    """Capture records; ``types`` keeps only those WARC types at the source
+    (their payloads never leave the Python reader otherwise)."""
+    opts = {"warcTypes": types} if types else {}
+    return warc.read_warc(spark, capture_files(spark, sf_dir), payload=payload, **opts)
 
 
 CAPTURES_SQL = """
@@ -178,7 +181,7 @@ def q_sink_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT url AS uri FROM msg WHERE is_response AND status = 200 AND contains(lower(ct), 'pdf')
 """)
 def q_warc_loose_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = records(spark, sf_dir)
+    r = records(spark, sf_dir, types="response")  # P8 needs response records only
     parsed = r.withColumn("_h", http.split_http(F.col("payload"))).select(
         "warc_type", F.col("target_uri").alias("uri"), F.col("_h.status_line").alias("status_line"),
         http.header(F.col("_h.headers"), "content-type").alias("http_content_type"),
@@ -215,7 +218,8 @@ x AS (SELECT *, row_number() OVER (PARTITION BY warc_file, wanted ORDER BY page_
 SELECT warc_file, url AS uri, CASE WHEN k = 1 THEN wanted ELSE printf('pdf_%04d.pdf', n) END AS filename FROM x
 """)
 def q_export_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.export_names(records(spark, sf_dir)).select("warc_file", "uri", "filename")
+    # P9 needs response records only
+    return R.export_names(records(spark, sf_dir, types="response")).select("warc_file", "uri", "filename")
 
 
 # ------------------------------------------------------------------- CDX
