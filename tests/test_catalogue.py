@@ -9,6 +9,7 @@ import __spark_entry__ as E
 from capstan.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
 
 
 def _norm(v):
@@ -46,6 +47,10 @@ def test_query_matches_oracle(spark, con, name):
     a = sorted((tuple(_norm(r[i]) for i in o) for r in rows), key=repr)
     b = sorted((tuple(_norm(r[i]) for i in d) for r in drows), key=repr)
     assert a == b
+    # scale rules: no cross products, no row-at-a-time Python in any plan
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for bad in FORBIDDEN:
+        assert bad not in plan, f"{name}: {bad}"
 
 
 def test_entry_smoke(spark):
