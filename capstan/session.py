@@ -45,28 +45,31 @@ def get_spark(master: str | None = None, app: str = "capstan", **conf) -> SparkS
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; register a private one only if unset."""
+    """The shared checkpoint folder, as ``spark.checkpoint.dir`` names it.
+
+    On a local master without the setting (tests) a fresh private folder is
+    made and registered; on any other master the setting is required, as a
+    machine-local folder would not be seen by the other executors.
+    """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current.removeprefix("file:")
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return conf_dir
-    # Unset (local tests): a fresh private folder.
-    local = tempfile.mkdtemp(prefix="capstan-ckpt-")
-    sc.setCheckpointDir(local)
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not named:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        named = tempfile.mkdtemp(prefix="capstan-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", named)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(named)
+    return named
 
 
 def scratch_path(spark: SparkSession, kind: str) -> str:
-    """A new, unique folder name below the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    # The checkpoint dir registered with the SparkContext gets a random
-    # sub-folder; write our tables next to it, never inside a local tmp.
-    return os.path.join(base, "capstan", f"{kind}-{uuid.uuid4().hex[:12]}")
+    """A new, unique folder name below the shared checkpoint folder (a plain
+    path, or a URI of whatever file system the setting names)."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    if base.startswith("file:") and not base.startswith("file://"):
+        base = base.removeprefix("file:")
+    return f"{base}/capstan/{kind}-{uuid.uuid4().hex[:12]}"
 
 
 _SHIPPED: set[str] = set()
@@ -74,32 +77,24 @@ _SHIPPED: set[str] = set()
 
 def ship_package(spark: SparkSession) -> None:
     """Make ``capstan`` importable in Python workers, whatever the driver's
-    working directory: zip the package into the shared checkpoint folder and
-    add it with ``addPyFile`` (once per application)."""
+    working directory: a zip of the package, built in the driver's own
+    temporary folder, goes out with ``addPyFile`` once per application (Spark
+    serves it to every executor; no shared file system is involved)."""
     sc = spark.sparkContext
     app = sc.applicationId
     if app in _SHIPPED:
         return
-    import hashlib
     import zipfile
 
     pkg = os.path.dirname(os.path.abspath(__file__))
-    files = []
-    for root, dirs, names in os.walk(pkg):
-        dirs[:] = [d for d in dirs if d != "__pycache__"]
-        files.extend(os.path.join(root, n) for n in names if n.endswith(".py"))
-    digest = hashlib.sha1()
-    for f in sorted(files):
-        with open(f, "rb") as fh:
-            digest.update(f.encode() + fh.read())
-    base = ensure_checkpoint_dir(spark)
-    target = os.path.join(base, f"capstan-{digest.hexdigest()[:12]}.zip")
-    if not os.path.exists(target):
-        tmp = target + f".{uuid.uuid4().hex[:6]}.tmp"
-        with zipfile.ZipFile(tmp, "w") as z:
-            for f in sorted(files):
-                z.write(f, os.path.relpath(f, os.path.dirname(pkg)))
-        os.replace(tmp, target)
+    target = os.path.join(tempfile.mkdtemp(prefix="capstan-ship-"), f"capstan-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for root, dirs, names in os.walk(pkg):
+            dirs[:] = sorted(d for d in dirs if d != "__pycache__")
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    f = os.path.join(root, n)
+                    z.write(f, os.path.relpath(f, os.path.dirname(pkg)))
     sc.addPyFile(target)
     _SHIPPED.add(app)
 
