@@ -1,6 +1,6 @@
 """Import every operator so the registry is complete."""
 
-from capstan.llm import exact_dedup, line_dedup, simhash, substring_dedup, warc  # noqa: F401
+from capstan.llm import exact_dedup, html_text, language_id, line_dedup, quality, simhash, substring_dedup, warc  # noqa: F401
 from capstan.llm.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
