@@ -10,6 +10,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from capstan.session import scratch_path
 
@@ -44,10 +45,21 @@ def salt(*cols: Column | str, n: int) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(n)).cast("int")
 
 
-def batches(table_batches, columns: list[str]):
-    """Arrow record batches as lists of numpy or Python columns."""
-    for b in table_batches:
-        yield b, [b.column(c) for c in columns]
+def col(name: str) -> Column:
+    """A column by its exact name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def packed(df: DataFrame, without: tuple[str, ...] = ()) -> Column:
+    """All columns of ``df`` (but ``without``) as one struct ``row``: whatever
+    their names, they clash with no column of an operator."""
+    names = [c for c in df.columns if c not in without]
+    return (F.struct(*map(col, names)) if names else F.struct(F.lit(None).cast("int").alias("none"))).alias("row")
+
+
+def schema_of(df: DataFrame, ddl: str, row: str = "row") -> StructType:
+    """Column ``row`` as ``df`` has it, then the columns of ``ddl``."""
+    return StructType([df.schema[row], *StructType.fromDDL(ddl).fields])
 
 
 def byte_rows(col: pa.Array) -> list[bytes]:
@@ -55,10 +67,6 @@ def byte_rows(col: pa.Array) -> list[bytes]:
     return [v if v is not None else b"" for v in col.cast(pa.binary()).to_pylist()]
 
 
-def column(values, dtype: pa.DataType) -> pa.Array:
-    return pa.array(values, dtype)
-
-
 def lists(values, offsets, dtype: pa.DataType) -> pa.ListArray:
     """A list column from flat values and n + 1 offsets."""
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, dtype))

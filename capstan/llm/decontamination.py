@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from capstan.llm.common import col, packed, schema_of
 from capstan.llm.registry import query
 from capstan.tables import table
 
@@ -220,16 +221,15 @@ def mark_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "item_id", i
     row, and an empty benchmark no hits.
     """
     spark = docs.sparkSession
-    rest = [F.col(c) for c in docs.columns if c != text_col]
-    out = docs.select(F.struct(*rest).alias("row"), F.col(text_col).cast("string").alias("text"), F.lit(None).cast(HIT).alias("hits"))
-    row_type = out.schema["row"].dataType.simpleString()
+    out = docs.select(packed(docs, (text_col,)), col(text_col).cast("string").alias("text"), F.lit(None).cast(HIT).alias("hits"))
+    schema = schema_of(out, f"text string, hits {HIT}")
     items = benchmark.select(F.col(id_col).cast("long").alias("id"), F.col(item_text).cast("string").alias("text")).where("text is not null")
     total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-total // block_chars))
     for k in range(blocks):
         own = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k).distinct().collect()  # about block_chars characters
         shared = spark.sparkContext.broadcast(Index([(r["id"], r["text"]) for r in own], q, error, min_chars))
-        out = out.mapInArrow(_search(shared, CHUNK_CHARS), f"row {row_type}, text string, hits {HIT}")
+        out = out.mapInArrow(_search(shared, CHUNK_CHARS), schema)
     return out
 
 

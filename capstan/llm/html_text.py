@@ -18,8 +18,8 @@ from html.parser import HTMLParser
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from capstan.llm.common import col, packed, schema_of
 from capstan.llm.registry import query
 from capstan.tables import table
 
@@ -198,10 +198,8 @@ def extract_text(pages: DataFrame, html_col: str = "html") -> DataFrame:
     ``n_chars`` (its code points).  A null or empty page has the text ''; rows
     are independent, so repeats, ties and column names do not matter, and an
     empty table gives no row."""
-    rest = [F.col(c) for c in pages.columns if c != html_col]
-    base = pages.select(F.struct(*rest).alias("row"), F.col(html_col).cast("string").alias("html"))
-    row_type = base.schema["row"].dataType.simpleString()
-    return base.mapInArrow(_extract, f"row {row_type}, text string, n_chars long")
+    base = pages.select(packed(pages, (html_col,)), col(html_col).cast("string").alias("html"))
+    return base.mapInArrow(_extract, schema_of(base, "text string, n_chars long"))
 
 
 @query("op3_html_text")

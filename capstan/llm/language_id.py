@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from capstan.llm.common import col, packed, schema_of
 from capstan.llm.quality import held_out
 from capstan.llm.registry import query
 from capstan.tables import table
@@ -163,10 +164,9 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", keep: list[s
     default all), ``lang_pred`` and ``score``, from the whole text alone.  A
     text that is null or has no letter is 'und'; equal texts are predicted
     alike; an empty table gives no row, and without a model all is 'und'."""
-    base = docs.select(F.struct(*(F.col(c) for c in keep or docs.columns)).alias("row"), F.col(text_col).cast("string").alias("text"))
-    row_type = base.schema["row"].dataType.simpleString()
+    base = docs.select(packed(docs.select(*map(col, keep))) if keep else packed(docs), col(text_col).cast("string").alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return base.mapInArrow(_predict(shared), f"row {row_type}, lang_pred string, score double")
+    return base.mapInArrow(_predict(shared), schema_of(base, "lang_pred string, score double"))
 
 
 @query("op9_language")

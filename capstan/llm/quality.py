@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from capstan.llm.common import byte_rows
+from capstan.llm.common import byte_rows, col, packed, schema_of
 from capstan.llm.registry import query
 from capstan.tables import table
 
@@ -135,10 +135,9 @@ def score_quality(docs: DataFrame, model: Model, text_col: str = "text", keep: l
     default all) and ``score``, 0 to 1.  Only the text is scored, whole; a null
     or empty text has no neighbour and gets the share of label 1 among the
     labelled documents.  Equal texts score alike; an empty table gives no row."""
-    base = docs.select(F.struct(*(F.col(c) for c in keep or docs.columns)).alias("row"), F.col(text_col).cast("binary").alias("text"))
-    row_type = base.schema["row"].dataType.simpleString()
+    base = docs.select(packed(docs.select(*map(col, keep))) if keep else packed(docs), col(text_col).cast("binary").alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return base.mapInArrow(_scores(shared), f"row {row_type}, score double")
+    return base.mapInArrow(_scores(shared), schema_of(base, "score double"))
 
 
 @query("op8_quality")
