@@ -1,9 +1,9 @@
 """Split an HTTP response message held in a binary column.
 
-The header block is searched for in the first ``HEADER_SCAN`` bytes only, so
-a large body is never decoded to a string; the body is cut from the binary
-column by byte offset.  ISO-8859-1 decoding maps one byte to one character,
-so character positions in the decoded head are byte positions.
+The header block is found in the whole payload, whatever its size: the binary
+value is viewed as a string (no copy) and cut at the first blank line, so the
+search ends where the header ends and the body is never decoded.  The block
+itself is decoded as ISO-8859-1 (one byte, one character).
 """
 
 from __future__ import annotations
@@ -11,16 +11,24 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-HEADER_SCAN = 65536
 WS = " \t\r\n\f\u000b"
+MAX_INT = 2**31 - 1
 
 
 def strip_ws(c: Column) -> Column:
     return F.btrim(c, F.lit(WS))
 
 
-def _head(payload: Column) -> Column:
-    return F.decode(F.substring(payload, 1, HEADER_SCAN), "ISO-8859-1")
+def _blank_line(payload: Column) -> tuple[Column, Column]:
+    """(bytes before the first blank line or -1, 1-based start of what follows).
+    A blank line ends with CRLF or LF alone, whichever comes first."""
+    text = payload.cast("string")
+    crlf = F.substring_index(text, "\n\r\n", 1)
+    lf = F.substring_index(crlf, "\n\n", 1)
+    n_crlf, n_lf, n = F.octet_length(crlf), F.octet_length(lf), F.octet_length(payload)
+    size = F.when(n_lf < n_crlf, n_lf).when(n_crlf < n, n_crlf).otherwise(F.lit(-1))
+    start = F.when(n_lf < n_crlf, n_lf + 3).when(n_crlf < n, n_crlf + 4).otherwise(F.lit(0))
+    return size, start
 
 
 def split_http(payload: Column) -> Column:
@@ -30,20 +38,16 @@ def split_http(payload: Column) -> Column:
     ``header_end`` is 0 when no blank line ends the header block (not a
     parsable response).  Header names are lower-cased; values trimmed.
     """
-    head = _head(payload)
-    crlf = F.instr(head, "\r\n\r\n")
-    lflf = F.instr(head, "\n\n")
-    header_end = F.when(crlf > 0, crlf).otherwise(lflf)
-    body_start = F.when(crlf > 0, crlf + 4).when(lflf > 0, lflf + 2).otherwise(F.lit(0))
-    block = F.when(header_end > 0, F.substring(head, F.lit(1), header_end - 1))
-    lines = F.split(F.regexp_replace(block, "\r\n", "\n"), "\n")
+    size, body_start = _blank_line(payload)
+    block = F.when(size >= 0, F.decode(F.substring(payload, F.lit(1), size), "ISO-8859-1"))
+    lines = F.transform(F.split(block, "\n", -1), lambda x: F.rtrim(x, F.lit("\r")))
     status_line = F.element_at(lines, 1)
-    field_lines = F.filter(F.slice(lines, 2, HEADER_SCAN), lambda x: F.instr(x, ":") > 0)
+    field_lines = F.filter(F.slice(lines, F.lit(2), F.size(lines)), lambda x: F.instr(x, ":") > 0)
     headers = F.transform(
         field_lines,
         lambda x: F.struct(
             F.lower(strip_ws(F.substring_index(x, ":", 1))).alias("name"),
-            strip_ws(F.substring(x, F.instr(x, ":") + 1, HEADER_SCAN)).alias("value"),
+            strip_ws(F.substring(x, F.instr(x, ":") + 1, F.length(x))).alias("value"),
         ),
     )
     code = F.regexp_extract(status_line, r"^HTTP/\d+(?:\.\d+)? +(\d{3})", 1)
@@ -51,7 +55,7 @@ def split_http(payload: Column) -> Column:
         status_line.alias("status_line"),
         (F.nullif(code, F.lit(""))).try_cast("int").alias("status_code"),
         headers.alias("headers"),
-        header_end.alias("header_end"),
+        F.greatest(size + 1, F.lit(0)).alias("header_end"),
         body_start.alias("body_start"),
     )
 
@@ -70,8 +74,11 @@ def headers_map(headers: Column) -> Column:
 
 
 def is_response(parsed: Column) -> Column:
-    """A status line ``HTTP/x.y NNN`` and a terminated header block."""
-    return parsed["status_code"].isNotNull() & (parsed["header_end"] > 0)
+    """A status line ``HTTP/x.y NNN``, a terminated header block and, if
+    there is a Content-Length, a number in it."""
+    raw = header(parsed["headers"], "content-length")
+    sound = F.coalesce(raw.rlike(r"^[0-9]+$"), F.lit(True))
+    return parsed["status_code"].isNotNull() & (parsed["header_end"] > 0) & sound
 
 
 def declared_length(headers: Column) -> Column:
@@ -81,11 +88,13 @@ def declared_length(headers: Column) -> Column:
     return F.coalesce(F.when(ok, raw.try_cast("bigint")), F.lit(-1).cast("bigint"))
 
 
+def after_header(payload: Column, parsed: Column) -> Column:
+    """Everything after the header block; null if there is none."""
+    return F.when(parsed["body_start"] > 0, F.substring(payload, parsed["body_start"], F.octet_length(payload)))
+
+
 def body(payload: Column, parsed: Column) -> Column:
     """Body bytes: after the header block, cut to a declared length if any."""
-    rest = F.substring(payload, parsed["body_start"], 1 << 30)
+    rest = after_header(payload, parsed)
     n = declared_length(parsed["headers"])
-    cut = F.least(n, F.lit(2**31 - 1)).cast("int")  # a binary value is < 2 GiB
-    return F.when(parsed["body_start"] <= 0, F.lit(None).cast("binary")).when(
-        n >= 0, F.substring(rest, F.lit(1), cut)
-    ).otherwise(rest)
+    return F.when((n >= 0) & (n < F.octet_length(rest)), F.substring(rest, F.lit(1), n.cast("int"))).otherwise(rest)

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the link pattern.  Schemes http, https and ftp; balanced
-# parentheses inside a link are kept; trailing punctuation is not part of it.
-# The pattern means the same in Java regex and RE2.
+# Fixed value: the link pattern.  Any ``scheme://``, and the schemes that need
+# no ``//``; balanced parentheses inside a link are kept; trailing punctuation
+# is not part of it.  The pattern means the same in Java regex and RE2.
 LINK_PATTERN = (
-    r"(?i)\b(?:https?|ftp)://(?:[^\s<>\"'()]|\([^\s<>\"'()]*\))*"
+    r"(?i)\b(?:[a-z][a-z0-9.+-]*://|(?:bitcoin|cid|file|geo|magnet|mailto|mid|news|sms|tel|urn|xmpp):)"
+    r"(?:[^\s<>\"'()]|\([^\s<>\"'()]*\))*"
     r"(?:[^\s<>\"'().,;:!?\[\]{}]|\([^\s<>\"'()]*\))"
 )
 ZWSP = "\u200b"

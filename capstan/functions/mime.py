@@ -1,8 +1,9 @@
 """Content type from leading bytes (F12) and by file extension.
 
-A defined subset of signatures, checked on the first bytes only (the value is
-computed once per row as a short hex string, so the ladder stays cheap for
-large blobs).  Text detection checks UTF-8 validity of the whole value.
+A defined subset of signatures, checked on the first bytes as a short hex
+string.  Markup is looked for after any leading white space.  Text detection
+checks UTF-8 validity of the whole value; other bytes are text in a one-byte
+character set unless they hold control characters.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 # checked in this order.
 SIGNATURES = [
     ("255044462D", "application/pdf"),  # %PDF-
+    ("0A255044462D", "application/pdf"),  # after a newline
+    ("EFBBBF255044462D", "application/pdf"),  # after a byte order mark
     ("FFD8FF", "image/jpeg"),
     ("89504E470D0A1A0A", "image/png"),
     ("474946383761", "image/gif"),  # GIF87a
@@ -23,6 +26,9 @@ SIGNATURES = [
 ]
 TEXT_PLAIN = "text/plain"
 TEXT_UTF8 = "text/plain; charset=utf-8"
+TEXT_8859 = "text/plain; charset=iso-8859-1"
+TEXT_1252 = "text/plain; charset=windows-1252"
+CONTROL = r"[\x00-\x08\x0b\x0e-\x1a\x1c-\x1f]"  # bytes that no text has
 XML_UTF8 = "text/xml; charset=utf-8"
 HTML_UTF8 = "text/html; charset=utf-8"
 OCTET = "application/octet-stream"
@@ -39,7 +45,10 @@ EXT_TYPES = [
 
 def detect_mimetype(content: Column) -> Column:
     head_hex = F.hex(F.substring(content, 1, 16))
-    head_txt = F.lower(F.ltrim(F.make_valid_utf8(F.substring(content, 1, 64).cast("string"))))
+    # leading white space, of whatever length, comes before the markup
+    text = F.when(F.substring(head_hex, 1, 2).isin("09", "0A", "0C", "0D", "20"), F.ltrim(content.cast("string"), F.lit(" \t\n\f\r")))
+    lead = F.substring(F.coalesce(text.cast("binary"), content), 1, 16)
+    head_txt = F.lower(F.decode(lead, "ISO-8859-1"))
     expr = F.when(F.octet_length(content) == 0, F.lit(TEXT_PLAIN))
     for sig, name in SIGNATURES:
         expr = expr.when(F.startswith(head_hex, F.lit(sig)), F.lit(name))
@@ -50,7 +59,8 @@ def detect_mimetype(content: Column) -> Column:
             F.lit(HTML_UTF8),
         )
         .when(F.is_valid_utf8(content), F.lit(TEXT_UTF8))
-        .otherwise(F.lit(OCTET))
+        .when(F.decode(content, "ISO-8859-1").rlike(CONTROL), F.lit(OCTET))
+        .otherwise(F.when(F.decode(content, "ISO-8859-1").rlike("[\\x80-\\x9f]"), F.lit(TEXT_1252)).otherwise(F.lit(TEXT_8859)))
     )
     return expr
 

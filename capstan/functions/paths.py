@@ -111,13 +111,11 @@ def default_bucket(bucket, default: str = DEFAULT_BUCKET) -> Column:
 def mask_sensitive(value) -> Column:
     """``****`` for up to 4 characters, else first two + ``****`` + last two.
 
-    Lengths count bytes, as the reference slices byte strings.
+    Lengths and cuts count bytes; a cut character is replaced by U+FFFD.
     """
-    v = _c(value)
-    n = F.octet_length(v)
-    return F.when(n <= 4, F.lit(MASK)).otherwise(
-        F.concat(F.substring(v, 1, 2), F.lit(MASK), F.substring(v, -2, 2))
-    )
+    v = _c(value).cast("binary")
+    cut = F.concat(F.substring(v, 1, 2), F.lit(MASK).cast("binary"), F.substring(v, -2, 2))
+    return F.when(F.octet_length(v) <= 4, F.lit(MASK)).otherwise(F.make_valid_utf8(cut.cast("string")))
 
 
 def thumb_format(name) -> Column:

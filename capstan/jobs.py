@@ -20,40 +20,34 @@ import argparse
 import importlib
 import json
 import os
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capstan.functions.report import with_info
+from capstan.functions.report import parse_pdfcpu, with_info
 from capstan.operators import artifacts, derive, stats
+from capstan.operators.intake import EMPTY
 from capstan.operators import filters as P
 from capstan.operators import responses as R
 from capstan.sinks.blobdir import write_blobs
 from capstan.sinks.hashdir import write_dir_export, write_hashdir
 from capstan.sinks.results import to_result_json
-from capstan.sources import cdx, warc
-from capstan.sources.spool import read_blocklist, read_spool
+from capstan.sources import cdx, fsio, warc
+from capstan.sources.blocklist import default_blocklist
+from capstan.sources.spool import list_spool, read_blocklist, read_spool
 from capstan.streaming import drain
 
 
-def _spread(df: DataFrame, tasks_per_slot: int) -> DataFrame:
-    """Extraction costs seconds per document, so a split holding many small
-    files would keep one core busy for long; with fewer splits than
-    ``tasks_per_slot`` x task slots the rows are spread round-robin (a
-    shuffle of the bytes, cheap next to the extraction)."""
-    if tasks_per_slot <= 0:
-        return df
-    want = tasks_per_slot * df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= want else df.repartition(want)
-
-
 def _extract(blobs: DataFrame, extractor: Callable[[bytes], dict], blocklist: DataFrame | None,
-             timeout_s: float, tasks_per_slot: int = 4, isolation: str = "thread") -> DataFrame:
-    gated = _spread(derive.gate(blobs, blocklist), tasks_per_slot)
-    out = derive.run_extractor(gated, extractor, timeout_s=timeout_s, isolation=isolation)
-    out = with_info(out, F.col("meta_report"), "metadata").drop("meta_report")
-    return derive.extract(out)
+             timeout_s: float, isolation: str = "thread") -> DataFrame:
+    """Gate, extractor and status.  The bytes stay in the split that read
+    them; the size of a split is the session's ``spark.sql.files`` setting."""
+    out = derive.run_extractor(derive.gate(blobs, blocklist), extractor, timeout_s=timeout_s, isolation=isolation)
+    out = with_info(out, F.col("meta_report"), "metadata")
+    both = F.col("metadata").withField("pdfcpu", parse_pdfcpu(F.col("pdfcpu_report")))
+    return derive.extract(out.withColumn("metadata", both).drop("meta_report", "pdfcpu_report"))
 
 
 def store_artifacts(result: DataFrame, root: str) -> DataFrame:
@@ -68,36 +62,60 @@ def store_artifacts(result: DataFrame, root: str) -> DataFrame:
 
 
 def _process_batch(blobs: DataFrame, out: str, extractor, blocklist, timeout_s: float, tag: str,
-                   isolation: str = "thread") -> DataFrame:
-    result = _extract(blobs, extractor, blocklist, timeout_s, isolation=isolation).persist()
-    try:
-        store_artifacts(result, os.path.join(out, "artifacts"))
-        to_result_json(result, key="path").select("json").write.mode("overwrite").text(
-            os.path.join(out, "results", tag))
-        result.select("path", "sha1hex", "status", "err").write.mode("overwrite").parquet(
-            os.path.join(out, "status", tag))
-        return stats.run_stats(result)
-    finally:
-        result.unpersist()
+                   isolation: str = "thread", xml_extractor=None, max_xml_size: int = 256 << 20) -> DataFrame:
+    result = _extract(blobs, extractor, blocklist, timeout_s, isolation=isolation)
+    if xml_extractor is not None:
+        result = derive.run_xml_extractor(result, xml_extractor, blobs, "path", max_xml_size)
+    # the extractor is the cost: its results go to a table once, and every output reads that
+    kept = os.path.join(out, "extracted", tag)
+    result.write.mode("overwrite").parquet(kept)
+    result = blobs.sparkSession.read.schema(result.schema).parquet(kept)
+    store_artifacts(result, os.path.join(out, "artifacts"))
+    to_result_json(result, key="path").select("json").write.mode("overwrite").text(
+        os.path.join(out, "results", tag))
+    result.select("path", "sha1hex", "status", "err").write.mode("overwrite").parquet(
+        os.path.join(out, "status", tag))
+    return stats.run_stats(result)
+
+
+def _remove(paths: DataFrame) -> DataFrame:
+    """T2 for the batch run: remove the files of ``path``, one row per file."""
+    def run(batches):
+        for b in batches:
+            for path in b.column("path").to_pylist():
+                fsio.remove(path)
+            yield b
+
+    return paths.mapInArrow(run, "path string")
 
 
 def process_spool(spark: SparkSession, spool_dir: str, out: str, extractor: Callable[[bytes], dict],
                   blocklist_path: str | None = None, timeout_s: float = 300.0, stream: bool = False,
                   max_files: int = 1000, remove_processed: bool = False,
-                  isolation: str = "thread") -> DataFrame:
+                  isolation: str = "thread", xml_extractor: Callable[[bytes], bytes] | None = None) -> DataFrame:
     """The ``run`` flow.  Returns run statistics (A1) over everything written
-    to ``out/status``."""
-    blocklist = read_blocklist(spark, blocklist_path) if blocklist_path else None
+    to ``out/status``.
+
+    The default blocklist always applies; ``blocklist_path`` adds to it.  With
+    ``xml_extractor`` the structured XML (D4) is stored as an artifact too.
+    ``remove_processed`` removes the spool files whose results are written.
+    """
+    blocklist = default_blocklist(spark)
+    if blocklist_path:
+        blocklist = blocklist.union(read_blocklist(spark, blocklist_path)).distinct()
     if not stream:
         blobs = read_spool(spark, spool_dir).select("path", "content")
-        _process_batch(blobs, out, extractor, blocklist, timeout_s, "batch=0", isolation)
+        _process_batch(blobs, out, extractor, blocklist, timeout_s, "batch=0", isolation, xml_extractor)
+        if remove_processed:
+            _remove(spark.read.parquet(os.path.join(out, "status", "batch=0")).select("path")).write.mode(
+                "overwrite").parquet(os.path.join(out, "removed", "batch=0"))
     else:
         s = drain.spool_stream(spark, spool_dir, max_files=max_files,
                                clean_source="delete" if remove_processed else "off")
 
         def each(batch: DataFrame, batch_id: int) -> None:
             _process_batch(batch.select("path", "content"), out, extractor, blocklist, timeout_s,
-                           f"batch={batch_id}", isolation)
+                           f"batch={batch_id}", isolation, xml_extractor)
 
         q = (s.writeStream.foreachBatch(each).option("checkpointLocation", os.path.join(out, "_checkpoint"))
              .trigger(availableNow=True).start())
@@ -112,53 +130,66 @@ def extract_captures(spark: SparkSession, warc_path: str, out: str, sinks: tuple
                      pdf_only: bool = True, nonzero_length: bool = True, extension: str = ".pdf") -> dict:
     """The ``blobfetch`` flow: records -> responses -> filters -> sinks.
 
-    With more than one sink the filtered responses are persisted once and
-    offered to every sink (J6).  Returns per-sink counts.
+    With more than one sink the filtered responses are written to a table
+    once and offered to every sink (J6).  Returns per-sink counts.
     """
     flt = ([P.pdf_response] if pdf_only else []) + ([P.nonzero_content_length] if nonzero_length else [])
     resp = P.apply(R.responses(warc.read_warc(spark, warc_path)), flt)
-    if len(sinks) > 1:
-        resp = resp.persist()
+    if len(sinks) > 1:  # filtered once; later sinks read the table, not the archives
+        kept = os.path.join(out, "filtered")
+        resp.write.mode("overwrite").parquet(kept)
+        resp = spark.read.schema(resp.schema).parquet(kept)
     counts = {}
-    try:
-        for name in sinks:
-            if name == "hashdir":
-                counts[name] = write_hashdir(resp.select(F.col("body").alias("content")),
-                                             os.path.join(out, "hashdir"), ext=extension).count()
-            elif name == "dir":
-                counts[name] = write_dir_export(resp, os.path.join(out, "dir"), content="body", size="size",
-                                                extension=extension).count()
-            elif name == "log":
-                log = R.capture_log(resp)
-                log.write.mode("overwrite").json(os.path.join(out, "log"))
-                counts[name] = log.count()
-            elif name == "intake":
-                staged = R.stage_for_intake(resp)
-                staged.write.mode("append").parquet(os.path.join(out, "intake"))
-                counts[name] = staged.count()
-            else:
-                raise ValueError(f"unknown sink {name}; choose from {SINK_NAMES}")
-    finally:
-        resp.unpersist()
+    for name in sinks:
+        if name == "hashdir":
+            counts[name] = write_hashdir(resp.select(F.col("body").alias("content")),
+                                         os.path.join(out, "hashdir"), ext=extension).count()
+        elif name == "dir":
+            counts[name] = write_dir_export(resp, os.path.join(out, "dir"), content="body", size="size",
+                                            extension=extension).count()
+        elif name == "log":
+            log = R.capture_log(resp)
+            log.write.mode("overwrite").json(os.path.join(out, "log"))
+            counts[name] = log.count()
+        elif name == "intake":
+            staged = R.stage_for_intake(resp)
+            staged.write.mode("append").parquet(os.path.join(out, "intake"))
+            counts[name] = staged.count()
+        else:
+            raise ValueError(f"unknown sink {name}; choose from {SINK_NAMES}")
     return counts
 
 
 def intake_arrivals(spark: SparkSession, arrivals_dir: str, spool_dir: str, tables: str,
                     max_size: int = 0, max_files: int = 1000, remove_arrived: bool = False,
-                    has_space=None) -> DataFrame:
+                    has_space=None, urls: DataFrame | None = None) -> DataFrame:
     """The ``serve`` flow as a stream over an arrivals folder: validate,
     de-duplicate against the spool, store accepted blobs content-addressed,
-    record spool rows, URL map and rejects.  Returns the actions so far."""
+    record spool rows, URL map and rejects.  Returns the actions so far.
+
+    ``urls`` (name, url) gives the URL of an arrival by its file name (the
+    request headers of the service); accepted arrivals with one get a URL-map
+    row.  Empty files, which the stream's source leaves out, are taken from
+    the listing and answered 400.
+    """
     from capstan.streaming.intake import spool_intake_writer
 
     s = drain.spool_stream(spark, arrivals_dir, max_files=max_files,
                            clean_source="delete" if remove_arrived else "off")
     s = s.select("path", "length", "content", F.sha1("content").alias("sha1hex"),
                  F.octet_length("content").cast("bigint").alias("size"))
-    q = (s.writeStream.foreachBatch(spool_intake_writer(spool_dir, tables, max_size, has_space))
+    empty = list_spool(spark, arrivals_dir).where("length = 0").select("path")
+    actions = os.path.join(tables, "actions")
+    if fsio.exists(actions):
+        empty = empty.join(spark.read.parquet(actions).where("action = 'empty'").select("path"), "path", "left_anti")
+    q = (s.writeStream.foreachBatch(spool_intake_writer(spool_dir, tables, max_size, has_space, urls))
          .option("checkpointLocation", os.path.join(tables, "_checkpoint")).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(os.path.join(tables, "actions"))
+    rejected = empty.select("path", F.lit(None).cast("string").alias("sha1hex"), F.lit("empty").alias("action"), F.lit(EMPTY).alias("code"))
+    tag = f"batch={-time.time_ns()}"  # negative: no batch of the stream
+    rejected.write.parquet(os.path.join(actions, tag))
+    spark.read.parquet(os.path.join(actions, tag)).select("path", "code", "action").write.parquet(os.path.join(tables, "rejects", tag))
+    return spark.read.parquet(actions)
 
 
 def plan_backfill(spark: SparkSession, cdx_path: str, url_map_path: str) -> DataFrame:
@@ -205,6 +236,7 @@ def main(argv: list[str] | None = None) -> None:
     b = sub.add_parser("backfill", help="plan fetches for index records without an artifact")
     b.add_argument("--cdx", required=True)
     b.add_argument("--url-map", required=True)
+    b.add_argument("--out", help="write the plan as JSON lines instead of printing it")
     a = ap.parse_args(argv)
     spark = get_spark()
     if a.job == "run":
@@ -223,8 +255,12 @@ def main(argv: list[str] | None = None) -> None:
         print(json.dumps(extract_captures(spark, a.warc, a.out, tuple(a.sink or ["hashdir"]),
                                           pdf_only=not a.all_types)))
     else:
-        for row in plan_backfill(spark, a.cdx, a.url_map).collect():  # one row per capture file
-            print(json.dumps(row.asDict()))
+        plan = plan_backfill(spark, a.cdx, a.url_map)  # one row per capture file
+        if a.out:
+            plan.write.mode("overwrite").json(a.out)
+        else:
+            for row in plan.toLocalIterator():  # a partition at a time
+                print(json.dumps(row.asDict()))
 
 
 if __name__ == "__main__":

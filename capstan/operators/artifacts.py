@@ -26,10 +26,16 @@ ARTIFACT_KINDS = [
 ]
 
 
-def fan_out(result: DataFrame, order: str = "doc_id") -> DataFrame:
+def _content_of_kind(result: DataFrame):
+    by_kind = F.when(F.col("a.kind") == "thumbnail", F.col("page0thumbnail")).when(F.col("a.kind") == "text", F.encode(F.col("text"), "UTF-8"))
+    return (by_kind.otherwise(F.col("xml")) if "xml" in result.columns else by_kind).alias("content")
+
+
+def fan_out(result: DataFrame, order: str = "doc_id", with_content: bool = True) -> DataFrame:
     """One row per artifact to store (K5): thumbnail when > 50 bytes, text when
-    non-empty, structured XML when present.  Content stays in the row so a
-    writer can store it; see ``plan`` for the key-only view."""
+    non-empty, structured XML when present.  Key, kind, type and size are
+    worked out first; the content is attached only where a writer stores it
+    (``with_content``)."""
     ok = result.where(F.col("status") == "success")
     has_xml = "xml" in result.columns
     items = []
@@ -47,17 +53,19 @@ def fan_out(result: DataFrame, order: str = "doc_id") -> DataFrame:
             F.when(present, F.struct(
                 F.lit(kind).alias("kind"), F.lit(bucket).alias("bucket"),
                 F.lit(folder).alias("folder"), F.lit(ext).alias("ext"),
-                content.alias("content"),
+                content_type_for(content, F.lit(ext)).alias("content_type"),
+                F.octet_length(content).cast("bigint").alias("size"),
             ))
         )
-    exploded = ok.select(order, "sha1hex", F.explode(F.array_compact(F.array(*items))).alias("a"))
-    return exploded.select(
+    exploded = ok.select(*[c for c in (order, "sha1hex", "page0thumbnail", "text", "xml") if c in ok.columns],
+                         F.explode(F.array_compact(F.array(*items))).alias("a"))
+    rows = exploded.select(
         order, "sha1hex", "a.kind", "a.bucket",
         blob_path(F.col("a.folder"), F.col("sha1hex"), F.col("a.ext"), F.lit("")).alias("object_path"),
-        content_type_for(F.col("a.content"), F.col("a.ext")).alias("content_type"),
-        F.octet_length(F.col("a.content")).cast("bigint").alias("size"),
-        F.col("a.content").alias("content"),
+        F.col("a.content_type").alias("content_type"), F.col("a.size").alias("size"),
+        *([_content_of_kind(ok)] if with_content else []),
     )
+    return rows
 
 
 def last_write_wins(df: DataFrame, keys: list[str], order: str, cols: list[str]) -> DataFrame:
@@ -73,7 +81,7 @@ def last_write_wins(df: DataFrame, keys: list[str], order: str, cols: list[str])
 def plan(result: DataFrame, order: str = "doc_id") -> DataFrame:
     """artifact_plan: one stored object per (bucket, object_path), last write
     wins; content is not carried through the shuffle."""
-    rows = fan_out(result, order).drop("content")
+    rows = fan_out(result, order, with_content=False)
     return last_write_wins(rows, ["bucket", "object_path"], order,
                            ["sha1hex", "kind", "content_type", "size"])
 

@@ -28,6 +28,7 @@ from capstan.operators.joins import flag_membership
 
 MIN_THUMBNAIL = 50  # fixed value: smaller images are taken as failures
 PDF = "application/pdf"
+TOO_LARGE = "too-large"
 
 
 def with_fileinfo(blobs: DataFrame, content: str = "content") -> DataFrame:
@@ -97,7 +98,8 @@ def extract(outcomes: DataFrame) -> DataFrame:
     """Result rows (M9) from gated blobs that carry outcome columns.
 
     ``fileinfo`` is kept only where the reference keeps it (not for
-    parse errors and empty text); a thumbnail under 50 bytes is dropped.
+    parse errors and empty text); a thumbnail under 50 bytes is dropped, and
+    ``thumb_note`` says so.
     """
     df = outcomes
     for name, typ in OUTCOME_DEFAULTS.items():
@@ -109,12 +111,15 @@ def extract(outcomes: DataFrame) -> DataFrame:
     df = df.withColumn("status", status).withColumn("err", error_of())
     ok = F.col("status") == F.lit("success")
     keep_info = ~F.col("status").isin("parse-error", "empty-pdf")
-    thumb = F.when(ok & (F.octet_length(F.col("thumbnail")) >= MIN_THUMBNAIL), F.col("thumbnail"))
+    large = F.octet_length(F.col("thumbnail")) >= MIN_THUMBNAIL
+    thumb = F.when(ok & large, F.col("thumbnail"))
+    thumb_note = F.when(ok & ~large, F.lit("thumbnail below 50 bytes"))
     extra = legacy_extra(F.col("metadata")) if _has_info(df) else F.lit(None)
     return (
         df.withColumn("fileinfo", F.when(keep_info, F.col("fileinfo")))
         .withColumn("text", F.when(ok, F.col("text")))
         .withColumn("page0thumbnail", thumb)
+        .withColumn("thumb_note", thumb_note)
         .withColumn("metadata", F.when(ok, F.col("metadata")))
         .withColumn("pdfextra", F.when(ok, extra))
         .withColumn("weblinks", F.when(ok, weblinks(F.col("text"))))
@@ -142,6 +147,7 @@ HOOK_SCHEMA = T.StructType(
         T.StructField("thumbnail", T.BinaryType()),
         T.StructField("thumb_err", T.StringType()),
         T.StructField("meta_report", T.StringType()),
+        T.StructField("pdfcpu_report", T.StringType()),
         T.StructField("meta_err", T.StringType()),
     ]
 )
@@ -204,6 +210,8 @@ def run_extractor(gated: DataFrame, fn: Callable[[bytes], dict],
     each document in a forked child that is terminated at the time limit;
     ``"thread"`` (default, cheaper) abandons an overrunning call.
     """
+    # rejected documents send no bytes to Python
+    gated = gated.withColumn(content, F.when(F.col("is_pdf") & ~F.col("blocked"), F.col(content)))
     keep = [f for f in gated.schema.fields if f.name != content]
     out_schema = T.StructType([*keep, *HOOK_SCHEMA.fields])
     names = [f.name for f in HOOK_SCHEMA.fields]
@@ -245,14 +253,16 @@ def run_extractor(gated: DataFrame, fn: Callable[[bytes], dict],
 def run_xml_extractor(result: DataFrame, fn: Callable[[bytes], bytes], blobs: DataFrame,
                       key: str, max_size: int = 256 * 1024 * 1024, content: str = "content") -> DataFrame:
     """Structured XML for successful documents not larger than
-    ``max_size`` (P14); failures leave ``xml`` null with ``xml_err`` set.
+    ``max_size`` (P14); failures leave ``xml`` null with ``xml_err`` set, to
+    ``too-large`` for a document beyond the limit.
 
     The size gate and the status filter run before the Python step; only
     (key, content) of eligible rows go to Python, and the output joins back
     on ``key``.
     """
+    fits = F.octet_length(content) <= max_size
     eligible = result.where(F.col("status") == "success").select(key).join(
-        blobs.select(key, content).where(F.octet_length(content) <= max_size), key)
+        blobs.select(key, F.when(fits, F.col(content)).alias(content)), key)
     schema = T.StructType([result.schema[key], T.StructField("xml", T.BinaryType()),
                            T.StructField("xml_err", T.StringType())])
 
@@ -260,6 +270,10 @@ def run_xml_extractor(result: DataFrame, fn: Callable[[bytes], bytes], blobs: Da
         for pdf in batches:
             xs, errs = [], []
             for blob in pdf[content]:
+                if blob is None:
+                    xs.append(None)
+                    errs.append(TOO_LARGE)
+                    continue
                 try:
                     xs.append(fn(bytes(blob)))
                     errs.append(None)

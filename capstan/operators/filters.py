@@ -13,10 +13,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from capstan.functions.http import split_http
+
 Filter = Callable[[DataFrame], Column]
 
 RESPONSE_TYPE = "application/http; msgtype=response"
-P9_SCAN = 2048
 
 
 def has_target_uri(df: DataFrame) -> Column:  # P1
@@ -56,24 +57,29 @@ def loose_pdf(df: DataFrame) -> Column:
 
 
 def head_pdf(df: DataFrame) -> Column:
-    """Response record whose first 2,048 payload bytes, lower-cased,
-    contain `` 200 `` and ``application/pdf``."""
-    head = F.lower(F.decode(F.substring(F.col("payload"), 1, P9_SCAN), "ISO-8859-1"))
+    """Response record whose header block, of whatever size, has a status
+    line with `` 200 `` and names ``application/pdf`` in any case."""
+    h = split_http(F.col("payload"))
+    named = F.exists(h["headers"], lambda x: F.lower(x["value"]).contains("application/pdf"))
     return (
         (F.coalesce(F.col("warc_type"), F.lit("")) == F.lit("response"))
-        & head.contains(" 200 ")
-        & head.contains("application/pdf")
+        & F.coalesce(F.concat(h["status_line"], F.lit(" ")).contains(" 200 "), F.lit(False))
+        & F.coalesce(named, F.lit(False))
     )
 
 
-def within_cap(cap: int) -> Filter:
-    """Declared size (when > 0) and actual size at most ``cap``."""
+def over_cap(df: DataFrame, cap: int | None) -> Column:
+    """P15 as a flag: whether the declared size (when > 0) or the actual size
+    exceeds ``cap``; no cap (None) flags nothing.  No row is dropped."""
+    if cap is None:
+        return F.lit(False)
+    declared = F.col("http_content_length")
+    return ((declared > 0) & (declared > cap)) | (F.octet_length(F.col("body")) > cap)
 
-    def f(df: DataFrame) -> Column:
-        declared = F.col("http_content_length")
-        return ~((declared > 0) & (declared > cap)) & (F.octet_length(F.col("body")) <= cap)
 
-    return f
+def within_cap(cap: int | None) -> Filter:
+    """P15 as a filter, for callers that want large responses left out."""
+    return lambda df: ~over_cap(df, cap)
 
 
 def all_of(filters: list[Filter]) -> Filter:

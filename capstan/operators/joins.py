@@ -1,29 +1,14 @@
-"""Join helpers: broadcast only a side whose size has been checked."""
+"""Join helpers.  Whether a side is broadcast is Spark's decision, by its size
+in bytes (``spark.sql.autoBroadcastJoinThreshold``) and again at run time."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only when it has at most this many rows (checked with a
-# bounded count: the scan stops after max_rows + 1 rows).
-DEFAULT_BROADCAST_ROWS = 2_000_000
 
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when it holds at most ``max_rows`` rows, else ``df``
-    unchanged (a shuffle join; AQE may still demote it at run time)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def flag_membership(df: DataFrame, keys: DataFrame, on: str, flag: str,
-                    max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Add boolean ``flag``: is ``df[on]`` among ``keys[on]``."""
-    raw = keys.select(on).where(F.col(on).isNotNull())
-    # the bound is checked on the raw keys (the scan stops early); the
-    # distinct set is then no larger than that.
-    small = raw.limit(max_rows + 1).count() <= max_rows
-    marks = raw.distinct().withColumn(flag, F.lit(True))
-    marks = F.broadcast(marks) if small else marks
+def flag_membership(df: DataFrame, keys: DataFrame, on: str, flag: str) -> DataFrame:
+    """Add boolean ``flag``: is ``df[on]`` among ``keys[on]`` (J3).  Only the
+    key column of ``keys`` takes part."""
+    marks = keys.select(on).where(F.col(on).isNotNull()).distinct().withColumn(flag, F.lit(True))
     return df.join(marks, on, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))

@@ -112,7 +112,7 @@ def write_exports(records: DataFrame, root: str) -> DataFrame:
     bodies = records.where(P.head_pdf(records)).select(
         "warc_file", "record_idx", F.col("payload"), http.split_http(F.col("payload")).alias("_h"))
     bodies = bodies.select("warc_file", "record_idx",
-                           F.substring(F.col("payload"), F.col("_h.body_start"), 1 << 30).alias("content"))
+                           http.after_header(F.col("payload"), F.col("_h")).alias("content"))
     out = names.join(bodies, ["warc_file", "record_idx"])
     write_blobs(out.select(F.concat_ws("/", "warc_file", "filename").alias("path"), "content"), root)
     return names

@@ -19,7 +19,7 @@ from capstan.operators import responses as R
 from capstan.plans.registry import query
 from capstan.session import scratch_path
 from capstan.sources import fsio, warc
-from capstan.tables import table
+from capstan.tables import table, version
 
 CRLF = "\r\n"
 RESPONSE_CT = "application/http; msgtype=response"
@@ -34,6 +34,11 @@ def _m(n: int) -> Column:
     return F.pmod(F.col("page_id"), F.lit(n))
 
 
+def capture_number() -> Column:
+    """One capture file per 1,000 pages."""
+    return F.floor(F.col("page_id") / 1000).cast("bigint")
+
+
 def capture_content_type() -> Column:
     return (
         F.when(_m(5) == 0, F.lit("application/pdf"))
@@ -63,7 +68,7 @@ def capture_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     is_req = _m(13) == 12
     recs = p.select(
-        F.concat(F.lit("cap-"), _m(4).cast("string")).alias("warc_file"),
+        F.concat(F.lit("cap-"), capture_number().cast("string")).alias("warc_file"),
         F.col("page_id").alias("record_idx"),
         F.when(is_req, F.lit("request")).otherwise(F.lit("response")).alias("warc_type"),
         F.format_string("<urn:uuid:00000000-0000-4000-8000-%012d>", F.col("page_id")).alias("record_id"),
@@ -84,7 +89,7 @@ def capture_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def capture_files(spark: SparkSession, sf_dir: str) -> str:
     """Folder holding the capture WARC files (written once per session)."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (spark.sparkContext.applicationId, version(spark, sf_dir, "pages"))
     path = _WRITTEN.get(key)
     if path is None or not fsio.exists(path):
         path = scratch_path(spark, "captures")
@@ -102,7 +107,7 @@ def records(spark: SparkSession, sf_dir: str, payload: bool = True, types: str |
 
 CAPTURES_SQL = """
 cap AS (
-  SELECT page_id, url, html, 'cap-' || CAST(page_id % 4 AS VARCHAR) AS warc_file,
+  SELECT page_id, url, html, 'cap-' || CAST(page_id // 1000 AS VARCHAR) AS warc_file,
     page_id % 13 <> 12 AS is_response,
     CASE page_id % 5 WHEN 0 THEN 'application/pdf' WHEN 1 THEN 'application/pdf; charset=utf-8'
                      WHEN 2 THEN 'text/html' WHEN 3 THEN 'Application/PDF' ELSE '' END AS ct,
@@ -150,13 +155,12 @@ def q_warc_capture_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("warc_body_cap", sql="WITH " + CAPTURES_SQL + f"""
-SELECT url AS uri, body_len AS size FROM msg
-WHERE is_response AND starts_with(ct, 'application/pdf') AND body_len <= {BODY_CAP}
+SELECT url AS uri, body_len AS size, body_len > {BODY_CAP} AS over_cap FROM msg
+WHERE is_response AND starts_with(ct, 'application/pdf')
 """)
 def q_warc_body_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    resp = R.responses(records(spark, sf_dir))
-    kept = P.apply(resp, [P.pdf_response, P.within_cap(BODY_CAP)])
-    return kept.select("uri", F.octet_length("body").cast("bigint").alias("size"))
+    resp = P.apply(R.responses(records(spark, sf_dir)), [P.pdf_response])
+    return resp.select("uri", F.octet_length("body").cast("bigint").alias("size"), P.over_cap(resp, BODY_CAP).alias("over_cap"))
 
 
 SINKS = {
@@ -190,14 +194,8 @@ def q_warc_loose_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 P9_SQL = """
-p9 AS (
-  SELECT *, lower(m) AS lm FROM msg
-),
 p9f AS (
-  SELECT warc_file, page_id, url, is_response
-     AND instr(lm, ' 200 ') > 0 AND strlen(substr(m, 1, instr(lm, ' 200 ') + 4)) <= 2048
-     AND instr(lm, 'application/pdf') > 0 AND strlen(substr(m, 1, instr(lm, 'application/pdf') + 14)) <= 2048 AS hit
-  FROM p9
+  SELECT warc_file, page_id, url, is_response AND status = 200 AND contains(lower(ct), 'application/pdf') AS hit FROM msg
 )"""
 
 
@@ -242,7 +240,7 @@ def cdx_line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("-"), F.lit("-"),
         (F.octet_length(F.encode("html", "UTF-8")) + 200).cast("string"),
         (F.col("page_id") * 4096).cast("string"),
-        F.concat(F.lit("cap-"), _m(4).cast("string"), F.lit(".warc.gz")),
+        F.concat(F.lit("cap-"), capture_number().cast("string"), F.lit(".warc.gz")),
     ]
     short = fields[:6] + fields[7:]
     line = F.when(_m(9) == 8, F.concat_ws(" ", *short)).otherwise(F.concat_ws(" ", *fields))
@@ -251,7 +249,7 @@ def cdx_line_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cdx_files(spark: SparkSession, sf_dir: str) -> str:
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir) + "#cdx")
+    key = (spark.sparkContext.applicationId, version(spark, sf_dir, "pages") + "#cdx")
     path = _WRITTEN.get(key)
     if path is None or not fsio.exists(path):
         path = scratch_path(spark, "cdx")
@@ -266,15 +264,15 @@ cdx AS (
     CASE page_id % 5 WHEN 0 THEN 'application/pdf' WHEN 1 THEN 'application/pdf'
                      WHEN 2 THEN 'text/html' WHEN 3 THEN 'application/pdf' ELSE '-' END AS mime_type,
     CASE WHEN page_id % 7 = 6 THEN 404 ELSE 200 END AS response_code,
-    CAST(strlen(html) + 200 AS INTEGER) AS compressed_record_size,
-    CAST(page_id * 4096 AS INTEGER) AS compressed_offset,
-    'cap-' || CAST(page_id % 4 AS VARCHAR) || '.warc.gz' AS filename
+    CAST(strlen(html) + 200 AS BIGINT) AS compressed_record_size,
+    CAST(page_id AS BIGINT) * 4096 AS compressed_offset,
+    'cap-' || CAST(page_id // 1000 AS VARCHAR) || '.warc.gz' AS filename
   FROM pages WHERE page_id % 9 NOT IN (4, 8)
 )"""
 
 
 @query("cdx_parse", sql="WITH " + CDX_SQL + """
-SELECT url, mime_type, CAST(response_code AS INTEGER) AS response_code, compressed_record_size,
+SELECT url, mime_type, CAST(response_code AS BIGINT) AS response_code, compressed_record_size,
        compressed_offset, filename FROM cdx
 """)
 def q_cdx_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -311,6 +309,112 @@ def q_cdx_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.sha1(http.body(F.col("payload"), F.col("_h"))).alias("body_sha1"))
 
 
+LARGE_OFFSET = 5_439_151_290  # beyond 32 bits
+
+
+@query("cdx_large_offset", sql=f"SELECT url, CAST(page_id AS BIGINT) * 4096 + {LARGE_OFFSET} AS compressed_offset, CAST(page_id AS BIGINT) + {LARGE_OFFSET} AS compressed_record_size FROM pages")
+def q_cdx_large_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 with 64-bit sizes and offsets."""
+    from capstan.sources import cdx
+
+    p = table(spark, sf_dir, "pages").select("page_id", "url")
+    line = F.concat_ws(" ", F.lit("k 20240101000000"), "url", F.lit("text/html 200 K - -"),
+                       (F.col("page_id") + LARGE_OFFSET).cast("string"), (F.col("page_id") * 4096 + LARGE_OFFSET).cast("string"), F.lit("f.warc.gz"))
+    return cdx.records(p.select(line.alias("value"))).select("url", "compressed_offset", "compressed_record_size")
+
+
+def plain_record(length: Column, first_line: Column, uri: Column, block: Column) -> Column:
+    """Bytes of one uncompressed record; header parts as given."""
+    head = F.concat(first_line, F.lit(CRLF + "WARC-Type: response" + CRLF + "WARC-Target-URI: "), uri,
+                    F.lit(CRLF + "Content-Type: " + RESPONSE_CT + CRLF + "Content-Length: "), length, F.lit(CRLF * 2))
+    return F.concat(F.encode(head, "UTF-8"), block, F.encode(F.lit(CRLF * 2), "UTF-8"))
+
+
+def _joined(rows: DataFrame, per_file: int) -> DataFrame:
+    """file, data: the records (page_id, rec) of ``per_file`` pages, in order."""
+    n = F.floor(F.col("page_id") / per_file).cast("bigint")
+    one = rows.groupBy(n.alias("n")).agg(F.sort_array(F.collect_list(F.struct("page_id", "rec"))).alias("recs"))
+    data = F.aggregate("recs", F.lit(b""), lambda a, r: F.concat(a, r["rec"]))
+    return one.select(F.format_string("part-%06d.warc", "n").alias("path"), data.alias("content"))
+
+
+@query("warc_rejects", sql="""
+SELECT 'part-' || lpad(CAST(page_id // 50 AS VARCHAR), 6, '0') || '.warc' AS file,
+       count(*) FILTER (page_id % 10 NOT IN (3, 7)) AS records, count(*) FILTER (page_id % 10 = 3) AS without_length,
+       count(*) FILTER (page_id % 10 = 7) AS rejects
+FROM pages GROUP BY 1
+""")
+def q_warc_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 and P3 on plain files with broken records: a length that is no number
+    skips one record; a first line that is none gives a reject row."""
+    from capstan.sinks.blobdir import write_blobs
+
+    p = table(spark, sf_dir, "pages").select("page_id", "url", http_message().alias("m"))
+    length = F.when(_m(10) == 3, F.lit("abc")).otherwise(F.octet_length("m").cast("string"))
+    first = F.when(_m(10) == 7, F.lit("WORC/1.0")).otherwise(F.lit("WARC/1.0"))
+    path = scratch_path(spark, "broken")
+    write_blobs(_joined(p.select("page_id", plain_record(length, first, F.col("url"), F.col("m")).alias("rec")), 50), path)
+    r = warc.read_warc(spark, path, onError="reject")
+    return r.groupBy(F.col("file_name").alias("file")).agg(
+        F.count_if(F.col("error").isNull() & P.has_record_length(r)).alias("records"),
+        F.count_if(F.col("error").isNull() & ~P.has_record_length(r)).alias("without_length"), F.count_if(F.col("error").isNotNull()).alias("rejects"))
+
+
+@query("cdx_fetch_shared_member", sql="SELECT url, sha1(html) AS body_sha1, page_id % 40 = 39 AS missing FROM pages WHERE page_id % 40 <> 39"
+       " UNION ALL SELECT NULL, NULL, true FROM pages WHERE page_id % 40 = 39")
+def q_cdx_fetch_shared_member(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J7 where one gzip member (or one plain file) holds the records of 40
+    pages: the URL tells which record an index row means, a size is not
+    given, and rows that name a missing file come back with an error."""
+    import gzip
+
+    from capstan.sinks.blobdir import write_blobs
+    from capstan.sources import cdx
+
+    p = table(spark, sf_dir, "pages").select("page_id", "url", http_message().alias("m"))
+    rec = plain_record(F.octet_length("m").cast("string"), F.lit("WARC/1.0"), F.concat("url", F.lit("#"), F.col("page_id").cast("string")), F.col("m"))
+    joined = _joined(p.select("page_id", rec.alias("rec")), 40)
+
+    def pack(parts):
+        import pyarrow as pa
+
+        for b in parts:
+            yield pa.RecordBatch.from_arrays([b.column("path"), pa.array([gzip.compress(x, mtime=0) for x in b.column("content").to_pylist()], pa.binary())],
+                                             ["path", "content"])
+
+    path = scratch_path(spark, "shared-member")
+    write_blobs(joined.mapInArrow(pack, "path string, content binary"), path)
+    name = F.format_string("part-%06d.warc", F.floor(F.col("page_id") / 40).cast("bigint"))
+    index = p.select(F.concat("url", F.lit("#"), F.col("page_id").cast("string")).alias("url"),
+                     F.when(_m(40) == 39, F.lit("no-such-file.warc.gz")).otherwise(name).alias("filename"),
+                     F.lit(0).cast("bigint").alias("compressed_offset"), F.lit(None).cast("bigint").alias("compressed_record_size"))
+    got = cdx.fetch(index, path)
+    h = http.split_http(F.col("payload"))
+    return got.select(F.regexp_replace("target_uri", "#[0-9]+$", "").alias("url"), F.sha1(http.body(F.col("payload"), h)).alias("body_sha1"),
+                      F.col("error").isNotNull().alias("missing"))
+
+
+@query("warc_chunked_bodies", sql="SELECT url AS uri, sha1(html) AS body_sha1 FROM pages")
+def q_warc_chunked_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P4 on chunked responses: the hash is that of the body without framing."""
+    html = F.encode("html", "UTF-8")
+    n = F.octet_length(html)
+    size = lambda c: F.encode(F.concat(F.lower(F.hex(c.cast("bigint"))), F.lit(CRLF)), "UTF-8")
+    crlf = F.encode(F.lit(CRLF), "UTF-8")
+    cut = F.floor(n / 2).cast("int")
+    first, second = F.substring(html, F.lit(1), cut), F.substring(html, cut + 1, n)
+    chunk = lambda data: F.when(F.octet_length(data) > 0, F.concat(size(F.octet_length(data)), data, crlf)).otherwise(F.lit(b""))
+    head = F.encode(F.lit("HTTP/1.1 200 OK" + CRLF + "Content-Type: text/html" + CRLF + "Transfer-Encoding: chunked" + CRLF * 2), "UTF-8")
+    rows = table(spark, sf_dir, "pages").select(
+        F.concat(F.lit("chunked-"), capture_number().cast("string")).alias("warc_file"), F.col("page_id").alias("record_idx"),
+        F.lit("response").alias("warc_type"), F.lit(None).cast("string").alias("record_id"), F.lit(RECORD_DATE).alias("record_date"),
+        F.col("url").alias("target_uri"), F.lit(RESPONSE_CT).alias("content_type"),
+        F.concat(head, chunk(first), chunk(second), F.encode(F.lit("0" + CRLF * 2), "UTF-8")).alias("payload"))
+    path = scratch_path(spark, "chunked")
+    warc.write_warc(rows, path)
+    return R.responses(warc.read_warc(spark, path)).select("uri", F.sha1("body").alias("body_sha1"))
+
+
 @query("backfill_plan", sql="WITH " + CDX_SQL + """,
 """ + """arr AS (SELECT page_id, url, html FROM pages
         UNION ALL SELECT page_id, url, html FROM pages WHERE page_id % 8 = 1),

@@ -108,7 +108,7 @@ MAGIC_CASES = [
     ("1F8B08", "application/gzip"),
     ("3C3F786D6C2076657273696F6E3D22312E30223F3E", "text/xml; charset=utf-8"),
     ("3C21444F43545950452068746D6C3E", "text/html; charset=utf-8"),
-    ("C080", "application/octet-stream"),
+    ("C00001", "application/octet-stream"),
     ("", None),
     ("504B0304", "application/zip"),
 ]
@@ -296,7 +296,7 @@ WITH """ + EXTRACT_CTE + """
 SELECT doc_id, sha1hex, status, size, mimetype,
        CAST(strlen(text) AS BIGINT) AS text_bytes,
        CAST(CASE WHEN doc_id % 120 >= 50 THEN doc_id % 120 END AS BIGINT) AS thumb_bytes,
-       CAST(len(list_distinct(regexp_extract_all(text, '(?i)\\b(?:https?|ftp)://(?:[^\\s<>"''()]|\\([^\\s<>"''()]*\\))*(?:[^\\s<>"''().,;:!?\\[\\]{}]|\\([^\\s<>"''()]*\\))'))) AS BIGINT) AS n_links,
+       CAST(len(list_distinct(regexp_extract_all(text, '(?i)\\b(?:[a-z][a-z0-9.+-]*://|(?:bitcoin|cid|file|geo|magnet|mailto|mid|news|sms|tel|urn|xmpp):)(?:[^\\s<>"''()]|\\([^\\s<>"''()]*\\))*(?:[^\\s<>"''().,;:!?\\[\\]{}]|\\([^\\s<>"''()]*\\))'))) AS BIGINT) AS n_links,
        CAST(CASE WHEN doc_id % 5 = 0 THEN n_chars % 40 + 2 ELSE n_chars % 40 + 1 END AS BIGINT) AS page_count
 FROM s WHERE status = 'success'
 """)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from capstan.functions.report import with_info
-from capstan.tables import table
+from capstan.tables import table, version
 
 PDF_MAGIC_HEX = "255044462D312E340A"  # "%PDF-1.4\\n"
 JPEG_HEAD_HEX = "FFD8FFE0"
@@ -39,12 +39,10 @@ def blocklist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Like a user-supplied list, it is an input table: derived by a Spark job
     and written once per session to the shared scratch folder."""
-    import os
-
     from capstan.session import scratch_path
     from capstan.sources import fsio
 
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (spark.sparkContext.applicationId, version(spark, sf_dir, "documents"))
     path = _TABLES.get(key)
     if path is None or not fsio.exists(path):
         path = scratch_path(spark, "blocklist")

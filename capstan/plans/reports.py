@@ -109,8 +109,9 @@ def q_pdfcpu_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def link_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text with links per page: the page URL in prose, in brackets, a link
     with balanced brackets, a bare host, a trailing slash, a zero-width space
-    inside a link, and an FTP link when page_id % 6 = 0."""
-    p = table(spark, sf_dir, "pages").select("page_id", "url")
+    inside a link, a mail link, an FTP link when page_id % 6 = 0, and the whole
+    html of the page."""
+    p = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     t = F.concat(
         F.lit("see "), F.col("url"), F.lit(". Also ("), F.col("url"), F.lit(") and "),
         F.lit("https://en.wikipedia.org/wiki/Sandbox_(software_development), "),
@@ -119,6 +120,7 @@ def link_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.pmod("page_id", F.lit(6)) == 0,
                F.concat(F.lit(" mirror ftp://ftp.example.org/pub/"), F.col("page_id").cast("string"), F.lit(".pdf")))
         .otherwise(F.lit("")),
+        F.concat(F.lit(" mailto:p"), F.col("page_id").cast("string"), F.lit("@example.org ")), F.coalesce("html", F.lit("")),
     )
     return p.select("page_id", t.alias("text"))
 
@@ -130,7 +132,8 @@ lt AS (
     'https://en.wikipedia.org/wiki/Sandbox_(software_development), ' ||
     'refs http://arXiv and https://www.crossref.org/; ' ||
     'odd https://example.com/a' || chr(8203) || 'b/' || CAST(page_id % 7 AS VARCHAR) || ' end' ||
-    CASE WHEN page_id % 6 = 0 THEN ' mirror ftp://ftp.example.org/pub/' || CAST(page_id AS VARCHAR) || '.pdf' ELSE '' END AS text
+    CASE WHEN page_id % 6 = 0 THEN ' mirror ftp://ftp.example.org/pub/' || CAST(page_id AS VARCHAR) || '.pdf' ELSE '' END ||
+    ' mailto:p' || CAST(page_id AS VARCHAR) || '@example.org ' || coalesce(html, '') AS text
   FROM pages
 ),
 lk AS (

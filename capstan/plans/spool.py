@@ -5,15 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capstan.functions.paths import (
-    blob_path,
-    rfc3339,
-    sharded_path,
-    sharded_path_to_id,
-    spool_url,
-)
+from capstan.functions.paths import blob_path, sharded_path
 from capstan.operators import artifacts, intake, urlmap
 from capstan.plans.registry import query
+from capstan.session import scratch_path
+from capstan.sinks.blobdir import write_blobs
+from capstan.sinks.listing import spool_entries
+from capstan.sources.spool import list_spool
 from capstan.tables import table
 
 MAX_SIZE = 20_000  # intake limit at fixture scale
@@ -27,10 +25,12 @@ def _docs(spark, sf_dir):
         "size", F.octet_length("content").cast("bigint"))
 
 
-def spool_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Queued blobs (doc_id even): one object per hash, last write wins; a
-    file whose doc_id % 16 = 4 was cut short by one byte."""
-    d = _docs(spark, sf_dir).where(F.pmod("doc_id", F.lit(2)) == 0)
+def spool_table(spark: SparkSession, sf_dir: str, all_docs: bool = False) -> DataFrame:
+    """Queued blobs (those already stored: doc_id even; or every document):
+    one object per hash, last write wins; a file whose doc_id % 16 = 4 was cut
+    short by one byte."""
+    d = _docs(spark, sf_dir)
+    d = d if all_docs else d.where(F.pmod("doc_id", F.lit(2)) == 0)
     stored = F.col("size") - F.when(F.pmod("doc_id", F.lit(16)) == 4, 1).otherwise(0)
     d = d.select("doc_id", "sha1hex", stored.alias("stored_size"),
                  F.timestamp_seconds(F.lit(EPOCH_2024) + F.col("doc_id") * 60).alias("mtime"))
@@ -78,18 +78,17 @@ def q_intake_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("spool_listing", sql="""
-WITH """ + SPOOL_SQL + f"""
+WITH """ + SPOOL_SQL.replace(" WHERE doc_id % 2 = 0", "") + f"""
 SELECT h AS name, CAST(stored AS BIGINT) AS size,
        strftime(TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(last_doc AS BIGINT)), '%Y-%m-%dT%H:%M:%SZ') AS t,
        'http://{LISTEN}/spool/' || h AS url
 FROM sp
 """)
 def q_spool_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sp = spool_table(spark, sf_dir)
-    files = sp.select(sharded_path(F.lit("/spool"), F.col("sha1hex")).alias("path"), "stored_size", "mtime")
-    name = sharded_path_to_id(F.col("path"))
-    return files.select(name.alias("name"), F.col("stored_size").alias("size"),
-                        rfc3339(F.col("mtime")).alias("t"), spool_url(F.lit(LISTEN), name).alias("url"))
+    sp = spool_table(spark, sf_dir, all_docs=True)
+    listing = sp.select(sharded_path(F.lit("/spool"), F.col("sha1hex")).alias("path"), F.col("stored_size").alias("length"),
+                        F.col("mtime").alias("modificationTime"))
+    return spool_entries(listing, LISTEN)
 
 
 @query("spool_status", sql="""
@@ -136,12 +135,15 @@ SELECT p.url, pairs.sha1, per.urls_per_sha1
 FROM pages p JOIN pairs ON p.url = pairs.url JOIN per ON pairs.sha1 = per.sha1
 """)
 def q_url_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the map is a table: written once (one scan and one hash of the pages), then read by its two columns
+    path = scratch_path(spark, "url-map")
+    urlmap.append_url_map(url_map_table(spark, sf_dir), path)
     urls = table(spark, sf_dir, "pages").select("url")
-    return urlmap.lookup(urls, url_map_table(spark, sf_dir)).select("url", "sha1", "urls_per_sha1")
+    return urlmap.lookup(urls, spark.read.parquet(path)).select("url", "sha1", "urls_per_sha1")
 
 
 @query("batch_totals", sql="""
-WITH f AS (SELECT doc_id, sha1(text) AS h, doc_id % 13 = 6 AS empty FROM documents WHERE doc_id % 2 = 0)
+WITH f AS (SELECT sha1(text) AS h, arg_min(doc_id % 13 = 6, doc_id) AS empty FROM documents GROUP BY 1)
 SELECT count(*) AS files,
        CAST(count(DISTINCT substr(h, 1, 2)) + count(DISTINCT substr(h, 1, 4)) + 1 AS BIGINT) AS dirs,
        CAST(sum(CASE WHEN empty THEN 0 ELSE 1 END) AS BIGINT) AS ok,
@@ -149,14 +151,18 @@ SELECT count(*) AS files,
 FROM f
 """)
 def q_batch_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1b and A2 on real files: one per distinct content, empty where its
+    first document has doc_id % 13 = 6."""
     from capstan.operators.stats import batch_totals
 
-    d = _docs(spark, sf_dir).where(F.pmod("doc_id", F.lit(2)) == 0)
-    listing = d.select(
-        sharded_path(F.lit("/spool"), F.col("sha1hex")).alias("path"),
-        F.when(F.pmod("doc_id", F.lit(13)) == 6, F.lit(0)).otherwise(F.col("size")).alias("length"),
-    )
-    return batch_totals(listing)
+    d = _docs(spark, sf_dir)
+    firsts = d.groupBy("sha1hex").agg(F.min("doc_id").alias("doc_id"))
+    files = d.select("doc_id", "content").join(firsts, "doc_id").select(
+        sharded_path(F.lit("."), F.col("sha1hex")).alias("path"),
+        F.when(F.pmod("doc_id", F.lit(13)) != 6, F.col("content")).alias("content"))
+    root = scratch_path(spark, "totals")
+    write_blobs(files, root)
+    return batch_totals(list_spool(spark, root))
 
 
 # ----------------------------------------------------------- artifact put/get

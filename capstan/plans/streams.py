@@ -129,3 +129,96 @@ def q_stream_running_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(out).select("code", F.col("n").cast("bigint").alias("n"))
+
+
+# ------------------------------------------------------------------- whole jobs
+
+def _land_arrivals(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    """Documents as arrivals named by id (empty when doc_id % 9 = 4), and the
+    URL each came with (none when doc_id % 5 = 0)."""
+    root = scratch_path(spark, "arrivals")
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    name = F.format_string("doc-%012d", F.col("doc_id"))
+    write_blobs(d.select(F.concat(F.format_string("%02d/", F.pmod("doc_id", F.lit(100))), name).alias("path"),
+                         F.when(F.pmod("doc_id", F.lit(9)) != 4, F.encode("text", "UTF-8")).alias("content")), root)
+    urls = d.where(F.pmod("doc_id", F.lit(5)) != 0).select(name.alias("name"), F.concat(F.lit("http://x/"), F.col("doc_id").cast("string")).alias("url"))
+    return root, urls
+
+
+ARRIVALS_SQL = """
+a AS (SELECT doc_id, sha1(text) AS h, text, doc_id % 9 = 4 OR strlen(text) = 0 AS empty, printf('doc-%012d', doc_id) AS name,
+             lpad(CAST(doc_id % 100 AS VARCHAR), 2, '0') AS folder FROM documents),
+b AS (SELECT *, row_number() OVER (PARTITION BY empty, h ORDER BY folder, name) AS k FROM a)"""
+
+
+def _intake(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    from capstan.jobs import intake_arrivals
+
+    root, urls = _land_arrivals(spark, sf_dir)
+    spool, tables = scratch_path(spark, "spool"), scratch_path(spark, "intake-tables")
+    return intake_arrivals(spark, root, spool, tables, max_files=BATCH_FILES, urls=urls), tables
+
+
+@query("stream_intake_empty", sql="WITH " + ARRIVALS_SQL + """
+SELECT CASE WHEN empty THEN 'empty' WHEN k = 1 THEN 'insert' ELSE 'skip' END AS action, CASE WHEN empty THEN 400 ELSE 202 END AS code, count(*) AS n
+FROM b GROUP BY ALL
+""")
+def q_stream_intake_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T7 with empty arrivals, which the stream's source leaves out."""
+    return _intake(spark, sf_dir)[0].groupBy("action", "code").agg(F.count("*").alias("n"))
+
+
+@query("intake_job", sql="WITH " + ARRIVALS_SQL + """
+SELECT 'http://x/' || CAST(doc_id AS VARCHAR) AS url, h AS sha1 FROM b WHERE NOT empty AND k = 1 AND doc_id % 5 <> 0
+""")
+def q_intake_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4 and K9: the URL map that the intake job writes."""
+    return spark.read.parquet(os.path.join(_intake(spark, sf_dir)[1], "url_map")).select("url", "sha1")
+
+
+def stand_in_extractor(blob: bytes) -> dict:
+    """Stands in for the PDF tools: text is what follows the magic line; an
+    error for sizes of 5 by 17, no text for sizes of 7 by 19."""
+    if len(blob) % 17 == 5:
+        raise ValueError("exit status 1")
+    text = "" if len(blob) % 19 == 7 else blob[9:].decode("utf-8")
+    return {"text": text, "thumbnail": b"\xff\xd8\xff\xe0" + b"t" * (len(blob) % 90),
+            "meta_report": f"Pages:  {len(blob) % 40 + 1}\nPDF version: 1.4",
+            "pdfcpu_report": '{"header": {"version": "v1"}, "infos": [{"pageCount": %d}]}' % (len(blob) % 40 + 1)}
+
+
+def stand_in_xml(blob: bytes) -> bytes:
+    if len(blob) % 11 == 0:
+        raise ValueError("no XML")
+    return b"<tei/>"
+
+
+@query("run_job", sql="""
+WITH c AS (SELECT DISTINCT doc_id % 3 <> 2 AS pdf, text FROM documents),
+b AS (SELECT pdf, text, strlen(text) + CASE WHEN pdf THEN 9 ELSE 0 END AS n,
+             CASE WHEN pdf THEN sha1('%PDF-1.4' || chr(10) || text) ELSE sha1(text) END AS h FROM c),
+s AS (SELECT h, n, CASE WHEN NOT pdf THEN 'not-pdf' WHEN n % 17 = 5 THEN 'parse-error'
+                        WHEN n % 19 = 7 OR strlen(text) = 0 THEN 'empty-pdf' ELSE 'success' END AS status FROM b WHERE n > 0)
+SELECT h AS sha1hex, status,
+       CASE WHEN status <> 'success' THEN '' ELSE concat_ws(' ', CASE WHEN n % 11 <> 0 THEN 'grobid' END, CASE WHEN n % 90 + 4 > 50 THEN 'pdf' END, 'text') END AS artifacts,
+       CASE WHEN status = 'success' THEN n % 40 + 1 END AS pages, CASE WHEN status = 'success' THEN n % 40 + 1 END AS pages_second
+FROM s
+""")
+def q_run_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole ``run`` job on real files: status, the artifacts found in the
+    folder it wrote, and the page count of both reports."""
+    from capstan.jobs import process_spool
+    from capstan.plans.inputs import blobs
+    from capstan.sources.spool import list_spool
+
+    root, out = scratch_path(spark, "run-spool"), scratch_path(spark, "run-out")
+    write_hashdir(blobs(spark, sf_dir).select("content"), root)
+    process_spool(spark, root, out, stand_in_extractor, xml_extractor=stand_in_xml, remove_processed=True)
+    parts = F.split("path", "/")
+    stored = list_spool(spark, os.path.join(out, "artifacts")).select(
+        F.substring_index(F.element_at(parts, -1), ".", 1).alias("sha1hex"), F.element_at(parts, -4).alias("folder"))
+    folders = stored.groupBy("sha1hex").agg(F.array_join(F.sort_array(F.collect_set("folder")), " ").alias("artifacts"))
+    done = spark.read.parquet(os.path.join(out, "extracted", "batch=0"))
+    return done.join(folders, "sha1hex", "left").select(
+        "sha1hex", "status", F.coalesce("artifacts", F.lit("")).alias("artifacts"), F.col("metadata.pages").alias("pages"),
+        F.get(F.col("metadata.pdfcpu.infos"), 0)["pageCount"].alias("pages_second"))

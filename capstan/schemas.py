@@ -5,7 +5,7 @@ FILE_INFO = "size bigint, md5hex string, sha1hex string, sha256hex string, mimet
 WARC_RECORDS = (
     "warc_file string, file_name string, record_idx bigint, record_offset bigint, record_length bigint, "
     "warc_type string, target_uri string, record_date string, content_type string, "
-    "content_length_raw string, content_length bigint, headers map<string,string>, payload binary"
+    "content_length_raw string, content_length bigint, headers map<string,string>, payload binary, error string"
 )
 RESPONSES = (
     "warc_file string, file_name string, record_idx bigint, uri string, status_line string, status_code int, "
@@ -13,8 +13,8 @@ RESPONSES = (
     "body binary, size bigint"
 )
 CDX = (
-    "url string, mime_type string, response_code int, compressed_record_size int, "
-    "compressed_offset int, filename string, _corrupt_record string"
+    "url string, mime_type string, response_code bigint, compressed_record_size bigint, "
+    "compressed_offset bigint, filename string, _corrupt_record string"
 )
 SPOOL = "name string, size bigint, t string, url string"
 URL_MAP = "url string NOT NULL, sha1 string NOT NULL, timestamp timestamp"

@@ -10,7 +10,7 @@ moved into place when complete, so a retried task rewrites the same names.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 
 class BlobDirCommit(WriterCommitMessage):
@@ -18,19 +18,20 @@ class BlobDirCommit(WriterCommitMessage):
         self.n = n
 
 
-class BlobDirWriter(DataSourceWriter):
+class BlobDirWriter(DataSourceArrowWriter):
     def __init__(self, options: dict):
         self.root = options.get("path", "")
 
-    def write(self, rows):
+    def write(self, batches):
         from capstan.sources import fsio
 
         n = 0
-        for r in rows:
+        for b in batches:
             # unique temporary name per writer: two tasks may write the same
             # content address at once; both move identical bytes into place
-            fsio.write_atomic(fsio.join(self.root, r["path"]), [bytes(r["content"] or b"")])
-            n += 1
+            for path, content in zip(b.column("path").to_pylist(), b.column("content").to_pylist()):
+                fsio.write_atomic(fsio.join(self.root, path), [content or b""])
+            n += b.num_rows
         return BlobDirCommit(n)
 
 

@@ -69,7 +69,7 @@ def write_hashdir_table(df: DataFrame, path: str, order: str, content: str = "co
 def dir_export(df: DataFrame, content: str = "body", size: str = "size",
                prefix: str = "", extension: str = "", name_cols: tuple[str, ...] = ("warc_file", "record_idx")) -> DataFrame:
     """K2: a generated name per row and the body cut at the declared size
-    when that is > 0 (O3).
+    when that is > 0 (O3); ``truncated`` says where bytes were left out.
 
     The name is derived from the row's identity (prefix, file, record,
     extension) rather than drawn at random, so a retried task writes the
@@ -78,7 +78,8 @@ def dir_export(df: DataFrame, content: str = "body", size: str = "size",
     n = F.least(F.col(size), F.lit(2**31 - 1)).cast("int")
     cut = F.when(F.col(size) > 0, F.substring(F.col(content), F.lit(1), n)).otherwise(F.col(content))
     name = F.concat(F.lit(prefix), F.concat_ws("-", *[F.col(c).cast("string") for c in name_cols]), F.lit(extension))
-    return df.withColumn("file_name", name).withColumn("written", cut)
+    truncated = F.coalesce((F.col(size) > 0) & (F.octet_length(content) > F.col(size)), F.lit(False))
+    return df.withColumn("file_name", name).withColumn("written", cut).withColumn("truncated", truncated)
 
 
 def write_dir_export(df: DataFrame, root: str, **kw) -> DataFrame:

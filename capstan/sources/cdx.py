@@ -4,15 +4,16 @@ Lines are whitespace-separated; the default field order is
 ``N b a m s k r M S V g``.  Kept: url (2), mime type (3), response code (4),
 compressed record size (8), compressed offset (9), file name (10).  Header
 lines (``CDX ...``) are dropped wherever they occur; a line with fewer than
-11 fields or a non-integer code/size/offset is kept in ``_corrupt_record``
+11 fields or a non-integer code/size/offset (64 bits) is kept in ``_corrupt_record``
 with a reason instead of failing the job.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,7 +22,7 @@ INT_RX = r"^[+-]?[0-9]+$"
 
 
 def _int(field: Column) -> Column:
-    return F.when(field.rlike(INT_RX), field.try_cast("int"))
+    return F.when(field.rlike(INT_RX), field.try_cast("bigint"))
 
 
 def parse_lines(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -72,39 +73,60 @@ FETCH_SCHEMA = T.StructType([
     T.StructField("target_uri", T.StringType()),
     T.StructField("warc_type", T.StringType()),
     T.StructField("payload", T.BinaryType()),
+    T.StructField("error", T.StringType()),
 ])
 
 
-def fetch(index: DataFrame, base_path: str, num_partitions: int | None = None) -> DataFrame:
-    """Read the compressed records named by index rows (filename,
-    compressed_offset, compressed_record_size) from files under
-    ``base_path``.
+ARROW_FETCH = pa.schema([("filename", pa.string()), ("compressed_offset", pa.int64()), ("target_uri", pa.string()),
+                         ("warc_type", pa.string()), ("payload", pa.binary()), ("error", pa.string())])
+
+
+def _wanted(records: list, url: str | None) -> tuple[dict, bytes] | None:
+    """Of the records at an offset, the one an index row means: the first with
+    its URL (a response before others), or the first of all without a URL."""
+    same = [r for r in records if url is None or r[0].get("warc-target-uri") == url]
+    return next((r for r in same if r[0].get("warc-type") == "response"), same[0] if same else None)
 
-    Rows are range-partitioned on (filename, offset), so one large file is
-    read by several tasks, each seeking to its own offsets in order.
+
+def fetch(index: DataFrame, base_path: str, num_partitions: int | None = None) -> DataFrame:
+    """Read the records named by index rows (filename, compressed_offset,
+    compressed_record_size, and url if the index has it) from files under
+    ``base_path``, gzip-compressed or plain.
+
+    Every index row gives one row: the record (a member may hold several; the
+    URL tells which) or, in ``error``, why there is none.  A null size reads to
+    the end of the member or record.  Rows are range-partitioned on (filename,
+    offset), so one large file is read by several tasks, each seeking to its
+    own offsets in order.
     """
     from capstan.session import range_partitions
 
     n = range_partitions(index.sparkSession, num_partitions)
+    url = F.col("url") if "url" in index.columns else F.lit(None)
     idx = index.select("filename", F.col("compressed_offset").cast("bigint"),
-                       F.col("compressed_record_size").cast("bigint"))
+                       F.col("compressed_record_size").cast("bigint"), url.cast("string").alias("url"))
     idx = idx.repartitionByRange(n, "filename", "compressed_offset").sortWithinPartitions(
         "filename", "compressed_offset")
     base = base_path
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from capstan.sources.fsio import join
         from capstan.sources.warc import read_member
 
-        for pdf in batches:
-            out = []
-            for name, off, length in zip(pdf["filename"], pdf["compressed_offset"], pdf["compressed_record_size"]):
-                try:
-                    recs = read_member(join(base, name), int(off), int(length))
-                except (OSError, ValueError, EOFError):
-                    recs = []
-                for heads, block in recs[:1]:
-                    out.append((name, int(off), heads.get("warc-target-uri"), heads.get("warc-type"), block))
-            yield pd.DataFrame(out, columns=[f.name for f in FETCH_SCHEMA.fields])
-
-    return idx.mapInPandas(read, FETCH_SCHEMA)
+        at, found, error = None, [], None  # index rows of one member follow each other
+        for b in batches:
+            for name, off, length, url in zip(*(c.to_pylist() for c in b.columns)):
+                if at != (name, off, length):
+                    at, found, error = (name, off, length), [], None
+                    try:
+                        found = read_member(join(base, name), off, length)
+                    except (OSError, ValueError, EOFError, TypeError, zlib.error) as exc:
+                        error = f"{type(exc).__name__}: {exc}"
+                hit = _wanted(found, url)
+                why = None if hit else error or "no record with this URL at the offset"
+                heads, block = hit or ({}, None)
+                yield pa.RecordBatch.from_pylist([{
+                    "filename": name, "compressed_offset": off, "target_uri": heads.get("warc-target-uri"),
+                    "warc_type": heads.get("warc-type"), "payload": block, "error": why}], ARROW_FETCH)
+
+    return idx.mapInArrow(read, FETCH_SCHEMA)

@@ -69,7 +69,13 @@ def atomic_writer(path: str):
     try:
         yield out
         out.close()
-        fs.move(tmp, p)
+        try:
+            fs.move(tmp, p)
+        except OSError:  # a file system whose rename does not replace
+            if fs.get_file_info(p).type == pafs.FileType.NotFound:
+                raise
+            fs.delete_file(p)
+            fs.move(tmp, p)
     except BaseException:
         out.close()
         fs.delete_file(tmp)
@@ -82,6 +88,13 @@ def write_atomic(path: str, chunks) -> None:
             out.write(c)
 
 
+def remove(path: str) -> None:
+    """Remove a file; one that is gone already is no error."""
+    fs, p = resolve(path)
+    with contextlib.suppress(FileNotFoundError):
+        fs.delete_file(p)
+
+
 def list_dir(path: str) -> list[tuple[str, bool, int, float]]:
     """(path, is_dir, size, mtime seconds) of the entries of one folder."""
     fs, p = resolve(path)

@@ -1,13 +1,17 @@
 """Archive (WARC) files as a Spark data source (S3) and a writer.
 
 Reading: ``spark.read.format("warc").load(path)`` gives one row per record
-(schema ``capstan.schemas.WARC_RECORDS``).  Each file is one input partition;
-gzip files are read member by member, so ``record_offset`` and
-``record_length`` locate the compressed record for random access (J7).
-Options: ``payload`` (default true; false drops the bytes at the source, as
-Python sources are not column-pruned), ``maxRecordBytes`` (records with a
-longer block are skipped, P15), ``onError`` (``stop``: a bad record ends the
-file, as in the reference; ``fail``: raise).
+(schema ``capstan.schemas.WARC_RECORDS``).  Small files are packed into input
+partitions of up to ``packBytes``; gzip files are read member by member, so
+``record_offset`` and ``record_length`` locate the compressed record for random
+access (J7).  Options: ``payload`` (default true; false drops the bytes at the
+source, as Python sources are not column-pruned), ``maxRecordBytes`` (no
+default; a longer record keeps its row, without payload, and says ``over-cap``
+in ``error``), ``onError`` (``fail``, the default: a broken record or file is
+an error; ``reject``: it gives a row with ``error`` and reading goes on at the
+next record found), ``dechunk`` (default true: chunked HTTP bodies are joined).
+A record whose length is no number is skipped alone: its row has no length and
+no payload, so P3 leaves it out.  A failed read is always an error.
 
 Writing: ``df.write.format("warc").mode("overwrite").save(path)`` writes one
 file ``{warc_file}.warc.gz`` per value of ``warc_file`` in a partition, one
@@ -27,8 +31,8 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import (
     DataSource,
+    DataSourceArrowWriter,
     DataSourceReader,
-    DataSourceWriter,
     InputPartition,
     WriterCommitMessage,
 )
@@ -37,169 +41,219 @@ from capstan.schemas import WARC_RECORDS
 from capstan.sources import fsio
 
 CHUNK = 1 << 20
+PACK_BYTES = 32 << 20
 
 
-class FilePartition(InputPartition):
-    def __init__(self, path: str):
-        super().__init__(path)
-        self.path = path
+class FilesPartition(InputPartition):
+    def __init__(self, paths: list[str]):
+        super().__init__(tuple(paths))
+        self.paths = paths
 
 
-def list_files(path: str) -> list[str]:
-    return fsio.list_files(path)
+def packed_files(path: str, pack_bytes: int) -> list[list[str]]:
+    """Files under ``path`` in order, small ones packed together."""
+    sizes = {p: n for p, n, _ in fsio.walk_files(path)}
+    out: list[list[str]] = []
+    room = 0
+    for f in fsio.list_files(path):
+        n = sizes.get(f, pack_bytes)
+        if not out or n > room:
+            out.append([])
+            room = pack_bytes
+        out[-1].append(f)
+        room -= n
+    return out
 
 
-def _parse_head(raw: bytes) -> tuple[dict, list]:
+def _parse_head(raw: bytes) -> dict[str, str]:
     lines = raw.decode("utf-8", "replace").replace("\r\n", "\n").split("\n")
     if not lines[0].startswith("WARC/"):
         raise ValueError("not a WARC record")
-    pairs = []
+    heads: dict[str, str] = {}
     for line in lines[1:]:
         if ":" in line:
             k, v = line.split(":", 1)
-            pairs.append((k.strip(), v.strip()))
-    heads: dict[str, str] = {}
-    for k, v in pairs:
-        heads.setdefault(k.lower(), v)
-    if not heads.get("content-length", "").isdigit():
-        raise ValueError("bad record length")
-    return heads, pairs
+            heads.setdefault(k.strip().lower(), v.strip())
+    return heads
+
+
+def _length(heads: dict[str, str]) -> int | None:
+    raw = heads.get("content-length", "")
+    return int(raw) if raw.isascii() and raw.isdigit() else None
 
 
-def _stream_records(chunks: Iterator[bytes]) -> Iterator[tuple[dict, bytes, int, int]]:
+def _stream_records(chunks: Iterator[bytes]) -> Iterator[tuple[dict, bytes | None, int, int]]:
     """Records from a stream of byte chunks: (headers, block, start, end),
-    offsets relative to the stream.  Only one record (plus one chunk) is
-    held in memory.  Raises ValueError on a malformed or cut record."""
+    offsets relative to the stream.  One buffer is read with a moving
+    position, so a record's bytes are copied once.  A record whose length is
+    no number has no block; the next one is looked for by its first line.
+    Raises ValueError on a malformed or cut record."""
     it = iter(chunks)
-    buf, base = b"", 0  # base = stream offset of buf[0]
+    buf, pos, base = bytearray(), 0, 0  # base = stream offset of buf[0]
 
     def more() -> bool:
-        nonlocal buf
+        nonlocal pos, base
         for c in it:
             if c:
-                buf += c
+                if pos > CHUNK:
+                    del buf[:pos]
+                    base, pos = base + pos, 0
+                buf.extend(c)
                 return True
         return False
 
-    while True:
-        # skip blank lines between records
+    def find(sep: bytes) -> int:
+        """Distance from the position to ``sep``, or -1 at the end."""
+        seen = 0
         while True:
-            stripped = buf.lstrip(b"\r\n")
-            base += len(buf) - len(stripped)
-            buf = stripped
-            if buf or not more():
+            i = buf.find(sep, pos + seen)
+            if i >= 0:
+                return i - pos
+            seen = max(0, len(buf) - pos - len(sep) + 1)
+            if not more():
+                return -1
+
+    while True:
+        while True:  # blank lines between records
+            while pos < len(buf) and buf[pos] in b"\r\n":
+                pos += 1
+            if pos < len(buf) or not more():
                 break
-        if not buf:
+        if pos >= len(buf):
             return
-        end, sep = buf.find(b"\r\n\r\n"), 4
-        while end < 0:
-            if not more():
-                raise ValueError("unterminated record header")
-            end, sep = buf.find(b"\r\n\r\n"), 4
-        heads, _ = _parse_head(buf[:end])
-        start = end + sep
-        stop = start + int(heads["content-length"])
-        while len(buf) < stop:
+        start = base + pos
+        end = find(b"\r\n\r\n")
+        if end < 0:
+            raise ValueError("unterminated record header")
+        heads = _parse_head(bytes(buf[pos:pos + end]))
+        pos += end + 4
+        size = _length(heads)
+        if size is None:
+            skip = find(b"\r\nWARC/")
+            pos = pos + skip if skip >= 0 else len(buf)
+            yield heads, None, start, base + pos
+            continue
+        while len(buf) - pos < size:
             if not more():
                 raise ValueError("truncated record")
-        yield heads, buf[start:stop], base, base + stop
-        buf = buf[stop:]
-        base += stop
-
+        block = bytes(memoryview(buf)[pos:pos + size])
+        pos += size
+        yield heads, block, start, base + pos
 
-def _parse_records(buf: bytes) -> Iterator[tuple[dict, list, bytes, int, int]]:
-    for heads, block, start, stop in _stream_records([buf]):
-        yield heads, None, block, start, stop
 
-
-def _member_chunks(f) -> Iterator[tuple[int, Iterator[bytes], list]]:
-    """For each gzip member: (offset, iterator of decompressed chunks, a
-    one-element list filled with the compressed length when the member has
-    been read).  Members are decompressed chunk by chunk."""
-    offset = 0
+def _members(f, offset: int) -> Iterator[tuple[int, Iterator[bytes], dict]]:
+    """Gzip members from ``offset`` on: (offset, decompressed chunks, state);
+    ``state["size"]`` is the compressed length once the member has been read."""
+    f.seek(offset)
     buf = f.read(CHUNK)
     while buf:
         d = zlib.decompressobj(31)
-        size = [None]
-        state = {"buf": buf, "used": 0}
+        state = {"buf": buf, "used": 0, "size": None}
 
-        def chunks(d=d, state=state, size=size):
+        def chunks(d=d, state=state):
             while True:
-                data = state["buf"]
+                data = state["buf"] or f.read(CHUNK)
                 if not data:
-                    data = f.read(CHUNK)
-                    if not data:
-                        raise ValueError("truncated gzip member")
+                    raise ValueError("truncated gzip member")
                 out = d.decompress(data)
-                if d.eof:
-                    state["used"] += len(data) - len(d.unused_data)
-                    state["buf"] = d.unused_data
-                    size[0] = state["used"]
-                    if out:
-                        yield out
-                    return
-                state["used"] += len(data)
-                state["buf"] = b""
+                state["used"] += len(data) - len(d.unused_data)
+                state["buf"] = d.unused_data
                 if out:
                     yield out
+                if d.eof:
+                    state["size"] = state["used"]
+                    return
 
-        yield offset, chunks(), size, state
-        if size[0] is None:  # caller did not drain: finish the member
-            for _ in chunks():
-                pass
-        offset += size[0]
+        own = chunks()
+        yield offset, own, state
+        for _ in own:  # a caller may stop before the end
+            pass
+        offset += state["size"]
         buf = state["buf"] or f.read(CHUNK)
 
 
-def _file_chunks(f) -> Iterator[bytes]:
-    while True:
-        c = f.read(CHUNK)
-        if not c:
-            return
+def _next_start(f, offset: int, sign: bytes) -> int | None:
+    """Offset of the next ``sign`` at or after ``offset``."""
+    f.seek(offset)
+    tail = b""
+    while data := f.read(CHUNK):
+        i = (tail + data).find(sign)
+        if i >= 0:
+            return offset - len(tail) + i
+        offset += len(data)
+        tail = (tail + data)[-(len(sign) - 1):]
+    return None
+
+
+def _file_chunks(f, offset: int) -> Iterator[bytes]:
+    f.seek(offset)
+    while c := f.read(CHUNK):
         yield c
 
 
-def iter_file_records(path: str, max_record: int = 0):
-    """(record_idx, offset, length, headers, block) for every record of a
-    file, gzip-compressed (offset/length of the member) or plain
-    (offset/length of the record).  Streams: one record in memory."""
+GZIP, PLAIN = b"\x1f\x8b\x08", b"WARC/"
+
+
+def iter_file_records(path: str, on_error: str = "fail"):
+    """(record_idx, offset, length, headers, block, error) for every record of
+    a file, gzip-compressed (offset/length of the member) or plain (of the
+    record).  One record is in memory at a time.  A broken record raises
+    ValueError, or with ``on_error='reject'`` gives a row with its error."""
     with fsio.open_read(path) as f:
-        head = f.read(2)
-        f.seek(0)
-        idx = 0
-        if head == b"\x1f\x8b":
-            for off, chunks, size, _ in _member_chunks(f):
-                # hold back one record: a member's compressed length is known
-                # only once it has been read to its end
-                pending = []
-                for heads, block, _, _ in _stream_records(chunks):
-                    pending.append((heads, block))
-                    if len(pending) > 1:
-                        h, b = pending.pop(0)
-                        yield idx, off, None, h, b
+        zipped = f.read(2) == GZIP[:2]
+        idx, offset, at = 0, 0, 0
+        while offset is not None:
+            try:
+                if zipped:
+                    for at, chunks, state in _members(f, offset):
+                        held = None  # a member's length is known only at its end
+                        for heads, block, _, _ in _stream_records(chunks):
+                            if held:
+                                yield idx, at, None, *held, None
+                                idx += 1
+                            held = heads, block
+                        if held:
+                            yield idx, at, state["size"], *held, None
+                            idx += 1
+                        at += state["size"] or 0
+                else:
+                    for heads, block, start, stop in _stream_records(_file_chunks(f, offset)):
+                        at = offset + stop
+                        yield idx, offset + start, stop - start, heads, block, None
                         idx += 1
-                # the member length is known once the member is drained
-                for h, b in pending:
-                    yield idx, off, size[0], h, b
-                    idx += 1
-        else:
-            for heads, block, start, stop in _stream_records(_file_chunks(f)):
-                yield idx, start, stop - start, heads, block
+                return
+            except (ValueError, zlib.error) as exc:
+                if on_error != "reject":
+                    raise ValueError(f"{path}, record at {at}: {exc}") from exc
+                yield idx, at, None, {}, None, str(exc)
                 idx += 1
+                offset = _next_start(f, at + 1, GZIP if zipped else b"\n" + PLAIN)
+                if offset is not None and not zipped:
+                    offset += 1
 
 
-def read_member(path: str, offset: int, length: int):
-    """Records of the gzip member at ``offset`` (random access, J7)."""
+def read_member(path: str, offset: int, length: int | None):
+    """Records at ``offset`` (random access, J7): all of a gzip member's, or
+    one of a plain file.  Without a length, up to the member's or record's end."""
     with fsio.open_read(path) as f:
         f.seek(offset)
-        data = f.read(length)
-    raw = zlib.decompressobj(31).decompress(data)
-    return [(heads, block) for heads, _, block, _, _ in _parse_records(raw)]
+        if f.read(2) != GZIP[:2]:
+            heads, block, _, _ = next(_stream_records(_file_chunks(f, offset)), (None, None, 0, 0))
+            if heads is None:
+                raise ValueError("no record at the offset")
+            return [(heads, block)]
+        for _, chunks, state in _members(f, offset):
+            got = [(heads, block) for heads, block, _, _ in _stream_records(chunks)]
+            if length is not None and state["size"] is not None and length < state["size"]:
+                raise ValueError(f"the member has {state['size']} bytes, the index says {length}")
+            return got
+    raise ValueError("no record at the offset")
 
 
 def dechunk_http(payload: bytes) -> bytes:
     """Undo chunked transfer coding in an HTTP message, keeping the header
-    block; other messages are returned unchanged."""
+    block; other messages, and bodies whose framing is broken, are returned
+    unchanged."""
     end = payload.find(b"\r\n\r\n")
     if end < 0:
         return payload
@@ -210,22 +264,22 @@ def dechunk_http(payload: bytes) -> bytes:
     while pos < len(body):
         eol = body.find(b"\r\n", pos)
         if eol < 0:
-            break
+            return payload
         size_txt = body[pos:eol].split(b";", 1)[0].strip()
         try:
             size = int(size_txt, 16)
         except ValueError:
-            break
+            return payload
         if size == 0:
-            break
+            return payload[:end + 4] + b"".join(out)
         out.append(body[eol + 2:eol + 2 + size])
         pos = eol + 2 + size + 2
-    return payload[:end + 4] + b"".join(out)
+    return payload  # no last chunk
 
 
 COLUMNS = ["warc_file", "file_name", "record_idx", "record_offset", "record_length", "warc_type",
            "target_uri", "record_date", "content_type", "content_length_raw", "content_length",
-           "headers", "payload"]
+           "headers", "payload", "error"]
 BATCH_ROWS = 512
 BATCH_BYTES = 64 << 20
 
@@ -237,25 +291,26 @@ def _arrow_schema():
     return pa.schema([("warc_file", s), ("file_name", s), ("record_idx", i), ("record_offset", i),
                       ("record_length", i), ("warc_type", s), ("target_uri", s), ("record_date", s),
                       ("content_type", s), ("content_length_raw", s), ("content_length", i),
-                      ("headers", pa.map_(s, s)), ("payload", pa.binary())])
+                      ("headers", pa.map_(s, s)), ("payload", pa.binary()), ("error", s)])
 
 
 class WarcReader(DataSourceReader):
-    """Options: path, payload, maxRecordBytes, onError, warcTypes (comma
-    list kept at the source), dechunk (undo chunked HTTP bodies)."""
+    """Options: path, payload, maxRecordBytes, onError, warcTypes (comma list
+    kept at the source), dechunk, packBytes."""
 
     def __init__(self, options: dict):
         self.path = options.get("path", "")
         self.payload = options.get("payload", "true").lower() != "false"
         self.max_record = int(options.get("maxRecordBytes", "0"))
-        self.on_error = options.get("onError", "stop")
+        self.on_error = options.get("onError", "fail")
         types = options.get("warcTypes", "")
         self.types = {t.strip() for t in types.split(",") if t.strip()} or None
-        self.dechunk = options.get("dechunk", "false").lower() == "true"
+        self.dechunk = options.get("dechunk", "true").lower() == "true"
+        self.pack_bytes = int(options.get("packBytes", str(PACK_BYTES)))
         self.equal: dict[str, set] = {}
 
     def partitions(self):
-        return [FilePartition(p) for p in list_files(self.path)]
+        return [FilesPartition(p) for p in packed_files(self.path, self.pack_bytes)]
 
     def _keep(self, heads: dict) -> bool:
         wt = heads.get("warc-type")
@@ -270,44 +325,33 @@ class WarcReader(DataSourceReader):
     def read(self, partition):
         import pyarrow as pa
 
-        path = partition.path
+        schema = _arrow_schema()
+        rows, size = [], 0
+        for path in partition.paths:
+            for row, n in self._rows(path):
+                rows.append(row)
+                size += n
+                if len(rows) >= BATCH_ROWS or size >= BATCH_BYTES:
+                    yield pa.RecordBatch.from_pydict(dict(zip(COLUMNS, map(list, zip(*rows)))), schema=schema)
+                    rows, size = [], 0
+        if rows:
+            yield pa.RecordBatch.from_pydict(dict(zip(COLUMNS, map(list, zip(*rows)))), schema=schema)
+
+    def _rows(self, path):
         name = file_name = os.path.basename(path)
         for suffix in (".gz", ".warc"):
             name = name.removesuffix(suffix)
-        schema = _arrow_schema()
-        cols = {c: [] for c in COLUMNS}
-        size = 0
-
-        def flush():
-            batch = pa.RecordBatch.from_pydict(cols, schema=schema)
-            for c in COLUMNS:
-                cols[c] = []
-            return batch
-
-        try:
-            for idx, off, length, heads, block in iter_file_records(path):
-                if self.max_record and len(block) > self.max_record:
-                    continue
-                if not self._keep(heads):
-                    continue
-                raw = heads.get("content-length")
-                if self.dechunk and block and heads.get("content-type", "").startswith("application/http"):
-                    block = dechunk_http(block)
-                row = (name, file_name, idx, off, length, heads.get("warc-type"), heads.get("warc-target-uri"),
-                       heads.get("warc-date"), heads.get("content-type"), raw,
-                       int(raw) if raw is not None and raw.isdigit() else None,
-                       list(heads.items()), block if self.payload else None)
-                for c, v in zip(COLUMNS, row):
-                    cols[c].append(v)
-                size += len(block) if self.payload else 0
-                if len(cols["record_idx"]) >= BATCH_ROWS or size >= BATCH_BYTES:
-                    yield flush()
-                    size = 0
-        except (ValueError, zlib.error, EOFError, OSError):
-            if self.on_error == "fail":
-                raise
-        if cols["record_idx"]:
-            yield flush()
+        for idx, off, length, heads, block, error in iter_file_records(path, self.on_error):
+            if error is None and not self._keep(heads):
+                continue
+            if block is not None and self.max_record and len(block) > self.max_record:
+                block, error = None, "over-cap"
+            if self.dechunk and block and heads.get("content-type", "").startswith("application/http"):
+                block = dechunk_http(block)
+            payload = block if self.payload else None
+            yield (name, file_name, idx, off, length, heads.get("warc-type"), heads.get("warc-target-uri"),
+                   heads.get("warc-date"), heads.get("content-type"), heads.get("content-length"), _length(heads),
+                   list(heads.items()), payload, error), len(payload or b"")
 
 
 class WarcPushdownReader(WarcReader):
@@ -350,12 +394,12 @@ def _record_bytes(warc_type, record_id, date, uri, content_type, payload) -> byt
     return b"\r\n".join(head) + b"\r\n\r\n" + payload + b"\r\n\r\n"
 
 
-class WarcWriter(DataSourceWriter):
+class WarcWriter(DataSourceArrowWriter):
     def __init__(self, options: dict, overwrite: bool):
         self.path = options.get("path", "")
         self.compress = options.get("compression", "gzip") != "none"
 
-    def write(self, rows):
+    def write(self, batches):
         import contextlib
 
         written: list[str] = []
@@ -363,18 +407,18 @@ class WarcWriter(DataSourceWriter):
         current = None
         with contextlib.ExitStack() as stack:
             out = None
-            for r in rows:
-                wf = r["warc_file"]
-                if wf != current:
-                    if out is not None:
-                        stack.close()  # completes the previous file
-                    current = wf
-                    final = fsio.join(self.path, wf + ext)
-                    out = stack.enter_context(fsio.atomic_writer(final))
-                    written.append(final)
-                rec = _record_bytes(r["warc_type"], r["record_id"], r["record_date"], r["target_uri"],
-                                    r["content_type"], bytes(r["payload"] or b""))
-                out.write(gzip.compress(rec, mtime=0) if self.compress else rec)
+            for b in batches:
+                cols = (b.column(c).to_pylist() for c in WRITE_COLUMNS)
+                for wf, _, warc_type, record_id, date, uri, content_type, payload in zip(*cols):
+                    if wf != current:
+                        if out is not None:
+                            stack.close()  # completes the previous file
+                        current = wf
+                        final = fsio.join(self.path, wf + ext)
+                        out = stack.enter_context(fsio.atomic_writer(final))
+                        written.append(final)
+                    rec = _record_bytes(warc_type, record_id, date, uri, content_type, payload or b"")
+                    out.write(gzip.compress(rec, mtime=0) if self.compress else rec)
         return WarcCommit(written)
 
 

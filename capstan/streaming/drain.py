@@ -22,16 +22,8 @@ BINARY_SCHEMA = "path string, modificationTime timestamp, length bigint, content
 
 def spool_stream(spark: SparkSession, spool_dir: str, max_files: int = 1000,
                  clean_source: str = "off", archive_dir: str | None = None) -> DataFrame:
-    """A file stream over the spool folder.
-
-    Each micro-batch names its files explicitly; Spark lists more than 32
-    explicit paths with a parallel job of up to 10,000 tasks.  On a local
-    master there is nothing to parallelise, so the listing job is kept to
-    the number of cores; on a cluster the setting is left as configured.
-    """
-    sc = spark.sparkContext
-    if sc.master.startswith("local"):
-        spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", str(sc.defaultParallelism))
+    """A file stream over the spool folder.  ``max_files`` is admission per
+    micro-batch; nothing is left out."""
     r = (spark.readStream.format("binaryFile").schema(BINARY_SCHEMA)
          .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", str(max_files))
          .option("cleanSource", clean_source))
@@ -74,8 +66,11 @@ def dedupe_by_hash(stream: DataFrame, key: str = "sha1hex", event_time: str | No
                    delay: str = "1 hour") -> DataFrame:
     """Drop arrivals whose content hash was seen before.
 
-    Without ``event_time`` the state keeps every hash (like a spool that
-    never forgets); with it, state is bounded by the watermark.
+    With ``event_time`` the state is bounded by the watermark.  Without it
+    the state keeps every hash, like a spool that never forgets: use it for
+    bounded runs only (``availableNow`` over a folder), and a RocksDB state
+    store on a cluster; for an endless intake use ``spool_intake_writer``,
+    whose memory is a table.
     """
     if event_time is None:
         return stream.dropDuplicates([key])

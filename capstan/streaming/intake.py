@@ -5,8 +5,10 @@ micro-batch, idempotently keyed by batch id."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
+from capstan.functions.paths import shard_prefix2
 from capstan.operators.intake import ACCEPTED, EMPTY, TOO_LARGE
 
 SLOW_DOWN = 429
@@ -60,7 +62,7 @@ def running_counts(stream: DataFrame) -> DataFrame:
     return stream.groupBy("code").agg(F.count(F.lit(1)).alias("n"))
 
 
-def spool_intake_writer(spool_dir: str, tables: str, max_size: int = 0, has_space=None):
+def spool_intake_writer(spool_dir: str, tables: str, max_size: int = 0, has_space=None, urls: DataFrame | None = None):
     """T4 with J1: the ``serve`` flow for one micro-batch of arrivals.
 
     ``batch`` rows carry path, length, content, sha1hex, size (and an
@@ -76,7 +78,6 @@ def spool_intake_writer(spool_dir: str, tables: str, max_size: int = 0, has_spac
     later retry, and nothing is stored.
     """
     from capstan.operators import intake as J
-    from capstan.operators.joins import bounded_broadcast
     from capstan.sinks.hashdir import write_hashdir
     from capstan.sources import fsio
 
@@ -89,14 +90,20 @@ def spool_intake_writer(spool_dir: str, tables: str, max_size: int = 0, has_spac
             slow.select("path", "code", "action").write.mode("overwrite").parquet(
                 f"{tables}/rejects/batch={batch_id}")
             return
-        b = batch.withColumn("declared", F.col("length")).persist()
+        b = batch.withColumn("declared", F.col("length"))
+        if urls is not None:  # by file name
+            named = urls.select(F.col("name").alias("_name"), "url")
+            b = b.withColumn("_name", F.substring_index("path", "/", -1)).join(named, "_name", "left").drop("_name")
+        b = b.persist(StorageLevel.DISK_ONLY)  # a micro-batch's bytes are read from the arrivals once
         try:
             spool_path = f"{tables}/spool"
             if fsio.exists(spool_path):
-                prior = spark.read.parquet(spool_path).where(F.col("batch") != batch_id)
-                # only the hashes of this batch matter: a semi join with the
-                # batch's keys (bounded by maxFilesPerTrigger, size checked)
-                keys = bounded_broadcast(b.select("sha1hex").distinct())
+                # the table is partitioned by hash prefix: only the prefixes of
+                # this batch are read (at most 256 names), and of these rows
+                # only those with a hash of the batch take part
+                keys = b.select("sha1hex").distinct()
+                prefixes = [r[0] for r in keys.select(shard_prefix2(F.col("sha1hex"))).distinct().collect()]
+                prior = spark.read.parquet(spool_path).where(F.col("shard").isin(prefixes) & (F.col("batch") != batch_id))
                 prior = prior.join(keys, "sha1hex", "left_semi")
                 stored = prior.groupBy("sha1hex").agg(F.max_by("size", "batch").alias("stored_size"))
             else:
@@ -106,8 +113,9 @@ def spool_intake_writer(spool_dir: str, tables: str, max_size: int = 0, has_spac
             ok = acts.where(F.col("action").isin("insert", "overwrite")).select("path")
             content = b.join(ok, "path", "left_semi")
             write_hashdir(content.select("content"), spool_dir)
-            content.select("sha1hex", "size", "path").write.mode("overwrite").parquet(
-                f"{spool_path}/batch={batch_id}")
+            # a retried batch replaces its own partitions only
+            (content.select("sha1hex", "size", "path", shard_prefix2(F.col("sha1hex")).alias("shard"), F.lit(batch_id).cast("long").alias("batch"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard", "batch").parquet(spool_path))
             if "url" in b.columns:
                 content.where(F.col("url").isNotNull()).select(
                     "url", F.col("sha1hex").alias("sha1"), F.current_timestamp().alias("timestamp")

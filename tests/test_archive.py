@@ -3,8 +3,11 @@
 import gzip
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
+from capstan.functions import http
+
 from capstan.operators import filters as P
 from capstan.operators import responses as R
 from capstan.session import scratch_path
@@ -51,16 +54,84 @@ def test_random_access_by_offset(spark):
     assert sorted(r.target_uri for r in got) == ["http://a/x.pdf", "http://a/y.html"]
 
 
+REC = b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: %s\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: %s\r\n\r\n%s\r\n\r\n"
+
+
+def _rec(uri: bytes, block: bytes, length: bytes | None = None) -> bytes:
+    return REC % (uri, length or str(len(block)).encode(), block)
+
+
 def test_empty_and_truncated_files(spark):
     path = scratch_path(spark, "t-warc3")
     os.makedirs(path)
     open(os.path.join(path, "empty.warc.gz"), "wb").close()
-    good = gzip.compress(b"WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n")
+    good = gzip.compress(_rec(b"u", b"abc"))
     with open(os.path.join(path, "cut.warc.gz"), "wb") as fh:
         fh.write(good + good[:10])
-    rows = warc.read_warc(spark, path).collect()
-    # the empty file has no record; the cut file keeps the records before the break
-    assert len(rows) == 1 and bytes(rows[0].payload) == b"abc"
+    with pytest.raises(Exception, match="cut.warc.gz"):  # nothing is lost silently
+        warc.read_warc(spark, path).collect()
+    rows = warc.read_warc(spark, path, onError="reject").orderBy("record_idx").collect()
+    assert [(r.record_idx, bytes(r.payload or b""), r.error is None) for r in rows] == [(0, b"abc", True), (1, b"", False)]
+    assert rows[1].record_offset == len(good)
+
+
+def test_reading_goes_on_after_a_broken_record(spark):
+    path = scratch_path(spark, "t-broken")
+    os.makedirs(path)
+    members = [gzip.compress(x) for x in (_rec(b"a", b"1"), b"no record at all", _rec(b"b", b"2", b"abc"), _rec(b"c", b"3"))]
+    with open(os.path.join(path, "z.warc.gz"), "wb") as fh:
+        fh.write(members[0] + members[1] + b"garbage" + members[2] + members[3])
+    with open(os.path.join(path, "p.warc"), "wb") as fh:
+        fh.write(_rec(b"a", b"1") + b"WORC/1.0\r\n\r\n" + _rec(b"b", b"2", b"-5") + _rec(b"c", b"3" * 3_000_000))
+    got = warc.read_warc(spark, path, onError="reject").where("error is null").select("file_name", "target_uri", "content_length").collect()
+    assert {tuple(r) for r in got} == {("z.warc.gz", "a", 1), ("z.warc.gz", "b", None), ("z.warc.gz", "c", 1),
+                                       ("p.warc", "a", 1), ("p.warc", "b", None), ("p.warc", "c", 3_000_000)}
+    over = warc.read_warc(spark, path, onError="reject", maxRecordBytes=1000).where("error = 'over-cap'").collect()
+    assert [(r.target_uri, r.payload, r.content_length) for r in over] == [("c", None, 3_000_000)]
+
+
+def test_large_header_block(spark):
+    body = b"%PDF-1.4 body"
+    for sep, end in ((b"\r\n", b"\r\n\r\n"), (b"\n", b"\n\n")):
+        head = b"HTTP/1.1 200 OK" + sep + b"X-Pad: " + b"p" * 70_000 + sep + b"Content-Type: application/pdf"
+        path = scratch_path(spark, "t-head")
+        os.makedirs(path)
+        with open(os.path.join(path, "h.warc"), "wb") as fh:
+            fh.write(_rec(b"http://h/x", head + end + body))
+        recs = warc.read_warc(spark, path)
+        r = R.responses(recs).collect()
+        assert [(x.http_content_type, bytes(x.body)) for x in r] == [("application/pdf", body)]
+        assert recs.where(P.head_pdf(recs)).count() == 1
+
+
+def test_bad_http_length_is_no_response(spark):
+    df = spark.createDataFrame([(bytearray(b"HTTP/1.1 200 OK\r\nContent-Length: abc\r\n\r\nx"),), (bytearray(b"HTTP/1.1 200 OK\r\n\r\nx\n\ny\r\n\r\nz"),)], "p binary")
+    h = http.split_http(F.col("p"))
+    got = df.select(http.is_response(h).alias("ok"), http.body(F.col("p"), h).alias("b")).collect()
+    assert [r.ok for r in got] == [False, True] and bytes(got[1].b) == b"x\n\ny\r\n\r\nz"
+
+
+def test_fetch_from_shared_member_and_plain_file(spark):
+    path = scratch_path(spark, "t-fetch")
+    os.makedirs(path)
+    member = gzip.compress(_rec(b"u1", b"1") + _rec(b"u2", b"2") + _rec(b"u3", b"3"))
+    with open(os.path.join(path, "m.warc.gz"), "wb") as fh:
+        fh.write(gzip.compress(_rec(b"u0", b"0")) + member)
+    with open(os.path.join(path, "p.warc"), "wb") as fh:
+        fh.write(_rec(b"q0", b"0") + _rec(b"q1", b"1"))
+    off = len(gzip.compress(_rec(b"u0", b"0")))
+    rows = [("m.warc.gz", off, None, "u3"), ("m.warc.gz", off, len(member), "u1"), ("m.warc.gz", off, None, None), ("p.warc", len(_rec(b"q0", b"0")), None, "q1"),
+            ("m.warc.gz", off, 5, "u1"), ("none.warc.gz", 0, None, "u1"), ("m.warc.gz", off, None, "nowhere")]
+    idx = spark.createDataFrame(rows, "filename string, compressed_offset long, compressed_record_size long, url string")
+    got = cdx.fetch(idx, path).collect()
+    assert sorted(bytes(r.payload) for r in got if r.error is None) == [b"1", b"1", b"1", b"3"]
+    assert len(got) == 7 and sum(r.error is not None for r in got) == 3
+
+
+def test_cdx_numbers_have_64_bits(spark):
+    line = "a 2017 http://x/1 text/html 404 K - - 6000000000 5439151290 f.warc.gz"
+    r = cdx.records(spark.createDataFrame([(line,)], "value string")).first()
+    assert (r.compressed_record_size, r.compressed_offset) == (6_000_000_000, 5_439_151_290)
 
 
 def test_content_type_filter_cases(spark):

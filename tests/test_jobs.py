@@ -96,3 +96,37 @@ def test_intake_slow_down_when_storage_short(spark):
     assert {(r.action, r.code) for r in acts.collect()} == {("slow-down", 429)}
     assert not os.path.exists(spool) or not any(fs for _, _, fs in os.walk(spool))
     assert free_space_probe(arrivals, 0)() is True
+
+
+def test_intake_keeps_empty_arrivals_and_urls(spark):
+    arrivals, spool, tables = (scratch_path(spark, f"t-in{i}") for i in range(3))
+    os.makedirs(arrivals)
+    for name, data in (("a", b"one"), ("b", b""), ("c", b"one")):
+        with open(os.path.join(arrivals, name), "wb") as fh:
+            fh.write(data)
+    urls = spark.createDataFrame([("a", "http://u/a"), ("c", "http://u/c"), ("b", "http://u/b")], "name string, url string")
+    for _ in range(2):  # a second run adds nothing
+        acts = jobs.intake_arrivals(spark, arrivals, spool, tables, urls=urls)
+        got = sorted((r.path.rsplit("/", 1)[-1], r.action, r.code) for r in acts.collect())
+        assert got == [("a", "insert", 202), ("b", "empty", 400), ("c", "skip", 202)]
+    assert [r.url for r in spark.read.parquet(os.path.join(tables, "url_map")).collect()] == ["http://u/a"]
+
+
+def test_run_stores_xml_reads_both_reports_and_removes(spark):
+    from capstan.sources.blocklist import DEFAULT_BAD_SHA1
+
+    def two_reports(blob):
+        return {"text": "text of " + blob[9:].decode(), "thumbnail": b"t" * 60, "meta_report": "Pages:  3\nPDF version: 1.4",
+                "pdfcpu_report": '{"header": {"version": "v1"}, "infos": [{"pageCount": 3, "tagged": true}]}'}
+
+    root, out = scratch_path(spark, "t-run"), scratch_path(spark, "t-run-out")
+    os.makedirs(root)
+    with open(os.path.join(root, "d"), "wb") as fh:
+        fh.write(b"%PDF-1.4\nbody")
+    stats = jobs.process_spool(spark, root, out, two_reports, xml_extractor=lambda b: b"<tei/>", remove_processed=True).first()
+    assert (stats.processed, stats.ok) == (1, 1) and os.listdir(root) == []
+    kept = spark.read.parquet(os.path.join(out, "extracted", "batch=0")).first()
+    assert kept.metadata.pages == 3 and kept.metadata.pdfcpu.infos[0].pageCount == 3
+    stored = [f for _, _, names in os.walk(os.path.join(out, "artifacts")) for f in names]
+    assert sorted(f.split(".", 1)[1] for f in stored) == ["180px.jpg", "tei.xml", "txt"]
+    assert len(DEFAULT_BAD_SHA1) > 100
