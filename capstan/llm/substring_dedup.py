@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from capstan.llm.common import lists, partitions
+from capstan.llm.common import col, lists, packed, partitions, schema_of
 from capstan.llm.registry import query
 from capstan.tables import table
 
@@ -104,21 +104,24 @@ def _chunks(parts, chunk_words, extra=()):
         yield rows
 
 
-def _blocks(bucket, ids, columns, names):
-    """One row per bucket: arrays in id order, ids as differences."""
-    order = np.lexsort((ids, bucket))
-    bucket, ids = bucket[order], ids[order]
+def _blocks(bucket, ids, pos, columns, names):
+    """One row per bucket: arrays in the order of id and position, these two
+    as differences, which compress well."""
+    order = np.lexsort((pos, ids, bucket))
+    bucket = bucket[order]
     start = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.empty(0, np.int64)
-    step = np.r_[ids[:1], np.diff(ids)]
-    step[start] = ids[start]
     offsets = np.r_[start, len(bucket)]
-    arrays = [pa.array(bucket[start], pa.int32()), lists(step, offsets, pa.int64())]
+    arrays = [pa.array(bucket[start], pa.int32())]
+    for values, dtype in ((ids[order], pa.int64()), (pos[order], pa.int32())):
+        step = np.r_[values[:1], np.diff(values)]
+        step[start] = values[start]
+        arrays.append(lists(step, offsets, dtype))
     arrays += [lists(c[order], offsets, t) for c, t in columns]
-    return pa.RecordBatch.from_arrays(arrays, ["bucket", "id", *names])
+    return pa.RecordBatch.from_arrays(arrays, ["bucket", "id", "pos", *names])
 
 
 def _unblocked(parts, names):
-    """All blocks of a task: bucket, ids and the other columns, flat."""
+    """All blocks of a task: bucket, id, position and the other columns, flat."""
     got = [b for b in parts if b.num_rows]
     if not got:
         return None
@@ -126,10 +129,13 @@ def _unblocked(parts, names):
     ids = t.column("id").chunk(0)
     sizes = np.diff(ids.offsets.to_numpy())
     start = np.r_[0, np.cumsum(sizes)[:-1]]
-    total = np.cumsum(ids.flatten().to_numpy())
-    base = np.where(start > 0, total[start - 1], 0)
+
+    def summed(name):
+        total = np.cumsum(t.column(name).chunk(0).flatten().to_numpy(), dtype=np.int64)
+        return total - np.repeat(np.where(start > 0, total[start - 1], 0), sizes)
+
     bucket = np.repeat(t.column("bucket").chunk(0).to_numpy(), sizes).astype(np.int64)
-    return bucket, total - np.repeat(base, sizes), *(t.column(c).chunk(0).flatten().to_numpy(zero_copy_only=False) for c in names)
+    return bucket, summed("id"), summed("pos"), *(t.column(c).chunk(0).flatten().to_numpy(zero_copy_only=False) for c in names)
 
 
 def _groups(*keys):
@@ -152,7 +158,7 @@ def _by_doc(ids, th, pos):
                                        lists(pos, np.r_[start, len(ids)], pa.int32())], ["ord", "th", "pos"])
 
 
-BLOCK_TYPE = "bucket int, id array<long>, code array<byte>, pos array<int>"
+BLOCK_TYPE = "bucket int, id array<long>, pos array<int>, code array<byte>"
 MARK_TYPE = "ord long, th int, pos array<int>"
 SINGLE, KNOWN, SHARED = 0, 1, 2
 
@@ -178,18 +184,17 @@ def _anchors(window, n_buckets, chunk_words):
             code = np.r_[np.where(many[send], SHARED, SINGLE), np.full(len(keep), KNOWN)].astype(np.int8)
             own = ids[doc[pick]]
             bucket = np.where(code == KNOWN, _mix(own.view(np.uint64)), h[pick] >> np.uint64(32)) % np.uint64(n_buckets)
-            yield _blocks(bucket.astype(np.int64), own, [
-                (code, pa.int8()), (w.pos[at[pick]].astype(np.int32), pa.int32()),
-                (h[pick].astype(np.uint32).view(np.int32), pa.int32())], ["code", "pos", "h"])
+            yield _blocks(bucket.astype(np.int64), own, w.pos[at[pick]].astype(np.int32), [
+                (code, pa.int8()), (h[pick].astype(np.uint32).view(np.int32), pa.int32())], ["code", "h"])
     return run
 
 
 def _shared(parts):
     """Anchors whose hash two documents hold: marks by document."""
-    got = _unblocked(parts, ["code", "pos", "h"])
+    got = _unblocked(parts, ["code", "h"])
     if got is None:
         return
-    bucket, ids, code, pos, h = got
+    bucket, ids, pos, code, h = got
     ask = np.flatnonzero(code != KNOWN)
     order, group, start = _groups(bucket[ask], h[ask])
     o = ask[order]
@@ -222,19 +227,24 @@ def _windows(window, n_buckets, chunk_words):
             known = own > np.minimum.reduceat(own, start)[group] if len(own) else np.empty(0, bool)
             code = np.where(known, KNOWN, SINGLE).astype(np.int8)
             k1, k2 = np.where(known, np.uint64(0), k1), np.where(known, np.uint64(0), k2)
-            bucket = _mix(np.where(known, own.view(np.uint64), k1)) % np.uint64(n_buckets)
-            yield _blocks(bucket.astype(np.int64), own, [
-                (code, pa.int8()), (w.pos[at].astype(np.int32), pa.int32()), (k1.view(np.int64), pa.int64()),
-                (k2.astype(np.uint32).view(np.int32), pa.int32()), (th[w.doc[at]], pa.int32())], ["code", "pos", "k1", "k2", "th"])
+            # windows go where their smallest anchor hash says: neighbours mostly to the same bucket
+            anchor = w.windows(window - period + 1, 0)
+            least = anchor.copy()
+            for k in range(1, period):
+                least[:-k] = np.minimum(least[:-k], anchor[k:])
+            bucket = _mix(np.where(known, own.view(np.uint64), least[at])) % np.uint64(n_buckets)
+            yield _blocks(bucket.astype(np.int64), own, w.pos[at].astype(np.int32), [
+                (code, pa.int8()), (k1.view(np.int64), pa.int64()), (k2.astype(np.uint32).view(np.int32), pa.int32()),
+                (th[w.doc[at]], pa.int32())], ["code", "k1", "k2", "th"])
     return run
 
 
 def _covered(parts):
     """Windows that also start in a document with a smaller id, by document."""
-    got = _unblocked(parts, ["code", "pos", "k1", "k2", "th"])
+    got = _unblocked(parts, ["code", "k1", "k2", "th"])
     if got is None:
         return
-    _, ids, code, pos, k1, k2, th = got
+    _, ids, pos, code, k1, k2, th = got
     o = np.flatnonzero(code != KNOWN)
     order, group, start = _groups(k1[o], k2[o])
     o = o[order]
@@ -254,7 +264,7 @@ def _removed(window):
                 for f in found or ():
                     if f["th"] == th:
                         np.add.at(edge, f["pos"], 1)
-                        np.add.at(edge, np.array(f["pos"]) + window, -1)
+                        np.add.at(edge, np.array(f["pos"], np.int64) + window, -1)
                 gone = np.cumsum(edge[:-1]) > 0
                 cut = np.flatnonzero(np.diff(np.r_[False, gone, False].astype(np.int8)))
                 texts.append(b" ".join([words[i] for i in np.flatnonzero(~gone)] if gone.any() else words))
@@ -280,9 +290,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     spark = docs.sparkSession
     n_buckets = BUCKETS_PER_PARTITION * partitions(spark)
-    rest = [F.col(c) for c in docs.columns if c != text_col]
-    base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("ord"), F.struct(*rest).alias("row"),
-                       F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
+    base = docs.select(F.coalesce(col(id_col).cast("long"), F.lit(LAST)).alias("ord"), packed(docs, (text_col,)),
+                       F.coalesce(col(text_col), F.lit("")).cast("binary").alias("text"))
     th = F.xxhash64("text").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("th")
 
     def dealt(blocks):
@@ -290,13 +299,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     marks = dealt(base.select("ord", "text").mapInArrow(_anchors(window, n_buckets, chunk_words), BLOCK_TYPE + ", h array<int>")).mapInArrow(_shared, MARK_TYPE)
     by_doc = marks.groupBy("ord").agg(F.collect_list("pos").alias("marks"))
-    around = base.join(by_doc, "ord").select("ord", "text", "marks", th)
+    # with ``row``, so that this join and the last read the same exchange of the documents
+    around = base.join(by_doc, "ord").select("ord", "row", "text", "marks", th)
     found = dealt(around.mapInArrow(_windows(window, n_buckets, chunk_words),
                                     BLOCK_TYPE + ", k1 array<long>, k2 array<int>, th array<int>")).mapInArrow(_covered, MARK_TYPE)
     by_doc = found.groupBy("ord").agg(F.collect_list(F.struct("th", "pos")).alias("found"))
     joined = base.join(by_doc, "ord", "left").select("row", "text", "found", th)
-    row_type = base.select("row").schema["row"].dataType.simpleString()
-    out = joined.mapInArrow(_removed(window), f"row {row_type}, kept binary, n_words long, n_removed long, spans array<struct<start:int,end:int>>")
+    out = joined.mapInArrow(_removed(window), schema_of(base, "kept binary, n_words long, n_removed long, spans array<struct<start:int,end:int>>"))
     return out.withColumn("kept", F.col("kept").cast("string"))
 
 
