@@ -3,7 +3,7 @@
 A defined subset of signatures, checked on the first bytes as a short hex
 string.  Markup is looked for after any leading white space.  Text detection
 checks UTF-8 validity of the whole value; other bytes are text in a one-byte
-character set unless they hold control characters.
+character set if at least half are ASCII and none is a control character.
 """
 
 from __future__ import annotations
@@ -49,6 +49,7 @@ def detect_mimetype(content: Column) -> Column:
     text = F.when(F.substring(head_hex, 1, 2).isin("09", "0A", "0C", "0D", "20"), F.ltrim(content.cast("string"), F.lit(" \t\n\f\r")))
     lead = F.substring(F.coalesce(text.cast("binary"), content), 1, 16)
     head_txt = F.lower(F.decode(lead, "ISO-8859-1"))
+    latin = F.decode(content, "ISO-8859-1")
     expr = F.when(F.octet_length(content) == 0, F.lit(TEXT_PLAIN))
     for sig, name in SIGNATURES:
         expr = expr.when(F.startswith(head_hex, F.lit(sig)), F.lit(name))
@@ -59,8 +60,8 @@ def detect_mimetype(content: Column) -> Column:
             F.lit(HTML_UTF8),
         )
         .when(F.is_valid_utf8(content), F.lit(TEXT_UTF8))
-        .when(F.decode(content, "ISO-8859-1").rlike(CONTROL), F.lit(OCTET))
-        .otherwise(F.when(F.decode(content, "ISO-8859-1").rlike("[\\x80-\\x9f]"), F.lit(TEXT_1252)).otherwise(F.lit(TEXT_8859)))
+        .when(latin.rlike(CONTROL) | (2 * F.length(F.regexp_replace(latin, "[^\\x09-\\x7e]", "")) < F.octet_length(content)), F.lit(OCTET))
+        .otherwise(F.when(latin.rlike("[\\x80-\\x9f]"), F.lit(TEXT_1252)).otherwise(F.lit(TEXT_8859)))
     )
     return expr
 

@@ -26,6 +26,20 @@ def test_mimetype_ladder(spark):
                    "text/plain; charset=utf-8", "application/octet-stream"]
 
 
+def test_mimetype_of_one_byte_text_and_late_markup(spark):
+    rows = [(bytearray("café menu".encode("latin-1")),), (bytearray(b"it\x92s fine"),), (bytearray(b" " * 80 + b"<html>"),), (bytearray(b"\n%PDF-1.4"),),
+            (bytearray(b"text \xe9 \x00"),)]
+    got = [r[0] for r in spark.createDataFrame(rows, "c binary").select(detect_mimetype(F.col("c"))).collect()]
+    assert got == ["text/plain; charset=iso-8859-1", "text/plain; charset=windows-1252", "text/html; charset=utf-8", "application/pdf",
+                   "application/octet-stream"]
+
+
+def test_weblinks_of_any_scheme(spark):
+    text = "mailto:a@b.org, gopher://x.org/1 and svn+ssh://h/p; irc://i/c. tel:+49-30 xmpp:u@h not:this http://"
+    got = spark.createDataFrame([(text,)], "t string").select(weblinks(F.col("t"))).first()[0]
+    assert got == ["gopher://x.org/1", "irc://i/c", "mailto:a@b.org", "svn+ssh://h/p", "tel:+49-30", "xmpp:u@h"]
+
+
 def test_weblinks_shapes(spark):
     text = ("see https://en.wikipedia.org/wiki/Sandbox_(software_development). and http://arXiv, "
             "https://www.crossref.org/ again https://www.crossref.org/ and "
