@@ -41,6 +41,7 @@ NAMES = frozenset("""ad ads advert adverts advertisement advertisements adsense
     comment comments commentlist disqus reply replies respond cookie cookies consent gdpr notice notices notification alert popup modal
     newsletter subscribe subscription signup login share sharing social related recommended pagination pager form search skip
     complementary contentinfo banner""".split())
+STEMS = re.compile(r"comment|cookie|advert|sidebar|newsletter|sponsor|breadcrumb|popup|consent|disqus|gdpr|notice")
 MILD = frozenset("header banner side promo widget section search form".split())  # also parts of an article's own names
 ARTICLE = frozenset("article main post entry content story articlebody postcontent entrycontent maincontent".split())
 WORDS = re.compile(r"[a-z]+")
@@ -73,11 +74,15 @@ class Blocks(HTMLParser):
         self.text = []
 
     def names(self, attrs):
+        """Words of the names an element carries; a run-together name counts by
+        the stem in it, layout hints ("has-sidebar") do not count."""
         words = set()
         for k, v in attrs:
-            if k in ("class", "id", "role", "itemprop", "aria-label") and v and k != "aria-label":
-                words.update(WORDS.findall(LAYOUT.sub("", re.sub(r"([a-z])([A-Z])", r"\1 \2", v).lower())))
-                words.update(w.replace("-", "").replace("_", "") for w in v.lower().split())
+            if k in ("class", "id", "role", "itemprop") and v:
+                own = LAYOUT.sub("", re.sub(r"([a-z])([A-Z])", r"\1 \2", v).lower())
+                words.update(WORDS.findall(own))
+                words.update(w.replace("-", "").replace("_", "") for w in own.split())
+                words.update(STEMS.findall(own))
         return words
 
     def handle_starttag(self, tag, attrs):

@@ -108,6 +108,12 @@ PAGE = """<html><head><title>t</title><script>var a = "<p>no</p>";</script><styl
 <form><label>Mail</label><input></form><div class="advert">Buy now, cheap and good, all that you ever wanted</div><footer>(c) us</footer></body></html>"""
 
 
+@pytest.mark.parametrize("name", ["reader-comments", "commentList", "cookiebanner", "ad-slot", "rightSidebar", "site_notice", "post-comments"])
+def test_html_furniture_by_name(name):
+    body = f"<article><p>The article text goes here and on.</p><div class='{name}'><p>Not part of the article at all, really.</p></div></article>"
+    assert html_text.main_text(PAGE.format(body=body)) == "The article text goes here and on."
+
+
 @pytest.mark.parametrize("body", [
     "<article><h1>Head</h1><p>First  long\nparagraph of the text, that is it.</p><p>Hi.</p><section id=comments><p>A comment that is rather long, as they are.</p></section></article>",
     "<main><h1>Head</h1><p>First long paragraph of the text, that is it.</p><p>Hi.</p></main>",
