@@ -67,10 +67,6 @@ def shard_prefix2(h) -> Column:
     return F.when(F.length(h) >= 2, F.substring(h, 1, 2)).otherwise(F.lit(""))
 
 
-def no_sharding(h) -> Column:
-    return F.lit("")
-
-
 def download_url(item, name) -> Column:
     """Download URL of a file in an archive item."""
     return F.concat(F.lit(DOWNLOAD_BASE), _c(item), F.lit("/"), _c(name))

@@ -16,14 +16,3 @@ def distinct_content(df: DataFrame, order: str, content: str = "content") -> Dat
     return k.groupBy("sha1hex").agg(
         F.min(order).alias("first_doc"), F.count(F.lit(1)).cast("bigint").alias("copies")
     )
-
-
-def first_arrival_flag(df: DataFrame, key: str, order: str, flag: str = "is_first") -> DataFrame:
-    """Mark the first arrival per key without a window over the key.
-
-    min(order) per key is a partial aggregate; the join back on ``key`` is a
-    skew-aware equi-join under AQE, where a window would sort a hot key's rows
-    in one task.
-    """
-    firsts = df.groupBy(key).agg(F.min(order).alias("_first"))
-    return df.join(firsts, key, "left").withColumn(flag, F.col(order) == F.col("_first")).drop("_first")

@@ -111,18 +111,3 @@ def range_partitions(spark: SparkSession, requested: int | None = None) -> int:
     conf = spark.conf.get("spark.sql.shuffle.partitions", "200")
     shuffle = int(conf) if conf.isdigit() else 200
     return max(shuffle, 2 * spark.sparkContext.defaultParallelism)
-
-
-def cluster_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
-    """Settings for a cluster run over ``input_bytes`` of input with
-    ``cores`` task slots: shuffle partitions so that one holds about
-    ``partition_bytes`` (AQE coalesces from there, and splits skewed ones),
-    scan splits of 256 MiB, and small Arrow batches for blob-sized rows."""
-    parts = max(2 * cores, -(-input_bytes // partition_bytes))
-    return {
-        **DEFAULT_CONF,
-        "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.files.maxPartitionBytes": str(256 << 20),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
-    }
