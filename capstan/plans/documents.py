@@ -280,7 +280,8 @@ STRUCTURED_LIMIT = 20_000  # bytes; stands in for the 256 MiB default at fixture
 @query("structured_gate", sql=f"""
 WITH """ + EXTRACT_CTE + f"""
 SELECT doc_id, status = 'success' AND size <= {STRUCTURED_LIMIT} AS eligible,
-       CAST(CASE WHEN status = 'success' THEN 0 ELSE 1 END AS BIGINT) AS errors
+       CAST(CASE WHEN status = 'success' THEN 0 ELSE 1 END + CASE WHEN status = 'success' AND size > {STRUCTURED_LIMIT} THEN 1 ELSE 0 END
+            + CASE WHEN status = 'success' AND doc_id % 120 < 50 THEN 1 ELSE 0 END AS BIGINT) AS errors
 FROM s
 """)
 def q_structured_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -288,7 +289,9 @@ def q_structured_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized = gated.withColumn("blob_size", F.octet_length("content").cast("bigint")).drop("content")
     r = derive.extract(sized)
     eligible = (F.col("status") == "success") & (F.col("blob_size") <= F.lit(STRUCTURED_LIMIT))
-    return r.select("doc_id", eligible.alias("eligible"), stats.error_count(F.col("err")).alias("errors"))
+    too_large = F.when((F.col("status") == "success") & (F.col("blob_size") > F.lit(STRUCTURED_LIMIT)), F.lit(derive.TOO_LARGE))
+    steps = stats.error_count(F.col("err"), too_large, F.col("thumb_note"))  # extraction, XML, thumbnail
+    return r.select("doc_id", eligible.alias("eligible"), steps.alias("errors"))
 
 
 @query("result_json", sql="""
