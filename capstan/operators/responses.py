@@ -80,11 +80,47 @@ def file_counts(records: DataFrame) -> DataFrame:
     )
 
 
-def export_names(records: DataFrame) -> DataFrame:
+def _number_in_order(batches):
+    """W1 and W3 where a task sees whole files in record order: a counter and
+    the names given so far, per file."""
+    import pyarrow as pa
+
+    at, last, n, given, done = None, None, 0, set(), set()
+    for b in batches:
+        numbers, first = [], []
+        cols = (b.column(c).to_pylist() for c in ("warc_file", "record_idx", "last_segment"))
+        for name, idx, segment in zip(*cols):
+            if name != at:
+                done.add(at)
+                at, last, n, given = name, None, 0, set()
+            if name in done or (last is not None and idx <= last):
+                raise ValueError(f"records of {name} are not in order; use in_reader_order=False")
+            last, n = idx, n + 1
+            wanted = segment or f"pdf_{n:04d}.pdf"
+            numbers.append(n)
+            first.append(wanted not in given)
+            given.add(wanted)
+        yield pa.RecordBatch.from_arrays([b.column("warc_file"), b.column("record_idx"), b.column("uri"), pa.array(numbers, pa.int64()), pa.array(first, pa.bool_())],
+                                         ["warc_file", "record_idx", "uri", "pdf_num", "is_first"])
+
+
+def export_names(records: DataFrame, in_reader_order: bool = True) -> DataFrame:
     """Documents found by P9, numbered per file in record order (W1);
     named after the URL when it ends in .pdf (F19); a repeated name within
-    a file keeps the first and numbers the rest (W3)."""
+    a file keeps the first and numbers the rest (W3).
+
+    ``records`` straight from the archive reader hold whole files in order in
+    one task, so they are numbered there, without a shuffle; for any other
+    table pass ``in_reader_order=False``."""
     docs = records.where(P.head_pdf(records)).select("warc_file", "record_idx", F.col("target_uri").alias("uri"))
+    if in_reader_order:
+        last = F.element_at(F.split(F.coalesce("uri", F.lit("")), "/"), -1)
+        keyed = docs.withColumn("last_segment", F.when(F.endswith(F.lower(last), F.lit(".pdf")), last))
+        got = keyed.mapInArrow(_number_in_order, "warc_file string, record_idx long, uri string, pdf_num long, is_first boolean")
+        numbered = F.format_string("pdf_%04d.pdf", F.col("pdf_num"))
+        return got.select("warc_file", "record_idx", "uri", "pdf_num",
+                          export_filename(F.col("uri"), F.col("pdf_num")).alias("wanted"),
+                          F.when(F.col("is_first"), export_filename(F.col("uri"), F.col("pdf_num"))).otherwise(numbered).alias("filename"))
     # The numbering reads its input several times; materialise the small key
     # table once (reliable checkpoint in the shared checkpoint folder) so the
     # archive files are scanned once.

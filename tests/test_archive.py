@@ -221,3 +221,19 @@ def test_plain_and_single_member_files(spark):
     assert recs[plain[1].record_offset:].startswith(b"WARC/1.0")
     # one member: the records share its offset; its length is known at its end
     assert {r.record_offset for r in whole} == {0} and whole[-1].record_length is not None
+
+
+def test_export_names_both_ways_agree(spark):
+    path = scratch_path(spark, "t-names")
+    pdf = bytearray(_response(b"%PDF-1.4 data", "application/pdf"))
+    uris = ["http://a/x.pdf", "http://a/y", "http://b/x.pdf", "http://b/pdf_0002.pdf", "http://c/X.PDF", "http://a/x.pdf"]
+    rows = [(f"f{i % 2}", i, "response", None, None, u, "application/http; msgtype=response", pdf) for i, u in enumerate(uris * 3)]
+    df = spark.createDataFrame(rows, "warc_file string, record_idx long, warc_type string, record_id string, "
+                                     "record_date string, target_uri string, content_type string, payload binary")
+    warc.write_warc(df, path)
+    recs = warc.read_warc(spark, path)
+    cols = ["warc_file", "record_idx", "uri", "pdf_num", "filename"]
+    a, b = (sorted(map(tuple, R.export_names(recs, in_reader_order=o).select(*cols).collect())) for o in (True, False))
+    assert a == b and len(a) == 18 and len({(f, n) for f, _, _, _, n in a}) > 6
+    with pytest.raises(Exception, match="not in order"):
+        R.export_names(recs.orderBy(F.desc("record_idx"))).collect()
