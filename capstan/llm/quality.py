@@ -55,6 +55,17 @@ def _unit(x):
     return np.divide(x, norm, out=np.zeros_like(x), where=norm > 0)
 
 
+def _axes(x: np.ndarray, dims: int, rounds: int = 12) -> np.ndarray:
+    """The leading right singular vectors of ``x``, by subspace iteration: a
+    few columns at a time, so that the driver never holds a terms-by-terms
+    matrix.  The start is fixed, so a fit can be repeated."""
+    q = np.random.default_rng(0).standard_normal((x.shape[1], min(dims + 16, *x.shape))).astype(np.float32)
+    for _ in range(rounds):
+        q, _ = np.linalg.qr(x.T @ (x @ q))
+    _, _, v = np.linalg.svd(x @ q, full_matrices=False)
+    return np.ascontiguousarray((q @ v.T)[:, :dims])
+
+
 class Model:
     """Latent vectors of the labelled sample and how to map others there."""
 
@@ -65,8 +76,7 @@ class Model:
         df = (features > 0).sum(axis=0)
         self.idf = (np.log((1 + len(labels)) / (1 + df)) + 1).astype(np.float32)
         x = self.weighted(features)
-        _, vectors = np.linalg.eigh((x.T @ x).astype(np.float64))
-        self.axes = np.ascontiguousarray(vectors[:, ::-1][:, :dims]).astype(np.float32)
+        self.axes = _axes(x, dims)
         self.vectors = _unit(x @ self.axes)
 
     def weighted(self, features: np.ndarray) -> np.ndarray:
@@ -114,8 +124,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     texts = (docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(sample, "id")
              .groupBy("id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text")))
     rows = texts.select("label", F.col("text").cast("binary").alias("text"), "id").mapInArrow(_features, "label int, features binary").collect()
-    x = np.array([np.frombuffer(r["features"], np.float32) for r in rows], np.float32).reshape(-1, (1 << BITS) + STYLE * BINS)
+    x = np.frombuffer(b"".join(r["features"] for r in rows), np.float32).reshape(-1, (1 << BITS) + STYLE * BINS)
     y = np.array([r["label"] for r in rows], np.float32)
+    del rows
     order = np.lexsort((x.sum(axis=1), y))
     return Model(x[order], y[order], float(totals[1]) if totals[0] else 0.5)
 
