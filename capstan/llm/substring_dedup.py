@@ -16,6 +16,8 @@ partitions rise.
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -125,17 +127,19 @@ def _unblocked(parts, names):
     got = [b for b in parts if b.num_rows]
     if not got:
         return None
-    t = pa.Table.from_batches(got).combine_chunks()
-    ids = t.column("id").chunk(0)
-    sizes = np.diff(ids.offsets.to_numpy())
+
+    def flat(name):
+        return np.concatenate([b.column(name).flatten().to_numpy(zero_copy_only=False) for b in got])
+
+    sizes = np.concatenate([np.diff(b.column("id").offsets.to_numpy()) for b in got])
     start = np.r_[0, np.cumsum(sizes)[:-1]]
 
     def summed(name):
-        total = np.cumsum(t.column(name).chunk(0).flatten().to_numpy(), dtype=np.int64)
+        total = np.cumsum(flat(name), dtype=np.int64)
         return total - np.repeat(np.where(start > 0, total[start - 1], 0), sizes)
 
-    bucket = np.repeat(t.column("bucket").chunk(0).to_numpy(), sizes).astype(np.int64)
-    return bucket, summed("id"), summed("pos"), *(t.column(c).chunk(0).flatten().to_numpy(zero_copy_only=False) for c in names)
+    bucket = np.repeat(np.concatenate([b.column("bucket").to_numpy() for b in got]), sizes).astype(np.int64)
+    return bucket, summed("id"), summed("pos"), *map(flat, names)
 
 
 def _groups(*keys):
@@ -158,7 +162,8 @@ def _by_doc(ids, th, pos):
                                        lists(pos, np.r_[start, len(ids)], pa.int32())], ["ord", "th", "pos"])
 
 
-BLOCK_TYPE = "bucket int, id array<long>, pos array<int>, code array<byte>"
+BLOCK_TYPE = "bucket int, id array<long>, pos array<int>"
+FOUND_TYPE = BLOCK_TYPE + ", th array<int>"
 MARK_TYPE = "ord long, th int, pos array<int>"
 SINGLE, KNOWN, SHARED = 0, 1, 2
 
@@ -189,8 +194,22 @@ def _anchors(window, n_buckets, chunk_words):
     return run
 
 
-def _shared(parts):
-    """Anchors whose hash two documents hold: marks by document."""
+def _found(n_buckets, ids, th, pos):
+    """Positions in blocks by document: few rows, whatever the number of
+    tasks among which a document's hashes were spread."""
+    return _blocks((_mix(ids.view(np.uint64)) % np.uint64(n_buckets)).astype(np.int64), ids, pos, [(th, pa.int32())], ["th"])
+
+
+def _gathered(parts):
+    """All positions of each document of a task."""
+    got = _unblocked(parts, ["th"])
+    if got is not None:
+        _, ids, pos, th = got
+        yield _by_doc(ids, th, pos)
+
+
+def _shared(n_buckets, parts):
+    """Anchors whose hash two documents hold."""
     got = _unblocked(parts, ["code", "h"])
     if got is None:
         return
@@ -202,7 +221,7 @@ def _shared(parts):
         shared = (np.minimum.reduceat(ids[o], start) != np.maximum.reduceat(ids[o], start)) | (np.maximum.reduceat(code[o], start) == SHARED)
         o = o[shared[group]]
     o = np.r_[o, np.flatnonzero(code == KNOWN)]
-    yield _by_doc(ids[o], np.zeros(len(o), np.int32), pos[o])
+    yield _found(n_buckets, ids[o], np.zeros(len(o), np.int32), pos[o])
 
 
 def _windows(window, n_buckets, chunk_words):
@@ -239,8 +258,8 @@ def _windows(window, n_buckets, chunk_words):
     return run
 
 
-def _covered(parts):
-    """Windows that also start in a document with a smaller id, by document."""
+def _covered(n_buckets, parts):
+    """Windows that also start in a document with a smaller id."""
     got = _unblocked(parts, ["code", "k1", "k2", "th"])
     if got is None:
         return
@@ -251,7 +270,7 @@ def _covered(parts):
     if len(o):
         o = o[ids[o] > np.minimum.reduceat(ids[o], start)[group]]
     o = np.r_[o, np.flatnonzero(code == KNOWN)]
-    yield _by_doc(ids[o], th[o], pos[o])
+    yield _found(n_buckets, ids[o], th[o], pos[o])
 
 
 def _removed(window):
@@ -297,12 +316,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def dealt(blocks):
         return blocks.repartition(partitions(spark), "bucket")
 
-    marks = dealt(base.select("ord", "text").mapInArrow(_anchors(window, n_buckets, chunk_words), BLOCK_TYPE + ", h array<int>")).mapInArrow(_shared, MARK_TYPE)
+    def found_by(rule, blocks):
+        places = dealt(blocks).mapInArrow(partial(rule, n_buckets), FOUND_TYPE)
+        return dealt(places).mapInArrow(_gathered, MARK_TYPE)
+
+    anchors = base.select("ord", "text").mapInArrow(_anchors(window, n_buckets, chunk_words), BLOCK_TYPE + ", code array<byte>, h array<int>")
+    marks = found_by(_shared, anchors)
     by_doc = marks.groupBy("ord").agg(F.collect_list("pos").alias("marks"))
     # with ``row``, so that this join and the last read the same exchange of the documents
     around = base.join(by_doc, "ord").select("ord", "row", "text", "marks", th)
-    found = dealt(around.mapInArrow(_windows(window, n_buckets, chunk_words),
-                                    BLOCK_TYPE + ", k1 array<long>, k2 array<int>, th array<int>")).mapInArrow(_covered, MARK_TYPE)
+    found = found_by(_covered, around.mapInArrow(_windows(window, n_buckets, chunk_words),
+                                                 BLOCK_TYPE + ", code array<byte>, k1 array<long>, k2 array<int>, th array<int>"))
     by_doc = found.groupBy("ord").agg(F.collect_list(F.struct("th", "pos")).alias("found"))
     joined = base.join(by_doc, "ord", "left").select("row", "text", "found", th)
     out = joined.mapInArrow(_removed(window), schema_of(base, "kept binary, n_words long, n_removed long, spans array<struct<start:int,end:int>>"))
