@@ -28,7 +28,7 @@ from capstan.llm.registry import query
 from capstan.tables import table
 
 WINDOW = 13
-CHUNK_WORDS = 1 << 20  # words a task handles at a time
+CHUNK_WORDS = 1 << 18  # words a task handles at a time
 BUCKETS_PER_PARTITION = 4
 #: Perfect difference sets, period to residues.
 COVERS = {3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (0, 1, 3, 8, 12, 18)}
