@@ -27,7 +27,7 @@ ARTIFACT_KINDS = [
 
 
 def _content_of_kind(result: DataFrame):
-    by_kind = F.when(F.col("a.kind") == "thumbnail", F.col("page0thumbnail")).when(F.col("a.kind") == "text", F.encode(F.col("text"), "UTF-8"))
+    by_kind = F.when(F.col("a.kind") == "thumbnail", F.col("page0thumbnail")).when(F.col("a.kind") == "text", F.col("_text"))
     return (by_kind.otherwise(F.col("xml")) if "xml" in result.columns else by_kind).alias("content")
 
 
@@ -36,15 +36,16 @@ def fan_out(result: DataFrame, order: str = "doc_id", with_content: bool = True)
     non-empty, structured XML when present.  Key, kind, type and size are
     worked out first; the content is attached only where a writer stores it
     (``with_content``)."""
-    ok = result.where(F.col("status") == "success")
+    # encoded once, in a projection of its own
+    ok = result.where(F.col("status") == "success").withColumn("_text", F.encode(F.col("text"), "UTF-8"))
     has_xml = "xml" in result.columns
     items = []
     for kind, bucket, folder, ext in ARTIFACT_KINDS:
         if kind == "thumbnail":
             content, present = F.col("page0thumbnail"), has_thumbnail_to_store(result)
         elif kind == "text":
-            content = F.encode(F.col("text"), "UTF-8")
-            present = F.octet_length(F.col("text")) > 0
+            content = F.col("_text")
+            present = F.octet_length(content) > 0
         else:
             if not has_xml:
                 continue
@@ -57,7 +58,7 @@ def fan_out(result: DataFrame, order: str = "doc_id", with_content: bool = True)
                 F.octet_length(content).cast("bigint").alias("size"),
             ))
         )
-    exploded = ok.select(*[c for c in (order, "sha1hex", "page0thumbnail", "text", "xml") if c in ok.columns],
+    exploded = ok.select(*[c for c in (order, "sha1hex", "page0thumbnail", "_text", "xml") if c in ok.columns],
                          F.explode(F.array_compact(F.array(*items))).alias("a"))
     rows = exploded.select(
         order, "sha1hex", "a.kind", "a.bucket",

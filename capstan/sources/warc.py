@@ -41,7 +41,7 @@ from capstan.schemas import WARC_RECORDS
 from capstan.sources import fsio
 
 CHUNK = 1 << 20
-PACK_BYTES = 32 << 20
+PACK_BYTES, OPEN_BYTES = 32 << 20, 256 << 10
 
 
 class FilesPartition(InputPartition):
@@ -50,9 +50,11 @@ class FilesPartition(InputPartition):
         self.paths = paths
 
 
-def packed_files(path: str, pack_bytes: int) -> list[list[str]]:
-    """Files under ``path`` in order, small ones packed together."""
+def packed_files(path: str, pack_bytes: int, slots: int = 1) -> list[list[str]]:
+    """Files under ``path`` in order, small ones packed together: up to
+    ``pack_bytes``, and less where there would be fewer packs than ``slots``."""
     sizes = {p: n for p, n, _ in fsio.walk_files(path)}
+    pack_bytes = min(pack_bytes, max(OPEN_BYTES, sum(sizes.values()) // max(1, slots)))
     out: list[list[str]] = []
     room = 0
     for f in fsio.list_files(path):
@@ -307,10 +309,11 @@ class WarcReader(DataSourceReader):
         self.types = {t.strip() for t in types.split(",") if t.strip()} or None
         self.dechunk = options.get("dechunk", "true").lower() == "true"
         self.pack_bytes = int(options.get("packBytes", str(PACK_BYTES)))
+        self.slots = int(options.get("slots", "1"))
         self.equal: dict[str, set] = {}
 
     def partitions(self):
-        return [FilesPartition(p) for p in packed_files(self.path, self.pack_bytes)]
+        return [FilesPartition(p) for p in packed_files(self.path, self.pack_bytes, self.slots)]
 
     def _keep(self, heads: dict) -> bool:
         wt = heads.get("warc-type")
@@ -446,7 +449,7 @@ def register(spark: SparkSession) -> None:
 def read_warc(spark: SparkSession, path: str, payload: bool = True, **options) -> DataFrame:
     register(spark)
     pushdown = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")
-    opts = {"payload": str(payload).lower(), "pushdown": pushdown, **{k: str(v) for k, v in options.items()}}
+    opts = {"payload": str(payload).lower(), "pushdown": pushdown, "slots": str(spark.sparkContext.defaultParallelism), **{k: str(v) for k, v in options.items()}}
     return spark.read.format("warc").options(**opts).load(path)
 
 

@@ -23,7 +23,15 @@ BINARY_SCHEMA = "path string, modificationTime timestamp, length bigint, content
 def spool_stream(spark: SparkSession, spool_dir: str, max_files: int = 1000,
                  clean_source: str = "off", archive_dir: str | None = None) -> DataFrame:
     """A file stream over the spool folder.  ``max_files`` is admission per
-    micro-batch; nothing is left out."""
+    micro-batch; nothing is left out.
+
+    Each micro-batch names its files explicitly, and Spark lists more than 32
+    explicit paths with a job of up to 10,000 tasks, however few task slots
+    there are; unless the session says otherwise, the job gets four tasks a
+    slot."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    if spark.conf.get(key) == "10000":  # the default
+        spark.conf.set(key, str(4 * spark.sparkContext.defaultParallelism))
     r = (spark.readStream.format("binaryFile").schema(BINARY_SCHEMA)
          .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", str(max_files))
          .option("cleanSource", clean_source))

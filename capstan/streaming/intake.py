@@ -115,6 +115,7 @@ def spool_intake_writer(spool_dir: str, tables: str, max_size: int = 0, has_spac
             write_hashdir(content.select("content"), spool_dir)
             # a retried batch replaces its own partitions only
             (content.select("sha1hex", "size", "path", shard_prefix2(F.col("sha1hex")).alias("shard"), F.lit(batch_id).cast("long").alias("batch"))
+             .repartition("shard")  # one file a prefix, not one for each task and prefix
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard", "batch").parquet(spool_path))
             if "url" in b.columns:
                 content.where(F.col("url").isNotNull()).select(
