@@ -41,11 +41,15 @@ NAMES = frozenset("""ad ads advert adverts advertisement advertisements adsense
     comment comments commentlist disqus reply replies respond cookie cookies consent gdpr notice notices notification alert popup modal
     newsletter subscribe subscription signup login share sharing social related recommended pagination pager form search skip
     complementary contentinfo banner""".split())
-STEMS = re.compile(r"comment|cookie|advert|sidebar|newsletter|sponsor|breadcrumb|popup|consent|disqus|gdpr|notice")
+#: Run-together names of furniture: one of these stems, with known beginnings and endings only ("commentary" is none).
+STEMS = re.compile(r"(?:site|page|post|blog|article|story|reader|user|guest|left|right|top|bottom|main|global|mobile|desktop|sticky|email|wp|fb|js|my|the|eu)*"
+                   r"(comment|cookie|advert|sidebar|newsletter|sponsor|breadcrumb|popup|consent|disqus|gdpr|notice)"
+                   r"(?:s|ed|ing|isement|list|item|thread|count|author|form|box|bar|area|block|banner|section|wrapper|wrap|container|holder|inner|outer|content"
+                   r"|body|text|message|link|law|policy|info|overlay|modal|dialog|popup|consent|notice|signup|widget|left|right|top|bottom|nav|trail|slot|unit)*")
 MILD = frozenset("header banner side promo widget section search form".split())  # also parts of an article's own names
 ARTICLE = frozenset("article main post entry content story articlebody postcontent entrycontent maincontent".split())
 WORDS = re.compile(r"[a-z]+")
-LAYOUT = re.compile(r"\b(?:has|with|no|without)[-_ ]?\w+")
+LAYOUT = re.compile(r"(?<![a-z0-9])(?:has|with|no|without)[-_][\w-]+")
 SPACES = re.compile(r"\s+")
 
 
@@ -75,14 +79,14 @@ class Blocks(HTMLParser):
 
     def names(self, attrs):
         """Words of the names an element carries; a run-together name counts by
-        the stem in it, layout hints ("has-sidebar") do not count."""
+        the stem in it, layout hints ("has-sidebar", "hasSidebar") do not count."""
         words = set()
         for k, v in attrs:
             if k in ("class", "id", "role", "itemprop") and v:
-                own = LAYOUT.sub("", re.sub(r"([a-z])([A-Z])", r"\1 \2", v).lower())
+                own = LAYOUT.sub("", re.sub(r"([a-z])([A-Z])", r"\1-\2", v).lower())
                 words.update(WORDS.findall(own))
                 words.update(w.replace("-", "").replace("_", "") for w in own.split())
-                words.update(STEMS.findall(own))
+                words.update(m[1] for w in WORDS.findall(own) if (m := STEMS.fullmatch(w)))
         return words
 
     def handle_starttag(self, tag, attrs):

@@ -114,6 +114,18 @@ def test_html_furniture_by_name(name):
     assert html_text.main_text(PAGE.format(body=body)) == "The article text goes here and on."
 
 
+@pytest.mark.parametrize("name", ["notice", "notices", "notification", "alert notice", "site-notice", "sitenotice", "notice-bar", "noticebar", "readercomments", "casino-banner"])
+def test_html_notices_are_furniture(name):
+    body = f"<article><p>The article text goes here and on.</p><div class='{name}'><p>Not part of the article at all, really.</p></div></article>"
+    assert html_text.main_text(PAGE.format(body=body)) == "The article text goes here and on."
+
+
+@pytest.mark.parametrize("name", ["commentary", "noticeable", "cookiecutter", "sponsorship", "hasSidebar", "has-left-sidebar", "no-comments", "page_has_sidebar"])
+def test_html_names_that_are_no_furniture(name):
+    body = f"<div class='{name}'><p>The article text goes here and on.</p></div>"
+    assert html_text.main_text(PAGE.format(body=body)) == "The article text goes here and on."
+
+
 @pytest.mark.parametrize("body", [
     "<article><h1>Head</h1><p>First  long\nparagraph of the text, that is it.</p><p>Hi.</p><section id=comments><p>A comment that is rather long, as they are.</p></section></article>",
     "<main><h1>Head</h1><p>First long paragraph of the text, that is it.</p><p>Hi.</p></main>",
