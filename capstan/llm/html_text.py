@@ -28,6 +28,8 @@ SIGMA, THRESHOLD = 1.0, 0.5  # width in blocks; share of the ratios' deviation
 
 #: Elements by role.
 SKIP = frozenset("script style noscript template svg math iframe object canvas audio video select option textarea button head title datalist".split())
+HEAD = frozenset("html head base basefont bgsound link meta noframes noscript script style template title".split())
+HELD = frozenset("noscript template title".split())  # what is open in the head keeps other elements to itself
 FURNITURE = frozenset("nav footer aside form menu dialog".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BREAKS = frozenset("address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure footer form "
@@ -89,8 +91,17 @@ class Blocks(HTMLParser):
                 words.update(m[1] for w in WORDS.findall(own) if (m := STEMS.fullmatch(w)))
         return words
 
+    def end_head(self, always: bool):
+        """The end tag of the head is optional."""
+        opened = [o.tag for o in self.stack]
+        if "head" in opened and (always or not HELD & set(opened[opened.index("head"):])):
+            self.close_block()
+            del self.stack[opened.index("head"):]
+
     def handle_starttag(self, tag, attrs):
         self.tags += 1
+        if self.stack[-1].skip and tag not in HEAD:
+            self.end_head(always=tag == "body")
         if tag in BREAKS:
             self.close_block()
         if tag in CLOSES_P:
@@ -137,6 +148,8 @@ class Blocks(HTMLParser):
         self.end_to((tag,), stop=() if tag in BREAKS else {"p", "td", "li", "article", "div", "section", "body"})
 
     def handle_data(self, data):
+        if self.stack[-1].tag == "head" and data.strip():
+            self.end_head(always=True)
         if not self.stack[-1].skip:
             self.text.append(data)
 

@@ -135,6 +135,15 @@ def test_html_main_text(body):
     assert html_text.main_text(PAGE.format(body=body)) == "Head\nFirst long paragraph of the text, that is it.\nHi."
 
 
+@pytest.mark.parametrize("head, body", [
+    ("<head><title>t</title>", "<body><article><p>Text.</p></article></body>"), ("<head><title>t</title>", "<article><p>Text.</p></article>"),
+    ("<head><head><meta charset=utf-8><title>t</title>", "<p>Text."), ("<head><title>t</title><style>p{}</style>", "Text."),
+    ("<head><noscript><p>Needs scripts</p><img src=x></noscript><title>t</title>", "<div>Text.</div>"),
+    ("<head><template><div>none</div></template><script>a</script>", "<body><p>Text."), ("<head><title>t</title></head>", "<body><p>Text.</body>")])
+def test_html_head_without_end_tag(head, body):
+    assert html_text.main_text(f"<!DOCTYPE html><html>{head}{body}</html>") == "Text."
+
+
 def test_lines(mixed, empty, spark):
     got = [(r.row.doc_id, r.text, r.n_lines, r.n_dropped) for r in drop_common_lines(mixed).collect()]
     assert sorted(got, key=repr) == sorted(((i, t or "", (t or "").count("\n") + 1, 0) for i, t in mixed.select("doc_id", "text").collect()), key=repr)
