@@ -3,17 +3,21 @@
 Events of the standard library's parser are streamed into blocks (the "lines"
 of the method, as pages may hold no newline).  Each block's ratio of text to
 tags is smoothed with a Gaussian and blocks are clustered by a threshold on
-the smoothed ratio.  The clusters choose the content region: the article, main
-element or other container that holds most of the text in high blocks.  Blocks
-that mark-up names as page furniture (menus, adverts, comments ...) count as
-zero text and are never returned; of the region, all other blocks are, so a
-short paragraph is not lost beside long ones.
+the smoothed ratio.  The clusters choose the content region: all article and
+main elements if these hold most of the text in high blocks, or else the
+smallest container of all high blocks, all regions named as an article and the
+headings over them.  Blocks that mark-up names as page furniture (menus,
+adverts, comments ...) are never returned and, like blocks of links alone, do
+not vote; of the region, all other blocks are returned, so a short paragraph is
+not lost beside long ones.
 """
 
 from __future__ import annotations
 
 import re
 from html.parser import HTMLParser
+from os.path import commonprefix
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -50,34 +54,45 @@ STEMS = re.compile(r"(?:site|page|post|blog|article|story|reader|user|guest|left
                    r"|body|text|message|link|law|policy|info|overlay|modal|dialog|popup|consent|notice|signup|widget|left|right|top|bottom|nav|trail|slot|unit)*")
 MILD = frozenset("header banner side promo widget section search form".split())  # also parts of an article's own names
 ARTICLE = frozenset("article main post entry content story articlebody postcontent entrycontent maincontent".split())
+#: Article elements with one of these as a whole class are no part of the text.
+ASIDE = frozenset("comment comments reply replies related recommended ad advert advertisement".split())
 WORDS = re.compile(r"[a-z]+")
 LAYOUT = re.compile(r"(?<![a-z0-9])(?:has|with|no|without)[-_][\w-]+")
 SPACES = re.compile(r"\s+")
 
 
 class _Open:
-    __slots__ = ("tag", "skip", "furniture", "region")
+    """An open element and what holds inside it: skipped, furniture, region (a
+    path), in an article or main element, in one or a region named so, in a
+    link, heading (rank, number)."""
+    __slots__ = ("tag", "skip", "furniture", "region", "marked", "named", "link", "heading")
 
-    def __init__(self, tag, skip, furniture, region):
+    def __init__(self, tag, skip=False, furniture=False, region=(), marked=False, named=False, link=False, heading=None):
         self.tag, self.skip, self.furniture, self.region = tag, skip, furniture, region
+        self.marked, self.named, self.link, self.heading = marked, named, link, heading
+
+
+class Block(NamedTuple):
+    text: str
+    tags: int
+    plain: bool  # has text outside links
+    place: _Open
 
 
 class Blocks(HTMLParser):
-    """Streams events into blocks: text, tags, furniture, region (a path)."""
+    """Streams events into blocks."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack = [_Open("", False, False, ())]
-        self.out, self.text, self.tags, self.regions = [], [], 0, 0
-        self.kinds = {(): "page"}
+        self.stack = [_Open("")]
+        self.out, self.text, self.tags, self.plain, self.regions, self.headings = [], [], 0, False, 0, 0
 
     def close_block(self):
         text = SPACES.sub(" ", "".join(self.text)).strip()
         if text:
-            top = self.stack[-1]
-            self.out.append((text, max(1, self.tags), top.furniture, top.region))
+            self.out.append(Block(text, max(1, self.tags), self.plain, self.stack[-1]))
             self.tags = 0
-        self.text = []
+        self.text, self.plain = [], False
 
     def names(self, attrs):
         """Words of the names an element carries; a run-together name counts by
@@ -118,12 +133,19 @@ class Blocks(HTMLParser):
         inside = any(o.tag in ("article", "main") for o in self.stack)
         if tag == "header" and not inside:
             furniture = True
-        region = top.region
+        if tag == "article" and any(k in ("class", "role", "itemprop") and v and ASIDE & set(v.lower().split()) for k, v in attrs):
+            furniture = True
+        region, heading = top.region, top.heading
         if names_region and not furniture:
             self.regions += 1
             region = (*region, self.regions)
-            self.kinds[region] = "article" if tag in ("article", "main") or words & ARTICLE else tag
-        self.stack.append(_Open(tag, top.skip or tag in SKIP, furniture, region))
+        if tag in HEADING:
+            self.headings += 1
+            heading = (int(tag[1]), self.headings)
+        marked = top.marked or tag in ("article", "main")
+        named = marked or top.named or (names_region and bool(words & ARTICLE))
+        link = top.link or (tag == "a" and any(k == "href" for k, _ in attrs))
+        self.stack.append(_Open(tag, top.skip or tag in SKIP, furniture, region, marked, named, link, heading))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -152,6 +174,7 @@ class Blocks(HTMLParser):
             self.end_head(always=True)
         if not self.stack[-1].skip:
             self.text.append(data)
+            self.plain = self.plain or not (self.stack[-1].link or data.isspace())
 
     def unknown_decl(self, data):
         pass
@@ -178,35 +201,43 @@ def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return np.convolve(np.pad(ratios, reach), kernel / kernel.sum(), "valid")
 
 
+def headed(own: list[Block], chosen: set[int]) -> set[int]:
+    """``chosen`` and the headings over them, with no heading of their rank or
+    a higher one between."""
+    out, below, last, taken = set(chosen), [False] * 7, None, False
+    for i in range(len(own) - 1, -1, -1):
+        heading = own[i].place.heading
+        if heading and heading != last:  # a heading may have several blocks
+            taken = below[heading[0]]
+            below[heading[0]:] = [False] * (7 - heading[0])
+        if heading and taken:
+            out.add(i)
+        if i in chosen:
+            below = [True] * 7 if not heading else [True] * heading[0] + below[heading[0]:]
+        last = heading
+    return out
+
+
 def main_text(html: str | None) -> str:
     """The main text: blocks in page order joined by a newline, white space
     inside a block turned into one space.  Null or empty html gives ''."""
     if not html:
         return ""
-    p = blocks(html)
-    usable = np.array([not f for _, _, f, _ in p.out], bool)
-    if not usable.any():
+    own = [b for b in blocks(html).out if not b.place.furniture]
+    if not own:
         return ""
-    ratio = np.array([0.0 if f else len(t) / n for t, n, f, _ in p.out])
-    smooth = smoothed(ratio)
-    high = usable & (smooth >= THRESHOLD * smooth.std())
-    if not high.any():
-        high = usable
-    # weight of high blocks by region, counted for every region around them
-    weight: dict[tuple, int] = {}
-    total = 0
-    for (text, _, _, region), h in zip(p.out, high):
-        if h:
-            total += len(text)
-            for k in range(len(region) + 1):
-                weight[region[:k]] = weight.get(region[:k], 0) + len(text)
-    articles = [r for r in weight if p.kinds[r] == "article"]
-    if articles:  # the outermost article; all of equal rank if there are several
-        outer = [r for r in articles if not any(r != o and r[:len(o)] == o for o in articles)]
-        chosen = [r for r in outer if 2 * weight[r] >= max(weight[o] for o in outer)]
-    else:  # the deepest container with nearly all of the text in high blocks
-        chosen = [max((r for r in weight if weight[r] >= 0.8 * total), key=len)]
-    return "\n".join(t for t, _, f, region in p.out if not f and any(region[:len(c)] == c for c in chosen))
+    voters = [i for i, b in enumerate(own) if b.plain] or list(range(len(own)))
+    smooth = smoothed(np.array([len(own[i].text) / own[i].tags for i in voters]))
+    high = {i for i, s in zip(voters, smooth) if s >= THRESHOLD * smooth.std()}
+    marked = {i for i, b in enumerate(own) if b.place.marked}
+    if marked and sum(len(own[i].text) * (1 if i in marked else -1) for i in high) >= 0:
+        # mark-up tells the text; a headline before it belongs to it if it has none itself
+        chosen = marked if any(own[i].place.heading for i in marked) else headed(own, marked)
+    else:  # the smallest container of all of them
+        held = headed(own, high | {i for i, b in enumerate(own) if b.place.named})
+        box = commonprefix([own[i].place.region for i in held])
+        chosen = {i for i, b in enumerate(own) if b.place.region[:len(box)] == box}
+    return "\n".join(b.text for i, b in enumerate(own) if i in chosen)
 
 
 def _extract(parts):

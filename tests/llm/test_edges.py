@@ -144,6 +144,25 @@ def test_html_head_without_end_tag(head, body):
     assert html_text.main_text(f"<!DOCTYPE html><html>{head}{body}</html>") == "Text."
 
 
+LINES = "A long paragraph of the text, that goes on and on and on, much longer than the others. " * 20
+
+
+@pytest.mark.parametrize("body, want", [
+    ("<h1>Title</h1><div>{0}</div><p>closing paragraph</p>", "Title\n{0}\nclosing paragraph"),
+    ("<h1>Title</h1><p>The lead.</p><div class='entry-content'><p>{0}</p></div><p>closing</p>", "Title\nThe lead.\n{0}\nclosing"),
+    ("<div><h1>Title<br>of two lines</h1><i>by one</i></div><div><p>{0}</p><p>{0}</p></div>", "Title\nof two lines\nby one\n{0}\n{0}"),
+    ("<h1>Title</h1>" + "<ul><li>a</li></ul>" * 9 + "<div><p>{0}</p></div>", "Title\n" + "a\n" * 9 + "{0}"),
+    ("<div id=w><div>{0}</div><div>One more.</div><div class=ad>Buy</div><div class=ad>Buy</div><div>The end.</div></div>", "{0}\nOne more.\nThe end."),
+    ("<article><p>{0}</p></article>" + "<article><p>Short</p></article>" * 9, "{0}" + "\nShort" * 9),
+    ("<div class=post><p>{0}</p></div><div class=post>Short one</div>", "{0}\nShort one"),
+    ("<div id=top><a href=/>Home</a> <a href=/x>News</a></div><div><p>{0}</p><p>The end.</p></div>", "{0}\nThe end."),
+    ("<div><p>{0}</p></div><article><p>A teaser.</p></article>", "{0}\nA teaser."),
+    ("<article><h1>Title</h1><p>{0}</p></article><article class='comment'><p>Nice</p></article>", "Title\n{0}"),
+    ("<h1>Title</h1><article><p>{0}</p></article>", "Title\n{0}")])
+def test_html_region_is_whole(body, want):
+    assert html_text.main_text(f"<html><body><nav>Menu</nav>{body.format(LINES)}<footer>(c)</footer></body></html>") == want.format(LINES.strip())
+
+
 def test_lines(mixed, empty, spark):
     got = [(r.row.doc_id, r.text, r.n_lines, r.n_dropped) for r in drop_common_lines(mixed).collect()]
     assert sorted(got, key=repr) == sorted(((i, t or "", (t or "").count("\n") + 1, 0) for i, t in mixed.select("doc_id", "text").collect()), key=repr)
