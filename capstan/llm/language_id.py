@@ -9,9 +9,12 @@ of its sample's size (the cost of pointing into it), wins.
 from __future__ import annotations
 
 import re
+from heapq import nsmallest
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -22,6 +25,7 @@ from capstan.llm.registry import query
 from capstan.tables import table
 
 SAMPLE_BYTES, SAMPLE_DOCS, MAX_LANGUAGES = 40_000, 128, 256
+PIECE = 256  # bytes of a sampled text drawn at a time
 SEGMENT = 2048  # bytes parsed in one lane; a phrase ends with its segment
 LANES = 1 << 14
 LETTER = re.compile(r"[^\W\d_]")
@@ -131,24 +135,67 @@ class Model:
         return lang, score
 
 
+def pieces(text: bytes, limit: int) -> list[tuple[int, bytes]]:
+    """Pieces (number, bytes) of a text in the order of a hash, so that the
+    first of them are spread over the whole text: ``limit`` bytes or all."""
+    seed, n = xxhash.xxh64_intdigest(text), -(-len(text) // PIECE)
+    first = nsmallest(-(-limit // PIECE) + 1, range(n), key=lambda i: (xxhash.xxh64_intdigest(i.to_bytes(8, "little"), seed), i))
+    return [(i, text[i * PIECE:(i + 1) * PIECE]) for i in first]
+
+
+def _pieces(limit):
+    def run(parts):
+        for b in parts:
+            texts = [normal(t) for t in b.column("text").to_pylist()]
+            own = [[{"i": i, "part": p} for i, p in pieces(t, limit)] for t in texts]
+            kind = pa.list_(pa.struct([("i", pa.int32()), ("part", pa.binary())]))
+            yield pa.RecordBatch.from_arrays([b.column("lang"), b.column("draw"), b.column("id"), pa.array(map(len, texts), pa.int64()), pa.array(own, kind)],
+                                             ["lang", "draw", "id", "size", "pieces"])
+    return run
+
+
+def shared_out(texts: list[tuple[int, list[tuple[int, bytes]]]], sample_bytes: int) -> bytes:
+    """One sample of (size, pieces) of each text: short ones whole, the others
+    with equal shares of what is left of ``sample_bytes``."""
+    left, share = sample_bytes - len(texts) + 1, 0  # a space parts texts
+    for k, size in enumerate(sorted(size for size, _ in texts)):
+        share = max(1, left // (len(texts) - k))
+        if size > share:
+            break
+        left -= size
+    out = []
+    for size, own in texts:
+        chosen, last, room = [] if size > share else own, None, share + 1
+        for i, part in own if size > share else ():  # a space parts pieces too
+            if room > 1:
+                chosen.append((i, part[:room - 1]))
+                room -= len(part) + 1
+        for i, part in sorted(chosen):
+            out.append(part if last == i - 1 else b" " + part)
+            last = i
+    return b"".join(out)[1:sample_bytes + 1].decode("utf-8", "ignore").encode()  # without cut characters
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_bytes: int = SAMPLE_BYTES,
         sample_docs: int = SAMPLE_DOCS) -> Model:
-    """Fit on whole texts of each language, at most ``sample_docs`` of them in
-    the order of a hash of their ids, as long as they fit in ``sample_bytes``
-    (if none does, the first is cut).  Ids of ``held_out`` are never used."""
+    """Fit on texts of each language, ``sample_docs`` of them in the order of
+    a hash of their ids, or all.  They share ``sample_bytes``: short texts count
+    whole, longer ones with equal shares in pieces spread over the whole text.
+    Ids of ``held_out`` are never used."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("id")))
     sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
     # of n rows a share is drawn by hash, so that no task gets all rows of a language
     draw = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) / float(1 << 30)
     some = rows.join(F.broadcast(sizes), "lang").withColumn("draw", draw).where(F.col("draw") * F.col("n") <= 2 * sample_docs)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "id", "text"))
-    samples: dict[str, list[bytes]] = {}
-    for r in some.select("lang", F.substring("text", 1, 8 * sample_bytes).alias("text"), rank.alias("i")).where(F.col("i") <= sample_docs).orderBy("lang", "i").toLocalIterator():
-        text, own = normal(r["text"]), samples.setdefault(r["lang"], [])
-        if sum(map(len, own)) + len(text) <= sample_bytes or not own:
-            own.append(text[:sample_bytes])
-    return Model({k: b" ".join(v) for k, v in samples.items() if any(v)})
+    cut = some.select("lang", "draw", "id", "text").mapInArrow(
+        _pieces(sample_bytes), "lang string, draw double, id long, size long, pieces array<struct<i:int,part:binary>>")
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "id", "size", "pieces"))
+    drawn = cut.where("size > 0").withColumn("rank", rank).where(F.col("rank") <= sample_docs).orderBy("lang", "rank").toLocalIterator()
+    samples = {}
+    for lang, own in groupby(drawn, key=lambda r: r["lang"]):
+        samples[lang] = shared_out([(r["size"], [(p["i"], bytes(p["part"])) for p in r["pieces"]]) for r in own], sample_bytes)
+    return Model({k: v for k, v in samples.items() if v})
 
 
 def _predict(shared):

@@ -285,6 +285,26 @@ def test_language(mixed, empty, spark):
     assert {r.lang_pred for r in language_id.identify(mixed, language_id.fit(empty)).collect()} == {"und"}
 
 
+def test_language_of_long_texts(spark):
+    """Whichever text is drawn first, the long ones do not take the sample."""
+    junk = {"en": "zzyq xxkv " * 9000, "de": "qqwx vvjk " * 9000}
+    own = {"en": "the cat and the hat of that", "de": "der Hund und das Haus der"}
+    rows = [(i, junk[k] if i % 8 < 4 else junk[k][:50_000] + own[k] * 900 if i % 8 < 6 else own[k], k) for i in range(200) for k in own]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.predict(["the hat of that cat", "das Haus und der Hund"])[0] == ["en", "de"]
+
+
+def test_language_sample_is_shared_out():
+    texts = [language_id.normal(f"beginning{k} " + f"middle{k} " * 9000 + f"theend{k}") for k in "abc"] + [b"short one", b"and another"]
+    own = [(len(t), language_id.pieces(t, 4000)) for t in texts]
+    got = language_id.shared_out(own, 4000)
+    assert 3900 <= len(got) <= 4000 and b"short one and another" in got
+    assert all(1200 <= got.count(b"middle" + k) * 8 <= 1400 for k in (b"a", b"b", b"c"))
+    assert len({i // 88 for i, _ in own[0][1]}) == 4  # from each quarter of the text
+    assert language_id.shared_out(own[3:], 4000) == b"short one and another"
+    assert language_id.shared_out([(9, language_id.pieces("éééé ".encode(), 4))], 3).decode() == "é"
+
+
 def test_cross_parsing_is_brute_force():
     samples = {"a": b"abracadabra and abba", "b": b"the theme of these"}
     model = language_id.Model(samples)
