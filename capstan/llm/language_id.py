@@ -3,7 +3,9 @@
 Per language, a bounded sample of labelled text becomes a suffix automaton.  A
 document is parsed against each: the longest match is taken again and again,
 and the language that needs the fewest phrases, each weighted by the logarithm
-of its sample's size (the cost of pointing into it), wins.
+of its sample's size (the cost of pointing into it), wins.  Every language is
+learned; their automata are built and broadcast in blocks of a few languages,
+and a task holds one block at a time.
 """
 
 from __future__ import annotations
@@ -24,7 +26,8 @@ from capstan.llm.quality import held_out
 from capstan.llm.registry import query
 from capstan.tables import table
 
-SAMPLE_BYTES, SAMPLE_DOCS, MAX_LANGUAGES = 40_000, 128, 256
+SAMPLE_BYTES, SAMPLE_DOCS = 40_000, 128
+BLOCK_LANGUAGES = 4  # whose automata are in memory at a time
 PIECE = 256  # bytes of a sampled text drawn at a time
 SEGMENT = 2048  # bytes parsed in one lane; a phrase ends with its segment
 LANES = 1 << 14
@@ -68,7 +71,7 @@ def automaton(data: bytes) -> list[dict[int, int]]:
 
 
 class Model:
-    """All automata in one table: entry = 2 * next row offset + (phrase ends)."""
+    """The automata of a block of languages in one table: entry = 2 * next row offset + (phrase ends)."""
 
     def __init__(self, samples: dict[str, bytes]):
         self.langs = sorted(samples)
@@ -120,19 +123,45 @@ class Model:
                 out[k] += np.bincount(np.array(owner)[lane], ended[k], len(texts))
         return out
 
+    def entropy(self, texts: list[bytes]) -> np.ndarray:
+        return self.phrases(texts) * self.cost[:, None]
+
+
+class Languages:
+    """Samples of all languages; ``models`` builds their automata by blocks."""
+
+    def __init__(self, samples: dict[str, bytes], block: int = BLOCK_LANGUAGES):
+        self.samples, self.langs, self.block = samples, sorted(samples), block
+
+    def models(self):
+        for a in range(0, len(self.langs), self.block):
+            yield Model({k: self.samples[k] for k in self.langs[a:a + self.block]})
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        """Language and confidence: the runner-up's share of the two smallest
-        entropies (0.5: a tie, which goes to the first name); 'und' is 0."""
-        have = [i for i, t in enumerate(texts) if t and LETTER.search(t)] if self.langs else []
-        lang, score = ["und"] * len(texts), [0.0] * len(texts)
-        if have:
-            entropy = self.phrases([normal(texts[i]) for i in have]) * self.cost[:, None]
-            best = entropy.argmin(axis=0)
-            two = np.sort(entropy, axis=0)[:2]
-            sure = two[1] / two.sum(axis=0) if len(self.langs) > 1 else np.ones(len(have))
-            for i, k, s in zip(have, best, sure):
-                lang[i], score[i] = self.langs[k], float(s)
+        return predict(self.models(), texts)
+
+
+def predict(models, texts: list[str | None]) -> tuple[list[str], list[float]]:
+    """Language and confidence by the models of all blocks, names ascending:
+    the runner-up's share of the two smallest entropies (0.5: a tie, which goes
+    to the first name); 'und' is 0."""
+    have = [i for i, t in enumerate(texts) if t and LETTER.search(t)]
+    lang, score = ["und"] * len(texts), [0.0] * len(texts)
+    if not have:
         return lang, score
+    data, names = [normal(texts[i]) for i in have], []
+    two, best = np.full((2, len(have)), np.inf), np.zeros(len(have), np.int64)
+    for model in models:
+        both = np.vstack([two, model.entropy(data)])
+        order = np.argsort(both, axis=0, kind="stable")[:2]
+        two, best = np.take_along_axis(both, order, 0), np.where(order[0] < 2, best, len(names) + order[0] - 2)
+        names += model.langs
+        del model  # before the next block comes
+    if names:
+        sure = two[1] / two.sum(axis=0) if len(names) > 1 else np.ones(len(have))
+        for i, k, s in zip(have, best, sure):
+            lang[i], score[i] = names[k], float(s)
+    return lang, score
 
 
 def pieces(text: bytes, limit: int) -> list[tuple[int, bytes]]:
@@ -177,14 +206,14 @@ def shared_out(texts: list[tuple[int, list[tuple[int, bytes]]]], sample_bytes: i
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_bytes: int = SAMPLE_BYTES,
-        sample_docs: int = SAMPLE_DOCS) -> Model:
-    """Fit on texts of each language, ``sample_docs`` of them in the order of
+        sample_docs: int = SAMPLE_DOCS, block_languages: int = BLOCK_LANGUAGES) -> Languages:
+    """Fit on texts of every language, ``sample_docs`` of them in the order of
     a hash of their ids, or all.  They share ``sample_bytes``: short texts count
     whole, longer ones with equal shares in pieces spread over the whole text.
     Ids of ``held_out`` are never used."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("id")))
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
     # of n rows a share is drawn by hash, so that no task gets all rows of a language
     draw = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) / float(1 << 30)
     some = rows.join(F.broadcast(sizes), "lang").withColumn("draw", draw).where(F.col("draw") * F.col("n") <= 2 * sample_docs)
@@ -195,24 +224,30 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     samples = {}
     for lang, own in groupby(drawn, key=lambda r: r["lang"]):
         samples[lang] = shared_out([(r["size"], [(p["i"], bytes(p["part"])) for p in r["pieces"]]) for r in own], sample_bytes)
-    return Model({k: v for k, v in samples.items() if v})
+    return Languages({k: v for k, v in samples.items() if v}, block_languages)
 
 
 def _predict(shared):
+    def models():
+        for block in shared:
+            yield block.value
+            if len(shared) > 1:  # the worker would keep every block
+                vars(block).pop("_value", None)
+
     def run(parts):
         for b in parts:
-            lang, score = shared.value.predict(b.column("text").to_pylist())
+            lang, score = predict(models(), b.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(lang, pa.string()), pa.array(score, pa.float64())], ["row", "lang_pred", "score"])
     return run
 
 
-def identify(docs: DataFrame, model: Model, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+def identify(docs: DataFrame, model: Languages, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
     """One row per input row: ``row`` (struct of the columns ``keep``, by
     default all), ``lang_pred`` and ``score``, from the whole text alone.  A
     text that is null or has no letter is 'und'; equal texts are predicted
     alike; an empty table gives no row, and without a model all is 'und'."""
     base = docs.select(packed(docs.select(*map(col, keep))) if keep else packed(docs), col(text_col).cast("string").alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = [docs.sparkSession.sparkContext.broadcast(m) for m in model.models()]
     return base.mapInArrow(_predict(shared), schema_of(base, "lang_pred string, score double"))
 
 

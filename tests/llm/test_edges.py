@@ -305,6 +305,26 @@ def test_language_sample_is_shared_out():
     assert language_id.shared_out([(9, language_id.pieces("éééé ".encode(), 4))], 3).decode() == "é"
 
 
+def test_every_language_is_learned(spark):
+    rng = random.Random(5)
+    words = {f"l{k:03}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(4)] for k in range(300)}
+    rows = [(i, " ".join(w), k) for k, w in words.items() for i in range(8 + (k < "l256"))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(docs)
+    assert model.langs == sorted(words)
+    got = language_id.identify(docs.where("doc_id = 0").coalesce(1), model).collect()
+    assert len(got) == 300 and all(r.lang_pred == r.row.lang for r in got)
+
+
+def test_blocks_of_languages_do_not_matter():
+    rng = random.Random(6)
+    samples = {k: bytes(rng.choice(b"abcdefgh ") for _ in range(200)) for k in "vwxyz"} | {"u": b"same of two", "same": b"same of two"}
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(50)) for _ in range(40)] + ["same of two", "12", None]
+    whole = language_id.Languages(samples, 99).predict(texts)
+    assert whole[0][40:] == ["same", "und", "und"] and whole[1][40] == 0.5
+    assert all(language_id.Languages(samples, n).predict(texts) == whole for n in (1, 2, 3))
+
+
 def test_cross_parsing_is_brute_force():
     samples = {"a": b"abracadabra and abba", "b": b"the theme of these"}
     model = language_id.Model(samples)
