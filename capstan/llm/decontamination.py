@@ -4,7 +4,8 @@ A benchmark passage of m characters that occurs in a text with at most k edits
 shares at least m - q + 1 - kq of its q-grams with it, all on diagonals within
 a window of k + 1.  Shared q-grams are counted in overlapping bands of
 2(k + 1) diagonals, one of which holds any such window; bands that reach the
-bound are verified by an alignment confined to the band.
+bound are verified by an alignment confined to the band.  Passages too short
+for edits are looked up verbatim between word boundaries.
 
 The benchmark is the stated query set: it goes out in blocks of bounded size
 and every block meets all documents; there is no join and no shuffle.
@@ -59,6 +60,11 @@ def _grams(codes: np.ndarray, q: int) -> np.ndarray:
     return out * np.uint64(0xD6E8FEB86659FD93)
 
 
+def _whole_words(text: str, start: int, stop: int) -> bool:
+    """No word goes on over either end of text[start:stop]."""
+    return not (text[start - 1:start].isalnum() and text[start].isalnum() or text[stop - 1].isalnum() and text[stop:stop + 1].isalnum())
+
+
 class Index:
     """q-gram postings of one block of benchmark passages."""
 
@@ -66,13 +72,15 @@ class Index:
         best: dict[str, int | None] = {}
         for i, text in items:
             t = normal(text)
-            if len(t) >= max(min_chars, q) and (t not in best or best[t] is None or (i is not None and i < best[t])):
+            if len(t) >= q and (t not in best or best[t] is None or (i is not None and i < best[t])):
                 best[t] = i
         texts = sorted(best)
         self.q, self.ids, self.texts, self.codes = q, [best[t] for t in texts], texts, [_codes(t) for t in texts]
         self.size = np.array([len(c) for c in self.codes], np.int64)
-        # the budget, lowered where short passages would leave no shared q-gram
+        # the budget, lowered where short passages would leave no shared q-gram; none under min_chars
         self.budget = np.minimum((error * self.size).astype(np.int64), (self.size - q) // q)
+        self.verbatim = self.size < min_chars
+        self.budget[self.verbatim] = 0
         self.least = self.size - q + 1 - self.budget * q
         grams = [_grams(c, q) for c in self.codes]
         all_grams = np.concatenate(grams) if grams else np.empty(0, np.uint64)
@@ -167,9 +175,12 @@ class Index:
         for c, (d, i, a, n) in enumerate(zip(doc.tolist(), item.tolist(), first.tolist(), reach.tolist())):
             lo = a - int(begin[d])  # a passage without edits needs no alignment
             at = texts[d].find(self.texts[i], max(0, lo), max(0, lo + n))
+            while at >= 0 and self.verbatim[i] and not _whole_words(texts[d], at, at + len(self.texts[i])):
+                at = texts[d].find(self.texts[i], at + 1, max(0, lo + n))
             if at >= 0:
                 left[c], right[c] = begin[d] + at, begin[d] + at + len(self.texts[i])
-        near = np.flatnonzero(left < 0)
+        edits[(left < 0) & self.verbatim[item]] = FAR
+        near = np.flatnonzero((left < 0) & ~self.verbatim[item])
         edits[near], left[near], right[near] = self.align(text, item[near], first[near], begin[doc[near]], begin[doc[near]] + sizes[doc[near]])
         good = np.flatnonzero(edits <= self.budget[item])
         found: dict[tuple[int, int], list] = {}
@@ -215,8 +226,9 @@ def mark_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "item_id", i
 
     Both sides are lower-cased with white space as single spaces; positions
     count code points of that form.  Passages under ``min_chars`` code points
-    (null and empty ones too) are too short to mean a leak and match nothing;
-    of equal passages the smallest item_id stands for all.  A null or empty
+    match verbatim only and between word boundaries; those under ``q`` (null
+    and empty ones too) are too short to mean a leak and match nothing; of
+    equal passages the smallest item_id stands for all.  A null or empty
     text has no hits; repeated rows are marked alike; an empty table gives no
     row, and an empty benchmark no hits.
     """

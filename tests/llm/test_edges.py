@@ -263,6 +263,14 @@ def test_leaks(mixed, empty, spark):
     assert {(r.row.doc_id, bool(r.hits)) for r in blocks.collect()} == {(1, True), (2, True), (3, False), (4, True), (None, True)}
 
 
+def test_short_passages_leak_verbatim(spark):
+    bench = spark.createDataFrame([(1, "Short One"), (2, "what is 2+2?"), (3, "eightchr"), (4, "seven c"), (5, PASSAGE), (6, "abababab")], "item_id long, text string")
+    df = docs_of(spark, [(1, "a short  one, and short one"), (2, "ashort one, short ones"), (3, "Q: What is 2+2? 4"), (4, "eightchr"), (5, "eightchrs seven c"),
+                         (6, "eightchrs eightchr"), (7, "short onf"), (8, PASSAGE.replace("quick", "quack")), (9, "cabababab"), (10, "xabababab abababab")])
+    got = {(r.row.doc_id, h.item_id, h.edits, h.start, h.places) for r in decontamination.mark_leaks(df, bench).collect() for h in r.hits}
+    assert got == {(1, 1, 0, 2, 2), (3, 2, 0, 3, 1), (4, 3, 0, 0, 1), (6, 3, 0, 10, 1), (8, 5, 1, 0, 1), (10, 6, 0, 10, 1)}
+
+
 def test_quality(mixed, empty, spark):
     labels = spark.createDataFrame([(4, 1), (5, 1), (2, 0), (None, 1), (3, None), (2, 0), (99, 0)], "doc_id long, quality int")
     model = quality.fit(mixed, labels)
