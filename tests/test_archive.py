@@ -237,3 +237,15 @@ def test_export_names_both_ways_agree(spark):
     assert a == b and len(a) == 18 and len({(f, n) for f, _, _, _, n in a}) > 6
     with pytest.raises(Exception, match="not in order"):
         R.export_names(recs.orderBy(F.desc("record_idx"))).collect()
+
+
+def test_coverage_says_what_numbers_the_exports():
+    import inspect
+    import os
+
+    from capstan.plans import archive
+
+    assert "in_reader_order" not in inspect.getsource(archive.q_export_names)  # the default
+    with open(os.path.join(os.path.dirname(os.path.dirname(__file__)), "COVERAGE.md")) as f:
+        w1 = [line for line in f if line.startswith("| W1 ")]
+    assert [("_number_in_order" in x, "Q: export_names" in x) for x in w1] == [(True, True), (False, False)]
