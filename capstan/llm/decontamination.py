@@ -27,6 +27,7 @@ BLOCK_CHARS = 4 << 20  # benchmark characters broadcast at a time
 CHUNK_CHARS = 4 << 20  # document characters a task handles at a time
 ALIGN = 256  # candidate bands aligned at a time
 FAR = 1 << 20
+PAIRS = 1 << 31
 
 
 def normal(text: str | None) -> str:
@@ -162,9 +163,12 @@ class Index:
     def search(self, texts: list[str]) -> list[list[dict]]:
         """Matches of each normalised text: one per passage found, with the
         best place and the number of disjoint places."""
-        out: list[list[dict]] = [[] for _ in texts]
         if not self.ids or not texts:
-            return out
+            return [[] for _ in texts]
+        room = max(1, PAIRS // len(self.ids))  # a pair of text and passage is numbered in 31 bits
+        if len(texts) > room:
+            return [hits for a in range(0, len(texts), room) for hits in self.search(texts[a:a + room])]
+        out: list[list[dict]] = [[] for _ in texts]
         text = _codes("\0".join(texts) + "\0")
         sizes = np.array([len(t) for t in texts], np.int64)
         begin = np.r_[0, np.cumsum(sizes + 1)[:-1]]
