@@ -8,15 +8,17 @@ main elements if these hold most of the text in high blocks, or else the
 smallest container of all high blocks, all regions named as an article and the
 headings over them.  Blocks that mark-up names as page furniture (menus,
 adverts, comments ...) are never returned and, like blocks of links alone, do
-not vote; of the region, all other blocks are returned, so a short paragraph is
+not vote; names of layout and forms are only in doubt, and the clusters settle
+it: a container that holds an article or, on pages without one, most of the
+high text is none; of the region, all other blocks are returned, so a short paragraph is
 not lost beside long ones.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
-from os.path import commonprefix
 from typing import NamedTuple
 
 import numpy as np
@@ -34,19 +36,27 @@ SIGMA, THRESHOLD = 1.0, 0.5  # width in blocks; share of the ratios' deviation
 SKIP = frozenset("script style noscript template svg math iframe object canvas audio video select option textarea button head title datalist".split())
 HEAD = frozenset("html head base basefont bgsound link meta noframes noscript script style template title".split())
 HELD = frozenset("noscript template title".split())  # what is open in the head keeps other elements to itself
-FURNITURE = frozenset("nav footer aside form menu dialog".split())
+FURNITURE = frozenset("nav footer aside menu dialog".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BREAKS = frozenset("address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure footer form "
                    "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 CLOSES_P = BREAKS - {"br"}
 REGION = frozenset("article main section div body td".split())
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
-#: Words of class, id and role that name page furniture.
-NAMES = frozenset("""ad ads advert adverts advertisement advertisements adsense adslot sponsor sponsored promo promoted promotion banner
-    nav navbar navigation menu breadcrumb breadcrumbs sidebar aside side rail widget widgets footer header masthead topbar toolbar
-    comment comments commentlist disqus reply replies respond cookie cookies consent gdpr notice notices notification alert popup modal
-    newsletter subscribe subscription signup login share sharing social related recommended pagination pager form search skip
-    complementary contentinfo banner""".split())
+#: Elements whose names count: containers, not the headings, paragraphs and inline elements in them.
+CONTAINERS = frozenset("article aside center details div dl fieldset figure footer form header hgroup li main nav ol section table tbody td tfoot th thead tr ul".split())
+#: Words of class, id and role that name what never holds the text ...
+NEVER = frozenset("""ad ads advert adverts advertisement advertisements adsense adslot sponsor sponsored promoted breadcrumb breadcrumbs
+    comment comments commentlist disqus reply replies respond responses cookie cookies consent gdpr notice notices notification alert popup modal
+    newsletter subscribe subscription signup login share sharing sharedaddy relatedposts pagination pager""".split())
+#: ... and what names a part of the page, unless most of the text or the article is in it.
+LAYOUTS = frozenset("""promo promotion banner nav navbar navigation menu sidebar aside side rail widget widgets footer header masthead topbar
+    toolbar social related recommended form search skip complementary contentinfo""".split())
+#: Words that may stand beside these in a name; any other word makes it a name of its own ("social-science").
+BESIDE = frozenset("""site page post posts blog article articles story stories reader user guest left right top bottom main global mobile desktop
+    sticky wp fb js my the primary secondary sub list item items thread count author box bar area block section wrapper wrap container holder
+    inner outer content body text message link links button buttons icon icons law policy info overlay dialog unit slot row col column more
+    first last active toggle trigger level tree group template part module component region field input""".split())
 #: Run-together names of furniture: one of these stems, with known beginnings and endings only ("commentary" is none).
 STEMS = re.compile(r"(?:site|page|post|blog|article|story|reader|user|guest|left|right|top|bottom|main|global|mobile|desktop|sticky|email|wp|fb|js|my|the|eu)*"
                    r"(comment|cookie|advert|sidebar|newsletter|sponsor|breadcrumb|popup|consent|disqus|gdpr|notice)"
@@ -54,21 +64,41 @@ STEMS = re.compile(r"(?:site|page|post|blog|article|story|reader|user|guest|left
                    r"|body|text|message|link|law|policy|info|overlay|modal|dialog|popup|consent|notice|signup|widget|left|right|top|bottom|nav|trail|slot|unit)*")
 MILD = frozenset("header banner side promo widget section search form".split())  # also parts of an article's own names
 ARTICLE = frozenset("article main post entry content story articlebody postcontent entrycontent maincontent".split())
-#: Article elements with one of these as a whole class are no part of the text.
-ASIDE = frozenset("comment comments reply replies related recommended ad advert advertisement".split())
+#: Article elements with one of these in their names are no part of the text.
+ASIDE = frozenset("related recommended promo widget".split())
 WORDS = re.compile(r"[a-z]+")
 LAYOUT = re.compile(r"(?<![a-z0-9])(?:has|with|no|without)[-_][\w-]+")
 SPACES = re.compile(r"\s+")
+FIELDS = frozenset("input select textarea".split())
+MOST = 0.8  # share of the high text that a container in doubt must hold to be none
+FIELD_CHARS = 100  # text that a form must have for each of its fields to be no form
+
+
+class _Region:
+    """A container that text may be chosen by; its descendants are numbered
+    ``number`` to ``last``."""
+    __slots__ = ("up", "number", "last")
+
+    def __init__(self, up, number):
+        self.up, self.number, self.last = up, number, 1 << 62
+
+
+class _Doubt:
+    """A container that looks like furniture by its name or as a form."""
+    __slots__ = ("up", "form", "article", "fields", "chars", "high", "clear")
+
+    def __init__(self, up, form):
+        self.up, self.form, self.article, self.fields, self.chars, self.high, self.clear = up, form, False, 0, 0, 0, False
 
 
 class _Open:
-    """An open element and what holds inside it: skipped, furniture, region (a
-    path), in an article or main element, in one or a region named so, in a
-    link, heading (rank, number)."""
-    __slots__ = ("tag", "skip", "furniture", "region", "marked", "named", "link", "heading")
+    """An open element and what holds inside it: skipped, furniture, the
+    closest container in doubt, region, in an article or main element, in one or
+    a region named so, in a link, heading (rank, number)."""
+    __slots__ = ("tag", "skip", "furniture", "doubt", "region", "marked", "named", "link", "heading")
 
-    def __init__(self, tag, skip=False, furniture=False, region=(), marked=False, named=False, link=False, heading=None):
-        self.tag, self.skip, self.furniture, self.region = tag, skip, furniture, region
+    def __init__(self, tag, skip=False, furniture=False, doubt=None, region=None, marked=False, named=False, link=False, heading=None):
+        self.tag, self.skip, self.furniture, self.doubt, self.region = tag, skip, furniture, doubt, region
         self.marked, self.named, self.link, self.heading = marked, named, link, heading
 
 
@@ -84,8 +114,20 @@ class Blocks(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack = [_Open("")]
-        self.out, self.text, self.tags, self.plain, self.regions, self.headings = [], [], 0, False, 0, 0
+        self.root = _Region(None, 0)
+        self.stack, self.open, self.head, self.held = [_Open("", region=self.root)], Counter(), None, 0
+        self.out, self.text, self.tags, self.plain, self.regions, self.headings, self.doubts = [], [], 0, False, 0, 0, []
+
+    def drop(self, i):
+        """Elements from the i-th on end."""
+        for o, up in zip(self.stack[i:], self.stack[i - 1:]):
+            self.open[o.tag] -= 1
+            self.held -= o.tag in HELD
+            if o.region is not up.region:
+                o.region.last = self.regions
+        del self.stack[i:]
+        if self.head is not None and self.head >= i:
+            self.head = None
 
     def close_block(self):
         text = SPACES.sub(" ", "".join(self.text)).strip()
@@ -95,23 +137,32 @@ class Blocks(HTMLParser):
         self.text, self.plain = [], False
 
     def names(self, attrs):
-        """Words of the names an element carries; a run-together name counts by
-        the stem in it, layout hints ("has-sidebar", "hasSidebar") do not count."""
-        words = set()
+        """Words of furniture in the names an element carries, and whether one
+        of them names an article.  A compound name has furniture words only if
+        all its other words are of position, or as its last word; a run-together name has the stem
+        in it; layout hints ("has-sidebar", "hasSidebar") do not count."""
+        words, named = set(), False
         for k, v in attrs:
-            if k in ("class", "id", "role", "itemprop") and v:
-                own = LAYOUT.sub("", re.sub(r"([a-z])([A-Z])", r"\1-\2", v).lower())
-                words.update(WORDS.findall(own))
-                words.update(w.replace("-", "").replace("_", "") for w in own.split())
-                words.update(m[1] for w in WORDS.findall(own) if (m := STEMS.fullmatch(w)))
-        return words
+            if k not in ("class", "id", "role", "itemprop") or not v:
+                continue
+            for name in LAYOUT.sub("", re.sub(r"([a-z])([A-Z])", r"\1-\2", v).lower()).split():
+                parts = WORDS.findall(name)
+                bad = {w for w in (*parts, "".join(parts)) if w in NEVER or w in LAYOUTS}
+                if len(parts) > 1 and not all(w in NEVER or w in LAYOUTS or w in BESIDE for w in parts):
+                    bad &= {"".join(parts), parts[-1]}
+                bad |= {m[1] for w in parts if (m := STEMS.fullmatch(w))}
+                own = not ARTICLE.isdisjoint(parts) or "".join(parts) in ARTICLE
+                if own and bad <= MILD:  # an article's own header
+                    named |= not bad
+                else:
+                    words |= bad
+        return words, named
 
     def end_head(self, always: bool):
         """The end tag of the head is optional."""
-        opened = [o.tag for o in self.stack]
-        if "head" in opened and (always or not HELD & set(opened[opened.index("head"):])):
+        if self.head is not None and (always or not self.held):
             self.close_block()
-            del self.stack[opened.index("head"):]
+            self.drop(self.head)
 
     def handle_starttag(self, tag, attrs):
         self.tags += 1
@@ -123,29 +174,39 @@ class Blocks(HTMLParser):
             self.end_to(("p",), stop=REGION | {"li", "td", "th", "blockquote"})
         if tag == "li":
             self.end_to(("li",), stop={"ul", "ol", "menu"})
+        if tag in FIELDS and self.stack[-1].doubt and ("type", "hidden") not in attrs:
+            self.stack[-1].doubt.fields += 1
         if tag in VOID:
             return
-        top, words = self.stack[-1], self.names(attrs)
+        top = self.stack[-1]
+        words, own = self.names(attrs) if tag in CONTAINERS or tag == "body" else (set(), False)
         names_region = tag in REGION or tag == "body"
-        furniture = top.furniture or tag in FURNITURE or (bool(words & NAMES - (MILD if words & ARTICLE else set())) and tag not in ("html", "body", "article", "main"))
+        furniture = top.furniture or tag in FURNITURE or (tag in CONTAINERS and not own and bool(words & (NEVER | ASIDE if tag == "article" else NEVER)))
+        doubt = top.doubt
+        if not furniture and (tag == "form" or (words & LAYOUTS and tag in CONTAINERS - {"article", "main"} and not own)):
+            doubt = _Doubt(top.doubt, tag == "form")
+            self.doubts.append(doubt)
+        elif doubt and not furniture and tag in ("article", "main"):
+            doubt.article = True
         if any(k == "hidden" or (k == "style" and v and "display:none" in v.replace(" ", "").lower()) or (k == "aria-hidden" and v == "true") for k, v in attrs):
             furniture = True
-        inside = any(o.tag in ("article", "main") for o in self.stack)
-        if tag == "header" and not inside:
-            furniture = True
-        if tag == "article" and any(k in ("class", "role", "itemprop") and v and ASIDE & set(v.lower().split()) for k, v in attrs):
+        if tag == "header" and not top.marked:
             furniture = True
         region, heading = top.region, top.heading
         if names_region and not furniture:
             self.regions += 1
-            region = (*region, self.regions)
+            region = _Region(top.region, self.regions)
         if tag in HEADING:
             self.headings += 1
             heading = (int(tag[1]), self.headings)
         marked = top.marked or tag in ("article", "main")
-        named = marked or top.named or (names_region and bool(words & ARTICLE))
+        named = marked or top.named or (names_region and own)
         link = top.link or (tag == "a" and any(k == "href" for k, _ in attrs))
-        self.stack.append(_Open(tag, top.skip or tag in SKIP, furniture, region, marked, named, link, heading))
+        if tag == "head" and self.head is None:
+            self.head = len(self.stack)
+        self.open[tag] += 1
+        self.held += tag in HELD
+        self.stack.append(_Open(tag, top.skip or tag in SKIP, furniture, doubt, region, marked, named, link, heading))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -153,10 +214,15 @@ class Blocks(HTMLParser):
             self.handle_endtag(tag)
 
     def end_to(self, tags, stop=()):
+        """Ends the innermost of ``tags``, unless one of ``stop`` is open in it;
+        the block ends with it if a block element ends."""
+        if not any(self.open[t] for t in tags):
+            return
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i].tag in tags:
-                self.close_block()
-                del self.stack[i:]
+                if any(o.tag in BREAKS for o in self.stack[i:]):
+                    self.close_block()
+                self.drop(i)
                 return
             if self.stack[i].tag in stop:
                 return
@@ -165,8 +231,6 @@ class Blocks(HTMLParser):
         self.tags += 1
         if tag in BREAKS:
             self.close_block()
-        if tag == "p" and not any(o.tag == "p" for o in self.stack):
-            return
         self.end_to((tag,), stop=() if tag in BREAKS else {"p", "td", "li", "article", "div", "section", "body"})
 
     def handle_data(self, data):
@@ -218,28 +282,59 @@ def headed(own: list[Block], chosen: set[int]) -> set[int]:
     return out
 
 
+def settle(parsed: Blocks, own: list[Block], high: set[int]) -> None:
+    """Clears the containers in doubt that hold an article or, on a page without
+    one, most of the high text; of forms only those whose text outweighs their fields."""
+    total = sum(len(own[i].text) for i in high)
+    marked = any(b.place.marked for b in own)
+    for i, b in enumerate(own):
+        if b.place.doubt:
+            b.place.doubt.chars += len(b.text)
+            b.place.doubt.high += len(b.text) if i in high else 0
+    for d in reversed(parsed.doubts):  # inner ones first
+        d.clear = (d.article or not marked and d.high > MOST * total) and (not d.form or d.article or d.chars >= FIELD_CHARS * d.fields)
+        if d.up:
+            d.up.article |= d.article
+            d.up.chars, d.up.high, d.up.fields = d.up.chars + d.chars, d.up.high + d.high, d.up.fields + d.fields
+    for d in parsed.doubts:  # outer ones first: what is in furniture is furniture
+        d.clear = d.clear and (d.up is None or d.up.clear)
+
+
 def main_text(html: str | None) -> str:
     """The main text: blocks in page order joined by a newline, white space
     inside a block turned into one space.  Null or empty html gives ''."""
     if not html:
         return ""
-    own = [b for b in blocks(html).out if not b.place.furniture]
+    parsed = blocks(html)
+    own = [b for b in parsed.out if not b.place.furniture]
+    settle(parsed, own, high_blocks(own))
+    own = [b for b in own if b.place.doubt is None or b.place.doubt.clear]
     if not own:
         return ""
-    voters = [i for i, b in enumerate(own) if b.plain] or list(range(len(own)))
-    smooth = smoothed(np.array([len(own[i].text) / own[i].tags for i in voters]))
-    high = {i for i, s in zip(voters, smooth) if s >= THRESHOLD * smooth.std()}
+    high = high_blocks(own)
     marked = {i for i, b in enumerate(own) if b.place.marked}
     if marked and sum(len(own[i].text) * (1 if i in marked else -1) for i in high) >= 0:
         # mark-up tells the text; a headline before it belongs to it if it has none itself
         chosen = marked if any(own[i].place.heading for i in marked) else headed(own, marked)
     else:  # the smallest container of all of them
-        held = headed(own, high | {i for i, b in enumerate(own) if b.place.named})
-        box = commonprefix([own[i].place.region for i in held])
-        chosen = {i for i, b in enumerate(own) if b.place.region[:len(box)] == box}
+        held = sorted(own[i].place.region.number for i in headed(own, high | {i for i, b in enumerate(own) if b.place.named}))
+        box = next(b.place.region for b in own if b.place.region.number == held[0])
+        while box.last < held[-1]:
+            box = box.up
+        chosen = {i for i, b in enumerate(own) if box.number <= b.place.region.number <= box.last}
     return "\n".join(b.text for i, b in enumerate(own) if i in chosen)
 
 
+def high_blocks(own: list[Block]) -> set[int]:
+    """Blocks whose smoothed text-to-tag ratio reaches the threshold; blocks of
+    links alone have no say."""
+    voters = [i for i, b in enumerate(own) if b.plain] or list(range(len(own)))
+    if not voters:
+        return set()
+    smooth = smoothed(np.array([len(own[i].text) / own[i].tags for i in voters]))
+    return {i for i, s in zip(voters, smooth) if s >= THRESHOLD * smooth.std()}
+
+
 def _extract(parts):
     for b in parts:
         texts = [main_text(h) for h in b.column("html").to_pylist()]
