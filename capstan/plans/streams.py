@@ -18,10 +18,11 @@ from capstan.operators import filters as P
 from capstan.operators import responses as R
 from capstan.plans.archive import CAPTURES_SQL, records
 from capstan.plans.registry import query
+from capstan.plans.spool import SPOOL_SQL
 from capstan.session import scratch_path
 from capstan.sinks.blobdir import write_blobs
 from capstan.sinks.hashdir import dir_export, write_hashdir
-from capstan.streaming import drain, intake
+from capstan.streaming import drain, intake, state
 from capstan.tables import table
 
 MAX_SIZE = 20_000
@@ -131,6 +132,36 @@ def q_stream_running_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).select("code", F.col("n").cast("bigint").alias("n"))
 
 
+@query("stream_intake_state", sql="""
+WITH """ + SPOOL_SQL + f""",
+ar AS (SELECT doc_id, sha1(text) AS h, strlen(text) AS size, strlen(text) + CASE WHEN doc_id % 23 = 4 THEN 1 ELSE 0 END AS declared FROM documents),
+v AS (SELECT ar.*, CASE WHEN declared > {MAX_SIZE} OR size > {MAX_SIZE} THEN 'too-large' WHEN size = 0 THEN 'empty'
+                        WHEN size <> declared THEN 'length-mismatch' END AS reject FROM ar),
+k AS (SELECT v.*, sp.stored, row_number() OVER (PARTITION BY v.h, reject ORDER BY doc_id) AS nth FROM v LEFT JOIN sp ON v.h = sp.h),
+a AS (SELECT h, reject, CASE WHEN reject IS NOT NULL THEN reject WHEN stored = size THEN 'skip' WHEN nth > 1 THEN 'skip'
+                             WHEN stored IS NOT NULL THEN 'overwrite' ELSE 'insert' END AS action FROM k)
+SELECT h AS sha1hex, action, CASE reject WHEN 'too-large' THEN 413 WHEN 'empty' THEN 400 WHEN 'length-mismatch' THEN 500 ELSE 202 END AS code,
+       count(*) AS n
+FROM a GROUP BY ALL
+""")
+def q_stream_intake_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T3 and J1 as keyed state over several micro-batches, on top of a spool
+    that holds half of the documents."""
+    from capstan.plans.spool import spool_table
+
+    land, out, ckpt, old = (scratch_path(spark, k) for k in ("arrival-rows", "decisions", "decisions-ckpt", "spool-sizes"))
+    d = table(spark, sf_dir, "documents")
+    size = F.octet_length(F.encode("text", "UTF-8")).cast("bigint")
+    d.select(F.col("doc_id").cast("string").alias("path"), F.sha1(F.encode("text", "UTF-8")).alias("sha1hex"), size.alias("size"),
+             (size + F.when(F.pmod("doc_id", F.lit(23)) == 4, 1).otherwise(0)).alias("declared"),
+             F.current_timestamp().alias("arrived")).repartition(12, "doc_id").write.parquet(land)
+    spool_table(spark, sf_dir).select("sha1hex", "stored_size").write.parquet(old)
+    own = state.state_session(spark)
+    arrivals = own.readStream.schema(spark.read.parquet(land).schema).option("maxFilesPerTrigger", "4").parquet(land)
+    state.run_intake(arrivals, out, ckpt, max_size=MAX_SIZE, stored=own.read.parquet(old))
+    return spark.read.parquet(out).groupBy("sha1hex", "action", "code").agg(F.count("*").alias("n"))
+
+
 # ------------------------------------------------------------------- whole jobs
 
 def _land_arrivals(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
