@@ -27,6 +27,7 @@ from capstan.tables import table
 
 MAX_SIZE = 20_000
 BATCH_FILES = 20_000  # admission bound per micro-batch (T5)
+INDEX_BATCHES = 6
 
 
 def _page_text_sql() -> str:
@@ -132,7 +133,7 @@ def q_stream_running_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).select("code", F.col("n").cast("bigint").alias("n"))
 
 
-@query("stream_intake_state", sql="""
+STATE_SQL = """
 WITH """ + SPOOL_SQL + f""",
 ar AS (SELECT doc_id, sha1(text) AS h, strlen(text) AS size, strlen(text) + CASE WHEN doc_id % 23 = 4 THEN 1 ELSE 0 END AS declared FROM documents),
 v AS (SELECT ar.*, CASE WHEN declared > {MAX_SIZE} OR size > {MAX_SIZE} THEN 'too-large' WHEN size = 0 THEN 'empty'
@@ -143,7 +144,10 @@ a AS (SELECT h, reject, CASE WHEN reject IS NOT NULL THEN reject WHEN stored = s
 SELECT h AS sha1hex, action, CASE reject WHEN 'too-large' THEN 413 WHEN 'empty' THEN 400 WHEN 'length-mismatch' THEN 500 ELSE 202 END AS code,
        count(*) AS n
 FROM a GROUP BY ALL
-""")
+"""
+
+
+@query("stream_intake_state", sql=STATE_SQL)
 def q_stream_intake_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T3 and J1 as keyed state over several micro-batches, on top of a spool
     that holds half of the documents."""
@@ -162,6 +166,31 @@ def q_stream_intake_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).groupBy("sha1hex", "action", "code").agg(F.count("*").alias("n"))
 
 
+@query("intake_index", sql=STATE_SQL)
+def q_intake_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 batch by batch against the spool index: the half-filled spool is its
+    first run, each batch is looked up, decided and added; full levels merge."""
+    from capstan.operators.intake import actions
+    from capstan.operators.keyindex import KeyIndex
+    from capstan.plans.spool import spool_table
+
+    out = scratch_path(spark, "index-decisions")
+    index = KeyIndex(spark, scratch_path(spark, "spool-index"), fanout=3)
+    index.add(spool_table(spark, sf_dir).select("sha1hex", F.col("stored_size").alias("size")), 0)
+    d = table(spark, sf_dir, "documents")
+    size = F.octet_length(F.encode("text", "UTF-8")).cast("bigint")
+    rows = d.select("doc_id", F.sha1(F.encode("text", "UTF-8")).alias("sha1hex"), size.alias("size"),
+                    (size + F.when(F.pmod("doc_id", F.lit(23)) == 4, 1).otherwise(0)).alias("declared"), F.pmod("doc_id", F.lit(INDEX_BATCHES)).alias("batch"))
+    rows = rows.checkpoint(eager=True)  # keys only; every batch reads its own
+    for n in range(INDEX_BATCHES):
+        arrivals = rows.where(F.col("batch") == n).drop("batch")
+        stored = index.lookup(arrivals.select("sha1hex"), before=n + 1)
+        actions(arrivals, stored, MAX_SIZE, order="doc_id").select("sha1hex", "size", "action", "code").write.parquet(f"{out}/batch={n + 1}")
+        written = spark.read.parquet(f"{out}/batch={n + 1}").where(F.col("action").isin("insert", "overwrite"))
+        index.add(written.select("sha1hex", "size"), n + 1)
+    return spark.read.parquet(out).groupBy("sha1hex", "action", "code").agg(F.count("*").alias("n"))
+
+
 # ------------------------------------------------------------------- whole jobs
 
 def _land_arrivals(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:

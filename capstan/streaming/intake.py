@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
-from capstan.functions.paths import shard_prefix2
 from capstan.operators.intake import ACCEPTED, EMPTY, TOO_LARGE
 
 SLOW_DOWN = 429
@@ -66,9 +65,9 @@ def spool_intake_writer(spool_dir: str, tables: str, max_size: int = 0, has_spac
     """T4 with J1: the ``serve`` flow for one micro-batch of arrivals.
 
     ``batch`` rows carry path, length, content, sha1hex, size (and an
-    optional ``url``).  Valid arrivals are compared with the spool table
-    written by earlier batches (``tables/spool``): equal size -> skip,
-    other size -> overwrite, absent -> insert; within a batch the first
+    optional ``url``).  Valid arrivals are looked up in the index of earlier
+    batches (``tables/index``, see ``KeyIndex``; the history itself is not
+    read): equal size -> skip, other size -> overwrite, absent -> insert; within a batch the first
     arrival of a hash (by path) writes.  Accepted content is written to
     ``spool_dir/{shard}/{sha1}`` (content-addressed, idempotent); the spool
     table, URL map and rejects get a ``batch=<id>`` folder each, replaced if
@@ -78,11 +77,12 @@ def spool_intake_writer(spool_dir: str, tables: str, max_size: int = 0, has_spac
     later retry, and nothing is stored.
     """
     from capstan.operators import intake as J
+    from capstan.operators.keyindex import KeyIndex
     from capstan.sinks.hashdir import write_hashdir
-    from capstan.sources import fsio
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        index = KeyIndex(spark, f"{tables}/index")
         if has_space is not None and not has_space():
             slow = batch.select("path", "sha1hex", F.lit("slow-down").alias("action"),
                                 F.lit(SLOW_DOWN).alias("code"))
@@ -96,27 +96,13 @@ def spool_intake_writer(spool_dir: str, tables: str, max_size: int = 0, has_spac
             b = b.withColumn("_name", F.substring_index("path", "/", -1)).join(named, "_name", "left").drop("_name")
         b = b.persist(StorageLevel.DISK_ONLY)  # a micro-batch's bytes are read from the arrivals once
         try:
-            spool_path = f"{tables}/spool"
-            if fsio.exists(spool_path):
-                # the table is partitioned by hash prefix: only the prefixes of
-                # this batch are read (at most 256 names), and of these rows
-                # only those with a hash of the batch take part
-                keys = b.select("sha1hex").distinct()
-                prefixes = [r[0] for r in keys.select(shard_prefix2(F.col("sha1hex"))).distinct().collect()]
-                prior = spark.read.parquet(spool_path).where(F.col("shard").isin(prefixes) & (F.col("batch") != batch_id))
-                prior = prior.join(keys, "sha1hex", "left_semi")
-                stored = prior.groupBy("sha1hex").agg(F.max_by("size", "batch").alias("stored_size"))
-            else:
-                stored = spark.createDataFrame([], "sha1hex string, stored_size bigint")
+            stored = index.lookup(b.select("sha1hex"), before=batch_id)
             acts = J.actions(b.select("path", "sha1hex", "size", "declared"), stored, max_size, order="path")
             acts = acts.persist()
             ok = acts.where(F.col("action").isin("insert", "overwrite")).select("path")
             content = b.join(ok, "path", "left_semi")
             write_hashdir(content.select("content"), spool_dir)
-            # a retried batch replaces its own partitions only
-            (content.select("sha1hex", "size", "path", shard_prefix2(F.col("sha1hex")).alias("shard"), F.lit(batch_id).cast("long").alias("batch"))
-             .repartition("shard")  # one file a prefix, not one for each task and prefix
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard", "batch").parquet(spool_path))
+            content.select("sha1hex", "size", "path").write.mode("overwrite").parquet(f"{tables}/spool/batch={batch_id}")
             if "url" in b.columns:
                 content.where(F.col("url").isNotNull()).select(
                     "url", F.col("sha1hex").alias("sha1"), F.current_timestamp().alias("timestamp")
@@ -125,6 +111,8 @@ def spool_intake_writer(spool_dir: str, tables: str, max_size: int = 0, has_spac
                 f"{tables}/actions/batch={batch_id}")
             acts.where(F.col("code") != ACCEPTED).select("path", "code", "action").write.mode(
                 "overwrite").parquet(f"{tables}/rejects/batch={batch_id}")
+            # last: a batch that failed before this line is done again from its start
+            index.add(spark.read.parquet(f"{tables}/spool/batch={batch_id}").select("sha1hex", "size"), batch_id)
             acts.unpersist()
         finally:
             b.unpersist()
