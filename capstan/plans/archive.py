@@ -415,6 +415,52 @@ def q_warc_chunked_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.responses(warc.read_warc(spark, path)).select("uri", F.sha1("body").alias("body_sha1"))
 
 
+@query("warc_chunked_errors", sql="""
+SELECT url AS uri, CASE page_id % 6 WHEN 0 THEN 'chunked: bad chunk size b''-6''' WHEN 1 THEN 'chunked: no last chunk' WHEN 2 THEN 'chunked: cut chunk'
+                                    WHEN 3 THEN 'chunked: no line end after a chunk' END AS error,
+       CASE WHEN page_id % 6 > 3 THEN sha1(html) END AS body_sha1
+FROM pages
+""")
+def q_warc_chunked_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P4 on chunked responses with broken framing: an error and no body."""
+    raw = lambda text: F.encode(F.lit(text), "UTF-8")
+    html, crlf, end = F.encode("html", "UTF-8"), raw(CRLF), raw("0" + CRLF * 2)
+    size = lambda c: F.encode(F.concat(F.hex(c.cast("bigint")), F.lit(CRLF)), "UTF-8")
+    n = F.octet_length(html)
+    body = (F.when(_m(6) == 0, F.concat(raw("-6" + CRLF), html, crlf, end))
+            .when(_m(6) == 1, F.concat(size(n), html, crlf)).when(_m(6) == 2, F.concat(size(n + 1), html))
+            .when(_m(6) == 3, F.concat(size(n), html, end)).otherwise(F.concat(size(n), html, crlf, end)))
+    head = raw("HTTP/1.1 200 OK" + CRLF + "Content-Type: text/html" + CRLF + "Transfer-Encoding: chunked" + CRLF * 2)
+    rows = table(spark, sf_dir, "pages").select(
+        F.concat(F.lit("broken-"), capture_number().cast("string")).alias("warc_file"), F.col("page_id").alias("record_idx"),
+        F.lit("response").alias("warc_type"), F.lit(None).cast("string").alias("record_id"), F.lit(RECORD_DATE).alias("record_date"),
+        F.col("url").alias("target_uri"), F.lit(RESPONSE_CT).alias("content_type"), F.concat(head, body).alias("payload"))
+    path = scratch_path(spark, "chunked")
+    warc.write_warc(rows, path)
+    read = warc.read_warc(spark, path)
+    bodies = R.responses(read.where("error IS NULL")).select("uri", F.lit(None).cast("string").alias("error"), F.sha1("body").alias("body_sha1"))
+    return bodies.union(read.where("error IS NOT NULL").select("target_uri", "error", F.lit(None).cast("string")))
+
+
+@query("warc_split", sql="""
+SELECT page_id // 1000 AS capture, count(*) AS records, CAST(sum(strlen(html)) AS BIGINT) AS bytes, min(page_id) AS first, max(page_id) AS last
+FROM pages GROUP BY 1
+""")
+def q_warc_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 with every file read by several tasks: one record a page, the ranges
+    of a file checked against each other."""
+    path = scratch_path(spark, "split")
+    rows = table(spark, sf_dir, "pages").select(
+        F.concat(F.lit("split-"), capture_number().cast("string")).alias("warc_file"), F.col("page_id").alias("record_idx"),
+        F.lit("resource").alias("warc_type"), F.lit(None).cast("string").alias("record_id"), F.lit(RECORD_DATE).alias("record_date"),
+        F.col("page_id").cast("string").alias("target_uri"), F.lit("text/html").alias("content_type"), F.encode("html", "UTF-8").alias("payload"))
+    warc.write_warc(rows, path)
+    got = warc.read_warc(spark, path, split_bytes=64 << 10)
+    page = F.col("target_uri").cast("bigint")
+    return got.groupBy(F.regexp_extract("warc_file", "([0-9]+)$", 1).cast("bigint").alias("capture")).agg(
+        F.count("*").alias("records"), F.sum(F.octet_length("payload")).cast("bigint").alias("bytes"), F.min(page).alias("first"), F.max(page).alias("last"))
+
+
 @query("backfill_plan", sql="WITH " + CDX_SQL + """,
 """ + """arr AS (SELECT page_id, url, html FROM pages
         UNION ALL SELECT page_id, url, html FROM pages WHERE page_id % 8 = 1),

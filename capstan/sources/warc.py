@@ -11,7 +11,9 @@ in ``error``), ``onError`` (``fail``, the default: a broken record or file is
 an error; ``reject``: it gives a row with ``error`` and reading goes on at the
 next record found), ``dechunk`` (default true: chunked HTTP bodies are joined).
 A record whose length is no number is skipped alone: its row has no length and
-no payload, so P3 leaves it out.  A failed read is always an error.
+no payload, so P3 leaves it out.  A chunked body with broken framing has no
+payload either, and says why in ``error``, whatever ``onError`` is: the archive
+is sound, the server's message was not.  A failed read is always an error.
 
 Writing: ``df.write.format("warc").mode("overwrite").save(path)`` writes one
 file ``{warc_file}.warc.gz`` per value of ``warc_file`` in a partition, one
@@ -24,7 +26,9 @@ output.  Paths may be local or file-system URIs (``capstan.sources.fsio``).
 from __future__ import annotations
 
 import gzip
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -38,10 +42,11 @@ from pyspark.sql.datasource import (
 )
 
 from capstan.schemas import WARC_RECORDS
+from capstan.session import scratch_path
 from capstan.sources import fsio
 
 CHUNK = 1 << 20
-PACK_BYTES, OPEN_BYTES = 32 << 20, 256 << 10
+PACK_BYTES, OPEN_BYTES, SPLIT_BYTES = 32 << 20, 256 << 10, 256 << 20
 
 
 class FilesPartition(InputPartition):
@@ -50,7 +55,16 @@ class FilesPartition(InputPartition):
         self.paths = paths
 
 
-def packed_files(path: str, pack_bytes: int, slots: int = 1) -> list[list[str]]:
+class RangePartition(InputPartition):
+    """Records of one file that begin from ``start`` (a record's offset) up to
+    ``stop``; the first is the file's ``idx``-th."""
+
+    def __init__(self, path: str, start: int, stop: int, idx: int):
+        super().__init__((path, start, stop, idx))
+        self.path, self.start, self.stop, self.idx = path, start, stop, idx
+
+
+def packed_files(path: str, pack_bytes: int, slots: int = 1, without: frozenset[str] = frozenset()) -> list[list[str]]:
     """Files under ``path`` in order, small ones packed together: up to
     ``pack_bytes``, and less where there would be fewer packs than ``slots``."""
     sizes = {p: n for p, n, _ in fsio.walk_files(path)}
@@ -58,6 +72,8 @@ def packed_files(path: str, pack_bytes: int, slots: int = 1) -> list[list[str]]:
     out: list[list[str]] = []
     room = 0
     for f in fsio.list_files(path):
+        if f in without:
+            continue
         n = sizes.get(f, pack_bytes)
         if not out or n > room:
             out.append([])
@@ -196,18 +212,22 @@ def _file_chunks(f, offset: int) -> Iterator[bytes]:
 GZIP, PLAIN = b"\x1f\x8b\x08", b"WARC/"
 
 
-def iter_file_records(path: str, on_error: str = "fail"):
+def iter_file_records(path: str, on_error: str = "fail", start: int = 0, stop: int | None = None, idx: int = 0):
     """(record_idx, offset, length, headers, block, error) for every record of
     a file, gzip-compressed (offset/length of the member) or plain (of the
     record).  One record is in memory at a time.  A broken record raises
-    ValueError, or with ``on_error='reject'`` gives a row with its error."""
+    ValueError, or with ``on_error='reject'`` gives a row with its error.
+    ``start`` (a record's offset, the ``idx``-th), ``stop``: only the members or
+    records that begin there."""
     with fsio.open_read(path) as f:
         zipped = f.read(2) == GZIP[:2]
-        idx, offset, at = 0, 0, 0
+        offset, at = start, start
         while offset is not None:
             try:
                 if zipped:
                     for at, chunks, state in _members(f, offset):
+                        if stop is not None and at >= stop:
+                            return
                         held = None  # a member's length is known only at its end
                         for heads, block, _, _ in _stream_records(chunks):
                             if held:
@@ -219,9 +239,11 @@ def iter_file_records(path: str, on_error: str = "fail"):
                             idx += 1
                         at += state["size"] or 0
                 else:
-                    for heads, block, start, stop in _stream_records(_file_chunks(f, offset)):
-                        at = offset + stop
-                        yield idx, offset + start, stop - start, heads, block, None
+                    for heads, block, begin, end in _stream_records(_file_chunks(f, offset)):
+                        at = offset + end
+                        if stop is not None and offset + begin >= stop:
+                            return
+                        yield idx, offset + begin, end - begin, heads, block, None
                         idx += 1
                 return
             except (ValueError, zlib.error) as exc:
@@ -232,6 +254,8 @@ def iter_file_records(path: str, on_error: str = "fail"):
                 offset = _next_start(f, at + 1, GZIP if zipped else b"\n" + PLAIN)
                 if offset is not None and not zipped:
                     offset += 1
+                if offset is not None and stop is not None and offset >= stop:
+                    return
 
 
 def read_member(path: str, offset: int, length: int | None):
@@ -252,31 +276,193 @@ def read_member(path: str, offset: int, length: int | None):
     raise ValueError("no record at the offset")
 
 
-def dechunk_http(payload: bytes) -> bytes:
+class ChunkDecoder:
+    """Chunked transfer coding, piece by piece.  ``feed`` gives the body bytes
+    of what it is given; ``done`` says that the last chunk was seen, ``error``
+    why the framing is broken (nothing more comes then)."""
+
+    def __init__(self):
+        self.held, self.left, self.state, self.error = b"", 0, "size", None
+
+    @property
+    def done(self) -> bool:
+        return self.state == "done"
+
+    def feed(self, data: bytes) -> bytes:
+        out, buf, pos = [], self.held + data, 0
+        while self.error is None and self.state != "done":
+            if self.state == "data":
+                piece = buf[pos:pos + self.left]
+                out.append(piece)
+                pos += len(piece)
+                self.left -= len(piece)
+                if self.left:
+                    break
+                self.state = "end"
+            elif self.state == "end":  # the line end after a chunk's data
+                if len(buf) - pos < 2:
+                    if buf[pos:] not in (b"", b"\r"):
+                        self.error = "no line end after a chunk"
+                    break
+                if buf[pos:pos + 2] != b"\r\n":
+                    self.error = "no line end after a chunk"
+                    break
+                pos, self.state = pos + 2, "size"
+            else:
+                eol = buf.find(b"\n", pos)
+                if eol < 0:
+                    if len(buf) - pos > MAX_CHUNK_LINE:
+                        self.error = "chunk size line too long"
+                    break
+                text = buf[pos:eol].split(b";", 1)[0].strip()
+                if not CHUNK_SIZE.fullmatch(text):
+                    self.error = f"bad chunk size {text[:20]!r}"
+                    break
+                pos, self.left = eol + 1, int(text, 16)
+                self.state = "data" if self.left else "done"
+        self.held = buf[pos:]
+        return b"".join(out)
+
+    def close(self) -> None:
+        """The message ends here."""
+        if self.error is None and not self.done:
+            self.error = "cut chunk" if self.state != "size" else "no last chunk"
+
+
+CHUNK_SIZE = re.compile(rb"[0-9A-Fa-f]{1,16}")
+MAX_CHUNK_LINE = 4096
+
+
+def dechunk_http(payload: bytes) -> tuple[bytes | None, str | None]:
     """Undo chunked transfer coding in an HTTP message, keeping the header
-    block; other messages, and bodies whose framing is broken, are returned
-    unchanged."""
+    block; other messages are returned unchanged.  Where the framing is broken
+    there is no message but an error."""
     end = payload.find(b"\r\n\r\n")
     if end < 0:
-        return payload
+        return payload, None
     head = payload[:end].lower()
     if b"transfer-encoding:" not in head or b"chunked" not in head.split(b"transfer-encoding:", 1)[1].split(b"\r\n", 1)[0]:
-        return payload
-    body, pos, out = payload[end + 4:], 0, []
-    while pos < len(body):
-        eol = body.find(b"\r\n", pos)
-        if eol < 0:
-            return payload
-        size_txt = body[pos:eol].split(b";", 1)[0].strip()
-        try:
-            size = int(size_txt, 16)
-        except ValueError:
-            return payload
-        if size == 0:
-            return payload[:end + 4] + b"".join(out)
-        out.append(body[eol + 2:eol + 2 + size])
-        pos = eol + 2 + size + 2
-    return payload  # no last chunk
+        return payload, None
+    decoder = ChunkDecoder()
+    body = decoder.feed(payload[end + 4:])
+    decoder.close()
+    return (None, f"chunked: {decoder.error}") if decoder.error else (payload[:end + 4] + body, None)
+
+
+# -- one large file read by many tasks ---------------------------------------
+
+def first_record(path: str, start: int) -> int | None:
+    """Offset of the first member (or plain record) at or after ``start`` that
+    decodes as a whole into records; None if there is none."""
+    with fsio.open_read(path) as f:
+        zipped = f.read(2) == GZIP[:2]
+        sign, skip = (GZIP, 0) if zipped else (b"\n" + PLAIN, 1)
+        at = _next_start(f, max(0, start - skip), sign)
+        while at is not None:
+            try:
+                if zipped:
+                    _, chunks, _ = next(_members(f, at))
+                    if sum(1 for _ in _stream_records(chunks)):
+                        return at
+                elif next(_stream_records(_file_chunks(f, at + 1)), None):
+                    return at + 1
+            except (ValueError, zlib.error):
+                pass
+            at = _next_start(f, at + 1, sign)
+    return None
+
+
+def walk_range(path: str, entry: int, stop: int) -> tuple[int, int]:
+    """From the record at ``entry`` on: (offset of the first record at or after
+    ``stop``, or the file's end; number of records before it)."""
+    n = 0
+    with fsio.open_read(path) as f:
+        zipped, size = f.read(2) == GZIP[:2], f.size()
+        if zipped:
+            for at, chunks, _ in _members(f, entry):
+                if at >= stop:
+                    return at, n
+                n += sum(1 for _ in _stream_records(chunks))
+        else:
+            for _, _, begin, _ in _stream_records(_file_chunks(f, entry)):
+                if entry + begin >= stop:
+                    return entry + begin, n
+                n += 1
+    return size, n
+
+
+def _probe(batches):
+    import pandas as pd
+
+    for b in batches:
+        out = []
+        for path, k, start, stop, entry in b.itertuples(index=False):
+            try:
+                if entry < 0:
+                    found = 0 if start == 0 else first_record(path, start)
+                    entry = stop if found is None else found
+                after, n = walk_range(path, entry, stop) if entry < stop else (entry, 0)
+                out.append((path, k, entry, after, n, None))
+            except (ValueError, zlib.error) as exc:
+                out.append((path, k, entry, -1, 0, str(exc)))
+        yield pd.DataFrame(out, columns=["path", "k", "entry", "after", "n", "error"])
+
+
+def plan_splits(spark: SparkSession, path: str, split_bytes: int) -> dict[str, list[tuple[int, int, int]]]:
+    """Ranges (first record's offset, end, number of the first record) of every
+    file above ``split_bytes``.
+
+    Tasks walk the ranges at once, each from the first sound record it finds.
+    What looks like a record may lie inside another one's payload, so ranges are
+    then checked against each other: the record a range's walk ends at must be
+    the next one's first; where it is not, that range is walked again from
+    there.  One row a range comes back.  A file that does not decode is not
+    split: the reader meets the error in its place.
+    """
+    big = {p: n for p, n, _ in fsio.walk_files(path) if n > split_bytes} if fsio.exists(path) and not _is_file(path) else {}
+    if _is_file(path):
+        with fsio.open_read(path) as f:
+            big = {path: f.size()} if f.size() > split_bytes else {}
+    big = {p: big[p] for p in fsio.list_files(path) if p in big}
+    bounds = {p: [*range(0, n, split_bytes), n] for p, n in big.items()}
+    asked = [(p, k, a, b, -1) for p, cuts in bounds.items() for k, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+    found: dict[tuple[str, int], tuple[int, int, int]] = {}
+    broken: set[str] = set()
+    while asked:
+        rows = spark.createDataFrame(asked, "path string, k int, start bigint, stop bigint, entry bigint").repartition(len(asked), "path", "k")
+        asked = []
+        for r in rows.mapInPandas(_probe, "path string, k int, entry bigint, after bigint, n bigint, error string").collect():
+            if r.error is None:
+                found[r.path, r.k] = (r.entry, r.after, r.n)
+            else:  # perhaps only a false start
+                found[r.path, r.k] = (r.entry, -1, 0)
+        for p, cuts in bounds.items():
+            entry = 0
+            for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                if p in broken:
+                    break
+                if entry >= b:
+                    found[p, k] = (entry, entry, 0)
+                elif found[p, k][0] != entry:
+                    asked.append((p, k, a, b, entry))
+                    break
+                elif found[p, k][1] < 0:
+                    broken.add(p)
+                entry = found[p, k][1]
+    out = {}
+    for p, cuts in bounds.items():
+        if p not in broken:
+            first, out[p] = 0, []
+            for k, b in enumerate(cuts[1:]):
+                entry, _, n = found[p, k]
+                if n:
+                    out[p].append((entry, b, first))
+                first += n
+    return out
+
+
+def _is_file(path: str) -> bool:
+    return fsio.list_files(path) == [path]
 
 
 COLUMNS = ["warc_file", "file_name", "record_idx", "record_offset", "record_length", "warc_type",
@@ -310,10 +496,16 @@ class WarcReader(DataSourceReader):
         self.dechunk = options.get("dechunk", "true").lower() == "true"
         self.pack_bytes = int(options.get("packBytes", str(PACK_BYTES)))
         self.slots = int(options.get("slots", "1"))
+        self.splits = options.get("splits", "")
         self.equal: dict[str, set] = {}
 
     def partitions(self):
-        return [FilesPartition(p) for p in packed_files(self.path, self.pack_bytes, self.slots)]
+        splits = {}
+        if self.splits:
+            with fsio.open_read(self.splits) as f:
+                splits = json.loads(f.read())
+        whole = packed_files(self.path, self.pack_bytes, self.slots, frozenset(splits))
+        return [FilesPartition(p) for p in whole] + [RangePartition(p, *r) for p, ranges in splits.items() for r in ranges]
 
     def _keep(self, heads: dict) -> bool:
         wt = heads.get("warc-type")
@@ -330,8 +522,10 @@ class WarcReader(DataSourceReader):
 
         schema = _arrow_schema()
         rows, size = [], 0
-        for path in partition.paths:
-            for row, n in self._rows(path):
+        ranges = [(partition.path, partition.start, partition.stop, partition.idx)] if isinstance(partition, RangePartition) else [
+            (path, 0, None, 0) for path in partition.paths]
+        for own in ranges:
+            for row, n in self._rows(*own):
                 rows.append(row)
                 size += n
                 if len(rows) >= BATCH_ROWS or size >= BATCH_BYTES:
@@ -340,17 +534,17 @@ class WarcReader(DataSourceReader):
         if rows:
             yield pa.RecordBatch.from_pydict(dict(zip(COLUMNS, map(list, zip(*rows)))), schema=schema)
 
-    def _rows(self, path):
+    def _rows(self, path, start=0, stop=None, first=0):
         name = file_name = os.path.basename(path)
         for suffix in (".gz", ".warc"):
             name = name.removesuffix(suffix)
-        for idx, off, length, heads, block, error in iter_file_records(path, self.on_error):
+        for idx, off, length, heads, block, error in iter_file_records(path, self.on_error, start, stop, first):
             if error is None and not self._keep(heads):
                 continue
             if block is not None and self.max_record and len(block) > self.max_record:
                 block, error = None, "over-cap"
             if self.dechunk and block and heads.get("content-type", "").startswith("application/http"):
-                block = dechunk_http(block)
+                block, error = dechunk_http(block)
             payload = block if self.payload else None
             yield (name, file_name, idx, off, length, heads.get("warc-type"), heads.get("warc-target-uri"),
                    heads.get("warc-date"), heads.get("content-type"), heads.get("content-length"), _length(heads),
@@ -446,8 +640,16 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(WarcDataSource)
 
 
-def read_warc(spark: SparkSession, path: str, payload: bool = True, **options) -> DataFrame:
+def read_warc(spark: SparkSession, path: str, payload: bool = True, split_bytes: int = SPLIT_BYTES, **options) -> DataFrame:
+    """Records under ``path``.  A file above ``split_bytes`` (0: none) is read by
+    several tasks; that costs one more pass of it, by a job of its own, which
+    finds where the ranges' records begin (``plan_splits``)."""
     register(spark)
+    splits = plan_splits(spark, path, split_bytes) if split_bytes else {}
+    if splits:
+        name = scratch_path(spark, "splits") + ".json"
+        fsio.write_atomic(name, [json.dumps(splits).encode()])
+        options = {**options, "splits": name}
     pushdown = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")
     opts = {"payload": str(payload).lower(), "pushdown": pushdown, "slots": str(spark.sparkContext.defaultParallelism), **{k: str(v) for k, v in options.items()}}
     return spark.read.format("warc").options(**opts).load(path)
