@@ -309,6 +309,22 @@ def q_cdx_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.sha1(http.body(F.col("payload"), F.col("_h"))).alias("body_sha1"))
 
 
+@query("fetch_ranges", sql="WITH " + CDX_SQL + """,
+b AS (SELECT *, compressed_offset + compressed_record_size AS stop, compressed_offset // 65536 AS block FROM cdx),
+r AS (SELECT *, max(stop) OVER (PARTITION BY filename, block ORDER BY compressed_offset, stop ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached FROM b),
+i AS (SELECT *, sum(CASE WHEN reached IS NULL OR compressed_offset > reached + 3000 THEN 1 ELSE 0 END)
+                OVER (PARTITION BY filename, block ORDER BY compressed_offset, stop ROWS UNBOUNDED PRECEDING) AS island FROM r),
+e AS (SELECT filename, count(*) AS n, max(stop) - min(compressed_offset) AS bytes FROM i GROUP BY filename, block, island)
+SELECT filename, count(*) AS ranges, CAST(sum(n) AS BIGINT) AS rows, CAST(sum(bytes) AS BIGINT) AS bytes FROM e GROUP BY filename
+""")
+def q_fetch_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The read ranges of a fetch by index, as rows, opens and bytes."""
+    from capstan.sources import cdx
+
+    p = cdx.read_cdx(spark, cdx_files(spark, sf_dir)).where(F.col("reason").isNull())
+    return cdx.range_totals(cdx.read_ranges(p, open_cost=3000, block=1 << 16))
+
+
 LARGE_OFFSET = 5_439_151_290  # beyond 32 bits
 
 

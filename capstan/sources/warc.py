@@ -262,17 +262,22 @@ def read_member(path: str, offset: int, length: int | None):
     """Records at ``offset`` (random access, J7): all of a gzip member's, or
     one of a plain file.  Without a length, up to the member's or record's end."""
     with fsio.open_read(path) as f:
-        f.seek(offset)
-        if f.read(2) != GZIP[:2]:
-            heads, block, _, _ = next(_stream_records(_file_chunks(f, offset)), (None, None, 0, 0))
-            if heads is None:
-                raise ValueError("no record at the offset")
-            return [(heads, block)]
-        for _, chunks, state in _members(f, offset):
-            got = [(heads, block) for heads, block, _, _ in _stream_records(chunks)]
-            if length is not None and state["size"] is not None and length < state["size"]:
-                raise ValueError(f"the member has {state['size']} bytes, the index says {length}")
-            return got
+        return read_member_of(f, offset, length)
+
+
+def read_member_of(f, offset: int, length: int | None):
+    """``read_member`` on an open file."""
+    f.seek(offset)
+    if f.read(2) != GZIP[:2]:
+        heads, block, _, _ = next(_stream_records(_file_chunks(f, offset)), (None, None, 0, 0))
+        if heads is None:
+            raise ValueError("no record at the offset")
+        return [(heads, block)]
+    for _, chunks, state in _members(f, offset):
+        got = [(heads, block) for heads, block, _, _ in _stream_records(chunks)]
+        if length is not None and state["size"] is not None and length < state["size"]:
+            raise ValueError(f"the member has {state['size']} bytes, the index says {length}")
+        return got
     raise ValueError("no record at the offset")
 
 
