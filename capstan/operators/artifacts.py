@@ -16,6 +16,8 @@ from capstan.functions.paths import (
     shard_prefix2,
 )
 from capstan.operators.derive import has_thumbnail_to_store
+from capstan.session import scratch_path
+from capstan.sources import fsio
 
 # The artifact kinds a successful document produces.
 # (kind, bucket, folder, extension)
@@ -137,3 +139,29 @@ def write_store(store: DataFrame, path: str) -> None:
     on the shard reads only the requested shards (dynamic partition
     pruning)."""
     store.write.mode("overwrite").partitionBy("bucket", "shard").parquet(path)
+
+
+def merge_into(path: str, puts: DataFrame, order: str, batch: int) -> None:
+    """K3/W2 onto a stored table: the puts of a batch join the store under
+    ``path`` (partitioned by bucket and shard), last write wins.
+
+    Only the partitions that the batch touches are read and rewritten; the
+    others' files stay as they are.  The new partitions are staged in full and
+    then swapped in by Spark's commit (dynamic partition overwrite).  A write is
+    later by its batch, then by ``order``; a batch that is put again, as after a
+    failure, gives the same store.
+    """
+    spark = puts.sparkSession
+    new = stored(puts, order).select("bucket", "object_path", "content_sha1", "size", F.lit(batch).cast("bigint").alias("batch"), "shard")
+    staged = scratch_path(spark, "store-batch")
+    new.write.parquet(staged)  # hashed once
+    rows = new = spark.read.parquet(staged)
+    if fsio.exists(path):
+        touched = new.select("bucket", "shard").distinct()
+        rows = spark.read.schema(new.schema).parquet(path).join(touched, ["bucket", "shard"], "left_semi").unionByName(new)
+    merged = last_write_wins(rows, ["bucket", "object_path", "shard"], "batch", ["content_sha1", "size", "batch"])
+    target = scratch_path(spark, "store-merged")
+    merged.write.parquet(target)  # a store that is read cannot be written at once
+    done = spark.read.schema(merged.schema).parquet(target)
+    (done.select("object_path", "content_sha1", "size", "batch", "bucket", "shard").repartition("bucket", "shard")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "shard").parquet(path))

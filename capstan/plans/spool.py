@@ -142,6 +142,25 @@ def q_url_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlmap.lookup(urls, spark.read.parquet(path)).select("url", "sha1", "urls_per_sha1")
 
 
+@query("url_index_lookup", sql="WITH " + URLMAP_SQL + """,
+pairs AS (SELECT DISTINCT url, sha1 FROM um WHERE url IS NOT NULL),
+per AS (SELECT sha1, count(*) AS urls_per_sha1 FROM pairs GROUP BY sha1)
+SELECT p.url, pairs.sha1, per.urls_per_sha1
+FROM pages p JOIN pairs ON p.url = pairs.url JOIN per ON pairs.sha1 = per.sha1
+""")
+def q_url_index_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J5 and K9 on the bucketed copies of the map, filled by two batches, the
+    first of them twice."""
+    from capstan.operators.urlindex import UrlIndex
+
+    rows = url_map_table(spark, sf_dir).select("url", "sha1").checkpoint(eager=True)
+    index = UrlIndex(spark, scratch_path(spark, "url-index"), buckets=8)
+    odd = F.pmod(F.xxhash64("sha1"), F.lit(2)) == 1
+    for part in (rows.where(odd), rows.where(odd), rows.where(~odd)):
+        index.add(part)
+    return index.lookup(table(spark, sf_dir, "pages").select("url")).select("url", "sha1", "urls_per_sha1")
+
+
 @query("batch_totals", sql="""
 WITH f AS (SELECT sha1(text) AS h, arg_min(doc_id % 13 = 6, doc_id) AS empty FROM documents GROUP BY 1)
 SELECT count(*) AS files,
@@ -204,6 +223,18 @@ def q_artifact_put(spark: SparkSession, sf_dir: str) -> DataFrame:
     return artifacts.stored(puts, "doc_id").select("bucket", "object_path", "content_sha1", "size")
 
 
+@query("artifact_merge", sql="WITH " + PUT_SQL + " SELECT bucket, object_path, content_sha1, size FROM store")
+def q_artifact_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3 and W2 onto a stored table: three puts in a row, the second one
+    twice, give the store of all puts."""
+    puts = artifacts.put_requests(put_requests(spark, sf_dir))
+    third = (table(spark, sf_dir, "documents").agg(F.max("doc_id")).collect()[0][0] or 0) // 3 + 1
+    path = scratch_path(spark, "store")
+    for batch in (0, 1, 1, 2):
+        artifacts.merge_into(path, puts.where(F.floor(F.col("doc_id") / third) == batch), "doc_id", batch)
+    return spark.read.parquet(path).select("bucket", "object_path", "content_sha1", "size")
+
+
 @query("artifact_get", sql="WITH " + PUT_SQL + """,
 g AS (SELECT doc_id,
         CASE WHEN doc_id % 5 = 0 THEN 'custom' ELSE 'sandcrawler' END AS bucket,
