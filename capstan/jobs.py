@@ -23,7 +23,7 @@ import os
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from capstan.functions.report import parse_pdfcpu, with_info
@@ -40,6 +40,9 @@ from capstan.sources.spool import list_spool, read_blocklist, read_spool
 from capstan.streaming import drain
 
 
+METRICS = "processed bigint, ok bigint"  # one row per batch, observed while its status is written
+
+
 def _extract(blobs: DataFrame, extractor: Callable[[bytes], dict], blocklist: DataFrame | None,
              timeout_s: float, isolation: str = "thread") -> DataFrame:
     """Gate, extractor and status.  The bytes stay in the split that read
@@ -62,7 +65,7 @@ def store_artifacts(result: DataFrame, root: str) -> DataFrame:
 
 
 def _process_batch(blobs: DataFrame, out: str, extractor, blocklist, timeout_s: float, tag: str,
-                   isolation: str = "thread", xml_extractor=None, max_xml_size: int = 256 << 20) -> DataFrame:
+                   isolation: str = "thread", xml_extractor=None, max_xml_size: int = 256 << 20) -> None:
     result = _extract(blobs, extractor, blocklist, timeout_s, isolation=isolation)
     if xml_extractor is not None:
         result = derive.run_xml_extractor(result, xml_extractor, blobs, "path", max_xml_size)
@@ -73,9 +76,10 @@ def _process_batch(blobs: DataFrame, out: str, extractor, blocklist, timeout_s:
     store_artifacts(result, os.path.join(out, "artifacts"))
     to_result_json(result, key="path").select("json").write.mode("overwrite").text(
         os.path.join(out, "results", tag))
-    result.select("path", "sha1hex", "status", "err").write.mode("overwrite").parquet(
-        os.path.join(out, "status", tag))
-    return stats.run_stats(result)
+    status, seen = stats.observed(result.select("path", "sha1hex", "status", "err"))
+    status.write.mode("overwrite").parquet(os.path.join(out, "status", tag))
+    totals = blobs.sparkSession.createDataFrame([(seen.get["processed"], seen.get["ok"])], METRICS)
+    totals.coalesce(1).write.mode("overwrite").parquet(os.path.join(out, "metrics", tag))
 
 
 def _remove(paths: DataFrame) -> DataFrame:
@@ -94,7 +98,7 @@ def process_spool(spark: SparkSession, spool_dir: str, out: str, extractor: Call
                   max_files: int = 1000, remove_processed: bool = False,
                   isolation: str = "thread", xml_extractor: Callable[[bytes], bytes] | None = None) -> DataFrame:
     """The ``run`` flow.  Returns run statistics (A1) over everything written
-    to ``out/status``.
+    to ``out/status``, from metrics observed while it was written.
 
     The default blocklist always applies; ``blocklist_path`` adds to it.  With
     ``xml_extractor`` the structured XML (D4) is stored as an artifact too.
@@ -120,7 +124,7 @@ def process_spool(spark: SparkSession, spool_dir: str, out: str, extractor: Call
         q = (s.writeStream.foreachBatch(each).option("checkpointLocation", os.path.join(out, "_checkpoint"))
              .trigger(availableNow=True).start())
         q.awaitTermination()
-    return stats.run_stats(spark.read.parquet(os.path.join(out, "status")))
+    return stats.of_metrics(spark.read.schema(METRICS).parquet(os.path.join(out, "metrics")))
 
 
 SINK_NAMES = ("hashdir", "dir", "log", "intake")
@@ -141,22 +145,19 @@ def extract_captures(spark: SparkSession, warc_path: str, out: str, sinks: tuple
         resp = spark.read.schema(resp.schema).parquet(kept)
     counts = {}
     for name in sinks:
+        seen = Observation()  # rows are counted by the write itself
+        rows = resp.observe(seen, F.count(F.lit(1)).alias("n"))
         if name == "hashdir":
-            counts[name] = write_hashdir(resp.select(F.col("body").alias("content")),
-                                         os.path.join(out, "hashdir"), ext=extension).count()
+            write_hashdir(rows.select(F.col("body").alias("content")), os.path.join(out, "hashdir"), ext=extension)
         elif name == "dir":
-            counts[name] = write_dir_export(resp, os.path.join(out, "dir"), content="body", size="size",
-                                            extension=extension).count()
+            write_dir_export(rows, os.path.join(out, "dir"), content="body", size="size", extension=extension)
         elif name == "log":
-            log = R.capture_log(resp)
-            log.write.mode("overwrite").json(os.path.join(out, "log"))
-            counts[name] = log.count()
+            R.capture_log(rows).write.mode("overwrite").json(os.path.join(out, "log"))
         elif name == "intake":
-            staged = R.stage_for_intake(resp)
-            staged.write.mode("append").parquet(os.path.join(out, "intake"))
-            counts[name] = staged.count()
+            R.stage_for_intake(rows).write.mode("append").parquet(os.path.join(out, "intake"))
         else:
             raise ValueError(f"unknown sink {name}; choose from {SINK_NAMES}")
+        counts[name] = seen.get["n"]
     return counts
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -19,6 +19,21 @@ def run_stats(result: DataFrame, ok: Column | None = None) -> DataFrame:
     )
 
 
+def observed(result: DataFrame, ok: Column | None = None) -> tuple[DataFrame, Observation]:
+    """A1 without a pass of its own: ``result`` with its statistics observed by
+    whatever job reads it next; ``Observation.get`` has them once that is done
+    (``processed``, ``ok``)."""
+    ok = ok if ok is not None else (F.col("status") == F.lit("success"))
+    seen = Observation()
+    return result.observe(seen, F.count(F.lit(1)).alias("processed"), F.count_if(ok).alias("ok")), seen
+
+
+def of_metrics(metrics: DataFrame) -> DataFrame:
+    """A1 of rows of observed metrics (processed, ok), one per batch."""
+    total = metrics.agg(*(F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in ("processed", "ok")))
+    return total.withColumn("success_ratio", F.when(F.col("processed") == 0, F.lit(1.0)).otherwise(F.col("ok") / F.col("processed")))
+
+
 def status_counts(result: DataFrame) -> DataFrame:
     """A5: rows per status."""
     return result.groupBy("status").agg(F.count(F.lit(1)).cast("bigint").alias("n"))

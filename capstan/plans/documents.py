@@ -94,6 +94,16 @@ def q_run_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.run_stats(extract_result(spark, sf_dir))
 
 
+@query("run_stats_observed", sql=RUN_STATS_SQL.format(where=""))
+def q_run_stats_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1 from the metrics of the job that writes the results."""
+    from capstan.session import scratch_path
+
+    result, seen = stats.observed(extract_result(spark, sf_dir))
+    result.select("doc_id", "status").write.parquet(scratch_path(spark, "observed"))
+    return stats.of_metrics(spark.createDataFrame([(seen.get["processed"], seen.get["ok"])], "processed bigint, ok bigint"))
+
+
 @query("run_stats_empty", sql=RUN_STATS_SQL.format(where="WHERE doc_id < 0"))
 def q_run_stats_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.run_stats(extract_result(spark, sf_dir).where(F.col("doc_id") < 0))
