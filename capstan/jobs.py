@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 
 from capstan.functions.report import parse_pdfcpu, with_info
 from capstan.operators import artifacts, derive, stats
-from capstan.operators.intake import EMPTY
 from capstan.operators import filters as P
 from capstan.operators import responses as R
 from capstan.sinks.blobdir import write_blobs
@@ -162,34 +161,39 @@ def extract_captures(spark: SparkSession, warc_path: str, out: str, sinks: tuple
 
 
 def intake_arrivals(spark: SparkSession, arrivals_dir: str, spool_dir: str, tables: str,
-                    max_size: int = 0, max_files: int = 1000, remove_arrived: bool = False,
-                    has_space=None, urls: DataFrame | None = None) -> DataFrame:
+                    max_size: int = 0, max_files: int = 100_000, remove_arrived: bool = False,
+                    has_space=None, urls: DataFrame | None = None, max_bytes: int = 8 << 30,
+                    min_free_percent: int = 0) -> DataFrame:
     """The ``serve`` flow as a stream over an arrivals folder: validate,
     de-duplicate against the spool, store accepted blobs content-addressed,
     record spool rows, URL map and rejects.  Returns the actions so far.
 
+    The arrivals come from their own source (``streaming/arrivals.py``): empty
+    and too large files are rows of the stream with their answer, a micro-batch
+    is admitted by bytes and files, and with ``min_free_percent`` an admission
+    is answered 429 while the spool's file system has less free space; its files
+    are offered again by the next run.  ``has_space`` is any other probe, called
+    once a micro-batch; files it turns away are recorded and not offered again.
+
     ``urls`` (name, url) gives the URL of an arrival by its file name (the
     request headers of the service); accepted arrivals with one get a URL-map
-    row.  Empty files, which the stream's source leaves out, are taken from
-    the listing and answered 400.
+    row.  ``remove_arrived`` deletes what this run answered for good.
     """
+    from capstan.streaming import arrivals
     from capstan.streaming.intake import spool_intake_writer
 
-    s = drain.spool_stream(spark, arrivals_dir, max_files=max_files,
-                           clean_source="delete" if remove_arrived else "off")
-    s = s.select("path", "length", "content", F.sha1("content").alias("sha1hex"),
+    log = os.path.join(tables, "_arrivals")
+    since = arrivals.taken(log)["n"]
+    arrivals.announce(spark, arrivals_dir, log, max_bytes=max_bytes, max_files=max_files)
+    s = arrivals.arrivals_stream(spark, log, max_size, min_free_percent, spool_dir if min_free_percent > 0 else None)
+    s = s.select("path", "length", "content", "code", F.sha1("content").alias("sha1hex"),
                  F.octet_length("content").cast("bigint").alias("size"))
-    empty = list_spool(spark, arrivals_dir).where("length = 0").select("path")
+    arrivals.drain(s, spool_intake_writer(spool_dir, tables, max_size, has_space, urls), os.path.join(tables, "_checkpoint"))
+    if remove_arrived and has_space is None:
+        arrivals.remove_answered(spark, log, since)
     actions = os.path.join(tables, "actions")
-    if fsio.exists(actions):
-        empty = empty.join(spark.read.parquet(actions).where("action = 'empty'").select("path"), "path", "left_anti")
-    q = (s.writeStream.foreachBatch(spool_intake_writer(spool_dir, tables, max_size, has_space, urls))
-         .option("checkpointLocation", os.path.join(tables, "_checkpoint")).trigger(availableNow=True).start())
-    q.awaitTermination()
-    rejected = empty.select("path", F.lit(None).cast("string").alias("sha1hex"), F.lit("empty").alias("action"), F.lit(EMPTY).alias("code"))
-    tag = f"batch={-time.time_ns()}"  # negative: no batch of the stream
-    rejected.write.parquet(os.path.join(actions, tag))
-    spark.read.parquet(os.path.join(actions, tag)).select("path", "code", "action").write.parquet(os.path.join(tables, "rejects", tag))
+    if not fsio.exists(actions):
+        return spark.createDataFrame([], "path string, sha1hex string, action string, code int, batch int")
     return spark.read.parquet(actions)
 
 
@@ -245,11 +249,8 @@ def main(argv: list[str] | None = None) -> None:
                             a.max_files, a.remove, "process" if a.isolate else "thread")
         print(json.dumps(res.first().asDict()))
     elif a.job == "intake":
-        from capstan.streaming.intake import free_space_probe
-
-        probe = free_space_probe(a.spool, a.min_free_percent) if a.min_free_percent > 0 else None
         acts = intake_arrivals(spark, a.arrivals, a.spool, a.tables, a.max_size, remove_arrived=a.remove,
-                               has_space=probe)
+                               min_free_percent=a.min_free_percent)
         for row in acts.groupBy("action", "code").count().collect():  # a handful of rows
             print(json.dumps(row.asDict()))
     elif a.job == "fetch":

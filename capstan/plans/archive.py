@@ -220,6 +220,34 @@ def q_export_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.export_names(records(spark, sf_dir, types="response")).select("warc_file", "uri", "filename")
 
 
+@query("export_names_shuffled", sql="WITH " + CAPTURES_SQL + "," + P9_SQL + """,
+d AS (SELECT warc_file, page_id, url, row_number() OVER (PARTITION BY warc_file ORDER BY page_id) AS n FROM p9f WHERE hit),
+w AS (SELECT *, CASE WHEN ends_with(lower(split_part(url, '/', -1)), '.pdf') THEN split_part(url, '/', -1)
+                     ELSE printf('pdf_%04d.pdf', n) END AS wanted FROM d),
+x AS (SELECT *, row_number() OVER (PARTITION BY warc_file, wanted ORDER BY page_id) AS k FROM w)
+SELECT warc_file, url AS uri, n AS pdf_num, CASE WHEN k = 1 THEN wanted ELSE printf('pdf_%04d.pdf', n) END AS filename FROM x
+""")
+def q_export_names_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1, W3 for records that a shuffle took out of their files' order."""
+    r = records(spark, sf_dir, types="response").repartition("target_uri")
+    return R.export_names(r, in_reader_order=False).select("warc_file", "uri", "pdf_num", "filename")
+
+
+def secure_and_long(df: DataFrame) -> Column:
+    """A filter of a user's own: pages under https whose body is longer than its URL."""
+    return F.startswith("uri", F.lit("https://")) & (F.octet_length("body") > F.octet_length(F.encode("uri", "UTF-8")))
+
+
+@query("warc_own_filter", sql="WITH " + CAPTURES_SQL + """
+SELECT url AS uri, body_len AS size FROM msg
+WHERE is_response AND status = 200 AND starts_with(url, 'https://') AND body_len > strlen(url)
+""")
+def q_warc_own_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user's filter in one conjunction with the library's."""
+    resp = P.apply(R.responses(records(spark, sf_dir)), [P.status_ok, secure_and_long])
+    return resp.select("uri", F.octet_length("body").cast("bigint").alias("size"))
+
+
 # ------------------------------------------------------------------- CDX
 
 CDX_HEADER = " CDX N b a m s k r M S V g"

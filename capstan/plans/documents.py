@@ -3,7 +3,7 @@ artifacts and run statistics."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from capstan.functions.hashing import file_info
@@ -326,3 +326,51 @@ def q_result_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("weblinks").isNull(), F.lit(0)).otherwise(F.size("weblinks")).cast("bigint").alias("n_links"),
         F.col("pdfextra.page_count").alias("page_count"),
     )
+
+
+def last_digit(digest: Column) -> Column:
+    """A shard function of a user's own."""
+    return F.concat(F.lit("x"), F.substring(digest, -1, 1))
+
+
+@query("hash_dir_own_shards", sql="""
+WITH d AS (SELECT DISTINCT CASE WHEN doc_id % 3 <> 2 THEN '%PDF-1.4' || chr(10) || text ELSE text END AS t FROM documents)
+SELECT 'x' || right(sha256(t), 1) AS shard, sha256(t) || '.bin' AS file_name, CAST(strlen(t) AS BIGINT) AS size FROM d
+""")
+def q_hash_dir_own_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 with X3 and X4: files named by SHA-256 under a user's shards, written
+    and listed again."""
+    from capstan.session import scratch_path
+    from capstan.sinks.hashdir import write_hashdir
+    from capstan.sources.spool import list_spool
+
+    root = scratch_path(spark, "own-shards")
+    write_hashdir(inputs.blobs(spark, sf_dir).select("content"), root, hash_name="sha256", shard=last_digit, ext=".bin")
+    parts = F.split("path", "/")
+    return list_spool(spark, root).select(F.element_at(parts, -2).alias("shard"), F.element_at(parts, -1).alias("file_name"), F.col("length").alias("size"))
+
+
+TIME_LIMIT_S, HANG_EVERY = 2.0, 499
+
+
+def hanging_extractor(blob: bytes) -> dict:
+    """Stands in for a text tool that hangs on sizes of 7 by ``HANG_EVERY``."""
+    if len(blob) % HANG_EVERY == 7:
+        import time
+
+        time.sleep(4 * TIME_LIMIT_S)
+    return {"text": blob[9:].decode("utf-8")}
+
+
+@query("extract_time_limit", sql=f"""
+WITH b AS (SELECT doc_id, doc_id % 3 <> 2 AS pdf, text, strlen(text) + CASE WHEN doc_id % 3 <> 2 THEN 9 ELSE 0 END AS n FROM documents)
+SELECT doc_id, CASE WHEN NOT pdf THEN 'not-pdf' WHEN n % {HANG_EVERY} = 7 THEN 'parse-error' WHEN strlen(text) = 0 THEN 'empty-pdf' ELSE 'success' END AS status,
+       CASE WHEN pdf AND n % {HANG_EVERY} = 7 THEN 'text extraction failed: timeout' END AS time_err
+FROM b
+""")
+def q_extract_time_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose extractor overruns the time limit are error rows;
+    the others of their task go on."""
+    gated = derive.gate(inputs.blobs(spark, sf_dir).select("doc_id", "content"), None)
+    done = derive.extract(derive.run_extractor(gated, hanging_extractor, timeout_s=TIME_LIMIT_S))
+    return done.select("doc_id", "status", F.when(F.endswith("err", F.lit(": timeout")), F.col("err")).alias("time_err"))

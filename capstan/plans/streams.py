@@ -224,7 +224,7 @@ SELECT CASE WHEN empty THEN 'empty' WHEN k = 1 THEN 'insert' ELSE 'skip' END AS
 FROM b GROUP BY ALL
 """)
 def q_stream_intake_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T7 with empty arrivals, which the stream's source leaves out."""
+    """T7 with empty arrivals, which come from the arrivals source with their answer."""
     return _intake(spark, sf_dir)[0].groupBy("action", "code").agg(F.count("*").alias("n"))
 
 
@@ -236,6 +236,37 @@ def q_intake_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(os.path.join(_intake(spark, sf_dir)[1], "url_map")).select("url", "sha1")
 
 
+ADMISSIONS = 6
+
+
+@query("stream_arrivals", sql="WITH " + ARRIVALS_SQL + f""",
+f AS (SELECT folder || '/' || name AS path, CASE WHEN empty THEN 0 ELSE strlen(text) END AS n, CASE WHEN empty THEN sha1('') ELSE h END AS h FROM a),
+t AS (SELECT CAST(sum(n) // {ADMISSIONS} + 1 AS BIGINT) AS max_bytes, count(*) // {ADMISSIONS} + 1 AS max_files FROM f),
+w AS (SELECT f.*, t.max_bytes, coalesce(sum(greatest(n, (t.max_bytes + t.max_files - 1) // t.max_files))
+               OVER (ORDER BY path ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM f, t)
+SELECT path, CAST(n AS BIGINT) AS length, CASE WHEN n > {MAX_SIZE} THEN 413 WHEN n = 0 THEN 400 ELSE 202 END AS code,
+       CASE WHEN n <= {MAX_SIZE} THEN h END AS sha1hex, dense_rank() OVER (ORDER BY start // max_bytes) AS admission
+FROM w
+""")
+def q_stream_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2, T5, T7 through the arrivals source: every file with its answer, the
+    digest of what was read, and the admission (micro-batch) it came with."""
+    from capstan.sources.spool import list_spool
+    from capstan.streaming import arrivals
+
+    root, _ = _land_arrivals(spark, sf_dir)
+    log, out, ckpt = (scratch_path(spark, f"arrivals-{k}") for k in ("log", "out", "ckpt"))
+    total, files = list_spool(spark, root).agg(F.coalesce(F.sum("length"), F.lit(0)), F.count("*")).first()
+    arrivals.announce(spark, root, log, max_bytes=total // ADMISSIONS + 1, max_files=files // ADMISSIONS + 1, slice_bytes=1 << 20)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (batch.select("path", "length", "code", F.sha1("content").alias("sha1hex"), F.lit(batch_id + 1).cast("bigint").alias("admission"))
+         .write.mode("overwrite").parquet(f"{out}/part={batch_id}"))
+
+    arrivals.drain(arrivals.arrivals_stream(spark, log, max_size=MAX_SIZE), write, ckpt)
+    return spark.read.parquet(out).select(F.substring_index("path", "/", -2).alias("path"), "length", "code", "sha1hex", "admission")
+
+
 def stand_in_extractor(blob: bytes) -> dict:
     """Stands in for the PDF tools: text is what follows the magic line; an
     error for sizes of 5 by 17, no text for sizes of 7 by 19."""

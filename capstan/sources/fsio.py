@@ -74,14 +74,29 @@ def atomic_writer(path: str):
         except OSError:  # a file system whose rename does not replace
             if fs.get_file_info(p).type == pafs.FileType.NotFound:
                 raise
-            fs.delete_file(p)
-            fs.move(tmp, p)
+            old = tmp + ".old"  # set aside, not deleted: a crash between the moves loses nothing
+            fs.move(p, old)
+            try:
+                fs.move(tmp, p)
+            except BaseException:
+                fs.move(old, p)
+                raise
+            fs.delete_file(old)
     except BaseException:
         out.close()
         fs.delete_file(tmp)
         raise
 
 
+def stat(path: str) -> tuple[int, float] | None:
+    """(size, mtime seconds) of a file, or None if there is none."""
+    fs, p = resolve(path)
+    info = fs.get_file_info(p)
+    if info.type != pafs.FileType.File:
+        return None
+    return info.size or 0, info.mtime.timestamp() if info.mtime is not None else 0.0
+
+
 def write_atomic(path: str, chunks) -> None:
     with atomic_writer(path) as out:
         for c in chunks:

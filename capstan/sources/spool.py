@@ -4,8 +4,9 @@ a blocklist of content hashes (S10).
 ``read_spool`` is Spark's ``binaryFile`` source read recursively; it returns
 no row for a zero-length file, so the skip of empty files (P12) is free.
 Counting those skipped files needs a listing that includes them:
-``list_spool`` is a small Python data source whose partitions are the
-top-level shard folders, so the listing itself is spread over tasks.
+``list_spool`` is a small Python data source whose partitions are groups of
+shard folders (of the second level where the first has few), so the listing
+itself is spread over tasks; rows travel as Arrow batches.
 """
 
 from __future__ import annotations
@@ -21,43 +22,65 @@ def read_spool(spark: SparkSession, spool_dir: str, with_content: bool = True) -
     return df if with_content else df.drop("content")
 
 
-class _Dir(InputPartition):
-    def __init__(self, path: str, recursive: bool):
-        super().__init__(path)
-        self.path, self.recursive = path, recursive
+class _Dirs(InputPartition):
+    def __init__(self, paths: list[str], recursive: bool):
+        super().__init__(tuple(paths))
+        self.paths, self.recursive = paths, recursive
+
+
+def _kept(path: str) -> bool:
+    return not path.rstrip("/").rsplit("/", 1)[-1].startswith(".")
 
 
 class ListingReader(DataSourceReader):
+    """Files of folders that are looked into by the driver are listed by one
+    task; each deeper folder is walked by the task that its group belongs to."""
+
+    WIDE, TASKS, ROWS = 64, 1024, 8192
+
     def __init__(self, options):
         self.root = options.get("path", "")
 
-    def partitions(self):
-        # the root's own files, then one partition per top-level folder
+    @staticmethod
+    def _folders(path: str) -> list[str]:
         from capstan.sources import fsio
 
-        parts = [_Dir(self.root, False)]
-        for path, is_dir, _, _ in fsio.list_dir(self.root):
-            name = path.rstrip("/").rsplit("/", 1)[-1]
-            if is_dir and not name.startswith((".", "_")):
-                parts.append(_Dir(path, True))
-        return parts
+        return [p for p, is_dir, _, _ in fsio.list_dir(path) if is_dir]
+
+    def partitions(self):
+        flat = [self.root]
+        deep = [p for p in self._folders(self.root) if not p.rstrip("/").rsplit("/", 1)[-1].startswith((".", "_"))]
+        if 0 < len(deep) < self.WIDE:
+            flat, deep = flat + deep, [q for p in deep for q in self._folders(p)]
+        n = min(len(deep), self.TASKS)
+        return [_Dirs(flat, False)] + [_Dirs(deep[i::n], True) for i in range(n)]
 
     def read(self, partition):
-        import datetime
+        import pyarrow as pa
 
         from capstan.sources import fsio
 
-        def ts(sec):
-            return datetime.datetime.fromtimestamp(sec, tz=datetime.timezone.utc)
-
-        if not partition.recursive:
-            for path, is_dir, size, mt in fsio.list_dir(partition.path):
-                if not is_dir and not path.rsplit("/", 1)[-1].startswith("."):
-                    yield (path, size, ts(mt))
-            return
-        for path, size, mt in fsio.walk_files(partition.path):
-            if not path.rsplit("/", 1)[-1].startswith("."):
-                yield (path, size, ts(mt))
+        def files():
+            for folder in partition.paths:
+                if partition.recursive:
+                    yield from fsio.walk_files(folder)
+                else:
+                    yield from ((p, size, mt) for p, is_dir, size, mt in fsio.list_dir(folder) if not is_dir)
+
+        def batch(rows):
+            path, size, mt = zip(*rows)
+            us = pa.array([round(t * 1e6) for t in mt], pa.int64()).cast(pa.timestamp("us", "UTC"))
+            return pa.RecordBatch.from_arrays([pa.array(path), pa.array(size, pa.int64()), us], ["path", "length", "modificationTime"])
+
+        rows = []
+        for row in files():
+            if _kept(row[0]):
+                rows.append(row)
+                if len(rows) == self.ROWS:
+                    yield batch(rows)
+                    rows = []
+        if rows:
+            yield batch(rows)
 
 
 class ListingDataSource(DataSource):

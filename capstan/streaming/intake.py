@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
-from capstan.operators.intake import ACCEPTED, EMPTY, TOO_LARGE
+from capstan.operators.intake import ACCEPTED, EMPTY, MISMATCH, TOO_LARGE
+from capstan.streaming.arrivals import SLOW_DOWN
 
-SLOW_DOWN = 429
 MIN_FREE_PERCENT = 10  # fixed value: default free-space floor
 
 
@@ -65,7 +65,8 @@ def spool_intake_writer(spool_dir: str, tables: str, max_size: int = 0, has_spac
     """T4 with J1: the ``serve`` flow for one micro-batch of arrivals.
 
     ``batch`` rows carry path, length, content, sha1hex, size (and an
-    optional ``url``).  Valid arrivals are looked up in the index of earlier
+    optional ``url``).  Rows with a ``code`` other than 202, as the arrivals
+    source gives, are recorded with that answer.  Valid arrivals are looked up in the index of earlier
     batches (``tables/index``, see ``KeyIndex``; the history itself is not
     read): equal size -> skip, other size -> overwrite, absent -> insert; within a batch the first
     arrival of a hash (by path) writes.  Accepted content is written to
@@ -94,13 +95,22 @@ def spool_intake_writer(spool_dir: str, tables: str, max_size: int = 0, has_spac
         if urls is not None:  # by file name
             named = urls.select(F.col("name").alias("_name"), "url")
             b = b.withColumn("_name", F.substring_index("path", "/", -1)).join(named, "_name", "left").drop("_name")
+        answered = None
+        if "code" in b.columns:
+            name = F.when(F.col("code") == EMPTY, "empty").when(F.col("code") == TOO_LARGE, "too-large").when(
+                F.col("code") == SLOW_DOWN, "slow-down").when(F.col("code") == MISMATCH, "length-mismatch").otherwise("rejected")
         b = b.persist(StorageLevel.DISK_ONLY)  # a micro-batch's bytes are read from the arrivals once
         try:
-            stored = index.lookup(b.select("sha1hex"), before=batch_id)
-            acts = J.actions(b.select("path", "sha1hex", "size", "declared"), stored, max_size, order="path")
-            acts = acts.persist()
+            taken = b
+            if "code" in b.columns:
+                taken = b.where(F.col("code") == ACCEPTED)
+                answered = b.where(F.col("code") != ACCEPTED).select("path", "sha1hex", name.alias("action"), "code")
+            stored = index.lookup(taken.select("sha1hex"), before=batch_id)
+            acts = J.actions(taken.select("path", "sha1hex", "size", "declared"), stored, max_size, order="path").select(
+                "path", "sha1hex", "action", "code")
+            acts = (acts if answered is None else acts.unionByName(answered)).persist()
             ok = acts.where(F.col("action").isin("insert", "overwrite")).select("path")
-            content = b.join(ok, "path", "left_semi")
+            content = taken.join(ok, "path", "left_semi")
             write_hashdir(content.select("content"), spool_dir)
             content.select("sha1hex", "size", "path").write.mode("overwrite").parquet(f"{tables}/spool/batch={batch_id}")
             if "url" in b.columns:
