@@ -31,11 +31,15 @@ BLOCK_LANGUAGES = 4  # whose automata are in memory at a time
 PIECE = 256  # bytes of a sampled text drawn at a time
 SEGMENT = 2048  # bytes parsed in one lane; a phrase ends with its segment
 LANES = 1 << 14
-LETTER = re.compile(r"[^\W\d_]")
+WORDY = re.compile(r"[^\W\d_]")  # letters, and signs such as U+00BD that are none
 #: ASCII that is no letter parts words.
 PLAIN = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 
 
+def has_letter(text: str) -> bool:
+    return any(m.group().isalpha() for m in WORDY.finditer(text))
+
+
 def normal(text: str) -> bytes:
     """Lower-cased letters, other ASCII as single spaces."""
     return b" ".join(text.lower().encode("utf-8", "replace").translate(PLAIN).split())
@@ -145,7 +149,7 @@ def predict(models, texts: list[str | None]) -> tuple[list[str], list[float]]:
     """Language and confidence by the models of all blocks, names ascending:
     the runner-up's share of the two smallest entropies (0.5: a tie, which goes
     to the first name); 'und' is 0."""
-    have = [i for i, t in enumerate(texts) if t and LETTER.search(t)]
+    have = [i for i, t in enumerate(texts) if t and has_letter(t)]
     lang, score = ["und"] * len(texts), [0.0] * len(texts)
     if not have:
         return lang, score

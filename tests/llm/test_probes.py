@@ -2,7 +2,7 @@
 
 import pytest
 
-from capstan.llm import decontamination, substring_dedup
+from capstan.llm import decontamination, language_id, substring_dedup
 from capstan.llm.html_text import Blocks, blocks, high_blocks, main_text
 
 ART = ("Long sentence of the article that goes on. " * 6).strip()
@@ -70,3 +70,9 @@ def test_many_texts_and_passages_in_one_call():
     texts = [f"t{i}" for i in range(9_999)] + ["holds passage 00249999 here"]
     got = index.search(texts)
     assert [h["item_id"] for h in got[-1]] == [249_999] and not any(got[:-1])
+
+
+def test_signs_that_are_no_letters_have_no_language():
+    model = language_id.Languages({"en": b"the cat and the dog", "fr": b"le chat et le chien"})
+    assert model.predict(["½", "② 12 ⁷", "_ 9", "½ the"])[0] == ["und", "und", "und", "en"]
+    assert model.predict(["½ é"])[0] != ["und"]
