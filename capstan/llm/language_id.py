@@ -29,7 +29,8 @@ from capstan.tables import table
 SAMPLE_BYTES, SAMPLE_DOCS = 40_000, 128
 BLOCK_LANGUAGES = 4  # whose automata are in memory at a time
 PIECE = 256  # bytes of a sampled text drawn at a time
-SEGMENT = 2048  # bytes parsed in one lane; a phrase ends with its segment
+SEGMENT = 2048  # bytes parsed in one lane
+PASSES = 3  # of the segments whose start another one moved
 LANES = 1 << 14
 WORDY = re.compile(r"[^\W\d_]")  # letters, and signs such as U+00BD that are none
 #: ASCII that is no letter parts words.
@@ -101,30 +102,69 @@ class Model:
             base += len(steps)
         self.table = np.concatenate(tables).ravel().astype(np.int32 if base * self.width < 1 << 30 else np.int64) if tables else None
 
-    def phrases(self, texts: list[bytes]) -> np.ndarray:
-        """Phrases of each (normalised) text by language: shape (langs, n)."""
-        owner, parts = [], []
-        for i, t in enumerate(texts):
-            coded = t.translate(self.classes)
-            for a in range(0, len(coded), SEGMENT):
-                owner.append(i)
-                parts.append(coded[a:a + SEGMENT])
-        out = np.zeros((len(self.langs), len(texts)))
+    def _run(self, parts: list[bytes], state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Parses ``parts``, each from its column of ``state`` (langs, n):
+        phrases ended and the states reached."""
+        ended, reached = np.zeros(state.shape, np.int64), state.copy()
         order = sorted(range(len(parts)), key=lambda i: -len(parts[i]))
         for a in range(0, len(order), LANES):
             lane = order[a:a + LANES]
             size = np.array([len(parts[i]) for i in lane])
             grid = np.frombuffer(b"".join(parts[i].ljust(size[0], b"\0") for i in lane), np.uint8).reshape(len(lane), size[0]).T
-            state = np.repeat(np.array(self.roots, np.int64)[:, None], len(lane), axis=1)
-            ended = np.ones((len(self.langs), len(lane)), np.int64)
+            now, n = state[:, lane], np.zeros((len(self.langs), len(lane)), np.int64)
             active = np.searchsorted(-size, -np.arange(size[0]), "left")
             for t in range(size[0]):
                 m = active[t]
-                v = self.table[state[:, :m] + grid[t, :m]]
-                ended[:, :m] += v & 1
-                state[:, :m] = v >> 1
-            for k in range(len(self.langs)):
-                out[k] += np.bincount(np.array(owner)[lane], ended[k], len(texts))
+                v = self.table[now[:, :m] + grid[t, :m]]
+                n[:, :m] += v & 1
+                now[:, :m] = v >> 1
+            ended[:, lane], reached[:, lane] = n, now
+        return ended, reached
+
+    def _run_on(self, parts: list[bytes], state: np.ndarray) -> np.ndarray:
+        """Phrases ended in each of the successive ``parts``, from ``state``."""
+        out, table = np.zeros((len(self.langs), len(parts)), np.int64), memoryview(self.table)
+        for k in range(len(self.langs)):
+            s = int(state[k])
+            for i, part in enumerate(parts):
+                n = 0
+                for c in part:
+                    v = table[s + c]
+                    n += v & 1
+                    s = v >> 1
+                out[k, i] = n
+        return out
+
+    def phrases(self, texts: list[bytes]) -> np.ndarray:
+        """Phrases of each (normalised) text by language: shape (langs, n).
+
+        The segments of a text are parsed side by side, at first from the
+        root; those whose left neighbour ended in another state are parsed
+        again from there, as parses soon fall into step.  What still differs
+        after ``PASSES`` is parsed on to the text's end in one go."""
+        owner, parts = [], []
+        for i, t in enumerate(texts):
+            coded = t.translate(self.classes)
+            for a in range(0, len(coded), SEGMENT):
+                owner.append(i)
+                parts.append(coded[a:a + SEGMENT])
+        owner = np.array(owner, np.int64)
+        first = np.r_[True, owner[1:] != owner[:-1]][:len(owner)]
+        start = np.repeat(np.array(self.roots, np.int64)[:, None], len(parts), axis=1)
+        ended, reached, todo = np.zeros(start.shape, np.int64), start.copy(), np.arange(len(parts))
+        for _ in range(PASSES):
+            ended[:, todo], reached[:, todo] = self._run([parts[i] for i in todo], start[:, todo])
+            due = np.where(first, start, np.roll(reached, 1, axis=1))
+            todo = np.flatnonzero((due != start).any(axis=0))
+            start[:, todo] = due[:, todo]
+            if not len(todo):
+                break
+        for i in np.unique(owner[todo]):
+            a, b = todo[np.searchsorted(owner[todo], i)], np.searchsorted(owner, i, "right")
+            ended[:, a:b] = self._run_on(parts[a:b], start[:, a])
+        out = np.zeros((len(self.langs), len(texts)))
+        for k in range(len(self.langs)):
+            out[k] = np.bincount(owner, ended[k] + first, len(texts))
         return out
 
     def entropy(self, texts: list[bytes]) -> np.ndarray:

@@ -338,20 +338,21 @@ def test_cross_parsing_is_brute_force():
     model = language_id.Model(samples)
     rng = random.Random(2)
     texts = [bytes(rng.choice(b"abcdrthes zq") for _ in range(n)) for n in (0, 1, 7, 300, 5000)]
+    # parses that never fall into step, and phrases longer than a segment
+    samples["c"] = b"aaaaaab" + bytes(rng.choice(b"xy") for _ in range(6000))
+    model = language_id.Model(samples)
+    texts += [b"a" * 15_000, b"abra" * 3000, samples["c"][7:] + b"x" + samples["c"][9:], b"a" * 2049]
 
     def phrases(text, sample):
-        n = 0
-        for a in range(0, len(text), language_id.SEGMENT):
-            part, start = text[a:a + language_id.SEGMENT], 0
-            n += 1
-            for i in range(len(part)):
-                if part[start:i + 1] not in sample:  # the phrase ends here
-                    n += 1
-                    start = i if part[i:i + 1] in sample else i + 1
+        n, start = min(1, len(text)), 0
+        for i in range(len(text)):
+            if text[start:i + 1] not in sample:  # the phrase ends here
+                n += 1
+                start = i if text[i:i + 1] in sample else i + 1
         return n
 
     got = model.phrases(texts)
-    assert got.tolist() == [[phrases(t, samples[k]) for t in texts] for k in ("a", "b")]
+    assert got.tolist() == [[phrases(t, samples[k]) for t in texts] for k in ("a", "b", "c")]
 
 
 def test_packing(mixed, empty):
