@@ -4,13 +4,20 @@ Fingerprints within ``max_bits`` agree wholly in 3 of ``max_bits + 3`` blocks
 of bits, so they share a bucket of at least one choice of 3 blocks.  Inside a
 bucket, the table of Hamming distances to the reference fingerprints (pivots)
 discards a pair as soon as one coordinate differs by more than ``max_bits``
-(triangle inequality); the survivors are verified bit by bit.  A bucket sends
+(triangle inequality); the survivors are verified bit by bit.  The buckets are
+counted first: a bucket of more than ``HOT`` fingerprints is dealt again, by
+choices of 3 of ``max_bits + 3`` blocks of the bits on which its members need
+not agree, until few such bits are left.  So no task compares a large bucket
+(with 3 bits, 32, 48 and 56 bits agree, and at most 256 fingerprints share 56),
+and no link is lost, as two fingerprints within ``max_bits`` share a bucket of
+every new deal, too.  A bucket sends
 on a star of each of its local components, never its pairs; the stars are
 joined to whole components by star contraction.
 """
 
 from __future__ import annotations
 
+from functools import cache
 from itertools import combinations
 
 import numpy as np
@@ -27,6 +34,8 @@ from capstan.tables import table
 WORDS, MAX_BITS, PIVOTS, SALTS = 3, 3, 16, 64
 CHUNK = 1 << 16  # words hashed at a time
 BLOCK = 1 << 10  # rows of a bucket compared at a time
+HOT = 1 << 13  # fingerprints of a bucket, above which it is dealt again
+FREE_BITS = 10  # a bucket whose members differ in so few bits is small by itself
 
 
 def fingerprint(text: bytes, n_words: int = WORDS, chunk: int = CHUNK) -> int:
@@ -64,11 +73,18 @@ def pivots(n: int = PIVOTS) -> np.ndarray:
     return np.array(out, np.uint64)
 
 
-def block_masks(max_bits: int) -> list[int]:
-    """Masks of every choice of 3 of ``max_bits + 3`` blocks of bits."""
-    cuts = [round(i * 64 / (max_bits + 3)) for i in range(max_bits + 4)]
-    blocks = [((1 << (b - a)) - 1) << a for a, b in zip(cuts, cuts[1:])]
-    return [sum(c) for c in combinations(blocks, 3)]
+@cache
+def block_masks(max_bits: int, agreed: int = 0) -> list[int]:
+    """``agreed`` with the masks of every choice of 3 of ``max_bits + 3``
+    blocks of the other bits."""
+    free = [i for i in range(64) if not agreed >> i & 1]
+    cuts = [round(i * len(free) / (max_bits + 3)) for i in range(max_bits + 4)]
+    blocks = [sum(1 << i for i in free[a:b]) for a, b in zip(cuts, cuts[1:])]
+    return [agreed | sum(c) for c in combinations(blocks, 3)]
+
+
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
 
 
 def _close(fp, table_, i, j, max_bits):
@@ -133,12 +149,12 @@ def _bucket_links(fp, starts, max_bits, refs):
 
 def _links(max_bits, n_pivots):
     def run(parts):
-        refs, masks = pivots(n_pivots), np.array(block_masks(max_bits), np.uint64)
-        held_t, held_fp = np.empty(0, np.int64), np.empty(0, np.uint64)
+        refs = pivots(n_pivots)
+        held_m, held_fp = np.empty(0, np.uint64), np.empty(0, np.uint64)
 
-        def emit(t, fp):
-            key = fp & masks[t]
-            new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (t[1:] != t[:-1])])
+        def emit(m, fp):
+            key = fp & m
+            new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (m[1:] != m[:-1])])
             sizes = np.diff(np.r_[new, len(fp)])
             pick = np.repeat(sizes > 1, sizes)
             if not pick.any():
@@ -148,29 +164,61 @@ def _links(max_bits, n_pivots):
             return pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], ["u", "v"])
 
         for b in parts:
-            t = np.r_[held_t, b.column("t").to_numpy(zero_copy_only=False).astype(np.int64)]
-            fp = np.r_[held_fp, b.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)]
-            if not len(t):
+            m, fp = (b.column(c).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) for c in ("mask", "fp"))
+            m, fp = np.r_[held_m, m], np.r_[held_fp, fp]
+            if not len(m):
                 continue
-            key = fp & masks[t]
-            last = np.flatnonzero((t != t[-1]) | (key != key[-1]))  # the last bucket may go on
+            again = np.r_[False, (m[1:] == m[:-1]) & (fp[1:] == fp[:-1])]  # of two parents
+            m, fp = m[~again], fp[~again]
+            key = fp & m
+            last = np.flatnonzero((m != m[-1]) | (key != key[-1]))  # the last bucket may go on
             cut = last[-1] + 1 if len(last) else 0
-            if cut and (out := emit(t[:cut], fp[:cut])) is not None:
+            if cut and (out := emit(m[:cut], fp[:cut])) is not None:
                 yield out
-            held_t, held_fp = t[cut:], fp[cut:]
-        if len(held_t) and (out := emit(held_t, held_fp)) is not None:
+            held_m, held_fp = m[cut:], fp[cut:]
+        if len(held_m) and (out := emit(held_m, held_fp)) is not None:
             yield out
     return run
 
 
-def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, n_pivots: int = PIVOTS) -> DataFrame:
+def _deal(max_bits):
+    """(mask, fp) of hot buckets in their finer buckets."""
+    def run(parts):
+        for b in parts:
+            m = b.column("mask").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            fp = b.column("fp").to_numpy(zero_copy_only=False).astype(np.int64)
+            for agreed in np.unique(m):
+                own = fp[m == agreed]
+                for mask in block_masks(max_bits, int(agreed)):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), _signed(mask))), pa.array(own & _signed(mask)), pa.array(own)],
+                                                     ["mask", "key", "fp"])
+    return run
+
+
+def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, n_pivots: int = PIVOTS, hot: int = HOT) -> DataFrame:
     """``fps``: distinct long column fp.  Edges u, v whose components are those
     of all pairs within ``max_bits`` bits."""
-    tables = F.array(*(F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)).alias("key"))
-                       for t, m in enumerate(block_masks(max_bits))))
-    buckets = fps.select("fp", F.explode(tables).alias("b")).select(F.col("b.t").alias("t"), F.col("b.key").alias("key"), "fp")
-    dealt = buckets.repartition(partitions(fps.sparkSession), "t", "key").sortWithinPartitions("t", "key", "fp")
-    return dealt.select("t", "fp").mapInArrow(_links(max_bits, n_pivots), "u long, v long")
+    tables = F.array(*(F.struct(F.lit(_signed(m)).alias("mask"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key"))
+                       for m in block_masks(max_bits)))
+    buckets = fps.select("fp", F.explode(tables).alias("b")).select(F.col("b.mask").alias("mask"), F.col("b.key").alias("key"), "fp")
+
+    def compared(own):
+        dealt = own.repartition(partitions(fps.sparkSession), "mask", "key").sortWithinPartitions("mask", "key", "fp")
+        return dealt.select("mask", "fp").mapInArrow(_links(max_bits, n_pivots), "u long, v long")
+
+    edges, loosest = None, 0
+    while True:
+        loosest = min(block_masks(max_bits, loosest), key=int.bit_count)
+        large = None
+        if 64 - loosest.bit_count() > max(FREE_BITS, max_bits + 2):
+            large = parked(buckets.groupBy("mask", "key").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("mask", "key"), "hot-buckets")
+        last = large is None or large.isEmpty()
+        own = compared(buckets if last else buckets.join(large, ["mask", "key"], "left_anti"))
+        edges = own if edges is None else edges.union(own)
+        if last:
+            return edges
+        again = buckets.join(large, ["mask", "key"], "left_semi").select("mask", "fp")
+        buckets = parked(again.mapInArrow(_deal(max_bits), "mask long, key long, fp long"), "dealt-again")
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = WORDS,

@@ -1,8 +1,10 @@
 """Pages, words and batches that once gave wrong results."""
 
+import numpy as np
 import pytest
 
-from capstan.llm import decontamination, language_id, substring_dedup
+from capstan.llm import decontamination, language_id, simhash, substring_dedup
+from capstan.llm.components import components
 from capstan.llm.html_text import Blocks, blocks, high_blocks, main_text
 
 ART = ("Long sentence of the article that goes on. " * 6).strip()
@@ -76,3 +78,42 @@ def test_signs_that_are_no_letters_have_no_language():
     model = language_id.Languages({"en": b"the cat and the dog", "fr": b"le chat et le chien"})
     assert model.predict(["½", "② 12 ⁷", "_ 9", "½ the"])[0] == ["und", "und", "und", "en"]
     assert model.predict(["½ é"])[0] != ["und"]
+
+
+@pytest.mark.parametrize("hot", [20, 1 << 13])
+def test_hot_buckets_are_dealt_again_without_losing_a_link(spark, hot):
+    rng = np.random.default_rng(7)
+    same = np.uint64(0xABCDEF0123456789)
+    fps = set()
+    for low in (20, 14):  # fingerprints that differ in the last 20 or 14 bits only, and single ones
+        fps |= set((same >> np.uint64(low) << np.uint64(low) | rng.integers(0, 1 << low, 700, dtype=np.uint64)).tolist())
+    fps |= set(rng.integers(0, 1 << 63, 300, dtype=np.uint64).tolist())
+    f = np.array(sorted(fps), np.uint64)
+    forest = simhash._Forest(len(f))
+    for i in range(len(f)):
+        j = np.flatnonzero(np.bitwise_count(f[i] ^ f[i + 1:]) <= 3) + i + 1
+        forest.join(np.full(len(j), i), j)
+    want = {}
+    for i in range(len(f)):
+        want.setdefault(forest.find(i), set()).add(int(f[i].view(np.int64)))
+    got = {}
+    df = spark.createDataFrame([(int(x),) for x in f.view(np.int64)], "fp long")
+    for r in components(simhash.fingerprint_links(df, hot=hot)).collect():
+        got.setdefault(r.root, set()).add(r.node)
+    assert sorted(map(sorted, got.values())) == sorted(sorted(s) for s in want.values() if len(s) > 1)
+
+
+def test_masks_agree_more_with_every_deal():
+    for max_bits in (1, 3, 6):
+        masks = simhash.block_masks(max_bits)
+        finer = simhash.block_masks(max_bits, masks[0])
+        assert all(m & masks[0] == masks[0] and m != masks[0] for m in finer)
+        rng = np.random.default_rng(1)
+        for _ in range(200):  # any two fingerprints so close share a finer bucket of each they share
+            a = int(rng.integers(0, 1 << 63))
+            b = a
+            for bit in rng.choice(64, max_bits, replace=False):
+                b ^= 1 << int(bit)
+            for m in masks:
+                if a & m == b & m:
+                    assert any(a & x == b & x for x in simhash.block_masks(max_bits, m))
