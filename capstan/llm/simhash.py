@@ -8,7 +8,7 @@ discards a pair as soon as one coordinate differs by more than ``max_bits``
 counted first: a bucket of more than ``HOT`` fingerprints is dealt again, by
 choices of 3 of ``max_bits + 3`` blocks of the bits on which its members need
 not agree, until few such bits are left.  So no task compares a large bucket
-(with 3 bits, 32, 48 and 56 bits agree, and at most 256 fingerprints share 56),
+(with 3 bits, about 32, then 48, then 56 bits agree, which few can share),
 and no link is lost, as two fingerprints within ``max_bits`` share a bucket of
 every new deal, too.  A bucket sends
 on a star of each of its local components, never its pairs; the stars are
