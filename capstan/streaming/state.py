@@ -1,12 +1,17 @@
 """Stateful intake (T3, J1): skip, overwrite or insert for every arrival,
 decided across micro-batches from keyed state.
 
-The state is one value per content hash (the stored size), kept by the
+The state is the stored size of every content hash, kept by the
 ``transformWithState`` operator in RocksDB; it survives a restart through the
 query's checkpoint, and with a ``ttl`` a hash is forgotten that long after its
 last arrival, so the state of an endless intake stays bounded.  Entries of a
 spool that was filled before come in as initial state.
 
+A call of the operator costs far more than a row, so the hashes are dealt to a
+fixed number of ``buckets`` by their CRC: one state value, read and written once
+a micro-batch, holds the hashes of a bucket.  Give more buckets for an intake
+that holds more than some hundred million hashes.
+
 Only key columns reach the operator.  Arrivals that need no state go past it
 under spread keys: rejected ones, and repeats of a hash within one Arrow batch,
 whose first arrival settles them; so a hash that a third of all arrivals carry
@@ -29,6 +34,8 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 DECISIONS = "path string, sha1hex string, size bigint, action string, code int"
 CODES = {"too-large": TOO_LARGE, "empty": EMPTY, "length-mismatch": MISMATCH}
 PAST, SPREAD = "past-", 4096  # keys of rows that need no state
+BUCKETS = 4096
+HELD = "hashes array<string>, sizes array<bigint>, untils array<bigint>"
 
 
 def state_session(spark: SparkSession) -> SparkSession:
@@ -48,9 +55,9 @@ def _settings(spark: SparkSession) -> Iterator[tuple[str, str]]:
             yield key, value
 
 
-def keyed(arrivals: DataFrame, max_size: int = 0) -> DataFrame:
-    """Arrivals (path, sha1hex, size, declared, arrived) with the key they are
-    decided under and, where that is settled already, their ``action``."""
+def keyed(arrivals: DataFrame, max_size: int = 0, buckets: int = BUCKETS) -> DataFrame:
+    """Arrivals (path, sha1hex, size, declared, arrived) with the key (the
+    bucket of the hash) they are decided under and, where that is settled already, their ``action``."""
     checked = validate(arrivals, max_size).select("path", "sha1hex", "size", "arrived", F.col("reject").alias("action"))
 
     def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -60,49 +67,64 @@ def keyed(arrivals: DataFrame, max_size: int = 0) -> DataFrame:
             again = valid & b[valid].duplicated(["sha1hex", "size"]).reindex(b.index, fill_value=False)
             b.loc[again, "action"] = "skip"
             spread = PAST + b["path"].map(lambda p: str(zlib.crc32((p or "").encode()) % SPREAD))
-            b["key"] = b["sha1hex"].where(b["action"].isna(), spread)
+            own = b["sha1hex"].map(lambda h: str(zlib.crc32((h or "").encode()) % buckets), na_action=None)
+            b["key"] = own.where(b["action"].isna(), spread)
             yield b
 
     return checked.mapInPandas(settle, "path string, sha1hex string, size bigint, arrived timestamp, action string, key string")
 
 
 class Decide(StatefulProcessor):
-    """J1 for the arrivals of one hash."""
+    """J1 for the arrivals of the hashes of one bucket."""
 
     def __init__(self, ttl_ms: int | None):
         self.ttl_ms = ttl_ms
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.held = handle.getValueState("held", "size bigint, until bigint")
+        self.held = handle.getValueState("held", HELD)
+
+    def _entries(self) -> dict[str | None, tuple[int | None, int]]:
+        """Hash -> (stored size, when it ends; 0: never)."""
+        held = self.held.get()
+        return {} if held is None else {h: (s, u) for h, s, u in zip(*held)}
+
+    def _keep(self, entries: dict) -> None:
+        if entries:
+            self.held.update((list(entries), [s for s, _ in entries.values()], [u for _, u in entries.values()]))
+        else:
+            self.held.clear()
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        self.held.update((int(initialState["stored_size"].iloc[0]), 0))
+        entries = self._entries()
+        for hashes, sizes in zip(initialState["hashes"], initialState["sizes"]):
+            entries.update((h, (_whole(s), 0)) for h, s in zip(hashes, sizes))
+        self._keep(entries)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        if key[0] is not None and key[0].startswith(PAST):
+        if key[0].startswith(PAST):
             for b in rows:
                 yield self._out(b, list(b["action"]))
             return
-        b = pd.concat(list(rows)).sort_values("path", kind="stable")  # one row per Arrow batch at most
-        held = self.held.get()
-        size, until = held if held is not None else (None, 0)
-        actions = []
-        for s in b["size"]:
-            actions.append("insert" if size is None else "skip" if size == s else "overwrite")
-            size = int(s)
-        if self.ttl_ms is not None:
-            last = max(until, int(b["arrived"].max().timestamp() * 1000) + self.ttl_ms)
-            if last != until:
-                if until:
-                    self.handle.deleteTimer(until)
-                self.handle.registerTimer(last)
-            until = last
-        self.held.update((size, until))
+        b = pd.concat(list(rows)).sort_values("path", kind="stable")  # of a hash, one row per Arrow batch at most
+        entries, actions, ends = self._entries(), [], set()
+        for h, size, arrived in zip(b["sha1hex"], map(_whole, b["size"]), b["arrived"]):
+            h = h if isinstance(h, str) else None
+            held = entries.get(h)
+            actions.append("insert" if held is None else "skip" if held[0] == size else "overwrite")
+            until = 0 if held is None else held[1]
+            if self.ttl_ms is not None:
+                until = max(until, int(arrived.timestamp() * 1000) + self.ttl_ms)
+                ends.add(until)
+            entries[h] = (size, until)
+        for until in ends:  # one that an entry has moved on from finds nothing to end
+            self.handle.registerTimer(until)
+        self._keep(entries)
         yield self._out(b, actions)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.held.clear()
+        at = expiredTimerInfo.getExpiryTimeInMs()
+        self._keep({h: v for h, v in self._entries().items() if v[1] != at})
         return iter(())
 
     def close(self) -> None:
@@ -114,7 +136,12 @@ class Decide(StatefulProcessor):
                              "code": [CODES.get(a, ACCEPTED) for a in actions]})
 
 
-def decisions(arrivals: DataFrame, max_size: int = 0, ttl: str | None = None, stored: DataFrame | None = None) -> DataFrame:
+def _whole(size) -> int | None:
+    return None if size is None or size != size else int(size)
+
+
+def decisions(arrivals: DataFrame, max_size: int = 0, ttl: str | None = None, stored: DataFrame | None = None,
+              buckets: int = BUCKETS) -> DataFrame:
     """One row per arrival of a stream: path, sha1hex, size, action, code.
 
     ``arrivals``: path, sha1hex, size, declared and ``arrived``, the time that
@@ -125,12 +152,17 @@ def decisions(arrivals: DataFrame, max_size: int = 0, ttl: str | None = None, st
     hash) is what the spool holds at the first start; it does not expire unless
     it arrives again.  Give times of arrival that do not run back (the source's
     own clock): with a ``ttl``, rows behind the watermark count as late.
+    ``buckets`` stays the same for the life of a checkpoint.
     """
-    rows = keyed(arrivals, max_size)
+    rows = keyed(arrivals, max_size, buckets)
     ttl_ms = None if ttl is None else int(pd.Timedelta(ttl).total_seconds() * 1000)
     if ttl is not None:
         rows = rows.withWatermark("arrived", "0 seconds")
-    first = None if stored is None else stored.select(F.col("sha1hex").alias("key"), F.col("stored_size").cast("bigint")).groupBy("key")
+    first = None
+    if stored is not None:
+        bucket = (F.crc32(F.coalesce("sha1hex", F.lit("")).cast("binary")) % buckets).cast("string").alias("key")
+        first = stored.select(bucket, F.struct("sha1hex", F.col("stored_size").cast("bigint").alias("stored_size")).alias("e")).groupBy("key").agg(F.collect_list("e").alias("e"))
+        first = first.select("key", F.col("e.sha1hex").alias("hashes"), F.col("e.stored_size").alias("sizes")).groupBy("key")
     return rows.groupBy("key").transformWithStateInPandas(
         Decide(ttl_ms), DECISIONS, "Append", "None" if ttl is None else "EventTime", initialState=first)
 

@@ -69,3 +69,11 @@ def test_a_hot_hash_sends_few_rows(spark):
     keys = state.keyed(rows).groupBy("key").count().collect()
     assert max(r["count"] for r in keys) <= 64 and sum(r["count"] for r in keys) == 4000
     assert os.path.basename(state.__file__) == "state.py"
+
+
+def test_many_hashes_are_few_groups(spark):
+    """A group is a call of the operator; they do not grow with the hashes."""
+    rows = spark.range(9000).select(F.col("id").cast("string").alias("path"), F.sha1(F.col("id").cast("string").cast("binary")).alias("sha1hex"),
+                                    F.lit(3).cast("bigint").alias("size"), F.lit(3).cast("bigint").alias("declared"), F.current_timestamp().alias("arrived"))
+    assert state.keyed(rows).select("key").distinct().count() <= state.BUCKETS
+    assert state.keyed(rows, buckets=16).select("key").distinct().count() == 16
