@@ -176,19 +176,20 @@ def intake_arrivals(spark: SparkSession, arrivals_dir: str, spool_dir: str, tabl
     once a micro-batch; files it turns away are recorded and not offered again.
 
     ``urls`` (name, url) gives the URL of an arrival by its file name (the
-    request headers of the service); accepted arrivals with one get a URL-map
-    row.  ``remove_arrived`` deletes what this run answered for good.
+    request headers of the service), joined once when the arrivals are planned;
+    accepted arrivals with one get a URL-map row.  ``remove_arrived`` deletes what this run answered for good.
     """
     from capstan.streaming import arrivals
     from capstan.streaming.intake import spool_intake_writer
 
     log = os.path.join(tables, "_arrivals")
     since = arrivals.taken(log)["n"]
-    arrivals.announce(spark, arrivals_dir, log, max_bytes=max_bytes, max_files=max_files)
-    s = arrivals.arrivals_stream(spark, log, max_size, min_free_percent, spool_dir if min_free_percent > 0 else None)
+    arrivals.announce(spark, arrivals_dir, log, max_bytes=max_bytes, max_files=max_files, urls=urls)
+    s = arrivals.arrivals_stream(spark, log, max_size, min_free_percent, spool_dir if min_free_percent > 0 else None,
+                                 with_urls=urls is not None)
     s = s.select("path", "length", "content", "code", F.sha1("content").alias("sha1hex"),
-                 F.octet_length("content").cast("bigint").alias("size"))
-    arrivals.drain(s, spool_intake_writer(spool_dir, tables, max_size, has_space, urls), os.path.join(tables, "_checkpoint"))
+                 F.octet_length("content").cast("bigint").alias("size"), *(["url"] if urls is not None else []))
+    arrivals.drain(s, spool_intake_writer(spool_dir, tables, max_size, has_space), os.path.join(tables, "_checkpoint"))
     if remove_arrived and has_space is None:
         arrivals.remove_answered(spark, log, since)
     actions = os.path.join(tables, "actions")

@@ -125,13 +125,14 @@ class KeyIndex:
         filters.write.mode("overwrite").option("compression", "none").parquet(self._run_path("filters", name))
         return {"name": name, "level": level, "bits": bits, "rows": rows, "batches": batches}
 
-    def add(self, entries: DataFrame, batch: int) -> None:
-        """Adds the entries (sha1hex, size; one per hash) of a batch.  Before
-        that, full levels of earlier batches are merged.  An empty batch adds
-        nothing; adding a batch again replaces it."""
+    def add(self, entries: DataFrame, batch: int, rows: int | None = None) -> None:
+        """Adds the entries (sha1hex, size; one per hash) of a batch, ``rows`` of
+        them if the caller knows.  Before that, full levels of earlier batches
+        are merged.  An empty batch adds nothing; adding a batch again replaces
+        it."""
         runs = [r for r in self.runs() if r["batches"] != [batch, batch]]
         runs = self._compacted(runs, batch)
-        rows = entries.count()
+        rows = entries.count() if rows is None else rows
         if rows:
             keyed = entries.select(F.unhex("sha1hex").alias("key"), F.col("size").cast("bigint"), F.lit(batch).cast("bigint").alias("batch"))
             runs.append(self._write(keyed, rows, f"l0-{batch}", 0, [batch, batch]))

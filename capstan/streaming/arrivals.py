@@ -31,7 +31,7 @@ from collections.abc import Callable
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
@@ -43,6 +43,7 @@ from capstan.sources.spool import list_spool
 
 SLOW_DOWN = 429
 SCHEMA = "path string, modificationTime timestamp, length bigint, content binary, code int"
+URL_SCHEMA = SCHEMA + ", url string"  # with the URLs that the plan was made with
 PLANNED = "path string, length bigint, modificationTime timestamp"
 CELL_BYTES = (1 << 31) - (1 << 16)  # what one binary cell can hold
 BATCH_BYTES, BATCH_ROWS = 64 << 20, 256
@@ -99,12 +100,10 @@ def _plan(spark: SparkSession, log: str, numbers) -> DataFrame:
 
 # ----------------------------------------------------------------- announcing
 
-def _cut(files: DataFrame, max_bytes: int, max_files: int, slice_bytes: int) -> DataFrame:
-    """``files`` with their ``admission`` and ``slice``, by a running sum of
-    weights in order of path: a file weighs its bytes, and at least a
-    ``max_files``-th of an admission.  Every task sums its own range of paths."""
-    weight = F.greatest(F.col("length"), F.lit(-(-max_bytes // max_files)))
-    parts = (files.withColumn("_w", weight).repartitionByRange(range_partitions(files.sparkSession), "path").sortWithinPartitions("path")
+def cut(files: DataFrame, weight: Column, size: int, slice_size: int, order: tuple[str, ...] = ("path",)) -> DataFrame:
+    """``files`` with their ``admission`` (``size`` of weight each) and ``slice``,
+    by a running sum of weights in ``order``.  Every task sums its own range."""
+    parts = (files.withColumn("_w", weight).repartitionByRange(range_partitions(files.sparkSession), *order).sortWithinPartitions(*order)
              .withColumn("_part", F.spark_partition_id()).withColumn("_id", F.monotonically_increasing_id()).checkpoint(eager=True))
     sums = parts.groupBy("_part").agg(F.sum("_w").alias("_sum"))  # a row per task
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -112,16 +111,19 @@ def _cut(files: DataFrame, max_bytes: int, max_files: int, slice_bytes: int) ->
     within = Window.partitionBy("_part").orderBy("_id").rowsBetween(Window.unboundedPreceding, -1)
     start = F.col("_base") + F.coalesce(F.sum("_w").over(within), F.lit(0))
     return parts.join(sums, "_part").withColumn("_start", start).select(
-        "path", "length", "modificationTime", F.expr(f"_start div {max_bytes}").alias("admission"),
-        F.expr(f"(_start % {max_bytes}) div {slice_bytes}").alias("slice"))
+        *files.columns, F.expr(f"_start div {size}").alias("admission"), F.expr(f"(_start % {size}) div {slice_size}").alias("slice"))
 
 
 def announce(spark: SparkSession, folder: str, log: str, max_bytes: int = 8 << 30, max_files: int = 100_000,
-             slice_bytes: int = 64 << 20, reader: str = "main") -> int:
+             slice_bytes: int = 64 << 20, reader: str = "main", urls: DataFrame | None = None) -> int:
     """Plan the files of ``folder`` that were not announced before (a file with
     another length or time is a new one), and those that ``reader`` answered
     429 since the last announcement.  Returns the number of admissions added.
 
+    A file weighs its bytes, and at least a ``max_files``-th of an admission.
+    ``urls`` (name, url) is joined here by file name, once for all admissions;
+    a file with several entries is planned, and read, once for each.
+
     The plan counts once its head is written; an announcement that fails before
     is made again from its start, as the index leaves its entries out.
     """
@@ -140,7 +142,14 @@ def announce(spark: SparkSession, folder: str, log: str, max_bytes: int = 8 << 3
     files = (new if again is None else new.unionByName(again)).drop("sha1hex")
     plan = f"{batch:08d}-{uuid.uuid4().hex[:8]}"
     where = fsio.join(log, f"plans/{plan}")
-    _cut(files, max_bytes, max_files, slice_bytes).write.partitionBy("admission", "slice").parquet(where)
+    weight = F.greatest(F.col("length"), F.lit(-(-max_bytes // max_files)))
+    rows = cut(files, weight, max_bytes, slice_bytes)
+    if urls is not None:
+        named = urls.select(F.col("name").alias("_name"), "url")
+        rows = rows.withColumn("_name", F.substring_index("path", "/", -1)).join(named, "_name", "left").drop("_name")
+    # a slice is one file, and the slices are dealt to a fixed number of tasks, as few bytes make many files
+    rows = rows.repartition(range_partitions(spark), "admission", "slice")
+    rows.write.partitionBy("admission", "slice").parquet(where)
     bins = sorted(int(p.rstrip("/").rsplit("=", 1)[1]) for p, is_dir, _, _ in fsio.list_dir(where) if is_dir and "admission=" in p)
     if not bins:
         return 0
@@ -163,6 +172,7 @@ class ArrivalsReader(DataSourceStreamReader):
         self.log, self.reader = options["path"], options.get("reader", "main")
         self.max_size = int(options.get("maxSize", "0"))
         self.min_free, self.space_of = int(options.get("minFreePercent", "0")), options.get("spaceOf", "")
+        self.with_url = options.get("urls", "") == "true"
         self.last = None
 
     def initialOffset(self):
@@ -214,7 +224,7 @@ class ArrivalsReader(DataSourceStreamReader):
         import pyarrow.parquet as pq
 
         schema = pa.schema([("path", pa.string()), ("modificationTime", pa.timestamp("us", "UTC")), ("length", pa.int64()),
-                            ("content", pa.binary()), ("code", pa.int32())])
+                            ("content", pa.binary()), ("code", pa.int32())] + [("url", pa.string())] * self.with_url)
         rows, held = [], 0
 
         def batch():
@@ -222,15 +232,16 @@ class ArrivalsReader(DataSourceStreamReader):
 
         for name in partition.files:
             with fsio.open_read(name) as f:
-                listed = pq.ParquetFile(f).read(["path", "modificationTime", "length"])
+                listed = pq.ParquetFile(f).read()
+            urls = listed.column("url").to_pylist() if "url" in listed.column_names else [None] * listed.num_rows
             times = listed.column("modificationTime").cast(pa.timestamp("us", "UTC"))
-            for path, when, length in zip(listed.column("path").to_pylist(), times.to_pylist(), listed.column("length").to_pylist()):
+            for path, when, length, url in zip(listed.column("path").to_pylist(), times.to_pylist(), listed.column("length").to_pylist(), urls):
                 content, code = self._row(path, length, partition.code)
                 size = len(content or b"")
                 if rows and (len(rows) == BATCH_ROWS or held + size > BATCH_BYTES):
                     yield batch()
                     rows, held = [], 0
-                rows.append((path, when, length, content, code))
+                rows.append((path, when, length, content, code, url)[:len(schema)])
                 held += size
         if rows:
             yield batch()
@@ -242,22 +253,24 @@ class ArrivalsDataSource(DataSource):
         return "arrivals"
 
     def schema(self):
-        return SCHEMA
+        return URL_SCHEMA if self.options.get("urls", "") == "true" else SCHEMA
 
     def streamReader(self, schema):
         return ArrivalsReader(self.options)
 
 
 def arrivals_stream(spark: SparkSession, log: str, max_size: int = 0, min_free_percent: int = 0,
-                    space_of: str | None = None, reader: str = "main") -> DataFrame:
+                    space_of: str | None = None, reader: str = "main", with_urls: bool = False) -> DataFrame:
     """The announced files as a stream; see the module's text for its rows.
+    ``with_urls`` adds the column ``url`` that ``announce`` planned (else null).
     ``space_of`` is the (locally mounted) folder whose free space counts."""
     if min_free_percent > 0 and not space_of:
         raise ValueError("min_free_percent needs space_of")
     ship_package(spark)
     spark.dataSource.register(ArrivalsDataSource)
     return (spark.readStream.format("arrivals").option("reader", reader).option("maxSize", str(max_size))
-            .option("minFreePercent", str(min_free_percent)).option("spaceOf", space_of or "").load(log))
+            .option("minFreePercent", str(min_free_percent)).option("spaceOf", space_of or "")
+            .option("urls", str(with_urls).lower()).load(log))
 
 
 def drain(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> None:
@@ -286,5 +299,5 @@ def remove_answered(spark: SparkSession, log: str, since: int, reader: str = "ma
                     n += 1
             yield pd.DataFrame({"n": [n]})
 
-    gone = done.select("path", "length", F.unix_micros("modificationTime").alias("us")).mapInPandas(delete, "n bigint")
+    gone = done.select("path", "length", F.unix_micros("modificationTime").alias("us")).distinct().mapInPandas(delete, "n bigint")
     return gone.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

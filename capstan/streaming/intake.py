@@ -4,8 +4,11 @@ micro-batch, idempotently keyed by batch id."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark import StorageLevel
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from capstan.operators.intake import ACCEPTED, EMPTY, MISMATCH, TOO_LARGE
@@ -61,6 +64,17 @@ def running_counts(stream: DataFrame) -> DataFrame:
     return stream.groupBy("code").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _together(spark: SparkSession, first: Callable[[], object], others: list[Callable[[], object]]) -> None:
+    """Writes that do not read each other, as jobs at the same time; a failure
+    is raised when all have ended.  ``first`` stays in the caller's thread,
+    whose session knows the library's own writers."""
+    with ThreadPoolExecutor(len(others)) as pool:
+        done = [pool.submit(inheritable_thread_target(spark)(w)) for w in others]
+        first()
+    for d in done:
+        d.result()
+
+
 def spool_intake_writer(spool_dir: str, tables: str, max_size: int = 0, has_space=None, urls: DataFrame | None = None):
     """T4 with J1: the ``serve`` flow for one micro-batch of arrivals.
 
@@ -95,36 +109,43 @@ def spool_intake_writer(spool_dir: str, tables: str, max_size: int = 0, has_spac
         if urls is not None:  # by file name
             named = urls.select(F.col("name").alias("_name"), "url")
             b = b.withColumn("_name", F.substring_index("path", "/", -1)).join(named, "_name", "left").drop("_name")
-        answered = None
-        if "code" in b.columns:
-            name = F.when(F.col("code") == EMPTY, "empty").when(F.col("code") == TOO_LARGE, "too-large").when(
-                F.col("code") == SLOW_DOWN, "slow-down").when(F.col("code") == MISMATCH, "length-mismatch").otherwise("rejected")
+        coded = "code" in b.columns
         b = b.persist(StorageLevel.DISK_ONLY)  # a micro-batch's bytes are read from the arrivals once
+        cells = acts = None
         try:
-            taken = b
-            if "code" in b.columns:
-                taken = b.where(F.col("code") == ACCEPTED)
-                answered = b.where(F.col("code") != ACCEPTED).select("path", "sha1hex", name.alias("action"), "code")
-            stored = index.lookup(taken.select("sha1hex"), before=batch_id)
-            acts = J.actions(taken.select("path", "sha1hex", "size", "declared"), stored, max_size, order="path").select(
-                "path", "sha1hex", "action", "code")
-            acts = (acts if answered is None else acts.unionByName(answered)).persist()
-            ok = acts.where(F.col("action").isin("insert", "overwrite")).select("path")
-            content = taken.join(ok, "path", "left_semi")
-            write_hashdir(content.select("content"), spool_dir)
-            content.select("sha1hex", "size", "path").write.mode("overwrite").parquet(f"{tables}/spool/batch={batch_id}")
+            taken = b.where(F.col("code") == ACCEPTED).drop("code") if coded else b
+            # read once, by this count: stages that start together would each read the arrivals
+            cells = b.drop("content", "length").coalesce(spark.sparkContext.defaultParallelism).persist()
+            cells.count()
+            keys = cells.where(F.col("code") == ACCEPTED).drop("code") if coded else cells
+            stored = index.lookup(keys.select("sha1hex"), before=batch_id)
+            kept = ["path", "sha1hex", "size", *(["url"] if "url" in b.columns else []), "action", "code"]
+            acts = J.actions(keys, stored, max_size, order="path").select(*kept)
+            if coded:
+                name = F.when(F.col("code") == EMPTY, "empty").when(F.col("code") == TOO_LARGE, "too-large").when(
+                    F.col("code") == SLOW_DOWN, "slow-down").when(F.col("code") == MISMATCH, "length-mismatch").otherwise("rejected")
+                acts = acts.unionByName(cells.where(F.col("code") != ACCEPTED).withColumn("action", name).select(*kept))
+            # decided once, keys only; few rows, so in no more parts than the cluster has cores
+            acts = acts.coalesce(spark.sparkContext.defaultParallelism).persist()
+            ok = acts.where(F.col("action").isin("insert", "overwrite"))
+            entries = ok.count()
+            outputs = {
+                "spool": ok.select("sha1hex", "size", "path"),
+                "actions": acts.select("path", "sha1hex", "action", "code"),
+                "rejects": acts.where(F.col("code") != ACCEPTED).select("path", "code", "action"),
+            }
             if "url" in b.columns:
-                content.where(F.col("url").isNotNull()).select(
-                    "url", F.col("sha1hex").alias("sha1"), F.current_timestamp().alias("timestamp")
-                ).write.mode("overwrite").parquet(f"{tables}/url_map/batch={batch_id}")
-            acts.select("path", "sha1hex", "action", "code").write.mode("overwrite").parquet(
-                f"{tables}/actions/batch={batch_id}")
-            acts.where(F.col("code") != ACCEPTED).select("path", "code", "action").write.mode(
-                "overwrite").parquet(f"{tables}/rejects/batch={batch_id}")
+                outputs["url_map"] = ok.where(F.col("url").isNotNull()).select(
+                    "url", F.col("sha1hex").alias("sha1"), F.current_timestamp().alias("timestamp"))
+            content = taken.join(ok.select("path"), "path", "left_semi").select("content")
+            _together(spark, lambda: write_hashdir(content, spool_dir), [
+                lambda kind=kind, rows=rows: rows.write.mode("overwrite").parquet(f"{tables}/{kind}/batch={batch_id}")
+                for kind, rows in outputs.items()])
             # last: a batch that failed before this line is done again from its start
-            index.add(spark.read.parquet(f"{tables}/spool/batch={batch_id}").select("sha1hex", "size"), batch_id)
-            acts.unpersist()
+            index.add(ok.select("sha1hex", "size"), batch_id, rows=entries)
         finally:
-            b.unpersist()
+            for kept_rows in (acts, cells, b):
+                if kept_rows is not None:
+                    kept_rows.unpersist()
 
     return write

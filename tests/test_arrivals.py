@@ -118,3 +118,18 @@ def test_intake_job_over_many_admissions(spark):
     assert [n for n, a in got if a == "empty"] == ["zz"] and len(got) == 13
     assert acts.select("batch").distinct().count() == 4
     assert not any(names for _, _, names in os.walk(root))
+
+
+def test_urls_are_joined_once_with_the_plan(spark):
+    """The plan carries the URLs, so a micro-batch does not read the whole list of them."""
+    root, log, out, ckpt, spool, tables = (scratch_path(spark, f"t-url-{k}") for k in ("in", "log", "out", "ckpt", "spool", "tables"))
+    _put(root, {"a/1": b"one", "a/2": b"two", "b/3": b"three", "b/4": b""})
+    urls = spark.createDataFrame([("1", "http://u/1"), ("3", "http://u/3"), ("3", "http://v/3"), ("4", "http://u/4")], "name string, url string")
+    assert arrivals.announce(spark, root, log, max_bytes=4, max_files=2, urls=urls) > 1
+    arrivals.drain(arrivals.arrivals_stream(spark, log, with_urls=True), _collector(out), ckpt)
+    got = sorted((r.path.rsplit("/", 1)[-1], r.url or "", r.code) for r in spark.read.parquet(out).collect())
+    assert got == [("1", "http://u/1", 202), ("2", "", 202), ("3", "http://u/3", 202), ("3", "http://v/3", 202), ("4", "http://u/4", 400)]
+    assert arrivals.remove_answered(spark, log, 0) == 4
+    _put(root, {"a/1": b"one", "b/3": b"three"})
+    jobs.intake_arrivals(spark, root, spool, tables, max_files=1, urls=urls)
+    assert sorted(r.url for r in spark.read.parquet(f"{tables}/url_map").collect()) == ["http://u/1", "http://u/3", "http://v/3"]
