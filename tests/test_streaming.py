@@ -61,3 +61,18 @@ def test_intake_stream_outputs_and_running_counts(spark):
 
 def test_default_blocklist(spark):
     assert default_blocklist(spark).count() == 151
+
+
+def test_stream_lists_in_tasks_and_keeps_to_new_files(spark):
+    """No file of the spool is named to the driver's file index; a later run plans new files only."""
+    root = _spool(spark, [(f"a/{i}", bytearray(b"x%d" % i)) for i in range(7)] + [("a/empty", bytearray()), ("_h/1", bytearray(b"h")), ("a/.h", bytearray(b"h"))])
+    out, ckpt = scratch_path(spark, "t-o"), scratch_path(spark, "t-c")
+    s = drain.spool_stream(spark, root, max_files=3)
+    assert "FileScan binaryFile" not in s._jdf.queryExecution().toString() and "binaryFile" not in s._jdf.queryExecution().logical().toString()
+    drain.run_available(drain.fingerprint(s).select("path", "sha1hex", "size"), out, ckpt)
+    got = spark.read.parquet(out)
+    assert sorted(r["count"] for r in got.groupBy("batch").count().collect()) == [1, 3, 3]
+    assert {r.path for r in got.collect()} == {f"file:{root}/a/{i}" for i in range(7)}
+    write_blobs(spark.createDataFrame([("b/new", bytearray(b"new"))], "path string, content binary"), root)
+    drain.run_available(drain.fingerprint(drain.spool_stream(spark, root, max_files=3)).select("path", "sha1hex", "size"), out, ckpt)
+    assert spark.read.parquet(out).count() == 8
