@@ -26,20 +26,24 @@ def validate(arrivals: DataFrame, max_size: int = 0) -> DataFrame:
     return arrivals.withColumn("reject", reject)
 
 
-def actions(arrivals: DataFrame, spool: DataFrame, max_size: int = 0, order: str = "seq") -> DataFrame:
+def actions(arrivals: DataFrame, spool: DataFrame, max_size: int = 0, order: str = "seq", join: str = "") -> DataFrame:
     """Per arrival an ``action`` and ``code``.
 
     ``arrivals``: sha1hex, size, declared, ``order`` (+ any key columns).
     ``spool``: sha1hex, stored_size (one row per stored object).
     Sequential semantics in one batch: the first valid arrival of a hash
     writes (insert, or overwrite when the stored size differs); later equal
-    arrivals are skipped.
+    arrivals are skipped.  ``join``: a hint for both joins; with ``merge`` a
+    micro-batch broadcasts nothing, which would pass the driver once a batch.
     """
     v = validate(arrivals, max_size)
     # first valid arrival per hash: a partial aggregate over key columns,
     # joined back once together with the spool entry of the hash
     firsts = v.where(F.col("reject").isNull()).groupBy("sha1hex").agg(F.min(order).alias("_first"))
-    v = v.join(firsts, "sha1hex", "left").join(spool.select("sha1hex", "stored_size"), "sha1hex", "left")
+    stored = spool.select("sha1hex", "stored_size")
+    if join:
+        firsts, stored = firsts.hint(join), stored.hint(join)
+    v = v.join(firsts, "sha1hex", "left").join(stored, "sha1hex", "left")
     v = v.withColumn("is_first", F.coalesce(F.col(order) == F.col("_first"), F.lit(False))).drop("_first")
     action = (
         F.when(F.col("reject").isNotNull(), F.col("reject"))

@@ -12,7 +12,7 @@ A manifest file names the live runs; it is written last, under a new number, so
 a failed ``add`` changes nothing and a repeated one replaces its own run.  A
 batch's run is merged only by a later batch, so a batch that is tried again
 never meets its own entries.  Data stay in Spark; the driver handles the
-manifest and the list of buckets to read.
+manifest.
 """
 
 from __future__ import annotations
@@ -22,6 +22,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -176,12 +179,23 @@ class KeyIndex:
             return empty
         keys = hashes.where("sha1hex IS NOT NULL").select(F.unhex("sha1hex").alias("key")).distinct()
         found = self.candidates(keys, runs).checkpoint(eager=True)
-        touched = found.select("run", "bucket").distinct().collect()  # names of bucket folders
-        if not touched:
-            return empty
-        folders = [fsio.join(self._run_path("runs", r.run), f"bucket={r.bucket}") for r in touched]
-        entries = self.spark.read.schema(ENTRY).parquet(*folders)
+        root = fsio.join(self.path, "runs")
+
+        def fetch(own: pa.Table) -> pa.Table:
+            wanted = own["key"].combine_chunks().cast(pa.binary())
+            folder = fsio.join(root, f"run={own['run'][0].as_py()}/bucket={own['bucket'][0].as_py()}")
+            files = fsio.list_files(folder)
+            if not files:  # a bucket with a filter has entries
+                raise FileNotFoundError(folder)
+            parts = []
+            for name in files:
+                with fsio.open_read(name) as f:
+                    held = pq.ParquetFile(f).read(columns=["key", "size", "batch"])
+                parts.append(held.filter(pc.is_in(held["key"], value_set=wanted)))
+            return pa.concat_tables(parts)
+
+        # a bucket is read by the task that holds its keys: neither these nor the names of buckets pass the driver
+        hits = found.groupBy("run", "bucket").applyInArrow(fetch, ENTRY)
         if before is not None:
-            entries = entries.where(F.col("batch") < before)
-        hits = entries.join(found.select("key").distinct(), "key", "left_semi")
+            hits = hits.where(F.col("batch") < before)
         return hits.groupBy("key").agg(F.max_by("size", "batch").alias("stored_size")).select(F.lower(F.hex("key")).alias("sha1hex"), "stored_size")

@@ -185,7 +185,7 @@ def q_intake_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     for n in range(INDEX_BATCHES):
         arrivals = rows.where(F.col("batch") == n).drop("batch")
         stored = index.lookup(arrivals.select("sha1hex"), before=n + 1)
-        actions(arrivals, stored, MAX_SIZE, order="doc_id").select("sha1hex", "size", "action", "code").write.parquet(f"{out}/batch={n + 1}")
+        actions(arrivals, stored, MAX_SIZE, order="doc_id", join="merge").select("sha1hex", "size", "action", "code").write.parquet(f"{out}/batch={n + 1}")
         written = spark.read.parquet(f"{out}/batch={n + 1}").where(F.col("action").isin("insert", "overwrite"))
         index.add(written.select("sha1hex", "size"), n + 1)
     return spark.read.parquet(out).groupBy("sha1hex", "action", "code").agg(F.count("*").alias("n"))

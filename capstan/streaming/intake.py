@@ -75,6 +75,12 @@ def _together(spark: SparkSession, first: Callable[[], object], others: list[Cal
         d.result()
 
 
+def written(taken: DataFrame, ok: DataFrame) -> DataFrame:
+    """The contents of the arrivals that ``ok`` names.  The paths are dealt out
+    with the arrivals: a broadcast of them would pass the driver once a batch."""
+    return taken.join(ok.select("path").hint("shuffle_hash"), "path", "left_semi").select("content")
+
+
 def spool_intake_writer(spool_dir: str, tables: str, max_size: int = 0, has_space=None, urls: DataFrame | None = None):
     """T4 with J1: the ``serve`` flow for one micro-batch of arrivals.
 
@@ -120,7 +126,7 @@ def spool_intake_writer(spool_dir: str, tables: str, max_size: int = 0, has_spac
             keys = cells.where(F.col("code") == ACCEPTED).drop("code") if coded else cells
             stored = index.lookup(keys.select("sha1hex"), before=batch_id)
             kept = ["path", "sha1hex", "size", *(["url"] if "url" in b.columns else []), "action", "code"]
-            acts = J.actions(keys, stored, max_size, order="path").select(*kept)
+            acts = J.actions(keys, stored, max_size, order="path", join="merge").select(*kept)
             if coded:
                 name = F.when(F.col("code") == EMPTY, "empty").when(F.col("code") == TOO_LARGE, "too-large").when(
                     F.col("code") == SLOW_DOWN, "slow-down").when(F.col("code") == MISMATCH, "length-mismatch").otherwise("rejected")
@@ -137,7 +143,7 @@ def spool_intake_writer(spool_dir: str, tables: str, max_size: int = 0, has_spac
             if "url" in b.columns:
                 outputs["url_map"] = ok.where(F.col("url").isNotNull()).select(
                     "url", F.col("sha1hex").alias("sha1"), F.current_timestamp().alias("timestamp"))
-            content = taken.join(ok.select("path"), "path", "left_semi").select("content")
+            content = written(taken, ok)
             _together(spark, lambda: write_hashdir(content, spool_dir), [
                 lambda kind=kind, rows=rows: rows.write.mode("overwrite").parquet(f"{tables}/{kind}/batch={batch_id}")
                 for kind, rows in outputs.items()])

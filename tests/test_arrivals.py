@@ -133,3 +133,15 @@ def test_urls_are_joined_once_with_the_plan(spark):
     _put(root, {"a/1": b"one", "b/3": b"three"})
     jobs.intake_arrivals(spark, root, spool, tables, max_files=1, urls=urls)
     assert sorted(r.url for r in spark.read.parquet(f"{tables}/url_map").collect()) == ["http://u/1", "http://u/3", "http://v/3"]
+
+
+def test_contents_meet_their_decisions_without_a_broadcast(spark):
+    from capstan.streaming.intake import written
+
+    taken = spark.createDataFrame([(f"p{i}", b"c%d" % i) for i in range(20)] + [("p3", b"c3")], "path string, content binary").persist()
+    ok = spark.createDataFrame([(f"p{i}",) for i in range(0, 20, 3)], "path string").persist()
+    assert taken.count() == 21 and ok.count() == 7  # as in a micro-batch, sizes are known and small
+    out = written(taken, ok)
+    assert sorted(bytes(r.content) for r in out.collect()) == sorted([b"c%d" % i for i in range(0, 20, 3)] + [b"c3"])
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+    taken.unpersist(), ok.unpersist()

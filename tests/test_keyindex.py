@@ -75,3 +75,38 @@ def test_a_lookup_reads_little(spark):
     data = sum(n for f, n in sizes.items() if "/runs/" in f)
     read = sum(n for f, n in sizes.items() if "/filters/" in f or any(f"run={r}/bucket={b}/" in f for r, b in touched))
     assert len(touched) < 20 and read < 0.1 * data
+
+
+def test_a_lookup_sends_no_rows_to_the_driver(spark):
+    """Neither the asked keys nor a filter of them pass the driver (a broadcast, a runtime Bloom filter)."""
+    from capstan.operators.intake import actions
+
+    index = KeyIndex(spark, scratch_path(spark, "ix"), bucket_rows=10)
+    index.add(rows(spark, [(sha(i), i) for i in range(1, 60)]), 0)
+    index.add(rows(spark, [(sha(7), 700)]), 1)
+    arrivals = spark.createDataFrame([(f"p{i}", sha(i % 80), i % 80, i % 80) for i in range(1, 160)], "path string, sha1hex string, size bigint, declared bigint")
+    arrivals = arrivals.where("size < 1000").persist()
+    arrivals.count()
+    stored = index.lookup(arrivals.select("sha1hex"), before=1)
+    acts = actions(arrivals, stored, order="path", join="merge")
+    for df in (stored, acts):
+        rows_ = df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert rows_ and "Broadcast" not in plan and "bloom" not in plan and "might_contain" not in plan
+    assert {r.sha1hex: r.stored_size for r in stored.collect()} == {sha(i): i for i in range(1, 60)}
+    got = sorted((r.path, r.action) for r in acts.collect() if r.size in (7, 70))
+    assert got == [("p150", "insert"), ("p7", "skip"), ("p70", "skip"), ("p87", "skip")]
+    arrivals.unpersist()
+
+
+def test_a_bucket_without_files_is_an_error(spark):
+    path = scratch_path(spark, "ix")
+    index = KeyIndex(spark, path)
+    index.add(rows(spark, [(sha(1), 1)]), 0)
+    for f, _, _ in fsio.walk_files(f"{path}/runs"):
+        fsio.remove(f)
+    try:
+        found(index, spark, [sha(1)])
+        raise AssertionError("must fail")
+    except Exception as exc:
+        assert "must fail" not in str(exc) and "bucket=0" in str(exc)
